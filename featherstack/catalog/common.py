@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.scalar import sig_round
+from ..functions.scalar import dec_round, sig_round
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,61 +28,78 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def finalize(df: DataFrame, sig: int = 10, sig_cols: dict[str, int] | None = None) -> DataFrame:
-    """Round every floating column to ``sig`` significant digits."""
-    sig_cols = sig_cols or {}
+def finalize(df: DataFrame, sig: int = 10, sig_cols: dict[str, int] | None = None,
+             dec_cols: dict[str, int] | None = None) -> DataFrame:
+    """Round every floating column to ``sig`` significant digits (``dec_cols``:
+    to a fixed number of decimals instead)."""
+    sig_cols, dec_cols = sig_cols or {}, dec_cols or {}
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name in dec_cols:
+            out.append(dec_round(df[f.name].cast("double"), dec_cols[f.name]).alias(f.name))
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             out.append(sig_round(df[f.name].cast("double"), sig_cols.get(f.name, sig)).alias(f.name))
         else:
             out.append(df[f.name])
     return df.select(*out)
 
 
+_BIAS = "(1 + pow(2, -40))"
+
+
 def _sql_round(x: str, sig: int) -> str:
     k = f"({sig - 1} - floor(log10(abs({x}))))"
+    y = f"({x} * {_BIAS})"
     return (f"CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) OR isinf({x}) THEN {x} "
-            f"WHEN {k} >= 0 THEN round({x} * pow(10, {k})) / pow(10, {k}) "
-            f"ELSE round({x} / pow(10, -{k})) * pow(10, -{k}) END")
+            f"WHEN {k} >= 0 THEN round({y} * pow(10, {k})) / pow(10, {k}) "
+            f"ELSE round({y} / pow(10, -{k})) * pow(10, -{k}) END")
+
+
+def _sql_dec(x: str, decimals: int) -> str:
+    p = f"{float(10 ** decimals)!r}"
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN {x} ELSE round({x} * {_BIAS} * {p}) / {p} END"
 
 
 def _quoted(cols: Sequence[str]) -> str:
     return ", ".join("'" + c + "'" for c in cols)
 
 
-def oracle_wrap(inner: str, exact: Sequence[str], sig: int = 10, sig_cols: dict[str, int] | None = None) -> str:
+def oracle_wrap(inner: str, exact: Sequence[str], sig: int = 10, sig_cols: dict[str, int] | None = None,
+                dec_cols: dict[str, int] | None = None) -> str:
     """Wrap an oracle query so its floating columns are rounded like ``finalize``.
 
     ``exact`` lists the non-floating output columns (keys, counts, labels).
     """
-    sig_cols = sig_cols or {}
+    sig_cols, dec_cols = sig_cols or {}, dec_cols or {}
     parts = []
     if exact:
         parts.append(f"COLUMNS(lambda c: c IN ({_quoted(exact)}))")
-    special = list(sig_cols)
+    special = list(sig_cols) + list(dec_cols)
     rest_excl = list(exact) + special
     rest = f"COLUMNS(* EXCLUDE ({', '.join(rest_excl)}))" if rest_excl else "COLUMNS(*)"
     parts.append(_sql_round(rest, sig))
     for c, s in sig_cols.items():
         parts.append(f"{_sql_round(c, s)} AS {c}")
+    for c, s in dec_cols.items():
+        parts.append(f"{_sql_dec(c, s)} AS {c}")
     return f"SELECT {', '.join(parts)} FROM ({inner}) AS oracle_inner"
 
 
 def register(name: str, sql: str | None = None, exact: Sequence[str] = (), sig: int = 10,
-             sig_cols: dict[str, int] | None = None, all_exact: bool = False):
+             sig_cols: dict[str, int] | None = None, all_exact: bool = False,
+             dec_cols: dict[str, int] | None = None):
     """Register a query; with ``sql`` it gets a DuckDB oracle.
 
     ``all_exact`` marks an oracle with no floating output column at all.
     """
     def deco(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return finalize(fn(spark, sf_dir), sig, sig_cols)
+            return finalize(fn(spark, sf_dir), sig, sig_cols, dec_cols)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         KINDS[name] = "sql" if sql is not None else "rows"
         if sql is not None:
-            ORACLES[name] = sql if all_exact else oracle_wrap(sql, exact, sig, sig_cols)
+            ORACLES[name] = sql if all_exact else oracle_wrap(sql, exact, sig, sig_cols, dec_cols)
         return fn
     return deco

@@ -44,21 +44,35 @@ def safe_log1p(c: str | Column) -> Column:
     return F.when(c > -1, F.log1p(c))
 
 
+TIE_BIAS = 2.0 ** -40  # relative nudge: decimal ties round the same way in any engine
+
+
 def sig_round(c: str | Column, sig: int = 10) -> Column:
     """Round to ``sig`` significant digits with exact powers of ten only.
 
     Used to compare floating results across engines whose summation orders
     differ in the last bits; ``round(x*10^k)/10^k`` is evaluated with the same
-    IEEE operations in any engine.
+    IEEE operations in any engine.  Data with few decimals produces exact
+    decimal ties (e.g. a mean of cents over 8 rows); the value is nudged by a
+    relative 2^-40 (far above a last-bit difference, far below the rounding
+    step) so both engines round such ties the same way.
     """
     c = _col(c)
+    y = c * F.lit(1.0 + TIE_BIAS)
     k = F.lit(sig - 1) - F.floor(F.log10(F.abs(c)))
-    scaled_up = F.round(c * F.pow(F.lit(10.0), k)) / F.pow(F.lit(10.0), k)
-    scaled_dn = F.round(c / F.pow(F.lit(10.0), -k)) * F.pow(F.lit(10.0), -k)
+    scaled_up = F.round(y * F.pow(F.lit(10.0), k)) / F.pow(F.lit(10.0), k)
+    scaled_dn = F.round(y / F.pow(F.lit(10.0), -k)) * F.pow(F.lit(10.0), -k)
     return (F.when(c.isNull() | (c == 0) | F.isnan(c) | c.isin(float("inf"), float("-inf")), c)
             .when(k >= 0, scaled_up).otherwise(scaled_dn))
 
 
+def dec_round(c: str | Column, decimals: int) -> Column:
+    """Absolute rounding (for statistics that are float noise around 0)."""
+    c = _col(c)
+    p = float(10 ** decimals)
+    return F.when(c.isNull() | F.isnan(c), c).otherwise(F.round(c * F.lit(1.0 + TIE_BIAS) * p) / p)
+
+
 def relative_day(ts: str | Column, anchor: str) -> Column:
     """Days relative to an anchor date (negative in the past), like the
     reference's DAYS_* columns."""

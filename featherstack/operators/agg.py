@@ -150,15 +150,17 @@ def subset_agg(df: DataFrame, key: str | Sequence[str], spec: Spec, subsets: Map
 
 
 def two_level_agg(child: DataFrame, parent: DataFrame, child_key: str, root_key: str,
-                  child_spec: Spec, child_prefix: str, parent_spec: Spec, parent_prefix: str) -> DataFrame:
+                  child_spec: Spec, child_prefix: str, parent_spec: Spec, parent_prefix: str,
+                  child_scales: Mapping[str, int] | None = None,
+                  parent_scales: Mapping[str, int] | None = None) -> DataFrame:
     """child → parent aggregate, left-join onto the parent, parent → root aggregate.
 
     The child table is pre-aggregated to one row per ``child_key`` before the
     join, so only one row per parent entity crosses the join shuffle.
     """
-    child_agg = agg_multi_spec(child, child_key, child_spec, child_prefix)
+    child_agg = agg_multi_spec(child, child_key, child_spec, child_prefix, scales=child_scales)
     joined = parent.join(child_agg, child_key, "left")
-    return agg_multi_spec(joined, root_key, parent_spec, parent_prefix)
+    return agg_multi_spec(joined, root_key, parent_spec, parent_prefix, scales=parent_scales)
 
 
 _SAFE = re.compile(r"[^0-9a-zA-Z]+")
