@@ -1,4 +1,4 @@
 """Registered queries (one per operator of the inventory) and their DuckDB oracles."""
 
-from . import joins_agg, slice, sources_clean  # noqa: F401  (registration side effects)
+from . import joins_agg, slice, sources_clean, window_scalar  # noqa: F401  (registration side effects)
 from .common import KINDS, ORACLES, QUERIES  # noqa: F401
