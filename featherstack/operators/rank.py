@@ -148,32 +148,48 @@ def rank_columns(df: DataFrame, cols: Sequence[str], method: str = "average", by
     return out
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas default,
-    DuckDB ``quantile_cont``) of several columns, per group.
+    DuckDB ``quantile_cont``) of several columns, per group, in long form:
+    ``by…, __name, __i, __q`` (``__i`` indexes ``probs``).
 
-    Returns ``by…, __name, q_<i>`` rows (one per column and group).
+    Each distinct value emits only the quantile positions it covers, so the
+    read-out costs one small aggregate whatever the number of probabilities.
     """
     by = list(by)
     melted = df.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("__name"), F.col(c).cast("double").alias("__x"))
                                                 for c in cols])).alias("__kv")).select(*by, "__kv.*")
     cc = cumulative_counts(melted, "__x", by + ["__name"], buckets=buckets)
-    exprs = []
-    for i, q in enumerate(probs):
-        pos = (F.col("__total") - 1) * F.lit(float(q))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        covers_lo = (F.col("__before") <= lo) & (lo < F.col("__before") + F.col("__n"))
-        covers_hi = (F.col("__before") <= hi) & (hi < F.col("__before") + F.col("__n"))
-        exprs += [F.max(F.when(covers_lo, F.col("__v"))).alias(f"__lo{i}"),
-                  F.max(F.when(covers_hi, F.col("__v"))).alias(f"__hi{i}"),
-                  F.max(pos - lo).alias(f"__d{i}")]
-    agg = cc.groupBy(*by, "__name").agg(*exprs)
-    return agg.select(*by, "__name", *[(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__d{i}"))
-                                       .alias(f"q_{i}") for i in range(len(probs))])
+    probs_arr = F.array(*[F.lit(float(q)) for q in probs])
+    pos = F.transform(probs_arr, lambda q, i: F.struct(i.alias("i"), ((F.col("__total") - 1) * q).alias("p")))
+    lo_end = F.col("__before") + F.col("__n")
+
+    def covers(s):
+        return ((F.col("__before") <= F.floor(s["p"])) & (F.floor(s["p"]) < lo_end)) | \
+               ((F.col("__before") <= F.ceil(s["p"])) & (F.ceil(s["p"]) < lo_end))
+
+    hits = cc.select(*by, "__name", "__v", "__before", "__n", F.explode(F.filter(pos, covers)).alias("__s"))
+    lo, hi = F.floor(F.col("__s.p")), F.ceil(F.col("__s.p"))
+    agg = hits.groupBy(*by, "__name", F.col("__s.i").alias("__i")).agg(
+        F.max(F.when((F.col("__before") <= lo) & (lo < F.col("__before") + F.col("__n")), F.col("__v"))).alias("__lo"),
+        F.max(F.when((F.col("__before") <= hi) & (hi < F.col("__before") + F.col("__n")), F.col("__v"))).alias("__hi"),
+        F.max(F.col("__s.p") - lo).alias("__d"))
+    return agg.select(*by, "__name", "__i", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__d")).alias("__q"))
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """As ``quantiles_long`` with one column ``q_<i>`` per probability."""
+    by = list(by)
+    long = quantiles_long(df, cols, probs, by, buckets)
+    return long.groupBy(*by, "__name").agg(*[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"q_{i}")
+                                              for i in range(len(probs))])
 
 
 def global_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
     """Exact global quantiles returned to the driver (columns × probs numbers)."""
-    rows = quantiles(df, cols, probs).collect()
-    return {r["__name"]: [r[f"q_{i}"] for i in range(len(probs))] for r in rows}
+    out = {c: [None] * len(probs) for c in cols}
+    for r in quantiles_long(df, cols, probs).collect():
+        out[r["__name"]][r["__i"]] = r["__q"]
+    return out
