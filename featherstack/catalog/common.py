@@ -15,7 +15,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.scalar import dec_round, sig_round
+from pyspark.sql import functions as F
+
+from ..functions.scalar import dec_round, sig_round_k
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -31,17 +33,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def finalize(df: DataFrame, sig: int = 10, sig_cols: dict[str, int] | None = None,
              dec_cols: dict[str, int] | None = None) -> DataFrame:
     """Round every floating column to ``sig`` significant digits (``dec_cols``:
-    to a fixed number of decimals instead)."""
+    to a fixed number of decimals instead).
+
+    Done in two projections (scale exponent first, then the rounding) so a
+    wide result keeps small generated code.
+    """
     sig_cols, dec_cols = sig_cols or {}, dec_cols or {}
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    if not floats:
+        return df
+    sig_floats = [c for c in floats if c not in dec_cols]
+    staged = df.select("*", *[(F.lit(sig_cols.get(c, sig) - 1) - F.floor(F.log10(F.abs(df[c].cast("double")))))
+                              .alias(f"__k_{i}") for i, c in enumerate(sig_floats)])
+    k_of = {c: f"__k_{i}" for i, c in enumerate(sig_floats)}
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name in dec_cols:
-            out.append(dec_round(df[f.name].cast("double"), dec_cols[f.name]).alias(f.name))
-        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(sig_round(df[f.name].cast("double"), sig_cols.get(f.name, sig)).alias(f.name))
+        c = f.name
+        if c in dec_cols:
+            out.append(dec_round(F.col(c).cast("double"), dec_cols[c]).alias(c))
+        elif c in k_of:
+            out.append(sig_round_k(F.col(c).cast("double"), F.col(k_of[c])).alias(c))
         else:
-            out.append(df[f.name])
-    return df.select(*out)
+            out.append(F.col(c))
+    return staged.select(*out)
 
 
 _BIAS = "(1 + pow(2, -40))"

@@ -131,13 +131,22 @@ def subset_agg(df: DataFrame, key: str | Sequence[str], spec: Spec, subsets: Map
     """The same spec over several row subsets in one pass, plus subset ratios.
 
     ``subsets`` is ``{prefix: predicate}``; ``ratios`` lists ``(num, den)``
-    subset prefixes whose every statistic is divided (x/0 → NULL).
+    subset prefixes whose every statistic is divided (x/0 → NULL).  A group
+    with no row in a subset gets NULL for every statistic of that subset (as
+    a separately aggregated subset would after a left join): one row count
+    per subset is aggregated and the mask is applied after the aggregate, so
+    the aggregate stays narrow enough for whole-stage codegen.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    exprs = []
+    exprs, names = [], []
     for prefix, pred in subsets.items():
-        exprs += agg_exprs(spec, prefix, pred, absent_null=True, scales=scales)
+        exprs.append(F.count_if(pred).alias(f"__rows_{prefix}"))
+        got = agg_exprs(spec, prefix, pred, scales=scales)
+        exprs += got
+        names += [(prefix, feature_name(prefix, c, fn)) for c, fn in _pairs(spec)]
     out = df.groupBy(*keys).agg(*exprs)
+    masked = [F.when(F.col(f"__rows_{p}") > 0, F.col(n)).alias(n) for p, n in names]
+    out = out.select(*keys, *masked)
     if ratios:
         extra = []
         for num, den in ratios:
