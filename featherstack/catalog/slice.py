@@ -13,15 +13,15 @@ WITH p AS {fx.PREVIOUS_SQL},
 base AS (
   SELECT o_custkey,
     count(*) AS hist_size,
-    coalesce(sum(o_totalprice::DECIMAL(28,2))::DOUBLE, 0) AS hist_o_totalprice_sum, sum(o_totalprice::DECIMAL(28,2))::DOUBLE / count(o_totalprice) AS hist_o_totalprice_mean,
+    coalesce(sum(CAST(round(o_totalprice * 100.0) AS BIGINT))::DOUBLE / 100.0, 0) AS hist_o_totalprice_sum, (sum(CAST(round(o_totalprice * 100.0) AS BIGINT))::DOUBLE / 100.0) / count(o_totalprice) AS hist_o_totalprice_mean,
     max(o_totalprice) AS hist_o_totalprice_max, median(o_totalprice) AS hist_o_totalprice_median,
     avg(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS hist_refused_share,
-    CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') > 0 THEN coalesce(sum(o_totalprice::DECIMAL(28,2)) FILTER (WHERE o_orderstatus = 'F'), 0)::DOUBLE END AS appr_o_totalprice_sum,
-    CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') > 0 THEN (sum(o_totalprice::DECIMAL(28,2)) FILTER (WHERE o_orderstatus = 'F'))::DOUBLE / count(o_totalprice) FILTER (WHERE o_orderstatus = 'F') END AS appr_o_totalprice_mean,
+    CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') > 0 THEN coalesce((sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) FILTER (WHERE o_orderstatus = 'F'))::DOUBLE / 100.0, 0) END AS appr_o_totalprice_sum,
+    CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') > 0 THEN ((sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) FILTER (WHERE o_orderstatus = 'F'))::DOUBLE / 100.0) / count(o_totalprice) FILTER (WHERE o_orderstatus = 'F') END AS appr_o_totalprice_mean,
     max(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS appr_o_totalprice_max,
     median(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS appr_o_totalprice_median,
-    CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'P') > 0 THEN coalesce(sum(o_totalprice::DECIMAL(28,2)) FILTER (WHERE o_orderstatus = 'P'), 0)::DOUBLE END AS refu_o_totalprice_sum,
-    (sum(o_totalprice::DECIMAL(28,2)) FILTER (WHERE o_orderstatus = 'P'))::DOUBLE / nullif(count(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 0) AS refu_o_totalprice_mean,
+    CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'P') > 0 THEN coalesce((sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) FILTER (WHERE o_orderstatus = 'P'))::DOUBLE / 100.0, 0) END AS refu_o_totalprice_sum,
+    ((sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) FILTER (WHERE o_orderstatus = 'P'))::DOUBLE / 100.0) / nullif(count(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 0) AS refu_o_totalprice_mean,
     max(o_totalprice) FILTER (WHERE o_orderstatus = 'P') AS refu_o_totalprice_max,
     median(o_totalprice) FILTER (WHERE o_orderstatus = 'P') AS refu_o_totalprice_median,
     CASE WHEN var_pop(day) > 0 THEN regr_slope(o_totalprice, day) END AS hist_o_totalprice_slope
@@ -29,7 +29,7 @@ base AS (
 ranked AS (
   SELECT o_custkey, o_totalprice,
     row_number() OVER (PARTITION BY o_custkey ORDER BY day DESC, o_orderkey DESC) AS rn FROM p),
-last3 AS (SELECT o_custkey, sum(o_totalprice::DECIMAL(28,2))::DOUBLE / count(o_totalprice) AS hist_last3_o_totalprice_mean FROM ranked WHERE rn <= 3 GROUP BY o_custkey),
+last3 AS (SELECT o_custkey, (sum(CAST(round(o_totalprice * 100.0) AS BIGINT))::DOUBLE / 100.0) / count(o_totalprice) AS hist_last3_o_totalprice_mean FROM ranked WHERE rn <= 3 GROUP BY o_custkey),
 feats AS (
   SELECT b.*, l.hist_last3_o_totalprice_mean,
     appr_o_totalprice_sum / nullif(refu_o_totalprice_sum, 0) AS ratio_appr_refu_o_totalprice_sum,

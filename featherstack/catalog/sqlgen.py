@@ -17,7 +17,8 @@ def _f(where: str | None) -> str:
 def agg(col: str, fn: str, where: str | None = None, scale: int | None = None) -> str:
     fw = _f(where)
     if scale is not None and fn in ("sum", "mean", "sum_null"):
-        total = f"CAST(sum(CAST({col} AS DECIMAL(28,{scale}))){fw} AS DOUBLE)"
+        unit = repr(float(10 ** scale))
+        total = f"(CAST(sum(CAST(round({col} * {unit}) AS BIGINT)){fw} AS DOUBLE) / {unit})"
         if fn == "sum":
             return f"coalesce({total}, 0)"
         if fn == "sum_null":

@@ -66,7 +66,10 @@ AGG_FUNCS: dict[str, Callable[[Column, Column | None], Column]] = {
 
 
 def _exact_sum(c: Column, where: Column | None, scale: int) -> Column:
-    return F.sum(_mask(c, where).cast(f"decimal(28,{scale})")).cast("double")
+    # integer units (e.g. cents) summed as long: exact, order independent,
+    # and on Spark's fast fixed-width path (a DECIMAL(38) sum is not)
+    unit = float(10 ** scale)
+    return F.sum(F.round(_mask(c, where) * F.lit(unit)).cast("long")).cast("double") / F.lit(unit)
 
 
 def agg_expr(col: str | Column, fn: str, where: Column | None = None, scale: int | None = None) -> Column:
@@ -125,37 +128,40 @@ def agg_all_columns(df: DataFrame, key: str | Sequence[str], fns: Sequence[str],
     return agg_multi_spec(df, keys, {c: list(fns) for c in cols}, prefix)
 
 
+def subset_parts(spec: Spec, subsets: Mapping[str, Column], ratios: Sequence[tuple[str, str]] = (),
+                 ratio_prefix: str = "ratio", scales: Mapping[str, int] | None = None
+                 ) -> tuple[list[Column], list[Column]]:
+    """Aggregate expressions and post-aggregate output columns for subset
+    statistics, so callers can fuse them into a larger aggregate.
+
+    A group with no row in a subset gets NULL for every statistic of that
+    subset (as a separately aggregated subset would after a left join): one
+    row count per subset is aggregated and the mask is applied after the
+    aggregate, which keeps the aggregate narrow enough for codegen.
+    """
+    aggs, outs, masked = [], [], {}
+    for prefix, pred in subsets.items():
+        aggs.append(F.count_if(pred).alias(f"__rows_{prefix}"))
+        aggs += agg_exprs(spec, prefix, pred, scales=scales)
+        for c, fn in _pairs(spec):
+            n = feature_name(prefix, c, fn)
+            masked[n] = F.when(F.col(f"__rows_{prefix}") > 0, F.col(n))
+            outs.append(masked[n].alias(n))
+    for num, den in ratios:
+        for c, fn in _pairs(spec):
+            outs.append(F.try_divide(masked[feature_name(num, c, fn)], masked[feature_name(den, c, fn)])
+                        .alias(feature_name(f"{ratio_prefix}_{num}_{den}", c, fn)))
+    return aggs, outs
+
+
 def subset_agg(df: DataFrame, key: str | Sequence[str], spec: Spec, subsets: Mapping[str, Column],
                ratios: Sequence[tuple[str, str]] = (), ratio_prefix: str = "ratio",
                scales: Mapping[str, int] | None = None) -> DataFrame:
-    """The same spec over several row subsets in one pass, plus subset ratios.
-
-    ``subsets`` is ``{prefix: predicate}``; ``ratios`` lists ``(num, den)``
-    subset prefixes whose every statistic is divided (x/0 → NULL).  A group
-    with no row in a subset gets NULL for every statistic of that subset (as
-    a separately aggregated subset would after a left join): one row count
-    per subset is aggregated and the mask is applied after the aggregate, so
-    the aggregate stays narrow enough for whole-stage codegen.
-    """
+    """The same spec over several row subsets in one pass, plus subset ratios
+    (``{prefix: predicate}``; ``(num, den)`` prefixes, x/0 → NULL)."""
     keys = [key] if isinstance(key, str) else list(key)
-    exprs, names = [], []
-    for prefix, pred in subsets.items():
-        exprs.append(F.count_if(pred).alias(f"__rows_{prefix}"))
-        got = agg_exprs(spec, prefix, pred, scales=scales)
-        exprs += got
-        names += [(prefix, feature_name(prefix, c, fn)) for c, fn in _pairs(spec)]
-    out = df.groupBy(*keys).agg(*exprs)
-    masked = [F.when(F.col(f"__rows_{p}") > 0, F.col(n)).alias(n) for p, n in names]
-    out = out.select(*keys, *masked)
-    if ratios:
-        extra = []
-        for num, den in ratios:
-            for col, fn in _pairs(spec):
-                extra.append(F.try_divide(F.col(feature_name(num, col, fn)),
-                                          F.col(feature_name(den, col, fn)))
-                             .alias(feature_name(f"{ratio_prefix}_{num}_{den}", col, fn)))
-        out = out.select("*", *extra)
-    return out
+    aggs, outs = subset_parts(spec, subsets, ratios, ratio_prefix, scales)
+    return df.groupBy(*keys).agg(*aggs).select(*keys, *outs)
 
 
 def two_level_agg(child: DataFrame, parent: DataFrame, child_key: str, root_key: str,

@@ -180,13 +180,9 @@ def lagged_diff_mean(df: DataFrame, key: str, t: str, tiebreak: str, col: str, n
     return rows.groupBy(key).agg(F.avg(diff).alias(name))
 
 
-def trend_fit(df: DataFrame, key: str, y: str, x: str, prefix: str, where: Column | None = None,
-              fill_y: float | None = None) -> DataFrame:
-    """Least-squares line ``y ~ x`` per key: slope and intercept.
-
-    As R's ``lm``: constant x gives no slope and the intercept is mean(y).
-    ``fill_y`` replaces a missing y before the fit.
-    """
+def trend_exprs(y: str, x: str, prefix: str, where: Column | None = None, fill_y: float | None = None,
+                intercept: bool = True) -> list[Column]:
+    """Aggregate expressions of the least-squares line ``y ~ x`` (see ``trend_fit``)."""
     yy = F.col(y).cast("double")
     if fill_y is not None:
         yy = F.coalesce(yy, F.lit(float(fill_y)))
@@ -194,7 +190,17 @@ def trend_fit(df: DataFrame, key: str, y: str, x: str, prefix: str, where: Colum
     if where is not None:
         yy, xx = F.when(where, yy), F.when(where, xx)
     both = xx.isNotNull() & yy.isNotNull()
-    return df.groupBy(key).agg(
-        F.regr_slope(yy, xx).alias(feature_name(prefix, y, "slope")),
-        F.coalesce(F.regr_intercept(yy, xx), F.avg(F.when(both, yy))).alias(feature_name(prefix, y, "intercept")),
-    )
+    out = [F.regr_slope(yy, xx).alias(feature_name(prefix, y, "slope"))]
+    if intercept:
+        out.append(F.coalesce(F.regr_intercept(yy, xx), F.avg(F.when(both, yy))).alias(feature_name(prefix, y, "intercept")))
+    return out
+
+
+def trend_fit(df: DataFrame, key: str, y: str, x: str, prefix: str, where: Column | None = None,
+              fill_y: float | None = None, intercept: bool = True) -> DataFrame:
+    """Least-squares line ``y ~ x`` per key: slope and intercept.
+
+    As R's ``lm``: constant x gives no slope and the intercept is mean(y).
+    ``fill_y`` replaces a missing y before the fit.
+    """
+    return df.groupBy(key).agg(*trend_exprs(y, x, prefix, where, fill_y, intercept))
