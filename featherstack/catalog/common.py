@@ -15,9 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pyspark.sql import functions as F
-
-from ..functions.scalar import dec_round, sig_round_k
+from ..functions.scalar import TIE_BIAS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -35,27 +33,46 @@ def finalize(df: DataFrame, sig: int = 10, sig_cols: dict[str, int] | None = Non
     """Round every floating column to ``sig`` significant digits (``dec_cols``:
     to a fixed number of decimals instead).
 
-    Done in two projections (scale exponent first, then the rounding) so a
-    wide result keeps small generated code.
+    The projection is generated as SQL text and sent in one ``selectExpr``
+    call: building it from Column objects costs one driver round-trip per
+    function call, which dominated planning time for wide results.
     """
     sig_cols, dec_cols = sig_cols or {}, dec_cols or {}
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     if not floats:
         return df
-    sig_floats = [c for c in floats if c not in dec_cols]
-    staged = df.select("*", *[(F.lit(sig_cols.get(c, sig) - 1) - F.floor(F.log10(F.abs(df[c].cast("double")))))
-                              .alias(f"__k_{i}") for i, c in enumerate(sig_floats)])
-    k_of = {c: f"__k_{i}" for i, c in enumerate(sig_floats)}
-    out = []
+    # Wide results: bind each value once to a lambda variable, so upstream
+    # expressions are not inlined into every reference of the rounding (which
+    # can exceed the 64 KB method limit of generated code).  Narrow results
+    # keep plain, fully code-generated expressions.
+    wide = len(floats) > 24
+    exprs = []
     for f in df.schema.fields:
-        c = f.name
-        if c in dec_cols:
-            out.append(dec_round(F.col(c).cast("double"), dec_cols[c]).alias(c))
-        elif c in k_of:
-            out.append(sig_round_k(F.col(c).cast("double"), F.col(k_of[c])).alias(c))
+        q = f"`{f.name}`"
+        x = "v" if wide else f"CAST({q} AS DOUBLE)"
+        if f.name in dec_cols:
+            e = _spark_dec(x, dec_cols[f.name])
+        elif f.name in floats:
+            e = _spark_sig(x, sig_cols.get(f.name, sig))
         else:
-            out.append(F.col(c))
-    return staged.select(*out)
+            exprs.append(q)
+            continue
+        exprs.append(f"transform(array(CAST({q} AS DOUBLE)), v -> {e})[0] AS {q}" if wide else f"{e} AS {q}")
+    return df.selectExpr(*exprs)
+
+
+def _spark_sig(x: str, sig: int) -> str:
+    # same arithmetic as functions.scalar.sig_round, as Spark SQL text
+    k = f"({sig - 1} - floor(log10(abs({x}))))"
+    y = f"({x} * {1.0 + TIE_BIAS!r})"
+    return (f"CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) OR {x} IN (double('inf'), double('-inf')) THEN {x} "
+            f"WHEN {k} >= 0 THEN round({y} * pow(10.0, {k})) / pow(10.0, {k}) "
+            f"ELSE round({y} / pow(10.0, -{k})) * pow(10.0, -{k}) END")
+
+
+def _spark_dec(x: str, decimals: int) -> str:
+    p = repr(float(10 ** decimals))
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN {x} ELSE round({x} * {1.0 + TIE_BIAS!r} * {p}) / {p} END"
 
 
 _BIAS = "(1 + pow(2, -40))"

@@ -256,7 +256,7 @@ SUBSETS_SQL = {"appr": "o_orderstatus = 'F'", "refu": "o_orderstatus = 'P'"}
 
 
 def _subsets():
-    return {"appr": F.col("o_orderstatus") == "F", "refu": F.col("o_orderstatus") == "P"}
+    return dict(SUBSETS_SQL)
 
 
 def _subset_sql(ratios: bool) -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..plans import fixture as fx
 from ..plans.slice import history_features
 from .common import register
@@ -47,7 +45,7 @@ def flagship(spark, sf_dir):
     app = fx.application(spark, sf_dir)
     prev = fx.previous(spark, sf_dir)
     return history_features(app, prev, "o_custkey", "c_custkey", "o_totalprice", "o_orderstatus",
-                            F.lit("F"), F.lit("P"), "day", "o_orderkey")
+                            "F", "P", "day", "o_orderkey")
 
 
 register("customer_history_features", FLAGSHIP_SQL,

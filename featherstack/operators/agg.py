@@ -72,22 +72,64 @@ def _exact_sum(c: Column, where: Column | None, scale: int) -> Column:
     return F.sum(F.round(_mask(c, where) * F.lit(unit)).cast("long")).cast("double") / F.lit(unit)
 
 
-def agg_expr(col: str | Column, fn: str, where: Column | None = None, scale: int | None = None) -> Column:
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _sql_stat(x: str, fn: str, where: str | None, scale: int | None) -> str | None:
+    """Spark SQL text of one statistic (None when only the Column form exists)."""
+    m = f"CASE WHEN {where} THEN {x} END" if where else x
+    if scale is not None and fn in ("sum", "sum_null", "mean"):
+        unit = repr(float(10 ** scale))
+        total = f"(CAST(sum(CAST(round({m} * {unit}) AS BIGINT)) AS DOUBLE) / {unit})"
+        return {"sum": f"coalesce({total}, 0.0)", "sum_null": total, "mean": f"try_divide({total}, count({m}))"}[fn]
+    n = f"CAST(count({m}) AS DOUBLE)"
+    table = {
+        "min": f"min({m})", "max": f"max({m})", "mean": f"avg({m})", "sum": f"coalesce(sum({m}), 0)",
+        "sum_null": f"sum({m})", "var": f"var_samp({m})", "std": f"stddev_samp({m})", "var_pop": f"var_pop({m})",
+        "count": f"count({m})", "size": f"count_if({where})" if where else "count(1)",
+        "nunique": f"count(DISTINCT {m})", "nunique_small": f"CAST(size(collect_set({m})) AS BIGINT)",
+        "median": f"median({m})", "median_approx": f"percentile_approx({m}, 0.5, 10000)",
+        "q25": f"percentile({m}, 0.25)", "q75": f"percentile({m}, 0.75)",
+        "iqr": f"(percentile({m}, 0.75) - percentile({m}, 0.25))",
+        "skew": f"CASE WHEN {n} >= 3 THEN skewness({m}) * sqrt({n} * ({n} - 1)) / ({n} - 2) END",
+        "kurt": f"CASE WHEN {n} >= 4 THEN ({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * kurtosis({m}) + 6) END",
+        "skew_e1071": f"CASE WHEN {n} >= 1 THEN skewness({m}) * pow(({n} - 1) / {n}, 1.5) END",
+        "kurt_e1071": f"CASE WHEN {n} >= 1 THEN (kurtosis({m}) + 3) * pow(1 - 1 / {n}, 2) - 3 END",
+        "first": f"first({m}, true)",
+    }
+    return table.get(fn)
+
+
+def agg_expr(col: str | Column, fn: str, where: Column | str | None = None, scale: int | None = None,
+             name: str | None = None) -> Column:
     """One statistic.  With ``scale`` (decimal places of a currency column)
-    sums and means accumulate in DECIMAL: exact, so the result does not depend
-    on how rows are partitioned or in which order partial sums are merged."""
+    sums and means accumulate in integer units (e.g. cents): exact, so the
+    result does not depend on how rows are partitioned or merged.
+
+    Column names with SQL-text predicates (or none) become ONE ``F.expr``
+    (a single driver→JVM call); Column inputs are composed as Columns.
+    """
+    if isinstance(col, str) and (where is None or isinstance(where, str)):
+        text = _sql_stat(_q(col), fn, where, scale)
+        if text is not None:
+            return F.expr(f"{text} AS {_q(name)}") if name else F.expr(text)
     c = F.col(col) if isinstance(col, str) else col
+    w = F.expr(where) if isinstance(where, str) else where
     if scale is not None and fn in ("sum", "sum_null", "mean"):
-        total = _exact_sum(c, where, scale)
+        total = _exact_sum(c, w, scale)
         if fn == "sum":
-            return F.coalesce(total, F.lit(0.0))
-        if fn == "sum_null":
-            return total
-        return F.try_divide(total, F.count(_mask(c, where)))
-    return AGG_FUNCS[fn](c, where)
+            out = F.coalesce(total, F.lit(0.0))
+        elif fn == "sum_null":
+            out = total
+        else:
+            out = F.try_divide(total, F.count(_mask(c, w)))
+    else:
+        out = AGG_FUNCS[fn](c, w)
+    return out.alias(name) if name else out
 
 
-def agg_exprs(spec: Spec, prefix: str | None = None, where: Column | None = None,
+def agg_exprs(spec: Spec, prefix: str | None = None, where: Column | str | None = None,
               absent_null: bool = False, scales: Mapping[str, int] | None = None) -> list[Column]:
     """Aliased aggregate expressions for a spec.
 
@@ -99,10 +141,12 @@ def agg_exprs(spec: Spec, prefix: str | None = None, where: Column | None = None
     scales = scales or {}
     out = []
     for col, fn in _pairs(spec):
-        e = agg_expr(col, fn, where, scales.get(col))
+        name = feature_name(prefix, col, fn)
         if absent_null and where is not None:
-            e = F.when(F.count_if(where) > 0, e)
-        out.append(e.alias(feature_name(prefix, col, fn)))
+            w = F.expr(where) if isinstance(where, str) else where
+            out.append(F.when(F.count_if(w) > 0, agg_expr(col, fn, where, scales.get(col))).alias(name))
+        else:
+            out.append(agg_expr(col, fn, where, scales.get(col), name=name))
     return out
 
 
@@ -128,7 +172,7 @@ def agg_all_columns(df: DataFrame, key: str | Sequence[str], fns: Sequence[str],
     return agg_multi_spec(df, keys, {c: list(fns) for c in cols}, prefix)
 
 
-def subset_parts(spec: Spec, subsets: Mapping[str, Column], ratios: Sequence[tuple[str, str]] = (),
+def subset_parts(spec: Spec, subsets: Mapping[str, Column | str], ratios: Sequence[tuple[str, str]] = (),
                  ratio_prefix: str = "ratio", scales: Mapping[str, int] | None = None
                  ) -> tuple[list[Column], list[Column]]:
     """Aggregate expressions and post-aggregate output columns for subset
@@ -141,7 +185,8 @@ def subset_parts(spec: Spec, subsets: Mapping[str, Column], ratios: Sequence[tup
     """
     aggs, outs, masked = [], [], {}
     for prefix, pred in subsets.items():
-        aggs.append(F.count_if(pred).alias(f"__rows_{prefix}"))
+        aggs.append(F.expr(f"count_if({pred}) AS `__rows_{prefix}`") if isinstance(pred, str)
+                    else F.count_if(pred).alias(f"__rows_{prefix}"))
         aggs += agg_exprs(spec, prefix, pred, scales=scales)
         for c, fn in _pairs(spec):
             n = feature_name(prefix, c, fn)
@@ -154,7 +199,7 @@ def subset_parts(spec: Spec, subsets: Mapping[str, Column], ratios: Sequence[tup
     return aggs, outs
 
 
-def subset_agg(df: DataFrame, key: str | Sequence[str], spec: Spec, subsets: Mapping[str, Column],
+def subset_agg(df: DataFrame, key: str | Sequence[str], spec: Spec, subsets: Mapping[str, Column | str],
                ratios: Sequence[tuple[str, str]] = (), ratio_prefix: str = "ratio",
                scales: Mapping[str, int] | None = None) -> DataFrame:
     """The same spec over several row subsets in one pass, plus subset ratios

@@ -126,11 +126,13 @@ def features_bureau_two_level(spark: SparkSession, d: str) -> DataFrame:
                                                         null_level=False, fn="median"))
     bureau = fx.previous(spark, d).join(bb.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
     cat = {"bb_l_returnflag_a_median": ["median"], "bb_l_returnflag_r_median": ["median"]}
-    all_agg = bureau.groupBy("o_custkey").agg(*A.agg_exprs({**BUREAU_NUM, **cat}, "buro", scales=MONEY))
-    subsets = A.subset_agg(bureau, "o_custkey", BUREAU_NUM,
-                           {"active": F.col("o_orderstatus") == "O", "closed": F.col("o_orderstatus") == "F"},
-                           ratios=[("active", "closed")], ratio_prefix="new_ratio", scales=MONEY)
-    return all_agg.join(subsets, "o_custkey", "left")
+    sub_aggs, sub_outs = A.subset_parts(BUREAU_NUM, {"active": "o_orderstatus = 'O'", "closed": "o_orderstatus = 'F'"},
+                                        ratios=[("active", "closed")], ratio_prefix="new_ratio", scales=MONEY)
+    all_spec = {**BUREAU_NUM, **cat}
+    all_names = [A.feature_name("buro", c, fn) for c, fn in A._pairs(all_spec)]
+    # one aggregate pass: all rows, the active subset and the closed subset
+    return bureau.groupBy("o_custkey").agg(*A.agg_exprs(all_spec, "buro", scales=MONEY), *sub_aggs) \
+        .select("o_custkey", *all_names, *sub_outs)
 
 
 def features_bureau_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -140,8 +142,8 @@ def features_bureau_summary(spark: SparkSession, d: str) -> DataFrame:
         F.count_distinct("o_orderpriority").alias("bureau_types"),
         F.try_divide(F.count(F.lit(1)), F.count_distinct("o_orderpriority")).alias("loans_per_type"),
         F.avg(clean.compare_flag(F.col("o_orderstatus") == "O")).alias("active_share"),
-        A.agg_expr("o_totalprice", "sum", F.col("o_orderstatus") == "O", 2).alias("active_amount_sum"),
-        F.try_divide(A.agg_expr("o_totalprice", "sum", F.col("o_orderstatus") == "O", 2),
+        A.agg_expr("o_totalprice", "sum", "o_orderstatus = 'O'", 2).alias("active_amount_sum"),
+        F.try_divide(A.agg_expr("o_totalprice", "sum", "o_orderstatus = 'O'", 2),
                      A.agg_expr("o_totalprice", "sum", None, 2)).alias("active_amount_share"),
         F.max("day").alias("last_day"),
     )
@@ -169,13 +171,13 @@ PREV_SPEC = {"o_totalprice": ["min", "max", "mean", "sum"], "day": ["min", "max"
 
 def features_previous_apps(spark: SparkSession, d: str) -> DataFrame:
     p = fx.previous(spark, d)
-    allp = p.groupBy("o_custkey").agg(*A.agg_exprs(PREV_SPEC, "prev", scales=MONEY),
-                                      *A.share_of_levels(p, "o_custkey", "o_orderpriority", PRIORITIES, "prev",
-                                                         null_level=False))
-    sub = A.subset_agg(p, "o_custkey", PREV_SPEC, {"approved": F.col("o_orderstatus") == "F",
-                                                   "refused": F.col("o_orderstatus") == "P"},
-                       ratios=[("approved", "refused")], scales=MONEY)
-    return allp.join(sub, "o_custkey", "left")
+    shares = A.share_of_levels(p, "o_custkey", "o_orderpriority", PRIORITIES, "prev", null_level=False)
+    sub_aggs, sub_outs = A.subset_parts(PREV_SPEC, {"approved": "o_orderstatus = 'F'", "refused": "o_orderstatus = 'P'"},
+                                        ratios=[("approved", "refused")], scales=MONEY)
+    names = [A.feature_name("prev", c, fn) for c, fn in A._pairs(PREV_SPEC)]
+    names += [f"prev_o_orderpriority_{A.level_name(lv)}_mean" for lv in PRIORITIES]
+    return p.groupBy("o_custkey").agg(*A.agg_exprs(PREV_SPEC, "prev", scales=MONEY), *shares, *sub_aggs) \
+        .select("o_custkey", *names, *sub_outs)
 
 
 def features_previous_history(spark: SparkSession, d: str) -> DataFrame:

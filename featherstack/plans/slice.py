@@ -21,8 +21,8 @@ def history_features(entity: DataFrame, history: DataFrame, key: str, entity_key
                      status: str, approved, refused, day: str, tiebreak: str, amount_scale: int | None = 2) -> DataFrame:
     spec = {amount: ["sum", "mean", "max", "median"]}
     scales = {amount: amount_scale} if amount_scale is not None else None
-    sub_aggs, sub_outs = subset_parts(spec, {"appr": F.col(status) == approved, "refu": F.col(status) == refused},
-                                      ratios=[("appr", "refu")], scales=scales)
+    subsets = {"appr": f"`{status}` = '{approved}'", "refu": f"`{status}` = '{refused}'"}
+    sub_aggs, sub_outs = subset_parts(spec, subsets, ratios=[("appr", "refu")], scales=scales)
     plain = [F.count(F.lit(1)).alias("hist_size"),
              *agg_exprs(spec, "hist", scales=scales),
              F.avg(F.coalesce(F.col(status) == F.lit(refused), F.lit(False)).cast("int")).alias("hist_refused_share"),
