@@ -138,8 +138,8 @@ def _qbin_sql(col: str, tbl: str, n: int, key: str, out: str) -> str:
 def quantile_bin_q(spark, d):
     """qcut into 8 bins, and into 100 bins of a 7-valued column (duplicate edges dropped)."""
     c = table(spark, d, "customer").withColumn("k7", F.col("c_custkey") % 7)
-    e1 = Bn.fit_edges(c, ["c_acctbal"], 8)["c_acctbal"]
-    e2 = Bn.fit_edges(c, ["k7"], 100)["k7"]
+    edges = Bn.fit_edges(c, ["c_acctbal", "k7"], {"c_acctbal": 8, "k7": 100})
+    e1, e2 = edges["c_acctbal"], edges["k7"]
     return c.select("c_custkey", Bn.quantile_bin("c_acctbal", e1).alias("acct_bin"), Bn.quantile_bin("k7", e2).alias("size_bin"))
 
 

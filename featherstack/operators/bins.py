@@ -12,21 +12,28 @@ from pyspark.sql import functions as F
 from .rank import global_quantiles
 
 
-def fit_edges(df: DataFrame, cols: Sequence[str], n: int, exact: bool = True,
+def fit_edges(df: DataFrame, cols: Sequence[str], n: int | dict[str, int], exact: bool = True,
               rel_err: float = 1e-4) -> dict[str, list[float]]:
-    """Edges at the i/n quantiles (i = 0..n), duplicates dropped.
+    """Edges at the i/n quantiles (i = 0..n) of each column, duplicates dropped.
 
-    ``exact`` uses the distributed exact quantiles (linear interpolation, as
-    numpy); otherwise Spark's approximate quantile sketch.  Either way only
-    ``len(cols) × (n+1)`` numbers reach the driver.
+    ``n`` may differ per column (``{col: n}``); all columns are fitted in one
+    pass.  ``exact`` uses the distributed exact quantiles (linear
+    interpolation, as numpy); otherwise Spark's approximate quantile sketch.
+    Only ``columns × probabilities`` numbers reach the driver.
     """
-    probs = [i / n for i in range(n + 1)]
+    ns = n if isinstance(n, dict) else {c: n for c in cols}
+    per_col = {c: [i / ns[c] for i in range(ns[c] + 1)] for c in cols}
+    probs = sorted({q for qs in per_col.values() for q in qs})
     if exact:
-        qs = global_quantiles(df, cols, probs)
+        got = global_quantiles(df, cols, probs)
     else:
-        approx = df.approxQuantile(list(cols), probs, rel_err)
-        qs = dict(zip(cols, approx))
-    return {c: sorted(set(float(x) for x in qs[c] if x is not None)) for c in cols}
+        got = dict(zip(cols, df.approxQuantile(list(cols), probs, rel_err)))
+    index = {q: i for i, q in enumerate(probs)}
+    out = {}
+    for c in cols:
+        vals = [got[c][index[q]] for q in per_col[c]]
+        out[c] = sorted({float(x) for x in vals if x is not None})
+    return out
 
 
 def quantile_bin(col: str | Column, edges: Sequence[float]) -> Column:

@@ -6,9 +6,11 @@ here puts a whole entity's history into one window task.
 
 * "latest value" / "first value" are ``max_by`` / ``min_by`` aggregates
   (partial aggregation combines a hot key map-side).
-* top-k per entity is two-phase: a window over ``(key, salt)`` keeps k rows
-  per salt bucket, a second window over the key sees at most ``k * salt``
-  candidates.
+* top-k per entity is ``row_number() <= k``: Spark plans it with a partial
+  ``WindowGroupLimit`` *below* the shuffle, so each map task ships at most k
+  rows per key (a map-side top-k) and the final window sees at most
+  ``k × map tasks`` rows of a hot key.  An explicit salted first phase is
+  available (``salt > 1``) for engines without that rule.
 * extremes are aggregated per key and re-attached with a join on
   ``(key, time)``, which spreads a hot key by time.
 * lagged differences are computed inside ``(key, time chunk)`` windows and
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from ..names import feature_name
 from .agg import Spec, _pairs, agg_expr
 
-DEFAULT_SALT = 16
+DEFAULT_SALT = 1  # map-side top-k comes from WindowGroupLimit (see module doc)
 
 
 def _list(x) -> list[str]:
@@ -72,8 +74,8 @@ def top_k_per_group(df: DataFrame, key: str | Sequence[str], order: Sequence[Col
                     rank_col: str = "rn") -> DataFrame:
     """Rows ranked 1..k per key by ``order`` (a total order), with their rank.
 
-    Phase one ranks within ``(key, salt bucket)``; the salt is a hash of
-    ``salt_cols`` (deterministic, so retries see the same buckets).  Phase two
+    With ``salt > 1`` a first phase ranks within ``(key, salt bucket)`` (the
+    salt is a hash of ``salt_cols``, deterministic on retry) and the second
     ranks the ``<= k * salt`` survivors per key.
     """
     keys = _list(key)

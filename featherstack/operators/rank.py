@@ -60,9 +60,11 @@ def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = ()
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*by, v.cast("double").alias("__v"), *[c.alias(k) for k, c in weights.items()]) \
         .where(F.col("__v").isNotNull())
+    # bucket edges from a quantile sketch of the raw values (partial
+    # aggregation, no shuffle of rows); any edges give exact results
+    edges = _edges(base, by, "__v", buckets, rel_err)
     vc = base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n"),
                                       *[F.sum(k).alias(k) for k in weights])
-    edges = _edges(vc, by, "__v", buckets, rel_err)
     if isinstance(edges, DataFrame):
         vc = vc.join(edges, by, "left")
         edge_col = F.coalesce(F.col("__edges"), F.array().cast("array<double>"))
