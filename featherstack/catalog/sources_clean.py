@@ -78,6 +78,24 @@ def _doc_scores(spark, d):
                       F.when(F.col("lang") == "en", 0.7).otherwise(0.3).alias("m2"))
 
 
+@register("scan_glob_predictions", """SELECT doc_id, CAST(((doc_id % 2147483647) * 48271 + 1001) % 2147483647 % 5 AS INTEGER) AS fold,
+  'm0' AS model, ln(1 + n_chars) / 10 AS score FROM documents
+  UNION ALL SELECT doc_id, CAST(((doc_id % 2147483647) * 48271 + 1001) % 2147483647 % 5 AS INTEGER), 'm1', (n_chars % 97) / 97.0
+  FROM documents WHERE lang <> 'de'
+  UNION ALL SELECT d.doc_id, CAST(((d.doc_id % 2147483647) * 48271 + 1001) % 2147483647 % 5 AS INTEGER), 'm2', (n_chars % 13) / 13.0
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id""", exact=["doc_id", "fold", "model"])
+def scan_glob_predictions_q(spark, d):
+    """Per-model OOF files written as ``<model>_oof_train.csv``, read back by one glob scan."""
+    from ..sources.predictions import scan_glob_predictions, write_model_predictions
+    from .joins_agg import _long_predictions
+    root = sinks.scratch_path(spark, "oof-files")
+    long = _long_predictions(spark, d)
+    for m in ("m0", "m1", "m2"):
+        write_model_predictions(long.where(F.col("model") == m).select("doc_id", "fold", "score"), root, m)
+    return scan_glob_predictions(spark, f"{root}/*_oof_train.csv", "doc_id long, fold int, score double",
+                                 r"/([^/]+)_oof_train\.csv/")
+
+
 @register("write_submission")
 def write_submission_q(spark, d):
     s = _doc_scores(spark, d)
