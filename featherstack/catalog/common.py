@@ -20,6 +20,7 @@ from ..functions.scalar import TIE_BIAS
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
+PLANS: dict[str, QueryFn] = {}  # the same queries without the comparison rounding
 ORACLES: dict[str, str] = {}
 KINDS: dict[str, str] = {}  # name -> "sql" | "rows"
 
@@ -129,6 +130,7 @@ def register(name: str, sql: str | None = None, exact: Sequence[str] = (), sig:
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        PLANS[name] = fn
         KINDS[name] = "sql" if sql is not None else "rows"
         if sql is not None:
             ORACLES[name] = sql if all_exact else oracle_wrap(sql, exact, sig, sig_cols, dec_cols)

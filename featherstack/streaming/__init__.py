@@ -1 +1,8 @@
-"""streaming."""
+"""Streaming.
+
+The reference reads only static tables: it has no stream source, watermark,
+window over event time, stateful operator or late-data handling, so nothing
+is built here (no streaming operator is invented).  The batch plans are
+ordinary DataFrame plans and would run unchanged inside ``foreachBatch`` if a
+stream were ever added.
+"""
