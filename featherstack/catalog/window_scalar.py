@@ -145,7 +145,7 @@ def sort_by_keys_q(spark, d):
 
 
 @register("sort_desc_topk_per_group", """SELECT * FROM (SELECT o_custkey, o_orderkey, o_totalprice,
-  row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn <= 3""",
+  CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey DESC) AS INTEGER) AS rn FROM orders) WHERE rn <= 3""",
           exact=["o_custkey", "o_orderkey", "rn"])
 def sort_desc_topk_per_group_q(spark, d):
     o = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
