@@ -72,9 +72,9 @@ def nth_latest_agg_q(spark, d):
           exact=["user_id"], dec_cols={"diff_mean_pandas": 8, "diff_mean_r": 8})
 def lagged_diff_mean_q(spark, d):
     e = fx.events(spark, d).withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
-    week = 7 * 24 * 3600 * 1e6  # chunk of one week of event time
-    a = O.lagged_diff_mean(e, "user_id", "t", "event_id", "value", "diff_mean_pandas", "null", week)
-    b = O.lagged_diff_mean(e, "user_id", "t", "event_id", "value", "diff_mean_r", "zero", week)
+    # chunks of about 64 events per user, sized from each user's density
+    a = O.lagged_diff_mean(e, "user_id", "t", "event_id", "value", "diff_mean_pandas", "null", rows_per_chunk=64)
+    b = O.lagged_diff_mean(e, "user_id", "t", "event_id", "value", "diff_mean_r", "zero", rows_per_chunk=64)
     return a.join(b, "user_id")
 
 

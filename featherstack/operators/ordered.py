@@ -155,17 +155,29 @@ def last_entity_rows(df: DataFrame, key: str, entity: str, order: Sequence[str])
 
 
 def lagged_diff_mean(df: DataFrame, key: str, t: str, tiebreak: str, col: str, name: str,
-                     first: str = "null", chunk_width: float = 1024.0) -> DataFrame:
+                     first: str = "null", chunk_width: float = 1024.0,
+                     rows_per_chunk: int | None = None) -> DataFrame:
     """Mean of consecutive differences of ``col`` per key ordered by ``(t, tiebreak)``.
 
     ``first="null"``: the first row has no difference (pandas ``diff``);
     ``first="zero"``: it counts as 0 (R ``c(0, diff(x))``).  A difference
     touching a missing value is missing and skipped by the mean.
 
-    Work is split into ``(key, floor(t / chunk_width))`` windows; the first row
-    of a chunk takes its predecessor from the previous non-empty chunk.
+    Work is split into ``(key, chunk)`` windows over contiguous ranges of
+    ``t``; the first row of a chunk takes its predecessor from the previous
+    non-empty chunk.  Chunks are ``chunk_width`` wide, or — with
+    ``rows_per_chunk`` — sized per key from its row count and time span so
+    that a dense key is cut into chunks of about that many rows.
     """
-    rows = df.select(key, t, tiebreak, col).withColumn("__chunk", F.floor(F.col(t) / F.lit(chunk_width)))
+    rows = df.select(key, t, tiebreak, col)
+    if rows_per_chunk:
+        span = rows.groupBy(key).agg(F.min(t).alias("__t0"), F.max(t).alias("__t1"), F.count(F.lit(1)).alias("__cnt"))
+        width = F.greatest(F.lit(1.0), (F.col("__t1") - F.col("__t0") + 1).cast("double")
+                           * F.lit(float(rows_per_chunk)) / F.col("__cnt"))
+        rows = rows.join(span, key).withColumn("__chunk", F.floor((F.col(t) - F.col("__t0")) / width)) \
+            .drop("__t0", "__t1", "__cnt")
+    else:
+        rows = rows.withColumn("__chunk", F.floor(F.col(t) / F.lit(chunk_width)))
     order = [F.col(t), F.col(tiebreak)]
     w = Window.partitionBy(key, "__chunk").orderBy(*order)
     rows = rows.withColumn("__prev", F.lag(col).over(w)).withColumn("__pos", F.row_number().over(w))

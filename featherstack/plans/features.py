@@ -261,7 +261,7 @@ def features_credit_card(spark: SparkSession, d: str) -> DataFrame:
                      A.agg_expr("value", "sum", None, 2)).alias("cc_purchase_ratio"))
     e2 = e.withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
     change = O.lagged_diff_mean(e2, "user_id", "t", "event_id", "value", "cc_balance_change_mean", "null",
-                                7 * 24 * 3600 * 1e6)
+                                rows_per_chunk=64)
     return cols.join(per, "user_id").join(change, "user_id")
 
 
