@@ -234,13 +234,21 @@ def share_of_levels(df: DataFrame, key: str, col: str, levels: Sequence, prefix:
                     null_level: bool = True, fn: str = "mean") -> list[Column]:
     """One-hot columns averaged per group: the share of each level (``mean``)
     or its count (``sum``).  Returns aggregate expressions for ``key``."""
+    def stat(ind: Column) -> Column:
+        if fn == "median":
+            # exact median of a 0/1 indicator from two counters: no value map
+            # per group, and partial-aggregatable like a sum
+            ones, n = F.sum(ind), F.count(F.lit(1))
+            return F.when(ones * 2 > n, F.lit(1.0)).when(ones * 2 == n, F.lit(0.5)).otherwise(F.lit(0.0))
+        return AGG_FUNCS[fn](ind, None)
+
     out = []
     for lv in levels:
         ind = F.coalesce((F.col(col).cast("string") == F.lit(str(lv))).cast("double"), F.lit(0.0))
-        out.append(AGG_FUNCS[fn](ind, None).alias(feature_name(prefix, col, f"{level_name(lv)}_{fn}")))
+        out.append(stat(ind).alias(feature_name(prefix, col, f"{level_name(lv)}_{fn}")))
     if null_level:
         ind = F.col(col).isNull().cast("double")
-        out.append(AGG_FUNCS[fn](ind, None).alias(feature_name(prefix, col, f"nan_{fn}")))
+        out.append(stat(ind).alias(feature_name(prefix, col, f"nan_{fn}")))
     return out
 
 
