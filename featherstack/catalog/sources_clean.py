@@ -21,7 +21,6 @@ CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_mktsegment", T.StringType()),
 ])
 CUST_EXACT = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
-ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "day"]
 
 
 # ---------------------------------------------------------------- 2.1 sources

@@ -23,7 +23,6 @@ from ..functions.scalar import relative_day
 
 ORDER_ANCHOR = "2001-08-01"
 EVENT_ANCHOR = "2024-01-31"
-EVENT_CHUNK_DAYS = 8.0
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -52,3 +52,23 @@ def test_dimension_broadcast_is_checked(spark):
     assert "Scan parquet" in p
     p = plan(E.queries()["customer_history_features"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p  # the 25-row nation dimension, below its row bound
+
+
+def test_join_small_falls_back_above_bound(spark):
+    from featherstack.operators.joins import join_small
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in plan(join_small(big, small, "k", "inner", max_rows=50))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(join_small(big, small, "k", "inner", max_rows=5))
+        assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_local_checkpoint_anywhere():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1] / "featherstack"
+    for f in root.rglob("*.py"):
+        assert "localCheckpoint(" not in f.read_text(), f
