@@ -1,12 +1,14 @@
-"""Exact k-nearest-neighbour scores, blocked.
+"""Exact k-nearest-neighbour scores as a distributed block nested loop.
 
-The base (labelled) side is cut into blocks of at most ``block_rows`` rows by
-a hash of its key.  Each block is shipped to the executors as a broadcast
-(its size is bounded by construction) and every query partition keeps, per
-query row, the k closest base rows of that block (numpy inside
-``mapInPandas``).  The per-block candidates (k per block per query) are then
-reduced to the final k with a window over at most ``k × blocks`` rows per
-query.  No join of the two sides is ever planned.
+Both sides are cut into blocks by a hash of their key (at most about
+``block_rows`` rows per block).  Every (query block, base block) pair is one
+``cogroup`` group: each query row is copied once per base block and each base
+row once per query block, and inside the group numpy keeps, per query row,
+the k closest base rows of that block.  Per-block candidates (k per base block
+per query) are reduced to the final k by a window over at most
+``k × base blocks`` rows per query.  No pair rows are materialised, no side is
+broadcast and nothing passes through the driver; a task holds one query block
+and one base block.
 """
 
 from __future__ import annotations
@@ -18,49 +20,40 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+CANDIDATE_SCHEMA = "__q long, __b long, __d double, __y long"
 
-def _block_topk(query: DataFrame, block: pd.DataFrame, qkey: str, bkey: str, vec: str, label: str, k: int,
-                spark) -> DataFrame:
-    keys = block[bkey].to_numpy()
-    mat = np.stack(block[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()) if len(block) else np.zeros((0, 1))
-    labels = block[label].to_numpy()
-    bc = spark.sparkContext.broadcast((keys, mat, labels))
 
-    def run(batches):
-        keys_b, mat_b, labels_b = bc.value
-        for pdf in batches:
-            if len(pdf) == 0 or len(keys_b) == 0:
-                continue
-            q = np.stack(pdf[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
-            d2 = (q * q).sum(1)[:, None] + (mat_b * mat_b).sum(1)[None, :] - 2.0 * q @ mat_b.T
-            kk = min(k, len(keys_b))
-            idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-            rows = np.repeat(np.arange(len(pdf)), kk)
-            cols = idx.ravel()
-            exact = np.sqrt(np.maximum(((q[rows] - mat_b[cols]) ** 2).sum(1), 0.0))
-            yield pd.DataFrame({"__q": pdf[qkey].to_numpy()[rows], "__b": keys_b[cols],
-                                "__d": exact, "__y": labels_b[cols]})
-
-    return query.select(qkey, vec).mapInPandas(run, "__q long, __b long, __d double, __y long")
+def _topk_fn(qkey: str, bkey: str, vec: str, label: str, k: int):
+    def run(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if len(q) == 0 or len(b) == 0:
+            return pd.DataFrame({"__q": [], "__b": [], "__d": [], "__y": []})
+        qm = np.stack(q[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
+        bm = np.stack(b[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
+        d2 = (qm * qm).sum(1)[:, None] + (bm * bm).sum(1)[None, :] - 2.0 * qm @ bm.T
+        kk = min(k, len(b))
+        idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
+        rows = np.repeat(np.arange(len(q)), kk)
+        cols = idx.ravel()
+        exact = np.sqrt(np.maximum(((qm[rows] - bm[cols]) ** 2).sum(1), 0.0))
+        return pd.DataFrame({"__q": q[qkey].to_numpy()[rows], "__b": b[bkey].to_numpy()[cols],
+                             "__d": exact, "__y": b[label].to_numpy()[cols]})
+    return run
 
 
 def knn_neighbours(base: DataFrame, query: DataFrame, bkey: str, qkey: str, vec: str, label: str, k: int,
                    block_rows: int = 50_000) -> DataFrame:
     """The k nearest base rows of every query row: ``(__q, __b, __d, __y, rn)``;
     ties on distance go to the smaller base key."""
-    spark = base.sparkSession
-    n = base.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    keyed = base.select(bkey, vec, F.col(label).cast("long").alias(label),
-                        F.pmod(F.xxhash64(bkey), F.lit(blocks)).alias("__blk"))
-    parts = []
-    for b in range(blocks):
-        block = keyed.where(F.col("__blk") == b).drop("__blk").toPandas()  # ≤ block_rows rows
-        if len(block):
-            parts.append(_block_topk(query, block, qkey, bkey, vec, label, k, spark))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
+    nb = max(1, math.ceil(base.count() / block_rows))
+    nq = max(1, math.ceil(query.count() / block_rows))
+    q = query.select(F.col(qkey).alias("__qk"), F.col(vec).alias("__vec"),
+                     F.pmod(F.xxhash64(qkey), F.lit(nq)).alias("__qb"),
+                     F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("__bb"))
+    b = base.select(F.col(bkey).alias("__bk"), F.col(vec).alias("__vec"), F.col(label).cast("long").alias("__lab"),
+                    F.pmod(F.xxhash64(bkey), F.lit(nb)).alias("__bb"),
+                    F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("__qb"))
+    cands = q.groupBy("__qb", "__bb").cogroup(b.groupBy("__qb", "__bb")).applyInPandas(
+        _topk_fn("__qk", "__bk", "__vec", "__lab", k), CANDIDATE_SCHEMA)
     w = Window.partitionBy("__q").orderBy("__d", "__b")
     return cands.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
