@@ -166,14 +166,18 @@ def lagged_diff_mean(df: DataFrame, key: str, t: str, tiebreak: str, col: str, n
     Work is split into ``(key, chunk)`` windows over contiguous ranges of
     ``t``; the first row of a chunk takes its predecessor from the previous
     non-empty chunk.  Chunks are ``chunk_width`` wide, or — with
-    ``rows_per_chunk`` — sized per key from its row count and time span so
-    that a dense key is cut into chunks of about that many rows.
+    ``rows_per_chunk`` — sized per key from its row count n and time span to
+    hold about ``max(rows_per_chunk, sqrt(n))`` rows, so neither the chunk
+    windows nor the per-key window over chunk summaries grows past ~sqrt(n).
     """
     rows = df.select(key, t, tiebreak, col)
     if rows_per_chunk:
         span = rows.groupBy(key).agg(F.min(t).alias("__t0"), F.max(t).alias("__t1"), F.count(F.lit(1)).alias("__cnt"))
+        # about max(rows_per_chunk, sqrt(n)) rows per chunk: both the chunk
+        # windows and the per-key window over chunk summaries stay ~sqrt(n)
+        target = F.greatest(F.lit(float(rows_per_chunk)), F.sqrt(F.col("__cnt").cast("double")))
         width = F.greatest(F.lit(1.0), (F.col("__t1") - F.col("__t0") + 1).cast("double")
-                           * F.lit(float(rows_per_chunk)) / F.col("__cnt"))
+                           * target / F.col("__cnt"))
         rows = rows.join(span, key).withColumn("__chunk", F.floor((F.col(t) - F.col("__t0")) / width)) \
             .drop("__t0", "__t1", "__cnt")
     else:

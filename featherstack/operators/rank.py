@@ -7,7 +7,9 @@ task.  Here:
    extra weights, e.g. positives/negatives) — a hot value becomes one row;
 2. each group's distinct values are cut into value-range buckets at
    approximate quantile edges (computed once, so retries see the same
-   buckets; at most ``groups × buckets`` numbers reach the driver);
+   buckets; at most ``groups × buckets`` numbers reach the driver).  The
+   bucket count grows with the row count (~2M rows per bucket, capped), so a
+   bucket window stays bounded at any scale;
 3. a running sum is taken inside each ``(group, bucket)`` window;
 4. bucket totals (a ``groups × buckets`` table) get exclusive prefix sums and
    are joined back (broadcast: its size is bounded by construction).
@@ -45,9 +47,19 @@ def _edges(vc: DataFrame, by: list[str], v: str, buckets: int, rel_err: float) -
     return F.broadcast(spark.createDataFrame(data, schema))
 
 
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 50_000
+
+
+def bucket_count(df: DataFrame) -> int:
+    """Buckets for ~ROWS_PER_BUCKET rows each (at least DEFAULT_BUCKETS)."""
+    n = df.count()
+    return int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-n // ROWS_PER_BUCKET))))
+
+
 def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = (),
-                      weights: Mapping[str, Column] | None = None, buckets: int = DEFAULT_BUCKETS,
-                      rel_err: float = 0.001) -> DataFrame:
+                      weights: Mapping[str, Column] | None = None, buckets: int | None = None,
+                      rel_err: float | None = None) -> DataFrame:
     """Distinct non-null values per group with exact running counts.
 
     Output columns: ``by…, __v, __n`` (rows with this value), ``__before``
@@ -60,6 +72,10 @@ def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = ()
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*by, v.cast("double").alias("__v"), *[c.alias(k) for k, c in weights.items()]) \
         .where(F.col("__v").isNotNull())
+    if buckets is None:  # grow with the data so a bucket window stays bounded
+        buckets = bucket_count(base)
+    if rel_err is None:  # sketch fine enough to place every edge
+        rel_err = min(0.001, 0.1 / buckets)
     # bucket edges from a quantile sketch of the raw values (partial
     # aggregation, no shuffle of rows); any edges give exact results
     edges = _edges(base, by, "__v", buckets, rel_err)
@@ -99,7 +115,7 @@ def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = ()
     return j.select(*out)
 
 
-RANK_METHODS = ("min", "max", "average", "dense", "first_pct")
+RANK_METHODS = ("min", "max", "average", "dense")
 
 
 def rank_expr(method: str) -> Column:
@@ -115,7 +131,7 @@ def rank_expr(method: str) -> Column:
 
 
 def rank_column(df: DataFrame, col: str, out: str, method: str = "average", by: Sequence[str] = (),
-                pct: bool = False, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                pct: bool = False, buckets: int | None = None) -> DataFrame:
     """Add ``out`` = rank of ``col`` (within ``by``), ties per ``method``;
     ``pct`` divides by the non-null count.  NULL values get a NULL rank."""
     by = list(by)
@@ -129,7 +145,7 @@ def rank_column(df: DataFrame, col: str, out: str, method: str = "average", by:
 
 
 def rank_columns(df: DataFrame, cols: Sequence[str], method: str = "average", by: Sequence[str] = (),
-                 suffix: str = "_rank", pct: bool = False, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 suffix: str = "_rank", pct: bool = False, buckets: int | None = None) -> DataFrame:
     """Ranks of several columns at once: the columns are melted to
     ``(name, value)`` so one set of shuffles serves all of them; each rank is
     joined back on ``(group, value)``."""
@@ -151,7 +167,7 @@ def rank_columns(df: DataFrame, cols: Sequence[str], method: str = "average", by
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas default,
     DuckDB ``quantile_cont``) of several columns, per group, in long form:
     ``by…, __name, __i, __q`` (``__i`` indexes ``probs``).
@@ -181,7 +197,7 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """As ``quantiles_long`` with one column ``q_<i>`` per probability."""
     by = list(by)
     long = quantiles_long(df, cols, probs, by, buckets)
