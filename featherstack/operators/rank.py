@@ -27,39 +27,59 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BUCKETS = 64
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 50_000
 MAX_EDGE_GROUPS = 10_000
 
 
-def _edges(vc: DataFrame, by: list[str], v: str, buckets: int, rel_err: float) -> DataFrame | Column:
-    probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(int(1 / rel_err), 100)
-    e = vc.groupBy(*by).agg(F.percentile_approx(v, probs, accuracy).alias("__edges"))
-    if not by:
-        row = e.first()
-        vals = sorted(set(row["__edges"] or [])) if row else []
-        return F.array(*[F.lit(float(x)) for x in vals]) if vals else F.array().cast("array<double>")
+GRID = 1024  # quantile grid sketched together with the row count
+
+
+def _sketch(base: DataFrame, by: list[str], v: str, grid: int):
+    probs = [i / grid for i in range(1, grid)]
+    accuracy = max(100, 10 * grid)
+    e = base.groupBy(*by).agg(F.count(F.lit(1)).alias("__cnt"), F.percentile_approx(v, probs, accuracy).alias("__edges"))
     rows = e.limit(MAX_EDGE_GROUPS + 1).collect()
     if len(rows) > MAX_EDGE_GROUPS:
         raise ValueError("too many groups for distributed ranking")
-    spark = vc.sparkSession
-    data = [tuple(r[c] for c in by) + ([float(x) for x in sorted(set(r["__edges"] or []))],) for r in rows]
-    schema = vc.select(*by).schema.add("__edges", T.ArrayType(T.DoubleType()))
-    return F.broadcast(spark.createDataFrame(data, schema))
+    return rows
 
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 50_000
+def _edges(base: DataFrame, by: list[str], v: str, buckets: int | None) -> DataFrame | Column:
+    """Bucket edges per group from ONE job: row count and a quantile sketch.
 
+    With ``buckets=None`` the bucket count follows the row count (about
+    ROWS_PER_BUCKET rows per bucket); it is read off the 1024-point grid, and
+    only data above ~2e9 rows needs a second, finer sketch.  At most
+    ``groups × buckets`` numbers reach the driver.
+    """
+    grid = buckets or GRID
+    rows = _sketch(base, by, v, grid)
+    if buckets is None:
+        n = sum(r["__cnt"] for r in rows)
+        buckets = int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-n // ROWS_PER_BUCKET))))
+        if buckets > grid:
+            grid = buckets
+            rows = _sketch(base, by, v, grid)
+    picks = sorted({round(i * grid / buckets) for i in range(1, buckets)}) if buckets < grid else None
+
+    def edge_list(r) -> list[float]:
+        vals = list(r["__edges"] or [])
+        if picks is not None and vals:
+            vals = [vals[min(len(vals), p) - 1] for p in picks]
+        return [float(x) for x in sorted(set(vals))]
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets for ~ROWS_PER_BUCKET rows each (at least DEFAULT_BUCKETS)."""
-    n = df.count()
-    return int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-n // ROWS_PER_BUCKET))))
+    if not by:
+        vals = edge_list(rows[0]) if rows else []
+        return F.array(*[F.lit(x) for x in vals]) if vals else F.array().cast("array<double>")
+    spark = base.sparkSession
+    data = [tuple(r[c] for c in by) + (edge_list(r),) for r in rows]
+    schema = base.select(*by).schema.add("__edges", T.ArrayType(T.DoubleType()))
+    return F.broadcast(spark.createDataFrame(data, schema))
 
 
 def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = (),
-                      weights: Mapping[str, Column] | None = None, buckets: int | None = None,
-                      rel_err: float | None = None) -> DataFrame:
+                      weights: Mapping[str, Column] | None = None, buckets: int | None = None) -> DataFrame:
     """Distinct non-null values per group with exact running counts.
 
     Output columns: ``by…, __v, __n`` (rows with this value), ``__before``
@@ -72,13 +92,9 @@ def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = ()
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*by, v.cast("double").alias("__v"), *[c.alias(k) for k, c in weights.items()]) \
         .where(F.col("__v").isNotNull())
-    if buckets is None:  # grow with the data so a bucket window stays bounded
-        buckets = bucket_count(base)
-    if rel_err is None:  # sketch fine enough to place every edge
-        rel_err = min(0.001, 0.1 / buckets)
     # bucket edges from a quantile sketch of the raw values (partial
     # aggregation, no shuffle of rows); any edges give exact results
-    edges = _edges(base, by, "__v", buckets, rel_err)
+    edges = _edges(base, by, "__v", buckets)  # buckets grow with the data when None
     vc = base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n"),
                                       *[F.sum(k).alias(k) for k in weights])
     if isinstance(edges, DataFrame):
