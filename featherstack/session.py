@@ -77,3 +77,28 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Opt-in settings for a cluster session sized from the input volume.
+
+    Shuffle partitions are sized so each holds ~``target_partition_bytes``
+    of the largest shuffled input (aggregations shrink it; AQE coalesces
+    small partitions and splits skewed ones at run time), and never fewer
+    than two waves of the available cores.  File splits match the target so
+    scans produce partitions that fit executor memory without spilling.
+    The engine never overrides a session it is given; apply these when the
+    session is built.
+    """
+    cores = max(1, executor_cores * executors)
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -128,3 +128,12 @@ def test_positive_part_null_rules(spark):
     py = [r[0] for r in df.select(scalar.positive_part("x")).collect()]
     rr = [r[0] for r in df.select(scalar.positive_part("x", keep_null=True)).collect()]
     assert py == [0.0, 0.0, 3.0] and rr == [None, 0.0, 3.0]
+
+
+def test_cluster_conf_scales_partitions():
+    from featherstack.session import cluster_conf
+    small = cluster_conf(10 << 30, 4, 10)
+    big = cluster_conf(100 << 40, 8, 1000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # two waves of 40 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
