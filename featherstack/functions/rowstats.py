@@ -18,6 +18,55 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _named(cols) -> bool:
+    return all(isinstance(c, str) for c in cols)
+
+
+# SQL-text forms for named columns: one driver call per statistic instead of
+# one per function node (same arithmetic, same evaluation order).
+def _sql_present(cols):
+    return "(0 + " + " + ".join(f"CAST(`{c}` IS NOT NULL AS INT)" for c in cols) + ")"
+
+
+def _sql_sum(cols):
+    return "(0.0 + " + " + ".join(f"coalesce(CAST(`{c}` AS DOUBLE), 0.0)" for c in cols) + ")"
+
+
+def _sql_mean(cols):
+    return f"try_divide({_sql_sum(cols)}, {_sql_present(cols)})"
+
+
+def _sql_central(cols, p):
+    m = _sql_mean(cols)
+    return "(0.0 + " + " + ".join(f"coalesce(pow(CAST(`{c}` AS DOUBLE) - {m}, {p}), 0.0)" for c in cols) + ")"
+
+
+def _sql_row(fn: str, cols) -> str | None:
+    n = f"CAST({_sql_present(cols)} AS DOUBLE)"
+    if fn == "present":
+        return _sql_present(cols)
+    if fn == "missing":
+        return "(0 + " + " + ".join(f"CAST(`{c}` IS NULL AS INT)" for c in cols) + ")"
+    if fn == "sum":
+        return _sql_sum(cols)
+    if fn == "mean":
+        return _sql_mean(cols)
+    if fn == "std":
+        return f"CASE WHEN {_sql_present(cols)} >= 2 THEN sqrt({_sql_central(cols, 2)} / ({_sql_present(cols)} - 1)) END"
+    if fn == "min":
+        return "least(" + ", ".join(f"`{c}`" for c in cols) + ")"
+    if fn == "max":
+        return "greatest(" + ", ".join(f"`{c}`" for c in cols) + ")"
+    m2, m3, m4 = (f"({_sql_central(cols, k)} / {n})" for k in (2, 3, 4))
+    if fn == "skew":
+        g1 = f"(CASE WHEN {m2} > 0 THEN {m3} / pow({m2}, 1.5) END)"
+        return f"CASE WHEN {n} >= 3 THEN {g1} * sqrt({n} * ({n} - 1)) / ({n} - 2) END"
+    if fn == "kurt":
+        g2 = f"(CASE WHEN {m2} > 0 THEN {m4} / pow({m2}, 2) - 3 END)"
+        return f"CASE WHEN {n} >= 4 THEN ({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * {g2} + 6) END"
+    return None
+
+
 def row_count_present(cols: Sequence[str | Column]) -> Column:
     return sum((c.isNotNull().cast("int") for c in _cols(cols)), F.lit(0))
 
@@ -89,6 +138,15 @@ ROW_FUNCS = {
 }
 
 
+def row_stat(fn: str, cols: Sequence[str | Column], name: str) -> Column:
+    """One named row statistic; named columns go through one SQL expression."""
+    if _named(cols):
+        text = _sql_row(fn, cols)
+        if text is not None:
+            return F.expr(f"{text} AS `{name}`")
+    return ROW_FUNCS[fn](cols).alias(name)
+
+
 def row_stats(cols: Sequence[str | Column], fns: Sequence[str], prefix: str) -> list[Column]:
     """Named row statistics ``{prefix}_{fn}`` over the given columns."""
-    return [ROW_FUNCS[f](cols).alias(f"{prefix}_{f}") for f in fns]
+    return [row_stat(f, cols, f"{prefix}_{f}") for f in fns]

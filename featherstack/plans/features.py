@@ -54,9 +54,7 @@ def features_application_ratios(spark: SparkSession, d: str) -> DataFrame:
         scalar.safe_div("income", F.col("children") + 1).alias("income_per_child"),
         scalar.safe_div("days_employed", "days_birth").alias("employed_to_birth"),
         scalar.safe_div("income", "days_birth").alias("income_per_day_age"),
-        rowstats.row_min(ext).alias("ext_min"), rowstats.row_max(ext).alias("ext_max"),
-        rowstats.row_sum(ext).alias("ext_sum"), rowstats.row_mean(ext).alias("ext_mean"),
-        rowstats.row_median(ext).alias("ext_median"), rowstats.row_std(ext).alias("ext_std"),
+        *rowstats.row_stats(ext, ["min", "max", "sum", "mean", "median", "std"], "ext"),
         clean.compare_flag(F.col("days_birth") / -365.25 < 30).alias("young_flag"),
         clean.missing_flag("days_employed").alias("employed_missing"),
     )
@@ -72,7 +70,7 @@ def features_application_new(spark: SparkSession, d: str, clusters: bool = True)
     base = a.select("c_custkey", "c_mktsegment", "n_regionkey", "income", "ext1", "ext2", "ext3",
                     scalar.safe_div(F.col("ext1") + F.col("ext2"), F.col("ext3") + 1).alias("new_ext_ratio"),
                     rowstats.row_flag_sum(flags).alias("new_flag_sum"),
-                    rowstats.row_kurt(["ext1", "ext2", "ext3", "income"]).alias("new_row_kurt"),
+                    rowstats.row_stat("kurt", ["ext1", "ext2", "ext3", "income"], "new_row_kurt"),
                     (F.col("income") - F.lit(mean_income)).alias("new_income_centred_mean"),
                     (F.col("income") - F.lit(med_income)).alias("new_income_centred_median"))
     out = G.group_recipes(base, [(["c_mktsegment", "n_regionkey"], [("income", "median"), ("ext2", "mean")])])
@@ -105,7 +103,7 @@ def features_application_contest_r(spark: SparkSession, d: str) -> DataFrame:
         rowstats.row_flag_sum([clean.compare_flag(F.col("ext1") > 0.5), clean.compare_flag(F.col("ext3") > 0.5),
                                clean.membership_flag("c_mktsegment", ["BUILDING", "MACHINERY"])]).alias("flag_sum"),
         (F.coalesce(F.col("ext1"), F.lit(0.0)) + F.coalesce(F.col("ext3"), F.lit(0.0))).alias("ext13_counter"),
-        rowstats.row_missing_count(["ext1", "ext3", "income", "days_employed"]).alias("n_missing"),
+        rowstats.row_stat("missing", ["ext1", "ext3", "income", "days_employed"], "n_missing"),
         scalar.positive_part(F.col("days_employed") + 1000, keep_null=True).alias("recent_job_days"),
     )
 
