@@ -8,7 +8,6 @@ the bench and the smoke entry point.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,31 +39,19 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` (or the directory already set on the
-    context).  Only a local-mode session without one gets a fresh scratch
-    folder; a cluster without a shared folder is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    context).  Where it is unset, a folder below the warehouse, which driver
+    and executors share, is set; never a machine-local temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not _is_local(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
-                           "before running iterative or materialising operators")
-    path = tempfile.mkdtemp(prefix="featherstack-ckpt-")
-    sc.setCheckpointDir(path)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_featherstack")
     return sc.getCheckpointDir()
 
 
