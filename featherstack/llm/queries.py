@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines
+from . import decontaminate, lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,30 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = lines.drop_common_lines(docs, min_docs=10, min_chars=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@register("op7_benchmark_decontamination", f"""
+WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+phrase AS (SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(list_slice(w, i, i + 9), ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM item WHERE len(w) > 0)),
+size AS (SELECT DISTINCT size FROM phrase),
+doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, size WHERE len(w) >= size)),
+found AS (SELECT doc_id, i, size, item_id FROM win JOIN phrase USING (size, phrase)),
+hit AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM found) GROUP BY doc_id),
+item_list AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN item_list USING (doc_id)""")
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of benchmark items in whole documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
