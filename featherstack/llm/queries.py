@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines
+from . import bpe, decontaminate, lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +71,12 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register("op8_byte_bpe")
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of whole documents, and the ids decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    done = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    return done.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
