@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lines
+from . import bpe, decontaminate, language, lines, quality, toxicity
+from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +81,33 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     done = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
     return done.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of whole texts, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 4) == 2
+    model = language.train(docs, docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return language.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@register("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of whole texts, learned from labels that are not held out."""
+    return _labelled(spark, sf_dir, quality, 0.3)
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of whole texts, learned from labels that are not held out."""
+    return _labelled(spark, sf_dir, toxicity, 0.5)
+
+
+def _labelled(spark: SparkSession, sf_dir: str, method, threshold: float) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 5) == 0
+    model = method.train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return method.predict(rows, model, threshold=threshold).select("doc_id", "held_out", "score", "predicted")
