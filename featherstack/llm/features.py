@@ -9,6 +9,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import extend, without
 
 SLICE_BYTES = 1 << 20  # text whose n-grams are in memory at once
 END = 0  # the byte between texts; NUL bytes inside a text are blanked
@@ -80,9 +83,23 @@ def labelled_sample(labelled: DataFrame, id_col: str, label_col: str, per_class:
     return rows.where(keep)
 
 
+Sparse = tuple[np.ndarray, np.ndarray]  # columns and their values
+
+
+def sparse(rows: np.ndarray) -> list[Sparse]:
+    return [(at := np.flatnonzero(x), x[at]) for x in rows]
+
+
+def dense(rows: list[Sparse], width: int) -> np.ndarray:
+    out = np.zeros((len(rows), width), dtype=np.float32)
+    for x, (at, value) in zip(out, rows, strict=True):
+        x[at] = value
+    return out
+
+
 def sample_features(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str,
-                    features: Callable[[list[bytes]], np.ndarray]) -> tuple[list, np.ndarray]:
-    """The labels and dense features of the sampled documents, in order of their ids.
+                    features: Callable[[list[bytes]], list[Sparse]]) -> tuple[list, list[Sparse]]:
+    """The labels and sparse features of the sampled documents, in order of their ids.
 
     Texts stay on the executors: what comes back is one sparse row of bounded
     width for each row of the bounded sample.
@@ -94,30 +111,26 @@ def sample_features(docs: DataFrame, sample: DataFrame, id_col: str, text_col: s
         for batch in batches:
             texts = [t.as_py() for t in batch.column("text")]
             for a, b in slices(texts):
-                hist = features(texts[a:b])
-                at = [np.flatnonzero(x).astype(np.int32) for x in hist]
+                at, value = zip(*features(texts[a:b]), strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, b - a), batch.column("label").slice(a, b - a), pa.array([len(x) for x in hist], pa.int32()),
-                     pa.array(at, pa.list_(pa.int32())), pa.array([x[i] for x, i in zip(hist, at, strict=True)], pa.list_(pa.float32()))],
-                    names=["id", "label", "width", "at", "value"])
+                    [batch.column("id").slice(a, b - a), batch.column("label").slice(a, b - a),
+                     pa.array([x.astype(np.int32) for x in at], pa.list_(pa.int32())),
+                     pa.array([x.astype(np.float32) for x in value], pa.list_(pa.float32()))], names=["id", "label", "at", "value"])
     types = dict(joined.dtypes)
-    got: pd.DataFrame = joined.mapInArrow(
-        run, f"id {types['id']}, label {types['label']}, width int, at array<int>, value array<float>").toPandas().sort_values("id", kind="stable")
-    x = np.zeros((len(got), int(got["width"].max()) if len(got) else 0), dtype=np.float32)
-    for i, (at, value) in enumerate(zip(got["at"], got["value"], strict=True)):
-        x[i, at] = value
-    return got["label"].tolist(), x
-
+    schema = f"id {types['id']}, label {types['label']}, at array<int>, value array<float>"
+    got: pd.DataFrame = joined.mapInArrow(run, schema).toPandas().sort_values("id", kind="stable")
+    return got["label"].tolist(), list(zip(map(np.asarray, got["at"]), map(np.asarray, got["value"]), strict=True))
 
-def score_column(docs: DataFrame, text_col: str, score: Callable[[list[bytes | None]], dict[str, pa.Array]], schema: str) -> DataFrame:
-    """``docs`` with columns that ``score`` computes from whole texts (as bytes, None for NULL), in bounded slices."""
-    from pyspark.sql import types as T
 
-    from .common import extend, without
+def score_column(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list[bytes | None]], dict[str, pa.Array]]],
+                 schema: str) -> DataFrame:
+    """``docs`` with columns computed from whole texts in bounded slices; each
+    task calls ``make`` for a function of texts (as bytes, None for NULL)."""
     fields = T.StructType.fromDDL(schema)
     docs = without(docs, *fields.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = make()
         for batch in batches:
             texts = [t.as_py() for t in batch.column("__text")]
             for a, b in slices([t or b"" for t in texts]):

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .features import histograms, labelled_sample, ngrams, sample_features, score_column
+from .features import dense, histograms, labelled_sample, ngrams, sample_features, score_column, sparse
 
 BITS = 12
 BUCKETS = 1 << BITS
@@ -115,8 +115,10 @@ def fit(labels: list[str], x: np.ndarray, margin: float = 0.1) -> Model:
 def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
           per_language: int = PER_LANGUAGE, margin: float = 0.1) -> Model:
     """Fit on about ``per_language`` rows of ``labelled`` (id, label) for each language."""
-    labels, x = sample_features(docs, labelled_sample(labelled, id_col, label_col, per_language), id_col, text_col, features)
-    full = x.any(axis=1) if len(labels) else np.zeros(0, dtype=bool)
+    labels, rows = sample_features(docs, labelled_sample(labelled, id_col, label_col, per_language), id_col, text_col,
+                                   lambda t: sparse(features(t)))
+    x = dense(rows, BUCKETS)
+    full = x.any(axis=1)
     return fit([lang for lang, k in zip(labels, full, strict=True) if k], x[full])
 
 
@@ -124,7 +126,9 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(texts: list[bytes | None]) -> dict[str, pa.Array]:
-        lang, p, unsure = sent.value.predict(texts)
-        return {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(p, pa.float64()), "ambiguous": pa.array(unsure, pa.bool_())}
-    return score_column(docs, text_col, score, "lang_pred string, score double, ambiguous boolean")
+    def make():
+        def score(texts: list[bytes | None]) -> dict[str, pa.Array]:
+            lang, p, unsure = sent.value.predict(texts)
+            return {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(p, pa.float64()), "ambiguous": pa.array(unsure, pa.bool_())}
+        return score
+    return score_column(docs, text_col, make, "lang_pred string, score double, ambiguous boolean")

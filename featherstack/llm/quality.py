@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import histograms, labelled_sample, ngrams, sample_features, score_column
+from .features import dense, histograms, labelled_sample, ngrams, sample_features, score_column, sparse
 
 BITS = 11
 BUCKETS = 1 << BITS
@@ -104,7 +104,9 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
           per_class: int = PER_CLASS) -> Model:
     """Fit on about ``per_class`` rows of ``labelled`` (id, label 0 or 1) for each class."""
     base = labelled.agg(F.avg(label_col)).first()[0]
-    labels, x = sample_features(docs, labelled_sample(labelled, id_col, label_col, per_class), id_col, text_col, features)
+    labels, rows = sample_features(docs, labelled_sample(labelled, id_col, label_col, per_class), id_col, text_col,
+                                   lambda t: sparse(features(t)))
+    x = dense(rows, BUCKETS)
     return fit(labels, x, 0.5 if base is None else float(base))
 
 
@@ -112,7 +114,9 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", threshold: fl
     """``docs`` with ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` (1 if the score reaches ``threshold``)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(texts: list[bytes | None]) -> dict[str, pa.Array]:
-        p = sent.value.score(texts)
-        return {"score": pa.array(p, pa.float64()), "predicted": pa.array((p >= threshold).astype(np.int32), pa.int32())}
-    return score_column(docs, text_col, score, "score double, predicted int")
+    def make():
+        def score(texts: list[bytes | None]) -> dict[str, pa.Array]:
+            p = sent.value.score(texts)
+            return {"score": pa.array(p, pa.float64()), "predicted": pa.array((p >= threshold).astype(np.int32), pa.int32())}
+        return score
+    return score_column(docs, text_col, make, "score double, predicted int")
