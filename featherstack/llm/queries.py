@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, lines, quality, toxicity
+from . import bpe, decontaminate, language, lines, quality, toxicity, urls
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,49 @@ def _labelled(spark: SparkSession, sf_dir: str, method, threshold: float) -> Dat
     model = method.train(docs, table(spark, sf_dir, "labels").where(~held_out))
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     return method.predict(rows, model, threshold=threshold).select("doc_id", "held_out", "score", "predicted")
+
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def _level(name: str, source: str) -> str:
+    """SQL for the posterior of a level from its counts ``n``, ``k`` and prior mean ``mean``."""
+    low, high = urls.RHO
+    return f"""{name}_fit AS (SELECT 1.0 / least(greatest(coalesce(
+  sum(CASE WHEN n > 0 THEN (k - n * mean) * (k - n * mean) / n - mean * (1 - mean) END)
+    / nullif(sum(CASE WHEN n > 0 THEN mean * (1 - mean) * (n - 1) END), 0), {low}), {low}), {high}) - 1 AS strength FROM {source}),
+{name} AS (SELECT *, k + mean * strength AS a, n - k + (1 - mean) * strength AS b FROM {source}, {name}_fit)"""
+
+
+_SQL_RULES = " ".join(
+    f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN '{v} {h}/{p}'"
+    for v, (h, _, p) in sorted(((v, r.partition("/")) for v, r in RULES), key=lambda x: -len("".join(x[1]))))
+
+
+@register("op3_url_filter", f"""
+WITH page AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_replace(html, '{urls.MARKUP}', '', 'g') AS body FROM pages),
+outcome AS (SELECT host, CASE WHEN length(body) > 0 THEN CAST(
+    length(regexp_replace(body, '[^\\p{{L}}\\p{{N}} \\t\\n\\r.,;:''"()-]', '', 'g')) * 100 >= length(body) * 90 AS INT) END AS good FROM page),
+hosts AS (SELECT host, count(good) AS n, coalesce(sum(good), 0) AS k,
+  array_to_string(list_slice(string_split(host, '.'), greatest(1, len(string_split(host, '.')) - 1), len(string_split(host, '.'))), '.') AS domain, string_split(host, '.')[-1] AS suffix
+  FROM outcome GROUP BY host),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
+suffix_prior AS (SELECT *, (SELECT (sum(k) + 1) / (sum(n) + 2) FROM suffixes) AS mean FROM suffixes),
+{_level('suffix_post', 'suffix_prior')},
+domain_prior AS (SELECT d.*, a / (a + b) AS mean FROM domains d JOIN suffix_post s USING (suffix)),
+{_level('domain_post', 'domain_prior')},
+host_prior AS (SELECT h.*, a / (a + b) AS mean FROM hosts h JOIN domain_post d USING (domain)),
+{_level('host_post', 'host_prior')},
+bound AS (SELECT host, a / (a + b) - {urls.Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM host_post),
+judged AS (SELECT page_id, host, path, bound, CASE {_SQL_RULES} END AS hit FROM page JOIN bound USING (host))
+SELECT page_id, host, path, split_part(hit, ' ', 2) AS rule,
+  coalesce(split_part(hit, ' ', 1), CASE WHEN bound >= {urls.THRESHOLD} THEN 'allow' ELSE 'block' END) AS verdict FROM judged""")
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by its host's reputation;
+    a page's outcome is whether its visible text is readable."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    judged = urls.judge(pages, RULES, good=urls.readable(F.col("html")))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
