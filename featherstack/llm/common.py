@@ -72,3 +72,32 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Runs of equal integer ``keys`` in sorted rows, each as one batch."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = last is not None and any(c[0] != x for c, x in zip(columns, last, strict=True))
+        cuts = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        last, begin = [c[-1] for c in columns], 0
+        for cut in cuts:
+            if begin < cut:
+                held.append(batch.slice(begin, cut - begin))
+            if cut < batch.num_rows and held:
+                yield _one(held)
+                held = []
+            begin = cut
+    if held:
+        yield _one(held)
+
+
+def _one(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, lines, quality, toxicity, urls
+from . import bpe, decontaminate, embeddings, language, lines, quality, toxicity, urls
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     judged = urls.judge(pages, RULES, good=urls.readable(F.col("html")))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op5_embedding_dedup")
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.9 or more among all vectors, and their components."""
+    found = embeddings.find_links(table(spark, sf_dir, "embeddings"), cosine=0.9)
+    return found.withColumnRenamed("id", "vec_id")
