@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,21 +65,19 @@ def histograms(texts: list[bytes], grams: Callable[[np.ndarray], Iterator[tuple[
     return out.reshape(len(texts), size)
 
 
-def labelled_sample(labelled: DataFrame, id_col: str, label_col: str, per_class: int) -> DataFrame:
-    """(id, label): about ``per_class`` rows of each label, chosen by a hash of the id.
+def labelled_sample(labelled: DataFrame, id_col: str, label_col: str, rows: int) -> DataFrame:
+    """(id, label): about ``rows`` rows, as many of each label, chosen by a hash of the id.
 
     A class of fewer rows is taken whole.  The choice needs counts only, so no
-    task or driver ranks the rows, and its size is bounded by the classes.
+    task or driver ranks the rows.
     """
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
-    share = {r["label"]: per_class / r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not share:
-        return rows
-    unit = (F.xxhash64("id", F.lit("labelled sample")) / F.lit(2.0**64) + 0.5)
+    known = labelled.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
+    counts = known.groupBy("label").agg(F.count("*").alias("n")).collect()
+    unit = F.xxhash64("id", F.lit("labelled sample")) / F.lit(2.0**64) + 0.5
     keep = F.lit(False)
-    for label, p in share.items():
-        keep = keep | ((F.col("label") == F.lit(label)) & (unit < F.lit(float(p))))
-    return rows.where(keep)
+    for r in counts:
+        keep = keep | ((F.col("label") == F.lit(r["label"])) & (unit < F.lit(rows / len(counts) / r["n"])))
+    return known.where(keep)
 
 
 Sparse = tuple[np.ndarray, np.ndarray]  # columns and their values
@@ -114,12 +111,12 @@ def sample_features(docs: DataFrame, sample: DataFrame, id_col: str, text_col: s
                 at, value = zip(*features(texts[a:b]), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(a, b - a), batch.column("label").slice(a, b - a),
-                     pa.array([x.astype(np.int32) for x in at], pa.list_(pa.int32())),
-                     pa.array([x.astype(np.float32) for x in value], pa.list_(pa.float32()))], names=["id", "label", "at", "value"])
+                     pa.array([x.astype("<u2").tobytes() for x in at], pa.binary()),
+                     pa.array([x.astype("<f4").tobytes() for x in value], pa.binary())], names=["id", "label", "at", "value"])
     types = dict(joined.dtypes)
-    schema = f"id {types['id']}, label {types['label']}, at array<int>, value array<float>"
-    got: pd.DataFrame = joined.mapInArrow(run, schema).toPandas().sort_values("id", kind="stable")
-    return got["label"].tolist(), list(zip(map(np.asarray, got["at"]), map(np.asarray, got["value"]), strict=True))
+    got = joined.mapInArrow(run, f"id {types['id']}, label {types['label']}, at binary, value binary").toArrow().sort_by("id")
+    at, value = ([np.frombuffer(x.as_buffer(), dtype) for x in got.column(c)] for c, dtype in (("at", "<u2"), ("value", "<f4")))
+    return got.column("label").to_pylist(), list(zip(at, value, strict=True))  # views of one Arrow table
 
 
 def score_column(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list[bytes | None]], dict[str, pa.Array]]],

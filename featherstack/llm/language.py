@@ -9,8 +9,8 @@ language in training; the smallest loss wins.  The score is the softmax of the
 negative losses; a text whose two best languages score within ``margin`` is
 flagged ambiguous.
 
-The model is fitted in numpy on about ``per_language`` labelled texts of each
-language (a bounded sample) and broadcast: BUCKETS x bits weights.
+The model is fitted in numpy on about ``ROWS`` labelled texts (a bounded
+sample, as many of each language) and broadcast: BUCKETS x bits weights.
 
 Cases: NULL text or text without letters is ``und`` with score 0; no labelled
 rows make every text ``und``; one language only is predicted with score 1;
@@ -31,7 +31,7 @@ from .features import dense, histograms, labelled_sample, ngrams, sample_feature
 
 BITS = 12
 BUCKETS = 1 << BITS
-PER_LANGUAGE = 1000
+ROWS = 4000  # labelled texts that a model is fitted on
 ROUNDS = 150
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -113,11 +113,11 @@ def fit(labels: list[str], x: np.ndarray, margin: float = 0.1) -> Model:
 
 
 def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-          per_language: int = PER_LANGUAGE, margin: float = 0.1) -> Model:
-    """Fit on about ``per_language`` rows of ``labelled`` (id, label) for each language."""
-    labels, rows = sample_features(docs, labelled_sample(labelled, id_col, label_col, per_language), id_col, text_col,
+          rows: int = ROWS, margin: float = 0.1) -> Model:
+    """Fit on about ``rows`` rows of ``labelled`` (id, label), as many of each language."""
+    labels, found = sample_features(docs, labelled_sample(labelled, id_col, label_col, rows), id_col, text_col,
                                    lambda t: sparse(features(t)))
-    x = dense(rows, BUCKETS)
+    x = dense(found, BUCKETS)
     full = x.any(axis=1)
     return fit([lang for lang, k in zip(labels, full, strict=True) if k], x[full])
 

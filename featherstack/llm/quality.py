@@ -2,8 +2,8 @@
 
 A text is a tf-idf vector of hashed word-shape n-grams: letters become ``a`` or
 ``A``, digits ``0``, other bytes stay, and a word that repeats the word before
-it counts as a mark of its own.  A truncated SVD of about ``per_class``
-labelled texts of each class (a bounded sample) gives the latent space; the
+it counts as a mark of its own.  A truncated SVD of about ``ROWS``
+labelled texts (a bounded sample, half of each class) gives the latent space; the
 labelled latent vectors, of unit length, are broadcast.
 
 Every document, in blocks, is multiplied with all labelled vectors (exact
@@ -30,7 +30,7 @@ from .features import dense, histograms, labelled_sample, ngrams, sample_feature
 BITS = 11
 BUCKETS = 1 << BITS
 RANK = 48
-PER_CLASS = 1500
+ROWS = 3000  # labelled texts that a model is fitted on
 NEIGHBOURS = 15
 SHARPNESS = 8  # power of the cosine that weights a vote
 BLOCK = 512  # documents multiplied at once
@@ -88,25 +88,19 @@ def fit(labels: list[int], x: np.ndarray, base: float) -> Model:
     if not len(y):
         return Model(*(np.zeros((0, 0)),) * 3, y, base)
     idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1).astype(np.float32)
-    x = x * idf
-    # right singular vectors from the small square side, in double precision
-    values, vectors = np.linalg.eigh(x.T.astype(np.float64) @ x) if x.shape[1] <= len(x) else _from_rows(x)
+    x *= idf
+    _, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))  # right singular vectors, largest last
     space = vectors[:, ::-1][:, :min(RANK, len(x))].astype(np.float32)
     return Model(idf, space, _unit(x @ space), y, base)
 
 
-def _from_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values, left = np.linalg.eigh(x.astype(np.float64) @ x.T)
-    return values, x.T @ (left / np.sqrt(np.maximum(values, 1e-12)))
-
-
 def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          per_class: int = PER_CLASS) -> Model:
-    """Fit on about ``per_class`` rows of ``labelled`` (id, label 0 or 1) for each class."""
+          rows: int = ROWS) -> Model:
+    """Fit on about ``rows`` rows of ``labelled`` (id, label 0 or 1), half of each class."""
     base = labelled.agg(F.avg(label_col)).first()[0]
-    labels, rows = sample_features(docs, labelled_sample(labelled, id_col, label_col, per_class), id_col, text_col,
+    labels, found = sample_features(docs, labelled_sample(labelled, id_col, label_col, rows), id_col, text_col,
                                    lambda t: sparse(features(t)))
-    x = dense(rows, BUCKETS)
+    x = dense(found, BUCKETS)
     return fit(labels, x, 0.5 if base is None else float(base))
 
 

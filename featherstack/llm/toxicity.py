@@ -6,7 +6,7 @@ n-gram vectors of its words, each n-gram weighted by its inverse document
 frequency in training and a repeated word by the root of its count, together
 with SMOOTH n-grams of no weight that steady short texts; a linear softmax
 tells toxic from not.  Vectors and softmax are trained together in numpy on
-about ``per_class`` labelled texts of each class (a bounded sample) and
+about ``ROWS`` labelled texts (a bounded sample, half of each class) and
 broadcast.  A misspelt word that training never saw shares most n-grams with
 the right one.
 
@@ -32,7 +32,7 @@ from .features import Sparse, by_text, join_texts, labelled_sample, ngrams, samp
 BITS = 16
 BUCKETS = 1 << BITS
 DIM = 16
-PER_CLASS = 1500
+ROWS = 3000  # labelled texts that a model is fitted on
 EPOCHS = 30
 BATCH = 64
 RATE = 10.0
@@ -116,9 +116,10 @@ def fit(labels: list[int], rows: list[Sparse], base: float, seed: int = 1) -> Mo
     if len(set(labels)) < 2:
         none = np.zeros((0, DIM), np.float32)
         return Model(none, np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32), float(y[0]) if len(y) else base)
-    found = np.bincount(np.concatenate([at for at, _ in rows]).astype(np.int64), minlength=BUCKETS)
-    idf = np.log((1 + len(rows)) / (1 + found)).astype(np.float32)
-    rows = [(at, value * idf[at]) for at, value in rows]
+    texts_with = np.zeros(BUCKETS)
+    for at, _ in rows:
+        texts_with[at] += 1
+    idf = np.log((1 + len(rows)) / (1 + texts_with)).astype(np.float32)
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.01, (BUCKETS, DIM)).astype(np.float32)
     softmax = rng.normal(0, 0.25, (DIM, 2)).astype(np.float32)
@@ -132,7 +133,7 @@ def fit(labels: list[int], rows: list[Sparse], base: float, seed: int = 1) -> Mo
             used = np.unique(np.concatenate([rows[k][0] for k in at]))
             x = np.zeros((len(at), len(used)), np.float32)
             for j, k in enumerate(at):
-                x[j, np.searchsorted(used, rows[k][0])] = rows[k][1]
+                x[j, np.searchsorted(used, rows[k][0])] = rows[k][1] * idf[rows[k][0]]
             mean = x @ vectors[used]
             z = mean @ softmax + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
@@ -149,11 +150,11 @@ def fit(labels: list[int], rows: list[Sparse], base: float, seed: int = 1) -> Mo
 
 
 def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          per_class: int = PER_CLASS) -> Model:
-    """Fit on about ``per_class`` rows of ``labelled`` (id, label 0 or 1) for each class."""
+          rows: int = ROWS) -> Model:
+    """Fit on about ``rows`` rows of ``labelled`` (id, label 0 or 1), half of each class."""
     base = labelled.agg(F.avg(label_col)).first()[0]
-    labels, rows = sample_features(docs, labelled_sample(labelled, id_col, label_col, per_class), id_col, text_col, features)
-    return fit(labels, rows, 0.5 if base is None else float(base))
+    labels, found = sample_features(docs, labelled_sample(labelled, id_col, label_col, rows), id_col, text_col, features)
+    return fit(labels, found, 0.5 if base is None else float(base))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
