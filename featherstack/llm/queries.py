@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, language, lines, quality, toxicity, urls
+from . import bpe, decontaminate, embeddings, language, lines, minhash, quality, toxicity, urls
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,10 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.9 or more among all vectors, and their components."""
     found = embeddings.find_links(table(spark, sf_dir, "embeddings"), cosine=0.9)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@register("op1_minhash_dedup")
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose sets of three-word shingles have a Jaccard similarity of 0.85 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=3, percent=85).withColumnRenamed("id", "doc_id")
