@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, language, lines, minhash, quality, toxicity, urls
+from . import bpe, decontaminate, embeddings, language, lines, minhash, passages, quality, toxicity, urls
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,10 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose sets of three-word shingles have a Jaccard similarity of 0.85 or more."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, shingle=3, percent=85).withColumnRenamed("id", "doc_id")
+
+
+@register("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of 50 words or more that repeat, exactly or with edits, in other documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.repeated_passages(docs, min_words=50).withColumnRenamed("id", "doc_id")
