@@ -13,10 +13,13 @@ tables.  Two sets of similarity s meet in some table with probability
    so tables are formed from shared short hashes only.
 3. Every bucket offers its smallest id as a centre; a representative is
    compared with the smallest centre that it is offered.
-4. After components of these links, buckets that still hold several components
-   offer every pair across components, where it meets first, in groups of
-   bounded size; lengths that can't reach the threshold are left out.  So each
-   pair that shares a table is either compared or already connected.
+4. Representatives are put in families, by the smallest centre within two
+   steps.  Families with several components are cut into blocks, and each pair
+   of blocks is one group of bounded size, in which every pair that shares a
+   table, is not yet connected and has lengths that can reach the threshold is
+   compared; only links come out.  Such pairs across families are listed, each
+   where it meets first.  So each pair that shares a table is either compared
+   or connected already.
 
 Candidates are confirmed on the full sets, rebuilt from the texts of the
 documents that share a bucket: a centre's text is sent to its members in
@@ -45,6 +48,8 @@ BAND = 2  # minhashes in a short hash
 SEED = 7
 CHUNK = 256  # texts that meet one copy of their centre
 BLOCK = 1024  # members of a bucket in a block
+FAMILY_BLOCK = 512  # members of a family in a block
+COLUMNS = 4096  # shingles of a block counted at once
 PAIRS = 100_000  # pairs of a group whose hashes are compared at once
 WORDS_KEPT = 500_000  # word hashes that a worker remembers
 
@@ -154,21 +159,21 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _across(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of one bucket but of different components, each where it meets first.
+    """(a, b): pairs of one bucket but of different components and families, each where it meets first.
 
-    ``entries``: (t, key, id, n, keys, component) of buckets with several components.
+    ``entries``: (t, key, id, n, keys, component, family) of buckets with several of both.
     """
     id_type = dict(entries.dtypes)["id"]
     blocks = entries.groupBy("t", "key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = entries.join(blocks, ["t", "key"]).withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "component", "keys")
+        "t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "component", "family", "keys")
     rows = rows.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j", "own", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["t", "key", "i", "j"]):
-            ids, n, part, own = (group.column(c).to_numpy() for c in ("id", "n", "component", "own"))
-            across = part[:, None] != part[None, :]
+            ids, n, part, family, own = (group.column(c).to_numpy() for c in ("id", "n", "component", "family", "own"))
+            across = (part[:, None] != part[None, :]) & (family[:, None] != family[None, :])
             across &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
             if group.column("i")[0] != group.column("j")[0]:
                 across &= own[:, None] != own[None, :]
@@ -187,6 +192,88 @@ def _across(entries: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, f"a {id_type}, b {id_type}")
 
 
+def _within(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): links inside families with several components that connect components not yet connected.
+
+    ``rows``: (id, n, keys, component, family).
+    """
+    id_type = dict(rows.dtypes)["id"]
+    several = rows.groupBy("family").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("c")).where("x <> y")
+    rows = rows.join(several.select("family", F.ceil(F.col("c") / FAMILY_BLOCK).cast("int").alias("blocks")), "family")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.join(texts, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "component", "keys", "text")
+    rows = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "own", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for group in groups(batches, ["family", "i", "j"]):
+            links = _block_links(group, hashes, k, percent)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], group.column("id").type) for c in (0, 1)], names=["a", "b"])
+    return rows.mapInArrow(run, f"a {id_type}, b {id_type}")
+
+
+def _block_links(group: pa.RecordBatch, hashes: WordHashes, k: int, percent: int) -> list[tuple]:
+    ids, n, part, own = (group.column(c).to_numpy() for c in ("id", "n", "component", "own"))
+    keys = np.array(group.column("keys").to_pylist(), dtype=np.int64)
+    fits = np.triu(part[:, None] != part[None, :], 1) & (100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :]))
+    if group.column("i")[0] != group.column("j")[0]:
+        fits &= own[:, None] != own[None, :]
+    for side in (keys[:, :SIDE], keys[:, SIDE:]):
+        meets = np.zeros_like(fits)
+        for c in side.T:
+            meets |= c[:, None] == c[None, :]
+        fits &= meets
+    used = np.flatnonzero(fits.any(axis=0) | fits.any(axis=1))
+    if not len(used):
+        return []
+    sets = [shingles(group.column("text")[int(i)].as_py(), k, hashes) for i in used]
+    a, b = np.nonzero(fits[np.ix_(used, used)])
+    common = _common(sets)[a, b]
+    size = np.array([len(x) for x in sets])
+    hit = 100 * common >= percent * (size[a] + size[b] - common)
+    root = {c: c for c in part.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+    out = []
+    for x, y in zip(used[a[hit]].tolist(), used[b[hit]].tolist(), strict=True):
+        u, v = find(part[x].item()), find(part[y].item())
+        if u != v:
+            root[max(u, v)] = min(u, v)
+            out.append((ids[x].item(), ids[y].item()))
+    return out
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of a block's sets, as products of slices of their incidence matrix."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, found = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = found[column] > 1  # a shingle of one set is in no intersection
+    row, column = row[keep], column[keep]
+    column = (np.cumsum(found > 1) - 1)[column]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, [begin, begin + COLUMNS])
+        x = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        x[row[lo:hi], column[lo:hi] - begin] = 1
+        out += x @ x.T
+    return out.astype(np.int64)
+
+
+def _families(members: DataFrame) -> DataFrame:
+    """(id, family): the smallest centre within two steps of shared buckets."""
+    near = members.groupBy("id").agg(F.min("low").alias("f"))
+    low = members.join(near, "id").groupBy("t", "key").agg(F.min("f").alias("f"))
+    return members.join(low, ["t", "key"]).groupBy("id").agg(F.min("f").alias("family"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``id``, ``n_shingles``, ``component_id`` (the smallest id reachable by links), ``kept``."""
     signed = stage_table(signatures(docs, id_col, text_col, shingle))
@@ -202,9 +289,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stage_table(verify(offered, texts, shingle, percent))
     parts = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     placed = members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    several = placed.groupBy("t", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    left = placed.join(several.select("t", "key"), ["t", "key"]).join(reps.select("id", "n", "keys"), "id")
-    more = stage_table(verify(stage_table(_across(left.select("t", "key", "id", "n", "keys", "component"), percent)), texts, shingle, percent))
+    family = _families(members)
+    placed = stage_table(placed.drop("low").join(family, "id"))
+    ids = placed.select("id", "component", "family").distinct()
+    inside = _within(ids.join(reps.select("id", "n", "keys"), "id"), texts, shingle, percent)
+    edges = (F.min("component") < F.max("component")) & (F.min("family") < F.max("family"))
+    several = placed.groupBy("t", "key").agg(edges.alias("several")).where("several").select("t", "key")
+    left = placed.join(several, ["t", "key"]).join(reps.select("id", "n", "keys"), "id")
+    outside = verify(stage_table(_across(left, percent)), texts, shingle, percent)
+    more = stage_table(inside.unionByName(outside))
     if not more.isEmpty():
         links = links.unionByName(more)
         parts = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
