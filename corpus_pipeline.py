@@ -55,9 +55,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and the text that they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "token_ids")
-    return bpe.decode(coded, path).select(
-        "doc_id", "n_tokens", "token_ids", F.col("decoded").cast("string").alias("text"))
+    done = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, decoded=True)
+    return done.select("doc_id", "n_tokens", "token_ids", F.col("decoded").cast("string").alias("text"))
 
 
 STAGES = [

@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extend, mix64, without
+from .common import extend, map_batches, mix64, without
 
 WIDTHS = (2, 4, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64, 128, 256)
 NONE = np.int32(2**31 - 1)
-CACHE = 300_000  # pieces that a worker remembers
-SLICE_BYTES = 4 << 20  # text handled at once
+CACHE = 250_000  # pieces that a worker remembers
+SLICE_BYTES = 1 << 20  # text handled at once
 
 
 def read_ranks(path: str) -> list[tuple[bytes, int]]:
@@ -54,7 +54,7 @@ class Pairs:
                     keys.append(left * base + right)
                     values.append(rank)
         self.base = base
-        bits = max(4, int(len(keys) * 4).bit_length())
+        bits = max(4, int(len(keys) * 2).bit_length())
         self.mask = np.int64((1 << bits) - 1)
         self.keys = np.full(1 << bits, -1, dtype=np.int64)
         self.values = np.full(1 << bits, NONE, dtype=np.int32)
@@ -194,9 +194,15 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, rows)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``token_ids`` (binary: little-endian unsigned 32-bit integers)."""
-    docs = without(docs, "n_tokens", "token_ids")
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``token_ids`` (binary: little-endian unsigned 32-bit integers).
+
+    With ``decoded`` also the bytes that these ids stand for, as :func:`decode`
+    gives them, in the same pass (one Python worker a task instead of two).
+    """
+    added = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())]
+    added += [T.StructField("decoded", T.BinaryType())] * decoded
+    docs = without(docs, *(f.name for f in added))
     sent = docs.sparkSession.sparkContext.broadcast((read_ranks(path), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,10 +210,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
         for part in (p for b in batches for p in _slices(b)):
             texts = [(t.as_py() or b"").decode("utf-8", "replace") for t in part.column("__text")]
             ids = tokenizer.encode(texts)
-            yield extend(part, {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "token_ids": pa.array(ids, pa.binary())},
-                         drop=["__text"])
-    schema = T.StructType([*docs.schema, T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())])
-    return docs.withColumn("__text", F.col(text_col).cast("binary")).mapInArrow(run, schema)
+            new = {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "token_ids": pa.array(ids, pa.binary())}
+            if decoded:
+                new["decoded"] = pa.array(map(tokenizer.decode, ids), pa.binary())
+            yield extend(part, new, drop=["__text"])
+    return map_batches(docs.withColumn("__text", F.col(text_col).cast("binary")), run, T.StructType([*docs.schema, *added]))
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "token_ids") -> DataFrame:
@@ -220,4 +227,4 @@ def decode(docs: DataFrame, path: str, ids_col: str = "token_ids") -> DataFrame:
         for part in (p for b in batches for p in _slices(b)):
             out = [b"".join(map(find, np.frombuffer(x.as_py(), "<u4").tolist())) if x.is_valid else None for x in part.column(ids_col)]
             yield extend(part, {"decoded": pa.array(out, pa.binary())})
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField("decoded", T.BinaryType())]))
+    return map_batches(docs, run, T.StructType([*docs.schema, T.StructField("decoded", T.BinaryType())]))

@@ -41,13 +41,22 @@ def crc_mod(id_col: str, mod: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(mod)
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` of a function of a task's batches; the worker, which
+    Spark uses again, gives Arrow's memory back when the task ends."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return df.mapInArrow(task, schema)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` of a function from one record batch to one."""
+    """``map_batches`` of a function from one record batch to one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows and (out := fn(batch)) is not None:
                 yield out
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def extend(batch: pa.RecordBatch, columns: dict[str, pa.Array], drop: Sequence[str] = ()) -> pa.RecordBatch:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extend, map_arrow, stage_table, without
+from .common import extend, map_arrow, map_batches, stage_table, without
 from .fmindex import FMIndex
 
 WINDOW = 10
@@ -163,7 +163,7 @@ def _pass(docs: DataFrame, items: list[tuple[object, bytes]], text_col: str, win
             "n_words": pa.array([len(w) for w in texts], pa.int64()),
             "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
             "items": pa.array(items, pa.list_(pa.string()))}, drop=["n_words", "spans", "items"])
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def cut_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import groups, map_arrow, stage_table
+from .common import groups, map_arrow, map_batches, stage_table
 from .components import connected_components
 
 RECALL = 0.99
@@ -130,7 +130,7 @@ def find_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                 got = []
         if got:
             yield _rows(got)
-    partial = stage_table(full.mapInArrow(verify, f"id {id_type}, n long, root {id_type}"))
+    partial = stage_table(map_batches(full, verify, f"id {id_type}, n long, root {id_type}"))
     counts = partial.groupBy("id").agg(F.sum("n").alias("n_links"))
     parts = connected_components(partial.select(F.col("id").alias("u"), F.col("root").alias("v")))
     out = rows.select("id").join(counts, "id", "left").join(parts, "id", "left")

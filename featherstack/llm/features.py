@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extend, without
+from .common import extend, map_batches, without
 
 SLICE_BYTES = 1 << 20  # text whose n-grams are in memory at once
 END = 0  # the byte between texts; NUL bytes inside a text are blanked
@@ -114,7 +114,7 @@ def sample_features(docs: DataFrame, sample: DataFrame, id_col: str, text_col: s
                      pa.array([x.astype("<u2").tobytes() for x in at], pa.binary()),
                      pa.array([x.astype("<f4").tobytes() for x in value], pa.binary())], names=["id", "label", "at", "value"])
     types = dict(joined.dtypes)
-    got = joined.mapInArrow(run, f"id {types['id']}, label {types['label']}, at binary, value binary").toArrow().sort_by("id")
+    got = map_batches(joined, run, f"id {types['id']}, label {types['label']}, at binary, value binary").toArrow().sort_by("id")
     at, value = ([np.frombuffer(x.as_buffer(), dtype) for x in got.column(c)] for c, dtype in (("at", "<u2"), ("value", "<f4")))
     return got.column("label").to_pylist(), list(zip(at, value, strict=True))  # views of one Arrow table
 
@@ -132,4 +132,4 @@ def score_column(docs: DataFrame, text_col: str, make: Callable[[], Callable[[li
             texts = [t.as_py() for t in batch.column("__text")]
             for a, b in slices([t or b"" for t in texts]):
                 yield extend(batch.slice(a, b - a), score(texts[a:b]), drop=["__text"])
-    return docs.withColumn("__text", F.col(text_col).cast("binary")).mapInArrow(run, T.StructType([*docs.schema, *fields]))
+    return map_batches(docs.withColumn("__text", F.col(text_col).cast("binary")), run, T.StructType([*docs.schema, *fields]))

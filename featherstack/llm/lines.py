@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extend, map_arrow, stage_table, without
+from .common import extend, map_arrow, map_batches, stage_table, without
 from .mphf import PerfectHash
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -141,7 +141,7 @@ def _pass(docs: DataFrame, index: DataFrame, text_col: str, min_docs: int, min_c
                 out.append(np.union1d(now, before.as_py()).astype(np.int32) if before.is_valid else now.astype(np.int32))
                 begin = end
             yield extend(batch, {"__dropped": pa.array(out, pa.list_(pa.int32()))}, drop=["__dropped"])
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def _cut(docs: DataFrame, text_col: str) -> DataFrame:

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, mix64, stage_table
+from .common import groups, map_batches, mix64, stage_table
 from .components import connected_components
 
 SIDE = 8  # short hashes in each collection; SIDE * SIDE tables
@@ -108,7 +108,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]),
                                               pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "d0", "d1", "keys"])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n long, d0 long, d1 long, keys array<long>")
+    return map_batches(rows, run, f"id {dict(rows.dtypes)['id']}, n long, d0 long, d1 long, keys array<long>")
 
 
 def tables(reps: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
                 elif any(_similar(c, grams, percent) for c in centres):
                     out.append((a[i], b[i]))
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], batch.column("a").type) for c in (0, 1)], names=["a", "b"])
-    return rows.mapInArrow(run, f"a {id_type}, b {id_type}")
+    return map_batches(rows, run, f"a {id_type}, b {id_type}")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -189,7 +189,7 @@ def _across(entries: DataFrame, percent: int) -> DataFrame:
                 first = same[:, :SIDE].argmax(axis=1) * SIDE + same[:, SIDE:].argmax(axis=1) == t
                 x, y = ids[x[first]], ids[y[first]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-    return rows.mapInArrow(run, f"a {id_type}, b {id_type}")
+    return map_batches(rows, run, f"a {id_type}, b {id_type}")
 
 
 def _within(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -211,7 +211,7 @@ def _within(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
             links = _block_links(group, hashes, k, percent)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], group.column("id").type) for c in (0, 1)], names=["a", "b"])
-    return rows.mapInArrow(run, f"a {id_type}, b {id_type}")
+    return map_batches(rows, run, f"a {id_type}, b {id_type}")
 
 
 def _block_links(group: pa.RecordBatch, hashes: WordHashes, k: int, percent: int) -> list[tuple]:

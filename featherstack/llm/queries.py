@@ -79,7 +79,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of whole documents, and the ids decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    done = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    done = bpe.encode(docs, path, public_tokenizers.PATTERN, decoded=True)
     return done.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
