@@ -130,6 +130,8 @@ def test_bpe_against_tiktoken(make_docs, rng):
     texts = ODD + ["".join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(150)] + ["qzx" * 3000]
     coded = bpe.encode(make_docs(texts).withColumn("token_ids", F.lit(1)), path, public_tokenizers.PATTERN)
     rows = bpe.decode(coded, path).orderBy("doc_id").collect()
+    both = bpe.encode(make_docs(texts), path, public_tokenizers.PATTERN, decoded=True).orderBy("doc_id").collect()
+    assert [(r["token_ids"], r["decoded"]) for r in both] == [(r["token_ids"], r["decoded"]) for r in rows]
     for r, t in zip(rows, texts, strict=True):
         want = np.array(encoder.encode_ordinary(t or ""), dtype="<u4")
         assert bytes(r["token_ids"]) == want.tobytes() and r["n_tokens"] == len(want)

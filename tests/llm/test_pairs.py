@@ -54,6 +54,7 @@ def near_texts(rng):
 def test_minhash_against_brute_force(make_docs, rng, monkeypatch, k, percent):
     monkeypatch.setattr(minhash, "CHUNK", 3)
     monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "FAMILY_BLOCK", 4)
     texts = near_texts(rng)
     sets = [grams(t, k) for t in texts]
     links = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2)
@@ -63,7 +64,7 @@ def test_minhash_against_brute_force(make_docs, rng, monkeypatch, k, percent):
     assert {r["id"]: r["component_id"] for r in got} == want
     assert {r["id"]: r["n_shingles"] for r in got} == {i: len(s) for i, s in enumerate(sets)}
     assert {r["id"] for r in got if r["kept"]} == {i for i, c in want.items() if i == c}
-    assert len(links) > 100
+    assert len(links) > 50
 
 
 def test_minhash_ids_that_repeat_or_are_null(spark):
@@ -120,7 +121,7 @@ def passage_docs(rng):
             w[at:at] = shared
         if i % 4 == 1:
             f = list(fuzzy)
-            for j in range(5 + i % 7, 90, 14):
+            for j in range(5 + i % 7, 90, 24):
                 f[j] = f"z{rng.randrange(10**6)}"
             if i % 8 == 1:
                 del f[40]
