@@ -80,20 +80,27 @@ NEW_SQL = f"""WITH a AS {APP_CLEAN_SQL},
   e AS (SELECT list_sort(list_distinct(quantile_cont(income, [{', '.join(repr(i / 16) for i in range(17))}]))) AS edges FROM b),
   i AS (SELECT list_slice(edges, 2, len(edges) - 1) AS inner_edges FROM e)
   SELECT b.* EXCLUDE (c_mktsegment, n_regionkey), g.grp_c_mktsegment_n_regionkey_income_median, g.grp_c_mktsegment_n_regionkey_ext2_mean,
-    CAST(len(list_filter(inner_edges, lambda x: x < income)) AS INTEGER) AS new_income_bin
+    CAST(len(list_filter(inner_edges, lambda x: x < income)) AS INTEGER) AS new_income_bin, true AS new_ext3_cluster
   FROM b LEFT JOIN g USING (c_mktsegment, n_regionkey), i"""
 
 
-@register("features_application_new", NEW_SQL, exact=["c_custkey", "new_flag_sum", "new_income_bin"],
+def _clustered(df):
+    """The k-means id, which SQL can't know, as whether it is one of the four."""
+    return df.withColumn("new_ext3_cluster", F.col("new_ext3_cluster").between(0, 3))
+
+
+@register("features_application_new", NEW_SQL, exact=["c_custkey", "new_flag_sum", "new_income_bin", "new_ext3_cluster"],
           dec_cols={"new_row_kurt": 6})
 def features_application_new_q(spark, d):
-    """Everything of the family except the k-means id (checked in ``kmeans_1d``)."""
-    return FT.features_application_new(spark, d, clusters=False)
+    return _clustered(FT.features_application_new(spark, d))
 
 
-@register("features_application_products", f"""SELECT c_custkey, ext1 * ext2 AS ext1_x_ext2, ext1 * ext3 AS ext1_x_ext3,
+PRODUCTS_SQL = f"""SELECT c_custkey, ext1 * ext2 AS ext1_x_ext2, ext1 * ext3 AS ext1_x_ext3,
   ext2 * ext3 AS ext2_x_ext3, ext1 * ext2 * ext3 AS ext_product, ext2 / nullif(ext3, 0) AS ext2_over_ext3,
-  income / nullif(ext2, 0) AS income_over_ext2 FROM {APP_BASE_SQL} a""", exact=["c_custkey"])
+  income / nullif(ext2, 0) AS income_over_ext2 FROM {APP_BASE_SQL} a"""
+
+
+@register("features_application_products", PRODUCTS_SQL, exact=["c_custkey"])
 def features_application_products_q(spark, d):
     return FT.features_application_products(spark, d)
 
@@ -150,12 +157,19 @@ def features_bureau_two_level_q(spark, d):
     return FT.features_bureau_two_level(spark, d)
 
 
-@register("features_bureau_summary", f"""SELECT o_custkey, count(*) AS bureau_count, count(DISTINCT o_orderpriority) AS bureau_types,
+SUMMARY_EXACT = ["o_custkey", "bureau_count", "bureau_types", "last_day", "prolonged_sum"]
+SUMMARY_SQL = f"""SELECT o_custkey, count(*) AS bureau_count, count(DISTINCT o_orderpriority) AS bureau_types,
   count(*) / count(DISTINCT o_orderpriority) AS loans_per_type,
   avg(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS active_share,
   {S.agg('o_totalprice', 'sum', "o_orderstatus = 'O'", 2)} AS active_amount_sum,
   {S.agg('o_totalprice', 'sum', "o_orderstatus = 'O'", 2)} / nullif({S.agg('o_totalprice', 'sum', None, 2)}, 0) AS active_amount_share,
-  max(day) AS last_day FROM {P} p GROUP BY o_custkey""", exact=["o_custkey", "bureau_count", "bureau_types", "last_day"])
+  max(day) AS last_day,
+  {S.agg('o_totalprice', 'sum', "o_orderstatus = 'P'", 2)} / nullif({S.agg('o_totalprice', 'sum', "o_orderstatus = 'O'", 2)}, 0) AS overdue_to_debt,
+  count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS prolonged_sum, avg(CASE WHEN day > -365 THEN 1 ELSE 0 END) AS recent_share
+  FROM {P} p GROUP BY o_custkey"""
+
+
+@register("features_bureau_summary", SUMMARY_SQL, exact=SUMMARY_EXACT)
 def features_bureau_summary_q(spark, d):
     return FT.features_bureau_summary(spark, d)
 
@@ -163,14 +177,16 @@ def features_bureau_summary_q(spark, d):
 STATUS_ORDER = "(ship_day, l_linenumber, l_partkey)"
 
 
-@register("features_bureau_status", f"""WITH po AS (SELECT l_orderkey, arg_min(l_linestatus, {STATUS_ORDER}) AS status_first,
+STATUS_SQL = f"""WITH po AS (SELECT l_orderkey, arg_min(l_linestatus, {STATUS_ORDER}) AS status_first,
     arg_max(l_linestatus, {STATUS_ORDER}) AS status_last, max(ship_day) - min(ship_day) AS span_days,
     min(ship_day) FILTER (WHERE l_linestatus = 'F') AS closing_day FROM {L} l GROUP BY l_orderkey)
   SELECT o.o_custkey, avg(CAST(coalesce(status_first = 'F', false) AS INTEGER)) AS first_closed_share,
     avg(CAST(coalesce(status_last = 'F', false) AS INTEGER)) AS last_closed_share,
     avg(span_days) AS span_days_mean, max(span_days) AS span_days_max, min(closing_day) AS closing_day_min
-  FROM orders o JOIN po ON o.o_orderkey = po.l_orderkey GROUP BY o.o_custkey""",
-          exact=["o_custkey", "span_days_max", "closing_day_min"])
+  FROM orders o JOIN po ON o.o_orderkey = po.l_orderkey GROUP BY o.o_custkey"""
+
+
+@register("features_bureau_status", STATUS_SQL, exact=["o_custkey", "span_days_max", "closing_day_min"])
 def features_bureau_status_q(spark, d):
     return FT.features_bureau_status(spark, d)
 
@@ -217,25 +233,32 @@ def features_previous_history_q(spark, d):
     return FT.features_previous_history(spark, d)
 
 
-@register("features_previous_down_payment", f"""SELECT o_custkey, avg(payment / nullif(instalment, 0)) AS dp_ratio_mean,
+DOWN_SQL = f"""SELECT o_custkey, avg(payment / nullif(instalment, 0)) AS dp_ratio_mean,
   min(payment / nullif(instalment, 0)) AS dp_ratio_min, max(payment / nullif(instalment, 0)) AS dp_ratio_max,
-  avg(instalment / nullif(paid_day - due_day + 1, 0)) AS dp_per_day_mean FROM {I} i WHERE due_day > -830 GROUP BY o_custkey""",
-          exact=["o_custkey"])
+  avg(instalment / nullif(paid_day - due_day + 1, 0)) AS dp_per_day_mean FROM {I} i WHERE due_day > -830 GROUP BY o_custkey"""
+
+
+@register("features_previous_down_payment", DOWN_SQL, exact=["o_custkey"])
 def features_previous_down_payment_q(spark, d):
     return FT.features_previous_down_payment(spark, d)
 
 
-@register("features_previous_rejects", f"""WITH r AS (SELECT * FROM {P} p WHERE o_orderstatus = 'P'),
+REJECTS_SQL = f"""WITH r AS (SELECT * FROM {P} p WHERE o_orderstatus = 'P'),
   c AS (SELECT o_custkey, {_sel([f"count(*) FILTER (WHERE o_orderpriority = '{lv}') AS reject_{level_name(lv)}" for lv in FT.PRIORITIES])}
         FROM r GROUP BY o_custkey),
   l AS (SELECT o_custkey, {_sel([f"max(CASE WHEN o_orderpriority = '{lv}' THEN 1 ELSE 0 END) AS last_reject_{level_name(lv)}" for lv in FT.PRIORITIES])}
         FROM r WHERE day = (SELECT max(day) FROM r r2 WHERE r2.o_custkey = r.o_custkey) GROUP BY o_custkey)
-  SELECT c.*, l.* EXCLUDE (o_custkey) FROM c LEFT JOIN l USING (o_custkey)""", all_exact=True)
+  SELECT c.*, l.* EXCLUDE (o_custkey) FROM c LEFT JOIN l USING (o_custkey)"""
+
+
+@register("features_previous_rejects", REJECTS_SQL, all_exact=True)
 def features_previous_rejects_q(spark, d):
     return FT.features_previous_rejects(spark, d)
 
 
 # ---------------------------------------------------------------- balance families
+#: slopes of flat series are 0 but for rounding: compared by decimals
+POS_TRENDS = {f"pos{m}_late_{part}": 8 for m in (60, 18) for part in ("slope", "intercept")}
 POS_SQL = f"""WITH e AS {E},
   b AS (SELECT user_id, min(day) AS pos_day_min, max(day) AS pos_day_max, count(*) AS pos_size,
     {S.agg('value', 'mean', None, 2)} AS pos_value_mean, max(value) AS pos_value_max,
@@ -243,31 +266,34 @@ POS_SQL = f"""WITH e AS {E},
     {_sel([f"avg(CASE WHEN event_type = '{t}' THEN 1.0 ELSE 0.0 END) AS pos_event_type_{t}_mean" for t in FT.EVENT_TYPES])}
     FROM e GROUP BY user_id),
   l AS (SELECT user_id, count(*) AS pos_last_day_events, {S.agg('value', 'sum', None, 2)} AS pos_last_day_value
-    FROM e WHERE day = (SELECT max(day) FROM e e2 WHERE e2.user_id = e.user_id) GROUP BY user_id)
-  SELECT b.*, l.* EXCLUDE (user_id) FROM b LEFT JOIN l USING (user_id)"""
+    FROM e WHERE day = (SELECT max(day) FROM e e2 WHERE e2.user_id = e.user_id) GROUP BY user_id),
+  dl AS (SELECT user_id, day, count(*) FILTER (WHERE value > 40) AS late FROM e GROUP BY user_id, day),
+  t AS (SELECT user_id, CASE WHEN var_pop(day) FILTER (WHERE day > -60) > 0 THEN regr_slope(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -60) END AS pos60_late_slope, CASE WHEN var_pop(day) FILTER (WHERE day > -60) > 0 THEN regr_intercept(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -60) ELSE avg(late) FILTER (WHERE day > -60) END AS pos60_late_intercept, CASE WHEN var_pop(day) FILTER (WHERE day > -18) > 0 THEN regr_slope(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -18) END AS pos18_late_slope, CASE WHEN var_pop(day) FILTER (WHERE day > -18) > 0 THEN regr_intercept(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -18) ELSE avg(late) FILTER (WHERE day > -18) END AS pos18_late_intercept FROM dl GROUP BY user_id)
+  SELECT b.*, l.* EXCLUDE (user_id), t.* EXCLUDE (user_id) FROM b LEFT JOIN l USING (user_id) LEFT JOIN t USING (user_id)"""
 
 
 @register("features_pos_cash", POS_SQL, exact=["user_id", "pos_day_min", "pos_day_max", "pos_size", "pos_late_total",
-                                               "pos_late_recent", "pos_last_day_events"])
+                                               "pos_late_recent", "pos_last_day_events"], sig=8, dec_cols=POS_TRENDS)
 def features_pos_cash_q(spark, d):
     return FT.features_pos_cash(spark, d)
 
 
-INS_SPEC = {"paid_share": ["mean", "min", "max"], "paid_diff": ["mean", "sum"], "dpd": ["mean", "max"], "dbd": ["mean", "max"]}
-INS_SQL = f"""WITH x AS (SELECT o_custkey, l_orderkey, due_day, payment / nullif(instalment, 0) AS paid_share,
+INS_SQL = f"""WITH x AS (SELECT o_custkey, l_orderkey, l_linenumber, due_day, paid_day - due_day AS delay, payment / nullif(instalment, 0) AS paid_share,
     instalment - payment AS paid_diff, greatest(paid_day - due_day - 60, 0) AS dpd, greatest(60 - (paid_day - due_day), 0) AS dbd
     FROM {I} i),
-  a AS (SELECT o_custkey, {_sel(S.spec_sql(INS_SPEC, 'ins'))}, count(*) AS ins_count FROM x GROUP BY o_custkey),
-  r AS (SELECT o_custkey, avg(CAST(coalesce(dpd > 0, false) AS INTEGER)) AS ins_recent_late_share FROM x WHERE due_day > -365 GROUP BY o_custkey),
+  a AS (SELECT o_custkey, {_sel(S.spec_sql(FT.INS_SPEC, 'ins', int_sums=['dpd', 'dbd']))}, count(*) AS ins_count,
+    count(DISTINCT l_linenumber) AS ins_version_nunique FROM x GROUP BY o_custkey),
+  r AS (SELECT o_custkey, avg(CAST(coalesce(dpd > 0, false) AS INTEGER)) FILTER (WHERE due_day > -366) AS ins_recent_late_share FROM x GROUP BY o_custkey),
   lo AS (SELECT o_custkey, arg_max(l_orderkey, (due_day, l_orderkey)) AS l_orderkey FROM x GROUP BY o_custkey),
   l AS (SELECT o_custkey, avg(paid_share) AS ins_last_order_paid_share FROM x JOIN lo USING (o_custkey, l_orderkey) GROUP BY o_custkey),
-  t AS (SELECT o_custkey, CASE WHEN var_pop(due_day) > 0 THEN regr_slope(coalesce(dpd, 0)::DOUBLE, due_day::DOUBLE) END AS ins_dpd_slope
+  t AS (SELECT o_custkey, CASE WHEN var_pop(due_day) FILTER (WHERE true) > 0 THEN regr_slope(dpd::DOUBLE, due_day::DOUBLE) FILTER (WHERE true) END AS ins_dpd_slope, CASE WHEN var_pop(due_day) FILTER (WHERE true) > 0 THEN regr_intercept(dpd::DOUBLE, due_day::DOUBLE) FILTER (WHERE true) ELSE avg(dpd) FILTER (WHERE true) END AS ins_dpd_intercept, CASE WHEN var_pop(due_day) FILTER (WHERE due_day > -366) > 0 THEN regr_slope(delay::DOUBLE, due_day::DOUBLE) FILTER (WHERE due_day > -366) END AS ins_recent_delay_slope, CASE WHEN var_pop(due_day) FILTER (WHERE due_day > -366) > 0 THEN regr_intercept(delay::DOUBLE, due_day::DOUBLE) FILTER (WHERE due_day > -366) ELSE avg(delay) FILTER (WHERE due_day > -366) END AS ins_recent_delay_intercept
         FROM x GROUP BY o_custkey)
-  SELECT a.*, r.ins_recent_late_share, l.ins_last_order_paid_share, t.ins_dpd_slope
+  SELECT a.*, r.ins_recent_late_share, l.ins_last_order_paid_share, t.* EXCLUDE (o_custkey)
   FROM a LEFT JOIN r USING (o_custkey) LEFT JOIN l USING (o_custkey) LEFT JOIN t USING (o_custkey)"""
+INS_EXACT = ["o_custkey", "ins_dpd_max", "ins_dbd_max", "ins_dpd_sum", "ins_dbd_sum", "ins_count", "ins_version_nunique"]
 
 
-@register("features_installments", INS_SQL, exact=["o_custkey", "ins_dpd_max", "ins_dbd_max", "ins_count"], sig=9)
+@register("features_installments", INS_SQL, exact=INS_EXACT, sig=8)
 def features_installments_q(spark, d):
     return FT.features_installments(spark, d)
 
@@ -275,7 +301,9 @@ def features_installments_q(spark, d):
 CC_SQL = f"""WITH e AS {E},
   c AS (SELECT user_id, {_sel(S.spec_sql({'value': ['min', 'max', 'mean', 'sum', 'var'], 'day': ['min', 'max', 'mean', 'sum', 'var']}, 'cc', int_sums=['day']))},
     avg(value) / nullif(max(value), 0) AS cc_limit_loading,
-    {S.agg('value', 'sum', "event_type = 'purchase'", 2)} / nullif({S.agg('value', 'sum', None, 2)}, 0) AS cc_purchase_ratio
+    {S.agg('value', 'sum', "event_type = 'purchase'", 2)} / nullif({S.agg('value', 'sum', None, 2)}, 0) AS cc_purchase_ratio,
+    max(CASE WHEN event_type = 'purchase' THEN value END) / nullif(max(value), 0) AS cc_max_purchase_ratio,
+    avg(CASE WHEN value > 40 THEN 1 ELSE 0 END) AS cc_over_share
     FROM e GROUP BY user_id),
   x AS (SELECT user_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dv FROM e),
   ch AS (SELECT user_id, avg(dv) AS cc_balance_change_mean FROM x GROUP BY user_id)
@@ -288,32 +316,41 @@ def features_credit_card_q(spark, d):
     return FT.features_credit_card(spark, d)
 
 
-@register("features_label_nunique_mean", f"""SELECT user_id, count(DISTINCT event_type) AS nuniq_event_type, count(DISTINCT day) AS nuniq_day,
-  {S.agg('value', 'mean', None, 2)} AS mean_value, avg(day) AS mean_day, avg(event_id) AS mean_event_id FROM {E} e GROUP BY user_id""",
-          exact=["user_id", "nuniq_event_type", "nuniq_day"])
+LABEL_SQL = f"""SELECT user_id, count(DISTINCT event_type) AS nuniq_event_type, count(DISTINCT day) AS nuniq_day,
+  {S.agg('value', 'mean', None, 2)} AS mean_value, avg(day) AS mean_day, avg(event_id) AS mean_event_id FROM {E} e GROUP BY user_id"""
+
+
+@register("features_label_nunique_mean", LABEL_SQL, exact=["user_id", "nuniq_event_type", "nuniq_day"])
 def features_label_nunique_mean_q(spark, d):
     return FT.features_label_nunique_mean(spark, d)
 
 
 # ---------------------------------------------------------------- assembly, OOF matrix, stacker
 def _assemble_sql() -> str:
-    ins = INS_SQL.replace("SELECT a.*, r.ins_recent_late_share", "SELECT a.*, r.ins_recent_late_share", 1)
-    return f"""WITH r AS ({RATIOS_SQL}), pa AS ({_prev_sql()}), ins AS ({ins}), pos AS ({POS_SQL})
-  SELECT b.* EXCLUDE (c_mktsegment), r.* EXCLUDE (c_custkey), pa.* EXCLUDE (o_custkey), ins.* EXCLUDE (o_custkey),
-    pos.* EXCLUDE (user_id)
-  FROM {APP_BASE_SQL} b LEFT JOIN r USING (c_custkey) LEFT JOIN pa ON b.c_custkey = pa.o_custkey
-  LEFT JOIN ins ON b.c_custkey = ins.o_custkey LEFT JOIN pos ON b.c_custkey = pos.user_id"""
-
-
-ASSEMBLE_EXACT = (["c_custkey", "is_train", "n_regionkey", "days_birth", "days_employed", "children", "young_flag",
-                   "employed_missing"] + PREV_EXACT[1:] + ["ins_dpd_max", "ins_dbd_max", "ins_count", "pos_day_min",
-                                                           "pos_day_max", "pos_size", "pos_late_total", "pos_late_recent",
-                                                           "pos_last_day_events"])
-
-
-@register("assemble_training_table", _assemble_sql(), exact=ASSEMBLE_EXACT, sig=9)
+    parts = [("r", "c_custkey", RATIOS_SQL, ()), ("nw", "c_custkey", NEW_SQL, ("income", "ext1", "ext2", "ext3")),
+             ("pr", "c_custkey", PRODUCTS_SQL, ()), ("ct", "c_custkey", CONTEST_SQL, ()), ("bu", "o_custkey", _bureau_sql(), ()),
+             ("su", "o_custkey", SUMMARY_SQL, ()), ("st", "o_custkey", STATUS_SQL, ()), ("pa", "o_custkey", _prev_sql(), ()),
+             ("hi", "o_custkey", _history_sql(), ("last_day",)), ("dp", "o_custkey", DOWN_SQL, ()), ("rj", "o_custkey", REJECTS_SQL, ()),
+             ("ps", "user_id", POS_SQL, ()), ("ins", "o_custkey", INS_SQL, ()), ("cc", "user_id", CC_SQL, ()), ("lb", "user_id", LABEL_SQL, ())]
+    tables = ", ".join(f"{n} AS ({sql})" for n, _, sql, _ in parts)
+    columns = ", ".join(f"{n}.* EXCLUDE ({', '.join((key, *known))})" for n, key, _, known in parts)
+    joins = " ".join(f"LEFT JOIN {n} ON b.c_custkey = {n}.{key}" for n, key, _, _ in parts)
+    return f"WITH {tables} SELECT b.* EXCLUDE (c_mktsegment), {columns} FROM {APP_BASE_SQL} b {joins}"
+
+
+ASSEMBLE_EXACT = [
+    "c_custkey", "is_train", "n_regionkey", "days_birth", "days_employed", "children", "young_flag", "employed_missing",
+    "new_flag_sum", "new_income_bin", "new_ext3_cluster", "capped_children3", "flag_sum", "n_missing", "recent_job_days",
+    *_bureau_exact()[1:], *SUMMARY_EXACT[1:], "span_days_max", "closing_day_min", *PREV_EXACT[1:],
+    *[f"{p}_{level_name(lv)}" for p in ("reject", "last_reject") for lv in FT.PRIORITIES],
+    "pos_day_min", "pos_day_max", "pos_size", "pos_late_total", "pos_late_recent", "pos_last_day_events", *INS_EXACT[1:],
+    "cc_day_min", "cc_day_max", "cc_day_sum", "nuniq_event_type", "nuniq_day"]
+
+
+@register("assemble_training_table", _assemble_sql(), exact=ASSEMBLE_EXACT, sig=8,
+          dec_cols={"new_row_kurt": 6, "cc_balance_change_mean": 8, **POS_TRENDS})
 def assemble_training_table_q(spark, d):
-    return FT.assemble_training_table(spark, d)
+    return _clustered(FT.assemble_training_table(spark, d))
 
 
 @register("load_oof_matrix", f"""WITH {_PRED_SQL}
@@ -329,17 +366,28 @@ def load_oof_matrix_q(spark, d):
     return wide.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "inner")
 
 
-@register("stack_train")
+_STACK_KEYS = f"""SELECT p0.doc_id, p0.fold, l.quality FROM p0 JOIN p1 ON p0.doc_id = p1.doc_id AND p0.fold = p1.fold
+  JOIN p2 ON p0.doc_id = p2.doc_id AND p0.fold = p2.fold LEFT JOIN labels l ON p0.doc_id = l.doc_id"""
+
+
+@register("stack_train", f"""WITH {_PRED_SQL}, k AS ({_STACK_KEYS})
+  SELECT doc_id, CASE WHEN quality IS NULL THEN 'test' ELSE 'oof' END AS part, true AS in_range FROM k""", all_exact=True)
 def stack_train_q(spark, d):
-    """OOF matrix → elimination → folds × bags (logistic, C by bag) → per-fold
-    rank blend of bags → fold AUCs; returns one row per fold."""
-    m = load_oof_matrix_q(spark, d)
-    models = ["m0", "m1", "m2"]
-    kept = selection.recursive_elimination(m, models, "quality", keep=2, step=1)
-    o, _ = oof.bagged_oof(m, None, "doc_id", "quality", kept, "fold",
-                          lambda b: oof.fit_logistic(c=0.1 * b, total_weight=400.0), bags=[1, 2, 3])
-    wide = o.groupBy("doc_id", "fold").pivot("bag", [1, 2, 3]).agg(F.first("score"))
-    wide = wide.toDF("doc_id", "fold", "b1", "b2", "b3")
-    blended = B.rank_average(wide, ["b1", "b2", "b3"], "stack_score", "min", by=["fold"])
-    scored = blended.join(m.select("doc_id", "quality"), "doc_id")
-    return M.auc(scored, "stack_score", "quality", ["fold"])
+    """OOF matrix → elimination → folds × five bags (logistic, C by bag) → ranks
+    averaged over the bags of a fold, for the test rows over the folds too →
+    clipped scores: one OOF row per labelled and one submission row per test key."""
+    wide = wide_predictions(_long_predictions(spark, d), "doc_id", "fold", ["m0", "m1", "m2"])
+    m = wide.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    train, test = m.where("quality IS NOT NULL"), m.where("quality IS NULL")
+    kept = selection.recursive_elimination(train, ["m0", "m1", "m2"], "quality", keep=2, step=1)
+    bags = [1, 2, 3, 4, 5]
+    o, t = oof.bagged_oof(train, test, "doc_id", "quality", kept, "fold",
+                          lambda b, size: oof.fit_logistic(c=0.1 * b, total_weight=size.weight), bags=bags)
+    names = [f"b{b}" for b in bags]
+
+    def ranked(long):
+        by_bag = long.groupBy("doc_id", "fold").pivot("bag", bags).agg(F.max("score")).toDF("doc_id", "fold", *names)
+        return B.rank_average(by_bag, names, "score", "min", by=["fold"]).select("doc_id", "score")
+    both = ranked(o).withColumn("part", F.lit("oof")).unionByName(B.mean_blend(ranked(t), "doc_id", "score").withColumn("part", F.lit("test")))
+    clipped = F.least(F.greatest("score", F.lit(0.001)), F.lit(0.999))
+    return both.select("doc_id", "part", clipped.between(0.0, 1.0).alias("in_range"))

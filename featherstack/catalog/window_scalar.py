@@ -72,10 +72,8 @@ def nth_latest_agg_q(spark, d):
           exact=["user_id"], dec_cols={"diff_mean_pandas": 8, "diff_mean_r": 8})
 def lagged_diff_mean_q(spark, d):
     e = fx.events(spark, d).withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
-    # chunks of about 64 events per user, sized from each user's density
-    a = O.lagged_diff_mean(e, "user_id", "t", "event_id", "value", "diff_mean_pandas", "null", rows_per_chunk=64)
-    b = O.lagged_diff_mean(e, "user_id", "t", "event_id", "value", "diff_mean_r", "zero", rows_per_chunk=64)
-    return a.join(b, "user_id")
+    return O.lagged_diff_mean(e, "user_id", "t", "event_id", "value",
+                              {"null": "diff_mean_pandas", "zero": "diff_mean_r"}, rows_per_chunk=64)
 
 
 @register("trend_fit", f"""SELECT o_custkey,
@@ -153,9 +151,9 @@ def sort_desc_topk_per_group_q(spark, d):
                              salt_cols=["o_orderkey"])
 
 
-@register("head_rows")
+@register("head_rows", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5", exact=["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
 def head_rows_q(spark, d):
-    return table(spark, d, "orders").limit(5)
+    return table(spark, d, "orders").orderBy("o_orderkey").limit(5)
 
 
 # ---------------------------------------------------------------- 2.7 set operations
@@ -273,21 +271,24 @@ def date_q(spark, d):
 
 
 # ---------------------------------------------------------------- 2.10 UDF surface
-def _history_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["day", "o_orderkey"])
-    return pd.DataFrame({
-        "o_custkey": [pdf["o_custkey"].iloc[0]],
-        "ga_size": [len(pdf)],
-        "ga_last_price": [float(pdf["o_totalprice"].iloc[-1])],
-        "ga_span_days": [int(pdf["day"].max() - pdf["day"].min())],
-    })
+def _history_part(pdf: pd.DataFrame) -> pd.DataFrame:
+    last = pdf.sort_values(["day", "o_orderkey"]).iloc[-1]
+    return pd.DataFrame({"o_custkey": [last["o_custkey"]], "n": [len(pdf)], "first_day": [pdf["day"].min()], "day": [last["day"]],
+                         "o_orderkey": [last["o_orderkey"]], "price": [last["o_totalprice"]]})
+
+
+def _history_merge(parts: pd.DataFrame) -> pd.DataFrame:
+    last = parts.sort_values(["day", "o_orderkey"]).iloc[-1]
+    return pd.DataFrame({"o_custkey": [last["o_custkey"]], "ga_size": [parts["n"].sum()], "ga_last_price": [last["price"]],
+                         "ga_span_days": [int(parts["day"].max() - parts["first_day"].min())]})
 
 
 @register("grouped_apply", f"""SELECT o_custkey, count(*) AS ga_size, arg_max(o_totalprice, (day, o_orderkey)) AS ga_last_price,
   max(day) - min(day) AS ga_span_days FROM {P} p GROUP BY o_custkey""", exact=["o_custkey", "ga_size", "ga_span_days"])
 def grouped_apply_q(spark, d):
     p = fx.previous(spark, d).select("o_custkey", "o_orderkey", "day", "o_totalprice")
-    return grouped_apply(p, "o_custkey", _history_group,
+    return grouped_apply(p, "o_custkey", _history_part, _history_merge,
+                         "o_custkey long, n long, first_day int, day int, o_orderkey long, price double",
                          "o_custkey long, ga_size long, ga_last_price double, ga_span_days int")
 
 
@@ -306,7 +307,9 @@ def rowwise_apply_q(spark, d):
     return li.select("l_orderkey", "l_linenumber", F.when(x > 1000, x).otherwise(F.lit(0.0)).alias("big_discount"))
 
 
-@register("feature_transformer")
+@register("feature_transformer", """SELECT *, c_acctbal / nullif(c_nationkey, 0) AS c_acctbal_over_c_nationkey,
+  c_acctbal - (SELECT avg(c_acctbal) FROM customer) AS c_acctbal_centred FROM customer""",
+          exact=["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], sig=8)
 def feature_transformer_q(spark, d):
     """Fit, persist, reload and apply feature objects (Spark ML stages)."""
     c = table(spark, d, "customer")

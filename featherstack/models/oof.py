@@ -8,8 +8,9 @@ and reused by every fold and bag.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier)
@@ -21,7 +22,15 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-EstimatorFactory = Callable[[], Estimator]
+class FitSize(NamedTuple):
+    """What a fit sees: its training rows and the sum of their weights."""
+    rows: int
+    weight: float
+
+
+EstimatorFactory = Callable[[FitSize], Estimator]
+Transform = Callable[[DataFrame], DataFrame]
+HELD = "__held"  # marks the held-out rows for early stopping
 
 
 # ---------------------------------------------------------------- estimators
@@ -76,51 +85,93 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features", fill
     return vec.transform(filled).drop(*[f"__f_{i}" for i in range(len(features))])
 
 
+def fold_sizes(train: DataFrame, fold: str, weight_col: str | None = None) -> dict:
+    """Rows and weight of every fold id in the data; a row without a fold is an
+    error, because no model would ever score it."""
+    weight = F.sum(weight_col) if weight_col else F.count(F.lit(1))
+    rows = train.groupBy(fold).agg(F.count(F.lit(1)).alias("rows"), weight.cast("double").alias("weight")).collect()
+    sizes = {r[0]: FitSize(r["rows"], r["weight"]) for r in rows}
+    if None in sizes:
+        raise ValueError(f"{sizes[None].rows} training rows have no {fold}")
+    if len(sizes) < 2:
+        raise ValueError(f"{fold} must have two values at least")
+    return dict(sorted(sizes.items()))
+
+
+def _models(tr: DataFrame, fold: str, sizes: Mapping, make_estimator: Callable[[FitSize], Estimator],
+            prep: Callable[[DataFrame], Transform] | None):
+    """(fold id, model, transform) for each fold, fitted on the other folds.
+
+    An estimator with a validation indicator column stops early on the
+    held-out rows; every other one sees the fold's training rows only.
+    """
+    total = FitSize(sum(s.rows for s in sizes.values()), sum(s.weight for s in sizes.values()))
+    for f, size in sizes.items():
+        rest = tr.where(F.col(fold) != F.lit(f))
+        change = prep(rest) if prep else (lambda df: df)
+        estimator = make_estimator(FitSize(total.rows - size.rows, total.weight - size.weight))
+        stops = estimator.hasParam("validationIndicatorCol") and estimator.isDefined("validationIndicatorCol")
+        fit_rows = tr.withColumn(estimator.getOrDefault("validationIndicatorCol"), F.col(fold) == F.lit(f)) if stops else rest
+        yield f, estimator.fit(change(fit_rows)), change
+
+
+def _add_score(df: DataFrame, model, change: Transform, out: str) -> DataFrame:
+    """``df`` with one more score column; the features stay as they were."""
+    keep = df.columns
+    scored = model.transform(change(df.withColumn("__raw", F.col("features"))))
+    return scored.withColumn(out, score_column(scored)).withColumn("features", F.col("__raw")).select(*keep, out)
+
+
 def oof_fit_predict(train: DataFrame, test: DataFrame | None, key: str, target: str, features: Sequence[str],
-                    fold: str, make_estimator: EstimatorFactory, k: int = 5,
-                    prep: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None,
-                    checkpoint: bool = True) -> tuple[DataFrame, DataFrame | None]:
-    """Fit on k-1 folds, score the held-out fold; test scores are the mean
-    over the k fold models.  ``prep(fit_rows, apply_rows)`` fits any
-    preprocessing on the fold's training rows only (no leakage)."""
-    tr = assemble(train.select(key, target, fold, *features), features).withColumn("label", F.col(target).cast("double"))
-    te = assemble(test.select(key, *features), features) if test is not None else None
+                    fold: str, make_estimator: EstimatorFactory, prep: Callable[[DataFrame], Transform] | None = None,
+                    weight_col: str | None = None, checkpoint: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """Fit on all folds but one, score the held-out fold, for every fold id in
+    the data; test scores are the mean over the fold models.
+
+    ``prep(fit_rows)`` fits preprocessing on the fold's training rows and
+    returns a transform, which is applied to the training, the held-out and
+    the test rows alike.  Every training row is scored exactly once: rows
+    without a fold are refused, the others partition by their fold id.  The
+    test rows are scored by all fold models in one pass.
+    """
+    cols = [key, target, fold, *([weight_col] if weight_col else [])]
+    tr = assemble(train.select(*cols, *features), features).withColumn("label", F.col(target).cast("double"))
     if checkpoint:
         tr = materialize(tr)
-    oof_parts, test_parts = [], []
-    for f in range(k):
-        fit_rows, held = tr.where(F.col(fold) != f), tr.where(F.col(fold) == f)
-        apply_test = te
-        if prep is not None:
-            fit_rows, held = prep(fit_rows, held)
-        model = make_estimator().fit(fit_rows)
-        scored = model.transform(held)
-        oof_parts.append(scored.select(key, F.col(fold), score_column(scored).alias("score")))
-        if apply_test is not None:
-            st = model.transform(apply_test)
-            test_parts.append(st.select(key, F.lit(f).alias(fold), score_column(st).alias("score")))
-    oof = reduce(DataFrame.unionByName, oof_parts)
-    test_scores = None
-    if test_parts:
-        test_scores = reduce(DataFrame.unionByName, test_parts).groupBy(key).agg(F.avg("score").alias("score"))
-    return oof, test_scores
+    sizes = fold_sizes(tr, fold, weight_col)
+    te = assemble(test.select(key, *features), features).select(key, "features") if test is not None else None
+    parts, names = [], []
+    for i, (f, model, change) in enumerate(_models(tr, fold, sizes, make_estimator, prep)):
+        held = tr.where(F.col(fold) == F.lit(f)).select(key, fold, "features")
+        parts.append(_add_score(held, model, change, "score").drop("features"))
+        if te is not None:
+            names.append(f"__s{i}")
+            te = _add_score(te, model, change, names[-1])
+    mean = sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names) if names else None
+    return reduce(DataFrame.unionByName, parts), te.select(key, mean.alias("score")) if te is not None else None
 
 
 def bagged_oof(train: DataFrame, test: DataFrame | None, key: str, target: str, features: Sequence[str], fold: str,
-               make_estimator: Callable[[int], Estimator], bags: Sequence[int], k: int = 5
-               ) -> tuple[DataFrame, DataFrame | None]:
-    """Refit with each bag parameter (seed, C, alpha ...) and keep one score
-    column per bag: ``(key, fold, bag, score)`` long tables."""
-    tr = materialize(assemble(train.select(key, target, fold, *features), features)
-                     .withColumn("label", F.col(target).cast("double")))
-    te = materialize(assemble(test.select(key, *features), features)) if test is not None else None
-    oofs, tests = [], []
+               make_estimator: Callable[[int, FitSize], Estimator], bags: Sequence[int],
+               weight_col: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Refit with each bag parameter (seed, C, alpha ...): long tables
+    ``(key, fold, bag, score)`` of the held-out rows and of the test rows, which
+    all models score in one pass."""
+    cols = [key, target, fold, *([weight_col] if weight_col else [])]
+    tr = materialize(assemble(train.select(*cols, *features), features).withColumn("label", F.col(target).cast("double")))
+    te = assemble(test.select(key, *features), features).select(key, "features") if test is not None else None
+    sizes = fold_sizes(tr, fold, weight_col)
+    oofs, names = [], {}
     for b in bags:
-        for f in range(k):
-            model = make_estimator(b).fit(tr.where(F.col(fold) != f))
-            s = model.transform(tr.where(F.col(fold) == f))
-            oofs.append(s.select(key, F.col(fold), F.lit(b).alias("bag"), score_column(s).alias("score")))
+        for f, model, change in _models(tr, fold, sizes, lambda size, b=b: make_estimator(b, size), None):
+            held = tr.where(F.col(fold) == F.lit(f)).select(key, fold, "features")
+            oofs.append(_add_score(held, model, change, "score").select(key, fold, F.lit(b).alias("bag"), "score"))
             if te is not None:
-                t = model.transform(te)
-                tests.append(t.select(key, F.lit(f).alias(fold), F.lit(b).alias("bag"), score_column(t).alias("score")))
-    return reduce(DataFrame.unionByName, oofs), (reduce(DataFrame.unionByName, tests) if tests else None)
+                names[b, f] = f"__s{len(names)}"
+                te = _add_score(te, model, change, names[b, f])
+    tests = None
+    if te is not None:
+        fold_type = dict(tr.dtypes)[fold]
+        each = [F.struct(F.lit(f).cast(fold_type).alias(fold), F.lit(b).alias("bag"), F.col(n).alias("score")) for (b, f), n in names.items()]
+        tests = te.select(key, F.explode(F.array(*each)).alias("s")).select(key, "s.*")
+    return reduce(DataFrame.unionByName, oofs), tests

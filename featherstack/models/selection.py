@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.metrics import auc
 from ..session import materialize
+from ..sources.sinks import write_table
 from .oof import assemble, oof_fit_predict
 
 
@@ -38,17 +39,23 @@ def recursive_elimination(df: DataFrame, features: Sequence[str], target: str, k
 
 def search_params(train: DataFrame, key: str, target: str, features: Sequence[str], fold: str,
                   make_estimator: Callable[[Mapping], object], space: Mapping[str, Sequence], trials: int,
-                  seed: int = 1001, k: int = 5, workers: int = 2) -> list[dict]:
-    """Random search: each trial runs a full OOF fit and is scored by OOF AUC.
-    Trials are submitted from a small thread pool so their Spark jobs overlap."""
+                  seed: int = 1001, workers: int = 2, test: DataFrame | None = None,
+                  path: str | None = None) -> list[dict]:
+    """Random search: each trial runs a full OOF fit over every fold and is
+    scored by its OOF AUC.  Trials are submitted from a small thread pool so
+    their Spark jobs overlap.  With ``path`` each trial's OOF (and test) scores
+    are kept there, in ``trial=<i>`` folders below ``oof`` and ``test``."""
     rng = random.Random(seed)
     params = [{name: rng.choice(list(values)) for name, values in space.items()} for _ in range(trials)]
     train = materialize(train.select(key, target, fold, *features))
 
     def run(i_p):
         i, p = i_p
-        oof, _ = oof_fit_predict(train, None, key, target, features, fold, lambda: make_estimator(p), k,
-                                 checkpoint=False)
+        oof, scored = oof_fit_predict(train, test, key, target, features, fold, lambda size: make_estimator(p), checkpoint=False)
+        if path is not None:
+            oof = train.sparkSession.read.parquet(write_table(oof, f"{path}/oof/trial={i}"))
+            if scored is not None:
+                write_table(scored, f"{path}/test/trial={i}")
         value = auc(oof.join(train.select(key, target), key), "score", target).first()["auc"]
         return {"trial": i, **{k_: str(v) for k_, v in p.items()}, "auc": value}
 

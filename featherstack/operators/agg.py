@@ -66,10 +66,15 @@ AGG_FUNCS: dict[str, Callable[[Column, Column | None], Column]] = {
 
 
 def _exact_sum(c: Column, where: Column | None, scale: int) -> Column:
-    # integer units (e.g. cents) summed as long: exact, order independent,
-    # and on Spark's fast fixed-width path (a DECIMAL(38) sum is not)
+    # integer units (e.g. cents) summed as long: exact, order independent, and
+    # on Spark's fast fixed-width path (a DECIMAL(38) sum is not); a group that
+    # holds finer values is summed as it is
     unit = float(10 ** scale)
-    return F.sum(F.round(_mask(c, where) * F.lit(unit)).cast("long")).cast("double") / F.lit(unit)
+    x = _mask(c, where)
+    units = x * F.lit(unit)
+    fine = F.bool_or(F.abs(units - F.round(units)) > 1e-9 * F.greatest(F.abs(units), F.lit(1.0)))
+    whole = F.sum(F.round(units).cast("long")).cast("double") / F.lit(unit)
+    return F.when(F.coalesce(fine, F.lit(False)), F.sum(x)).otherwise(whole)
 
 
 def _q(name: str) -> str:
@@ -81,7 +86,9 @@ def _sql_stat(x: str, fn: str, where: str | None, scale: int | None) -> str | No
     m = f"CASE WHEN {where} THEN {x} END" if where else x
     if scale is not None and fn in ("sum", "sum_null", "mean"):
         unit = repr(float(10 ** scale))
-        total = f"(CAST(sum(CAST(round({m} * {unit}) AS BIGINT)) AS DOUBLE) / {unit})"
+        units = f"({m} * {unit})"
+        fine = f"coalesce(bool_or(abs({units} - round({units})) > 1e-9 * greatest(abs({units}), 1.0)), false)"
+        total = f"CASE WHEN {fine} THEN sum({m}) ELSE CAST(sum(CAST(round({units}) AS BIGINT)) AS DOUBLE) / {unit} END"
         return {"sum": f"coalesce({total}, 0.0)", "sum_null": total, "mean": f"try_divide({total}, count({m}))"}[fn]
     n = f"CAST(count({m}) AS DOUBLE)"
     table = {
@@ -252,22 +259,17 @@ def share_of_levels(df: DataFrame, key: str, col: str, levels: Sequence, prefix:
     return out
 
 
-def discover_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 256) -> dict[str, list]:
+def discover_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
     """Sorted non-null levels of several categorical columns in ONE distinct pass.
 
-    The pass returns at most ``max_levels`` levels per column to the driver;
-    a column above that bound raises instead of silently truncating.
+    For outputs that have one column per level, whose width the caller so
+    accepts; codes of any number of levels come from ``encode.level_codes``,
+    which keeps the levels in a table.
     """
     kv = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                              for c in cols])).alias("kv")
     distinct = df.select(kv).select("kv.name", "kv.value").where(F.col("value").isNotNull()).distinct()
-    total_cap = max_levels * len(cols) + 1
-    rows = distinct.limit(total_cap).collect()
     out: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
+    for r in distinct.collect():
         out[r["name"]].append(r["value"])
-    for c, vals in out.items():
-        if len(vals) > max_levels or len(rows) >= total_cap:
-            raise ValueError(f"column {c} has more than {max_levels} levels; pass levels explicitly")
-        vals.sort()
-    return out
+    return {c: sorted(v) for c, v in out.items()}

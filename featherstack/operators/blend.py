@@ -23,12 +23,13 @@ def rank_average(df: DataFrame, cols: Sequence[str], out: str, method: str = "mi
     by the number of rows (per group)."""
     ranked = rank_columns(df, cols, method, by, suffix="__r")
     mean_rank = sum((F.col(c + "__r") for c in cols), F.lit(0.0)) / F.lit(float(len(cols)))
-    if by:
-        from pyspark.sql import Window
-        n = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    else:
-        n = F.lit(float(df.count()))
-    return ranked.withColumn(out, mean_rank / n).drop(*[c + "__r" for c in cols])
+    if not by:
+        return ranked.withColumn(out, mean_rank / F.lit(float(df.count()))).drop(*[c + "__r" for c in cols])
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))  # combined map-side; no group in one window
+    sizes = sizes.select(*[F.col(b).alias(f"__by_{b}") for b in by], "__rows")
+    same = [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by]
+    return ranked.join(sizes, same).withColumn(out, mean_rank / F.col("__rows")).drop(
+        "__rows", *[f"__by_{b}" for b in by], *[c + "__r" for c in cols])
 
 
 def mean_blend(df: DataFrame, key: str, score: str, out: str = "score") -> DataFrame:

@@ -1,11 +1,9 @@
-"""Grouped pandas apply: the escape hatch for per-group logic that built-in
-expressions cannot state.
-
-A pandas function sees a whole group in one task, so a hot group would be
-collected into one worker.  ``grouped_apply`` therefore measures group sizes
-first (one cheap aggregate, combined map-side) and refuses to run when a
-group is above ``max_group_rows``; such features must be written with native
-aggregates/windows (see ``ordered``), which never need a whole group.
+"""Grouped pandas apply in two phases: the escape hatch for per-group logic that
+built-in expressions cannot state.
+
+A group of any size is cut into parts of about ``rows_per_part`` rows; a
+``partial`` function reduces each part to a few rows and ``merge`` reduces a
+group's partial rows to its result, so no task needs a whole group.
 """
 
 from __future__ import annotations
@@ -16,18 +14,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
+PandasFn = Callable[[pd.DataFrame], pd.DataFrame]
+ROWS_PER_PART = 100_000
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return int(row[0] or 0)
+def grouped_apply(df: DataFrame, key: str, partial: PandasFn, merge: PandasFn, partial_schema: str, schema: str,
+                  rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """``merge`` over the ``partial`` results of each group's parts.
 
+    Both get a pandas frame of rows with one ``key``; the partial rows must
+    carry ``key``.  Rows with a NULL key form one group.
+    """
+    parts = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows_per_part).alias("__parts")).withColumnRenamed(key, "__key")
+    cut = df.join(parts, F.col(key).eqNullSafe(F.col("__key"))).withColumn(
+        "__part", F.pmod(F.xxhash64(*df.columns), F.col("__parts"))).drop("__key", "__parts")
 
-def grouped_apply(df: DataFrame, key: str, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
-                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    """``groupBy(key).applyInPandas(fn, schema)`` behind a group-size bound."""
-    biggest = largest_group(df, key)
-    if biggest > max_group_rows:
-        raise ValueError(f"group of {biggest} rows exceeds {max_group_rows}; use native aggregates instead")
-    return df.groupBy(key).applyInPandas(fn, schema)
+    def one_part(pdf: pd.DataFrame) -> pd.DataFrame:
+        return partial(pdf.drop(columns="__part"))
+    return cut.groupBy(key, "__part").applyInPandas(one_part, partial_schema).groupBy(key).applyInPandas(merge, schema)

@@ -2,30 +2,29 @@
 ``do_countuniq`` and per-group recipes).
 
 All statistics for one grouping key go into ONE aggregate; the per-group
-table is joined back with ``join_small`` (broadcast only below a checked row
-bound).  An aggregate + join is used instead of ``count() over (partition by
-g)`` because a window would put a hot group into one task; the aggregate
-combines it map-side and the broadcast join needs no shuffle of the rows.
+table is joined back by its keys (the planner broadcasts it if its bytes are
+few, else AQE splits a hot key).  An aggregate + join is used instead of
+``count() over (partition by g)`` because a window would put a hot group into
+one task; the aggregate combines it map-side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..names import feature_name
 from .agg import agg_expr
-from .joins import DEFAULT_BROADCAST_ROWS, join_small
+from .rank import quantiles_long
 
 
 def _keys(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
-def group_recipes(df: DataFrame, recipes: Sequence[tuple[Sequence[str], Sequence[tuple[str, str]]]],
-                  max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def group_recipes(df: DataFrame, recipes: Sequence[tuple[Sequence[str], Sequence[tuple[str, str]]]]) -> DataFrame:
     """``[(keys, [(col, stat), ...]), ...]``: each statistic per key set, joined back
     as ``grp_<keys>_<col>_<stat>``.  NULL keys never match (like pandas, which
     drops NaN groups)."""
@@ -33,37 +32,44 @@ def group_recipes(df: DataFrame, recipes: Sequence[tuple[Sequence[str], Sequence
     for keys, stats in recipes:
         keys = _keys(keys)
         prefix = "grp_" + "_".join(keys)
-        g = df.groupBy(*keys).agg(*[agg_expr(c, fn).alias(feature_name(prefix, c, fn)) for c, fn in stats])
-        out = join_small(out, g, keys, "left", max_rows)
+        plain = [(c, fn) for c, fn in stats if fn != "median"]
+        if plain:
+            g = df.groupBy(*keys).agg(*[agg_expr(c, fn).alias(feature_name(prefix, c, fn)) for c, fn in plain])
+            out = out.join(g, keys, "left")
+        middle = [c for c, fn in stats if fn == "median"]
+        if middle:
+            out = out.join(group_medians(df, keys, {c: feature_name(prefix, c, "median") for c in middle}), keys, "left")
     return out
 
 
-def broadcast_count(df: DataFrame, keys: Sequence[str] | str, name: str | None = None,
-                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def group_medians(df: DataFrame, keys: Sequence[str] | str, names: Mapping[str, str]) -> DataFrame:
+    """Exact medians of few, large groups, read off distributed cumulative
+    counts: no task holds a group's values.  ``names``: column to output."""
+    keys = _keys(keys)
+    long = quantiles_long(df, list(names), [0.5], keys)
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == c, F.col("__q"))).alias(n) for c, n in names.items()])
+
+
+def broadcast_count(df: DataFrame, keys: Sequence[str] | str, name: str | None = None) -> DataFrame:
     keys = _keys(keys)
     name = name or feature_name("cnt", "_".join(keys))
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return join_small(df, g, keys, "left", max_rows)
+    return df.join(g, keys, "left")
 
 
-def broadcast_mean(df: DataFrame, cat: str, cols: Sequence[str], max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_mean(df: DataFrame, cat: str, cols: Sequence[str]) -> DataFrame:
     """Mean of each numeric column per level of ``cat``, as ``mean_<cat>_<col>``."""
     g = df.groupBy(cat).agg(*[F.avg(c).alias(f"mean_{cat}_{c}".lower()) for c in cols])
-    return join_small(df, g, cat, "left", max_rows)
+    return df.join(g, cat, "left")
 
 
-def broadcast_nunique(df: DataFrame, cats: Sequence[str], small_levels: bool = True,
-                      max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_nunique(df: DataFrame, cats: Sequence[str]) -> DataFrame:
     """For every ordered pair (f0, f1) of categories: distinct f1 per f0 level,
-    as ``nuniq_<f0>_<f1>``.  One aggregate per f0 (not one per pair).
-
-    ``small_levels`` counts through ``size(collect_set)``, which avoids the
-    row Expand of several ``count(distinct)`` when f1 has few levels.
-    """
+    as ``nuniq_<f0>_<f1>``.  One aggregate per f0 (not one per pair), by distinct
+    (f0, f1) rows, so no task holds a set of values."""
     out = df
     for f0 in cats:
         others = [f1 for f1 in cats if f1 != f0]
-        fn = "nunique_small" if small_levels else "nunique"
-        g = df.groupBy(f0).agg(*[agg_expr(f1, fn).alias(f"nuniq_{f0}_{f1}".lower()) for f1 in others])
-        out = join_small(out, g, f0, "left", max_rows)
+        g = df.groupBy(f0).agg(*[agg_expr(f1, "nunique").alias(f"nuniq_{f0}_{f1}".lower()) for f1 in others])
+        out = out.join(g, f0, "left")
     return out

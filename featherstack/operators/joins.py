@@ -1,42 +1,18 @@
 """Joins by key.
 
 Positional column concatenation in the reference becomes an equi left join
-on the entity key.  Broadcast is used only behind a size check: the small
-side is materialised in the shared checkpoint folder (so it is not computed
-twice), its row count is compared with a bound, and above the bound the join
-stays a shuffle join that AQE may still convert or split for skew.
+on the entity key.  No join is forced to broadcast: the planner broadcasts a
+side by its size in bytes, at run time too (AQE), and else shuffles and splits
+skewed keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
-# Upper bound for an explicitly broadcast side (rows).  Level tables, group
-# statistics over categories and model/fold tables sit far below it.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-            checkpoint: bool = True) -> tuple[DataFrame, bool]:
-    """Materialise ``small`` and report whether it has at most ``max_rows`` rows."""
-    if checkpoint:
-        small = materialize(small)
-    n = small.limit(max_rows + 1).count()
-    return small, n <= max_rows
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = DEFAULT_BROADCAST_ROWS, checkpoint: bool = True) -> DataFrame:
-    """Join with a side that is usually small: broadcast it only if its
-    checked size is within ``max_rows``; otherwise a regular shuffle join."""
-    small, ok = bounded(small, max_rows, checkpoint)
-    return big.join(F.broadcast(small) if ok else small, on, how)
-
 
 def left_join_features(base: DataFrame, features: Sequence[DataFrame], key: str | Sequence[str]) -> DataFrame:
     """Base entity ⟕ each feature table (all keyed by the same entity key).
@@ -71,9 +47,9 @@ def membership_isin(df: DataFrame, ids: DataFrame, key: str, flag: str = "is_mem
     return df.join(marks, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
 
 
-def map_lookup(df: DataFrame, key_cols: str | Sequence[str], table: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def map_lookup(df: DataFrame, key_cols: str | Sequence[str], table: DataFrame) -> DataFrame:
     """``col.map(series)``: left join with a lookup table keyed by category."""
-    return join_small(df, table, key_cols, "left", max_rows)
+    return df.join(table, key_cols, "left")
 
 
 def null_columns_for_keys(df: DataFrame, ids: DataFrame, key: str, pattern: str) -> DataFrame:
@@ -83,16 +59,3 @@ def null_columns_for_keys(df: DataFrame, ids: DataFrame, key: str, pattern: str)
     targets = {c for c in df.columns if pattern.lower() in c.lower() and c != key}
     out = [F.when(F.col("__null_me") == 0, F.col(c)).alias(c) if c in targets else F.col(c) for c in df.columns]
     return flagged.select(*out)
-
-
-def filter_by_pairs(df: DataFrame, pairs: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keep rows of ``df`` whose ``on`` columns match a row of ``pairs``.
-
-    Used to re-attach per-key extremes: joining on ``(key, time)`` rather than
-    on the key alone spreads a hot key over many partitions.
-    """
-    return df.join(pairs.select(*on).distinct(), list(on), "left_semi")
-
-
-def expr_cols(cols: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]

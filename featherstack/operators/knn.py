@@ -23,25 +23,44 @@ from pyspark.sql import functions as F
 CANDIDATE_SCHEMA = "__q long, __b long, __d double, __y long"
 
 
+TILE = 256  # query rows whose distances to a base block are in memory at once
+
+
 def _topk_fn(qkey: str, bkey: str, vec: str, label: str, k: int):
+    """The k nearest base rows of a block by (distance, key).
+
+    Distances by expansion only sort out what is far: every row that they put
+    within rounding of the k-th is measured exactly, so ties at the k-th
+    distance are all seen and go to the smaller keys.
+    """
     def run(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(b) == 0:
             return pd.DataFrame({"__q": [], "__b": [], "__d": [], "__y": []})
         qm = np.stack(q[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
         bm = np.stack(b[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
-        d2 = (qm * qm).sum(1)[:, None] + (bm * bm).sum(1)[None, :] - 2.0 * qm @ bm.T
-        kk = min(k, len(b))
-        idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-        rows = np.repeat(np.arange(len(q)), kk)
-        cols = idx.ravel()
-        exact = np.sqrt(np.maximum(((qm[rows] - bm[cols]) ** 2).sum(1), 0.0))
-        return pd.DataFrame({"__q": q[qkey].to_numpy()[rows], "__b": b[bkey].to_numpy()[cols],
-                             "__d": exact, "__y": b[label].to_numpy()[cols]})
+        keys, labels, kk = b[bkey].to_numpy(), b[label].to_numpy(), min(k, len(b))
+        b2 = (bm * bm).sum(1)
+        rows, cols, dist = [], [], []
+        for first in range(0, len(q), TILE):
+            qt = qm[first:first + TILE]
+            q2 = (qt * qt).sum(1)
+            d2 = q2[:, None] + b2[None, :] - 2.0 * qt @ bm.T
+            slack = 1e-9 * (q2 + b2.max())
+            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
+            for i in range(len(qt)):
+                near = np.flatnonzero(d2[i] <= kth[i] + 2 * slack[i])
+                exact = np.sqrt(((qt[i] - bm[near]) ** 2).sum(1))
+                best = np.lexsort((keys[near], exact))[:kk]
+                rows.append(np.full(len(best), first + i))
+                cols.append(near[best])
+                dist.append(exact[best])
+        rows, cols = np.concatenate(rows), np.concatenate(cols)
+        return pd.DataFrame({"__q": q[qkey].to_numpy()[rows], "__b": keys[cols], "__d": np.concatenate(dist), "__y": labels[cols]})
     return run
 
 
 def knn_neighbours(base: DataFrame, query: DataFrame, bkey: str, qkey: str, vec: str, label: str, k: int,
-                   block_rows: int = 50_000) -> DataFrame:
+                   block_rows: int = 20_000) -> DataFrame:
     """The k nearest base rows of every query row: ``(__q, __b, __d, __y, rn)``;
     ties on distance go to the smaller base key."""
     nb = max(1, math.ceil(base.count() / block_rows))
@@ -59,7 +78,7 @@ def knn_neighbours(base: DataFrame, query: DataFrame, bkey: str, qkey: str, vec:
 
 
 def knn_score(base: DataFrame, query: DataFrame, bkey: str, qkey: str, vec: str, label: str, k: int,
-              block_rows: int = 50_000) -> DataFrame:
+              block_rows: int = 20_000) -> DataFrame:
     """Distance-weighted vote (weights 1/d; an exact match takes all the
     weight): predicted label, its weight share and the mean neighbour label."""
     nb = knn_neighbours(base, query, bkey, qkey, vec, label, k, block_rows)

@@ -8,28 +8,29 @@ here puts a whole entity's history into one window task.
   (partial aggregation combines a hot key map-side).
 * top-k per entity is ``row_number() <= k``: Spark plans it with a partial
   ``WindowGroupLimit`` *below* the shuffle, so each map task ships at most k
-  rows per key (a map-side top-k) and the final window sees at most
-  ``k × map tasks`` rows of a hot key.  An explicit salted first phase is
-  available (``salt > 1``) for engines without that rule.
+  rows per key (a map-side top-k); a first phase ranks within salted parts of
+  a key, which share those ``k × map tasks`` rows, and the final window sees
+  at most ``k × salt`` rows of a hot key.
 * extremes are aggregated per key and re-attached with a join on
   ``(key, time)``, which spreads a hot key by time.
 * lagged differences are computed inside ``(key, time chunk)`` windows and
-  the first row of each chunk is repaired from the previous chunk's last row.
+  chunks are linked by their first and last values.
 
 Every "latest" needs a total order: pass a tiebreak column.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..names import feature_name
 from .agg import Spec, _pairs, agg_expr
+from .rank import positions_up_to
 
-DEFAULT_SALT = 1  # map-side top-k comes from WindowGroupLimit (see module doc)
+DEFAULT_SALT = 16  # parts that a key's first ranking is spread over
 
 
 def _list(x) -> list[str]:
@@ -129,18 +130,6 @@ def extreme_rows(df: DataFrame, key: str, t: str, which: str = "max") -> DataFra
     return df.join(ext, [key, t], "left_semi")
 
 
-def latest_rows(df: DataFrame, key: str, t: str, ties: str = "all", tiebreak: str | None = None) -> DataFrame:
-    """Rows at the latest ``t`` per key; ``ties="first"`` keeps only the row
-    with the largest ``(t, tiebreak)``."""
-    if ties == "all":
-        return extreme_rows(df, key, t, "max")
-    if tiebreak is None:
-        raise ValueError("ties='first' needs a tiebreak column")
-    last = df.groupBy(key).agg(F.max(F.struct(F.col(t), F.col(tiebreak))).alias("__m")) \
-        .select(key, F.col("__m")[t].alias(t), F.col("__m")[tiebreak].alias(tiebreak))
-    return df.join(last, [key, t, tiebreak], "left_semi")
-
-
 def nth_latest_rows(df: DataFrame, key: str, t: str, n: int = 2, salt: int = DEFAULT_SALT) -> DataFrame:
     """Rows at the n-th latest *distinct* ``t`` per key (``dense_rank() = n``)."""
     distinct = df.select(key, t).where(F.col(t).isNotNull()).distinct()
@@ -154,48 +143,40 @@ def last_entity_rows(df: DataFrame, key: str, entity: str, order: Sequence[str])
     return df.join(last, [key, entity], "left_semi")
 
 
-def lagged_diff_mean(df: DataFrame, key: str, t: str, tiebreak: str, col: str, name: str,
-                     first: str = "null", chunk_width: float = 1024.0,
-                     rows_per_chunk: int | None = None) -> DataFrame:
+def lagged_diff_mean(df: DataFrame, key: str, t: str, tiebreak: str, col: str, names: Mapping[str, str],
+                     rows_per_chunk: int = 1024) -> DataFrame:
     """Mean of consecutive differences of ``col`` per key ordered by ``(t, tiebreak)``.
 
-    ``first="null"``: the first row has no difference (pandas ``diff``);
-    ``first="zero"``: it counts as 0 (R ``c(0, diff(x))``).  A difference
-    touching a missing value is missing and skipped by the mean.
+    ``names`` gives the output for ``"null"`` (the first row has no difference,
+    pandas ``diff``) and/or ``"zero"`` (it counts as 0, R ``c(0, diff(x))``).  A
+    difference touching a missing value is missing and skipped by the mean.
 
-    Work is split into ``(key, chunk)`` windows over contiguous ranges of
-    ``t``; the first row of a chunk takes its predecessor from the previous
-    non-empty chunk.  Chunks are ``chunk_width`` wide, or — with
-    ``rows_per_chunk`` — sized per key from its row count n and time span to
-    hold about ``max(rows_per_chunk, sqrt(n))`` rows, so neither the chunk
-    windows nor the per-key window over chunk summaries grows past ~sqrt(n).
+    Work is split into ``(key, chunk)`` windows.  A chunk begins at every row
+    whose hash falls on one in ``max(rows_per_chunk, sqrt(n))`` of the key's n
+    rows, so chunks follow the rows however they bunch in time, equal times
+    included, and neither the chunk windows nor the per-key window over chunk
+    summaries grows past about sqrt(n).  The first row of a chunk takes its
+    predecessor from the previous chunk.
     """
-    rows = df.select(key, t, tiebreak, col)
-    if rows_per_chunk:
-        span = rows.groupBy(key).agg(F.min(t).alias("__t0"), F.max(t).alias("__t1"), F.count(F.lit(1)).alias("__cnt"))
-        # about max(rows_per_chunk, sqrt(n)) rows per chunk: both the chunk
-        # windows and the per-key window over chunk summaries stay ~sqrt(n)
-        target = F.greatest(F.lit(float(rows_per_chunk)), F.sqrt(F.col("__cnt").cast("double")))
-        width = F.greatest(F.lit(1.0), (F.col("__t1") - F.col("__t0") + 1).cast("double")
-                           * target / F.col("__cnt"))
-        rows = rows.join(span, key).withColumn("__chunk", F.floor((F.col(t) - F.col("__t0")) / width)) \
-            .drop("__t0", "__t1", "__cnt")
-    else:
-        rows = rows.withColumn("__chunk", F.floor(F.col(t) / F.lit(chunk_width)))
     order = [F.col(t), F.col(tiebreak)]
+    place = F.struct(*order)
+    rows = df.select(key, t, tiebreak, col)
+    sizes = rows.groupBy(key).agg(F.greatest(F.lit(rows_per_chunk), F.sqrt(F.count(F.lit(1)))).cast("long").alias("__every"))
+    marked = rows.join(sizes, key).withColumn("__begins", F.pmod(F.xxhash64(key, t, tiebreak), F.col("__every")) == 0)
+    begins = marked.where("__begins").groupBy(key).agg(F.array_sort(F.collect_list(place)).alias("__starts"))
+    rows = marked.drop("__every", "__begins").join(begins, key, "left")
+    rows = rows.withColumn("__chunk", F.coalesce(positions_up_to(F.col("__starts"), place), F.lit(0))).drop("__starts")
     w = Window.partitionBy(key, "__chunk").orderBy(*order)
     rows = rows.withColumn("__prev", F.lag(col).over(w)).withColumn("__pos", F.row_number().over(w))
-    chunks = rows.groupBy(key, "__chunk").agg(F.max_by(F.col(col), F.struct(*order)).alias("__last"))
-    wc = Window.partitionBy(key).orderBy("__chunk")
-    chunks = chunks.select(key, "__chunk",
-                           F.lag("__last").over(wc).alias("__prev_chunk_last"),
-                           (F.row_number().over(wc) == 1).alias("__first_chunk"))
-    rows = rows.join(chunks, [key, "__chunk"], "inner")
-    is_first = (F.col("__pos") == 1) & F.col("__first_chunk")
-    prev = F.when(F.col("__pos") == 1, F.col("__prev_chunk_last")).otherwise(F.col("__prev"))
-    diff = F.when(is_first, F.lit(0.0) if first == "zero" else F.lit(None).cast("double")) \
-        .otherwise((F.col(col) - prev).cast("double"))
-    return rows.groupBy(key).agg(F.avg(diff).alias(name))
+    rows = rows.withColumn("__diff", F.when(F.col("__pos") > 1, (F.col(col) - F.col("__prev")).cast("double")))
+    chunks = rows.groupBy(key, "__chunk").agg(F.max_by(F.col(col), place).alias("__last"), F.min_by(F.col(col), place).alias("__first"),
+                                              F.sum("__diff").alias("__sum"), F.count("__diff").alias("__n"))
+    before = F.lag("__last").over(Window.partitionBy(key).orderBy("__chunk"))
+    chunks = chunks.withColumn("__join", (F.col("__first") - before).cast("double"))
+    total = F.coalesce(F.sum("__sum"), F.lit(0.0)) + F.coalesce(F.sum("__join"), F.lit(0.0))
+    n = F.sum("__n") + F.count("__join")
+    forms = {"null": F.try_divide(total, n), "zero": total / (n + 1)}
+    return chunks.groupBy(key).agg(*[forms[k].alias(name) for k, name in names.items()])
 
 
 def trend_exprs(y: str, x: str, prefix: str, where: Column | None = None, fill_y: float | None = None,

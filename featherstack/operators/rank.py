@@ -6,13 +6,13 @@ task.  Here:
 1. rows are aggregated to distinct ``(group, value)`` with counts (and any
    extra weights, e.g. positives/negatives) — a hot value becomes one row;
 2. each group's distinct values are cut into value-range buckets at
-   approximate quantile edges (computed once, so retries see the same
-   buckets; at most ``groups × buckets`` numbers reach the driver).  The
-   bucket count grows with the row count (~2M rows per bucket, capped), so a
-   bucket window stays bounded at any scale;
+   approximate quantile edges.  The edges are a table, one row per group, with
+   as many buckets as the group's own rows need (~2M rows per bucket), so a
+   bucket window stays bounded at any scale and any number of groups will do;
+   a value finds its bucket by binary search;
 3. a running sum is taken inside each ``(group, bucket)`` window;
 4. bucket totals (a ``groups × buckets`` table) get exclusive prefix sums and
-   are joined back (broadcast: its size is bounded by construction).
+   are joined back by (group, bucket).
 
 The result is exact.  Ranks, quantiles with linear interpolation and the
 tie-aware AUC are all read off these cumulative counts.
@@ -20,62 +20,51 @@ tie-aware AUC are all read off these cumulative counts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 64
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 50_000
-MAX_EDGE_GROUPS = 10_000
+from ..session import materialize
 
+DEFAULT_BUCKETS = 64  # for groups of many rows, so that several tasks share them
+ROWS_PER_BUCKET = 2_000_000
+LEAST_ROWS = 10_000  # rows that make a bucket worth its task
 
-GRID = 1024  # quantile grid sketched together with the row count
 
+def _edges(base: DataFrame, by: list[str], v: str, buckets: int | None) -> DataFrame:
+    """(by…, __edges): sorted, distinct bucket edges of each group.
 
-def _sketch(base: DataFrame, by: list[str], v: str, grid: int):
+    One number reaches the driver, the largest group's size, which sets how fine
+    the quantile sketch must be; the edges stay a table, written once so that
+    every retry cuts at the same places.
+    """
+    if buckets is None:
+        largest = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        grid = max(DEFAULT_BUCKETS, math.ceil(largest / ROWS_PER_BUCKET))
+        rows = F.count(F.lit(1))
+        wanted = F.greatest(F.ceil(rows / ROWS_PER_BUCKET), F.least(F.lit(DEFAULT_BUCKETS), F.ceil(rows / LEAST_ROWS)))
+    else:
+        grid, wanted = buckets, F.max(F.lit(buckets))
     probs = [i / grid for i in range(1, grid)]
-    accuracy = max(100, 10 * grid)
-    e = base.groupBy(*by).agg(F.count(F.lit(1)).alias("__cnt"), F.percentile_approx(v, probs, accuracy).alias("__edges"))
-    rows = e.limit(MAX_EDGE_GROUPS + 1).collect()
-    if len(rows) > MAX_EDGE_GROUPS:
-        raise ValueError("too many groups for distributed ranking")
-    return rows
-
+    sketch = base.groupBy(*by).agg(F.percentile_approx(v, probs, max(100, 10 * grid)).alias("__all") if probs
+                                   else F.max(F.array().cast("array<double>")).alias("__all"), wanted.cast("int").alias("__w"))
+    # every (grid / wanted)-th edge of the sketch
+    picked = F.filter("__all", lambda e, i: F.floor((i + 1) * F.col("__w") / grid) > F.floor(i * F.col("__w") / grid))
+    return materialize(sketch.select(*by, F.array_sort(F.array_distinct(picked)).alias("__edges")))
 
-def _edges(base: DataFrame, by: list[str], v: str, buckets: int | None) -> DataFrame | Column:
-    """Bucket edges per group from ONE job: row count and a quantile sketch.
 
-    With ``buckets=None`` the bucket count follows the row count (about
-    ROWS_PER_BUCKET rows per bucket); it is read off the 1024-point grid, and
-    only data above ~2e9 rows needs a second, finer sketch.  At most
-    ``groups × buckets`` numbers reach the driver.
-    """
-    grid = buckets or GRID
-    rows = _sketch(base, by, v, grid)
-    if buckets is None:
-        n = sum(r["__cnt"] for r in rows)
-        buckets = int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-n // ROWS_PER_BUCKET))))
-        if buckets > grid:
-            grid = buckets
-            rows = _sketch(base, by, v, grid)
-    picks = sorted({round(i * grid / buckets) for i in range(1, buckets)}) if buckets < grid else None
-
-    def edge_list(r) -> list[float]:
-        vals = list(r["__edges"] or [])
-        if picks is not None and vals:
-            vals = [vals[min(len(vals), p) - 1] for p in picks]
-        return [float(x) for x in sorted(set(vals))]
-
-    if not by:
-        vals = edge_list(rows[0]) if rows else []
-        return F.array(*[F.lit(x) for x in vals]) if vals else F.array().cast("array<double>")
-    spark = base.sparkSession
-    data = [tuple(r[c] for c in by) + (edge_list(r),) for r in rows]
-    schema = base.select(*by).schema.add("__edges", T.ArrayType(T.DoubleType()))
-    return F.broadcast(spark.createDataFrame(data, schema))
+def positions_up_to(edges: Column, value: Column) -> Column:
+    """How many of the sorted ``edges`` are at most ``value``, by binary search."""
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        right = F.get(edges, mid) <= value
+        return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(F.when(right, mid + 1).otherwise(s["lo"]).alias("lo"),
+                                                               F.when(right, s["hi"]).otherwise(mid).alias("hi")))
+    span = F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi"))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(edges) + F.lit(1))).cast("int"))
+    return F.aggregate(steps, span, halve, lambda s: s["lo"])
 
 
 def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = (),
@@ -92,19 +81,19 @@ def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = ()
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*by, v.cast("double").alias("__v"), *[c.alias(k) for k, c in weights.items()]) \
         .where(F.col("__v").isNotNull())
-    # bucket edges from a quantile sketch of the raw values (partial
-    # aggregation, no shuffle of rows); any edges give exact results
-    edges = _edges(base, by, "__v", buckets)  # buckets grow with the data when None
-    vc = base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n"),
-                                      *[F.sum(k).alias(k) for k in weights])
-    if isinstance(edges, DataFrame):
-        vc = vc.join(edges, by, "left")
-        edge_col = F.coalesce(F.col("__edges"), F.array().cast("array<double>"))
+    # any edges give exact results; without groups a constant stands for the one group
+    keys = by or ["__all_rows"]
+    base = base if by else base.withColumn("__all_rows", F.lit(0))
+    edges = _edges(base, keys, "__v", buckets)
+    vc = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"), *[F.sum(k).alias(k) for k in weights])
+    if not by:  # one row of edges: a constant of the plan
+        one = edges.first()
+        vc = vc.withColumn("__edges", F.array(*[F.lit(float(x)) for x in (one["__edges"] if one else ()) or ()]).cast("array<double>"))
     else:
-        edge_col = edges
-    vc = vc.withColumn("__b", F.size(F.filter(edge_col, lambda e: e <= F.col("__v"))))
-    if isinstance(edges, DataFrame):
-        vc = vc.drop("__edges")
+        named = edges.select(*[F.col(k).alias(f"__e_{k}") for k in keys], "__edges")
+        vc = vc.join(named, [F.col(k).eqNullSafe(F.col(f"__e_{k}")) for k in keys], "left").drop(*[f"__e_{k}" for k in keys])
+    vc = vc.withColumn("__b", F.coalesce(positions_up_to(F.col("__edges"), F.col("__v")), F.lit(0))).drop("__edges")
+    by_out, by = by, keys
 
     cum_names = ["__n", "__d"] + list(weights)
     vc = vc.withColumn("__d", F.lit(1))
@@ -113,15 +102,13 @@ def cumulative_counts(df: DataFrame, value: str | Column, by: Sequence[str] = ()
         vc = vc.withColumn(f"{c}__in", F.coalesce(F.sum(c).over(w_in), F.lit(0)))
 
     totals = vc.groupBy(*by, "__b").agg(*[F.sum(c).alias(f"{c}__bt") for c in cum_names])
-    w_off = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("__b") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*by) if by else Window.partitionBy()
-    totals = totals.select(*by, "__b",
+    w_off = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # rows: buckets
+    w_all = Window.partitionBy(*by)
+    totals = totals.select(*[F.col(k).alias(f"__t_{k}") for k in by], F.col("__b").alias("__t_b"),
                            *[F.coalesce(F.sum(f"{c}__bt").over(w_off), F.lit(0)).alias(f"{c}__off") for c in cum_names],
                            *[F.sum(f"{c}__bt").over(w_all).alias(f"{c}__tot") for c in cum_names])
-    # totals has at most groups × buckets rows (bounded above): broadcast it.
-    j = vc.join(F.broadcast(totals), by + ["__b"], "inner")
-    out = [*by, "__v", "__n",
+    j = vc.join(totals, [F.col("__b") == F.col("__t_b"), *[F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in by]], "inner")
+    out = [*by_out, "__v", "__n",
            (F.col("__n__off") + F.col("__n__in")).alias("__before"),
            (F.col("__d__off") + F.col("__d__in")).alias("__dense_before"),
            F.col("__n__tot").alias("__total")]
@@ -146,20 +133,6 @@ def rank_expr(method: str) -> Column:
     raise ValueError(method)
 
 
-def rank_column(df: DataFrame, col: str, out: str, method: str = "average", by: Sequence[str] = (),
-                pct: bool = False, buckets: int | None = None) -> DataFrame:
-    """Add ``out`` = rank of ``col`` (within ``by``), ties per ``method``;
-    ``pct`` divides by the non-null count.  NULL values get a NULL rank."""
-    by = list(by)
-    cc = cumulative_counts(df, col, by, buckets=buckets)
-    r = rank_expr(method)
-    if pct:
-        r = r / F.col("__total")
-    ranks = cc.select(*by, F.col("__v"), r.alias(out))
-    key = df.withColumn("__v", F.col(col).cast("double"))
-    return key.join(ranks, by + ["__v"], "left").drop("__v")
-
-
 def rank_columns(df: DataFrame, cols: Sequence[str], method: str = "average", by: Sequence[str] = (),
                  suffix: str = "_rank", pct: bool = False, buckets: int | None = None) -> DataFrame:
     """Ranks of several columns at once: the columns are melted to
@@ -177,7 +150,7 @@ def rank_columns(df: DataFrame, cols: Sequence[str], method: str = "average", by
     for c in cols:
         rc = ranks.where(F.col("__name") == c).select(
             *[F.col(b).alias(f"__by_{b}") for b in by], F.col("__v").alias("__vj"), F.col("__r").alias(c + suffix))
-        cond = [F.col(c).cast("double") == F.col("__vj")] + [F.col(b) == F.col(f"__by_{b}") for b in by]
+        cond = [F.col(c).cast("double") == F.col("__vj")] + [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by]
         out = out.join(rc, cond, "left").drop("__vj", *[f"__by_{b}" for b in by])
     return out
 

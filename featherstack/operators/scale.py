@@ -55,13 +55,18 @@ def variance_threshold(train: DataFrame, cols: Sequence[str], threshold: float =
 
 def svd_reduce(df: DataFrame, vec_col: str, k: int, prefix: str = "svd") -> DataFrame:
     """Truncated SVD without centring: project rows on the top-k right singular
-    vectors (X·V).  V (dim × k) is the only thing that reaches the driver."""
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    rows = df.select(vec_col).rdd.map(lambda r: OldVectors.dense([float(x) for x in r[0]]))
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    v = svd.V.toArray()  # dim × k
+    vectors (X·V).
+
+    V is what a PCA finds on the rows together with their negatives: their mean
+    is zero, so nothing is centred.  It runs in the JVM; V (dim × k) is the only
+    thing that reaches the driver.  NULL vectors get NULL components.
+    """
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+
+    x = df.select(F.col(vec_col).cast("array<double>").alias("x")).where("x IS NOT NULL")
+    both = x.select(F.explode(F.array("x", F.transform("x", lambda v: -v))).alias("x")).select(array_to_vector("x").alias("v"))
+    v = PCA(k=k, inputCol="v", outputCol="p").fit(both).pc.toArray()
     emb = F.col(vec_col)
     comps = []
     for j in range(v.shape[1]):

@@ -144,6 +144,10 @@ def features_bureau_summary(spark: SparkSession, d: str) -> DataFrame:
         F.try_divide(A.agg_expr("o_totalprice", "sum", "o_orderstatus = 'O'", 2),
                      A.agg_expr("o_totalprice", "sum", None, 2)).alias("active_amount_share"),
         F.max("day").alias("last_day"),
+        F.try_divide(A.agg_expr("o_totalprice", "sum", "o_orderstatus = 'P'", 2),
+                     A.agg_expr("o_totalprice", "sum", "o_orderstatus = 'O'", 2)).alias("overdue_to_debt"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("prolonged_sum"),
+        F.avg(clean.compare_flag(F.col("day") > -365)).alias("recent_share"),
     )
 
 
@@ -206,12 +210,11 @@ def features_previous_down_payment(spark: SparkSession, d: str) -> DataFrame:
 
 def features_previous_rejects(spark: SparkSession, d: str) -> DataFrame:
     r = fx.previous(spark, d).where(F.col("o_orderstatus") == "P")
-    last = O.extreme_rows(r, "o_custkey", "day", "max").groupBy("o_custkey").agg(
-        *[F.max(clean.compare_flag(F.col("o_orderpriority") == lv)).alias(f"last_reject_{A.level_name(lv)}")
-          for lv in PRIORITIES])
-    counts = r.groupBy("o_custkey").agg(*[F.count_if(F.col("o_orderpriority") == lv).alias(f"reject_{A.level_name(lv)}")
-                                          for lv in PRIORITIES])
-    return counts.join(last, "o_custkey", "left")
+    names = [A.level_name(lv) for lv in PRIORITIES]
+    days = r.groupBy("o_custkey", "day").agg(*[F.count_if(F.col("o_orderpriority") == lv).alias(n) for lv, n in zip(PRIORITIES, names)])
+    return days.groupBy("o_custkey").agg(
+        *[F.sum(n).alias(f"reject_{n}") for n in names],
+        *[clean.compare_flag(F.max_by(n, "day") > 0).alias(f"last_reject_{n}") for n in names])
 
 
 def features_pos_cash(spark: SparkSession, d: str) -> DataFrame:
@@ -219,48 +222,61 @@ def features_pos_cash(spark: SparkSession, d: str) -> DataFrame:
     totals in the last 18 days and overall, status shares, last-entity rows."""
     e = fx.events(spark, d)
     late = F.col("value") > 40
-    base = e.groupBy("user_id").agg(
-        F.min("day").alias("pos_day_min"), F.max("day").alias("pos_day_max"), F.count(F.lit(1)).alias("pos_size"),
-        A.agg_expr("value", "mean", None, 2).alias("pos_value_mean"), F.max("value").alias("pos_value_max"),
-        F.count_if(late).alias("pos_late_total"), F.count_if(late & (F.col("day") > -18)).alias("pos_late_recent"),
-        *A.share_of_levels(e, "user_id", "event_type", EVENT_TYPES, "pos", null_level=False))
-    last_day_rows = O.extreme_rows(e, "user_id", "day", "max").groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("pos_last_day_events"), A.agg_expr("value", "sum", None, 2).alias("pos_last_day_value"))
-    return base.join(last_day_rows, "user_id", "left")
+    types = [f"n_{t}" for t in EVENT_TYPES]
+    days = e.groupBy("user_id", "day").agg(
+        F.count(F.lit(1)).alias("n"), F.count("value").alias("nv"), A.agg_expr("value", "sum", None, 2).alias("total"),
+        F.max("value").alias("top"), F.count_if(late).alias("late"),
+        *[F.count_if(F.col("event_type") == t).alias(n) for t, n in zip(EVENT_TYPES, types)])
+    shares = [(F.sum(n) / F.sum("n")).alias(f"pos_event_type_{t}_mean") for t, n in zip(EVENT_TYPES, types)]
+    return days.groupBy("user_id").agg(
+        F.min("day").alias("pos_day_min"), F.max("day").alias("pos_day_max"), F.sum("n").alias("pos_size"),
+        F.try_divide(F.sum("total"), F.sum("nv")).alias("pos_value_mean"), F.max("top").alias("pos_value_max"),
+        F.sum("late").alias("pos_late_total"),
+        F.coalesce(F.sum(F.when(F.col("day") > -18, F.col("late"))), F.lit(0)).alias("pos_late_recent"), *shares,
+        F.max_by("n", "day").alias("pos_last_day_events"), F.max_by("total", "day").alias("pos_last_day_value"),
+        *O.trend_exprs("late", "day", "pos60", where=F.col("day") > -60),
+        *O.trend_exprs("late", "day", "pos18", where=F.col("day") > -18))
+
+
+INS_SPEC = {"paid_share": ["mean", "min", "max", "median", "var"], "paid_diff": ["mean", "sum", "max", "median", "var"],
+            "dpd": ["mean", "max", "median", "sum", "var"], "dbd": ["mean", "max", "median", "sum", "var"]}
 
 
 def features_installments(spark: SparkSession, d: str) -> DataFrame:
     i = fx.installments(spark, d)
     delay = F.col("paid_day") - F.col("due_day")
-    x = i.select("o_custkey", "l_orderkey", "due_day", "payment", "instalment",
+    x = i.select("o_custkey", "l_orderkey", "l_linenumber", "due_day", delay.alias("delay"),
                  scalar.safe_div("payment", "instalment").alias("paid_share"),
                  (F.col("instalment") - F.col("payment")).alias("paid_diff"),
                  scalar.positive_part(delay - 60).alias("dpd"), scalar.positive_part(60 - delay).alias("dbd"))
-    allx = x.groupBy("o_custkey").agg(
-        *A.agg_exprs({"paid_share": ["mean", "min", "max"], "paid_diff": ["mean", "sum"], "dpd": ["mean", "max"],
-                      "dbd": ["mean", "max"]}, "ins"),
-        F.count(F.lit(1)).alias("ins_count"))
-    recent = x.where(F.col("due_day") > -365).groupBy("o_custkey").agg(
-        F.avg(clean.compare_flag(F.col("dpd") > 0)).alias("ins_recent_late_share"))
-    last = O.last_entity_rows(x, "o_custkey", "l_orderkey", ["due_day", "l_orderkey"]).groupBy("o_custkey").agg(
-        F.avg("paid_share").alias("ins_last_order_paid_share"))
-    trend = O.trend_fit(x, "o_custkey", "dpd", "due_day", "ins", fill_y=0.0).drop("ins_dpd_intercept")
-    return allx.join(recent, "o_custkey", "left").join(last, "o_custkey", "left").join(trend, "o_custkey", "left")
+    recent = F.col("due_day") > -366
+    by_customer = x.groupBy("o_custkey").agg(
+        *A.agg_exprs(INS_SPEC, "ins"), F.count(F.lit(1)).alias("ins_count"),
+        F.count_distinct("l_linenumber").alias("ins_version_nunique"),
+        F.avg(F.when(recent, clean.compare_flag(F.col("dpd") > 0))).alias("ins_recent_late_share"),
+        *O.trend_exprs("dpd", "due_day", "ins", fill_y=0.0),
+        *O.trend_exprs("delay", "due_day", "ins_recent", where=recent))
+    # the last order of a customer, from one row per (customer, order)
+    orders = x.groupBy("o_custkey", "l_orderkey").agg(F.max("due_day").alias("due"), F.avg("paid_share").alias("share"))
+    last = orders.groupBy("o_custkey").agg(F.max_by("share", F.struct("due", "l_orderkey")).alias("ins_last_order_paid_share"))
+    return by_customer.join(last, "o_custkey", "left")
 
 
 def features_credit_card(spark: SparkSession, d: str) -> DataFrame:
     """Card-balance family on events: all-column aggregates, limit loading
     (value / user max), ratio of 'purchase' value, balance change."""
     e = fx.events(spark, d)
-    cols = A.agg_all_columns(e.select("user_id", "value", "day"), "user_id", ["min", "max", "mean", "sum", "var"], "cc")
-    per = e.groupBy("user_id").agg(
+    spec = {c: ["min", "max", "mean", "sum", "var"] for c in ("value", "day")}
+    cols = e.groupBy("user_id").agg(
+        *A.agg_exprs(spec, "cc"),
         F.try_divide(F.avg("value"), F.max("value")).alias("cc_limit_loading"),
         F.try_divide(A.agg_expr("value", "sum", F.col("event_type") == "purchase", 2),
-                     A.agg_expr("value", "sum", None, 2)).alias("cc_purchase_ratio"))
+                     A.agg_expr("value", "sum", None, 2)).alias("cc_purchase_ratio"),
+        F.try_divide(F.max(F.when(F.col("event_type") == "purchase", F.col("value"))), F.max("value")).alias("cc_max_purchase_ratio"),
+        F.avg(clean.compare_flag(F.col("value") > 40)).alias("cc_over_share"))
     e2 = e.withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
-    change = O.lagged_diff_mean(e2, "user_id", "t", "event_id", "value", "cc_balance_change_mean", "null",
-                                rows_per_chunk=64)
-    return cols.join(per, "user_id").join(change, "user_id")
+    change = O.lagged_diff_mean(e2, "user_id", "t", "event_id", "value", {"null": "cc_balance_change_mean"}, rows_per_chunk=64)
+    return cols.join(change, "user_id")
 
 
 def features_label_nunique_mean(spark: SparkSession, d: str) -> DataFrame:
@@ -271,16 +287,22 @@ def features_label_nunique_mean(spark: SparkSession, d: str) -> DataFrame:
                                     F.avg("day").alias("mean_day"), F.avg("event_id").alias("mean_event_id"))
 
 
+APPLICATION_FAMILIES = {"ratios": features_application_ratios, "new": features_application_new,
+                        "products": features_application_products, "contest": features_application_contest_r}
+CHILD_FAMILIES = {"bureau": features_bureau_two_level, "summary": features_bureau_summary, "status": features_bureau_status,
+                  "apps": features_previous_apps, "history": features_previous_history, "down": features_previous_down_payment,
+                  "rejects": features_previous_rejects, "pos": features_pos_cash, "ins": features_installments,
+                  "cc": features_credit_card, "label": features_label_nunique_mean}
+
+
 def assemble_training_table(spark: SparkSession, d: str) -> DataFrame:
     """Train and test entities with every entity-keyed family joined on, ids
-    of child tables dropped.  The families are pre-aggregated, so every join
-    is 1:1 on the entity key."""
-    a = application_base(spark, d)
-    fams = [features_application_ratios(spark, d),
-            features_previous_apps(spark, d).withColumnRenamed("o_custkey", "c_custkey"),
-            features_installments(spark, d).withColumnRenamed("o_custkey", "c_custkey"),
-            features_pos_cash(spark, d).withColumnRenamed("user_id", "c_custkey")]
-    out = a
-    for f in fams:
-        out = out.join(f, "c_custkey", "left")
+    of child tables dropped; a column that an earlier part has already is left
+    out.  The families are pre-aggregated, so every join is 1:1 on the entity key."""
+    out = application_base(spark, d)
+    for fn in (*APPLICATION_FAMILIES.values(), *CHILD_FAMILIES.values()):
+        f = fn(spark, d)
+        key = next(c for c in ("c_custkey", "o_custkey", "user_id") if c in f.columns)
+        new = [c for c in f.columns if c != key and c not in out.columns]
+        out = out.join(f.select(F.col(key).alias("c_custkey"), *new), "c_custkey", "left")
     return out.drop("c_mktsegment")

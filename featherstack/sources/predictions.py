@@ -23,8 +23,8 @@ def scan_glob_predictions(spark: SparkSession, pattern: str, schema: StructType
 
 
 def write_model_predictions(df: DataFrame, root: str, model: str, suffix: str = "_oof_train.csv") -> str:
-    """One single-file CSV per model, named ``<model><suffix>`` under ``root``
-    (the layout the glob reader expects)."""
+    """One folder of CSV parts per model, named ``<model><suffix>`` under ``root``
+    (the layout the glob reader expects); every task writes its own part."""
     path = f"{root.rstrip('/')}/{model}{suffix}"
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path)
     return path

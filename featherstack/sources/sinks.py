@@ -40,9 +40,14 @@ def write_submission(scored: DataFrame, key: str, score: str, path: str, target:
 
 
 def write_oof(oof: DataFrame, key: str, score: str, model: str, path: str, target: str = "TARGET") -> str:
-    """Out-of-fold predictions of one model into a store partitioned by model."""
+    """Out-of-fold predictions of one model into a store partitioned by model.
+
+    Only this model's partition is replaced, so a retried job leaves the store
+    as one run does.
+    """
     out = oof.select(key, F.col(score).alias(target), F.lit(model).alias("model"))
-    return write_table(out, path, "parquet", ["model"], mode="append")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model").parquet(path)
+    return path
 
 
 def write_scored_name(df: DataFrame, root: str, auc_value: float, stem: str, fmt: str = "csv") -> str:
@@ -56,17 +61,19 @@ def persist_evaluation(scored: DataFrame, key: str, target: str, score: str, pat
 
 
 def write_fold_scores(scores: DataFrame, path: str) -> str:
-    return write_table(scores.coalesce(1), path, "csv")
+    return write_table(scores.repartition(1), path, "csv")  # one row a fold
 
 
 def verify_submission(submission: DataFrame, sample: DataFrame, key: str) -> DataFrame:
-    """Same row count and same key set as the sample (order is not a property
-    of a distributed table).  One-row result; ``ok`` is the verdict."""
-    s = submission.select(F.col(key).alias("k"), F.lit(1).alias("in_sub"))
-    t = sample.select(F.col(key).alias("k"), F.lit(1).alias("in_sample"))
-    j = s.join(t, "k", "full_outer")
-    out = j.agg(F.count("in_sub").alias("n_submission"), F.count("in_sample").alias("n_sample"),
-                F.count_if(F.col("in_sub").isNull()).alias("n_missing"),
-                F.count_if(F.col("in_sample").isNull()).alias("n_extra"))
+    """Same rows as the sample: every key once, none missing, none extra (order
+    is not a property of a distributed table).  One-row result; ``ok`` is the
+    verdict.  NULL keys count as keys."""
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias(name)).withColumn(f"{name}_k", F.col("k")).drop("k")
+    s, t = counted(submission, "s"), counted(sample, "t")
+    j = s.join(t, s["s_k"].eqNullSafe(t["t_k"]), "full_outer")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    out = j.agg(total("s").alias("n_submission"), total("t").alias("n_sample"), F.count_if(F.col("s").isNull()).alias("n_missing"),
+                F.count_if(F.col("t").isNull()).alias("n_extra"), F.count_if(F.col("s") > 1).alias("n_repeated"))
     return out.withColumn("ok", (F.col("n_submission") == F.col("n_sample")) & (F.col("n_missing") == 0)
-                          & (F.col("n_extra") == 0))
+                          & (F.col("n_extra") == 0) & (F.col("n_repeated") == 0))

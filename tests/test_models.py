@@ -16,7 +16,7 @@ def _data(spark, n=300):
 def test_oof_scores_each_key_once_by_an_unseen_fold(spark):
     df = _data(spark)
     o, t = oof.oof_fit_predict(df, df.select("id", "a", "b"), "id", "y", ["a", "b"], "fold",
-                               lambda: oof.fit_logistic(c=1.0, total_weight=300.0))
+                               lambda size: oof.fit_logistic(c=1.0, total_weight=size.weight))
     rows = o.collect()
     assert len(rows) == 300 and len({r["id"] for r in rows}) == 300
     folds = {r["id"]: r["fold"] for r in df.select("id", "fold").collect()}
@@ -29,7 +29,7 @@ def test_oof_scores_each_key_once_by_an_unseen_fold(spark):
 
 def test_same_seed_same_result(spark):
     df = _data(spark)
-    make = lambda: oof.fit_gbt(max_iter=5, max_depth=2, seed=7)
+    make = lambda size: oof.fit_gbt(max_iter=5, max_depth=2, seed=7)
     a = sorted((r["id"], r["score"]) for r in oof.oof_fit_predict(df, None, "id", "y", ["a", "b"], "fold", make)[0].collect())
     b = sorted((r["id"], r["score"]) for r in oof.oof_fit_predict(df, None, "id", "y", ["a", "b"], "fold", make)[0].collect())
     assert a == b

@@ -54,17 +54,29 @@ def test_dimension_broadcast_is_checked(spark):
     assert "BroadcastHashJoin" in p  # the 25-row nation dimension, below its row bound
 
 
-def test_join_small_falls_back_above_bound(spark):
-    from featherstack.operators.joins import join_small
-    big = spark.range(100).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in plan(join_small(big, small, "k", "inner", max_rows=50))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        p = plan(join_small(big, small, "k", "inner", max_rows=5))
-        assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_no_forced_broadcast():
+    """Joins are broadcast by the planner's size in bytes only."""
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1] / "featherstack"
+    for f in root.rglob("*.py"):
+        if f.parent.name != "llm":
+            assert "F.broadcast(" not in f.read_text(), f
+
+
+@pytest.mark.parametrize(("name", "table", "most"), [
+    ("features_installments", "lineitem", 2), ("features_pos_cash", "events", 1), ("features_previous_rejects", "orders", 1),
+    ("lagged_diff_mean", "events", 4), ("features_credit_card", "events", 5)])
+def test_scans_of_the_big_table(spark, name, table, most):
+    import re
+    assert len(re.findall(rf"FileScan parquet.*?{table}\.parquet", plan(E.queries()[name](spark, SF_SMALL)))) <= most
+
+
+def test_svd_stays_in_the_jvm(spark):
+    import inspect
+
+    from featherstack.operators import scale
+    assert ".rdd" not in inspect.getsource(scale)
+    assert "Python" not in plan(E.queries()["svd_reduce"](spark, SF_SMALL))
 
 
 def test_no_local_checkpoint_anywhere():
