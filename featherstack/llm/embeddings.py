@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,14 +51,12 @@ def _planes(dim: int, bits: int, tables: int) -> np.ndarray:
 
 def _matrix(column: pa.Array, dtype: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, vectors) for each length among the usable vectors."""
-    values = column.to_pylist()
-    by_length: dict[int, list[int]] = {}
-    for i, v in enumerate(values):
-        if v and None not in v:
-            by_length.setdefault(len(v), []).append(i)
-    for rows in by_length.values():
-        x = np.array([values[i] for i in rows], dtype=dtype)
-        at = np.array(rows)
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    begin = np.cumsum(size) - size  # NULL lists have no values
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(dtype)  # a NULL component is NaN
+    for n in np.unique(size[size > 0]).tolist():
+        at = np.flatnonzero(size == n)
+        x = values[begin[at][:, None] + np.arange(n)]
         with np.errstate(over="ignore", invalid="ignore"):
             norm = np.linalg.norm(x.astype(np.float64), axis=1)
         ok = np.isfinite(norm) & (norm > 0)
