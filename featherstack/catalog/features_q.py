@@ -387,7 +387,8 @@ def stack_train_q(spark, d):
 
     def ranked(long):
         by_bag = long.groupBy("doc_id", "fold").pivot("bag", bags).agg(F.max("score")).toDF("doc_id", "fold", *names)
-        return B.rank_average(by_bag, names, "score", "min", by=["fold"]).select("doc_id", "score")
+        by_bag = by_bag.withColumn("__row", F.concat_ws("/", "doc_id", "fold"))
+        return B.rank_average(by_bag, names, "score", "min", by=["fold"], key="__row").select("doc_id", "score")
     both = ranked(o).withColumn("part", F.lit("oof")).unionByName(B.mean_blend(ranked(t), "doc_id", "score").withColumn("part", F.lit("test")))
     clipped = F.least(F.greatest("score", F.lit(0.001)), F.lit(0.999))
     return both.select("doc_id", "part", clipped.between(0.0, 1.0).alias("in_range"))

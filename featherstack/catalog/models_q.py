@@ -213,7 +213,7 @@ def _fold_scores(spark, d):
           """) / 5.0 / count(*) OVER () AS blend FROM documents""", exact=["doc_id"])
 def rank_average_blend_q(spark, d):
     """Test scores of 5 fold models → min-rank average over n."""
-    return B.rank_average(_fold_scores(spark, d), [f"s{f}" for f in range(5)], "blend", "min").select("doc_id", "blend")
+    return B.rank_average(_fold_scores(spark, d), [f"s{f}" for f in range(5)], "blend", "min", key="doc_id").select("doc_id", "blend")
 
 
 @register("mean_blend", "SELECT doc_id, (" + " + ".join(f"(n_chars % {7 + f})" for f in range(5)) + ") / 5.0 AS score FROM documents",

@@ -132,7 +132,7 @@ def _blend_input(spark, d):
 @register("rank_min_blend", BLEND_SQL, exact=["doc_id"])
 def rank_min_blend_q(spark, d):
     """Min-rank of each model column (heavy ties), averaged, over n."""
-    return B.rank_average(_blend_input(spark, d), ["m0", "m1", "m2"], "blend", "min").select("doc_id", "blend")
+    return B.rank_average(_blend_input(spark, d), ["m0", "m1", "m2"], "blend", "min", key="doc_id").select("doc_id", "blend")
 
 
 # ---------------------------------------------------------------- 2.6 sorts

@@ -37,11 +37,6 @@ def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     return replace_columns(df, {c: F.when(~F.isnan(c), F.col(c)) for c in cols})
 
 
-def null_if_nan(c: str | Column) -> Column:
-    c = _col(c)
-    return F.when(~F.isnan(c), c)
-
-
 def inf_to_null(c: str | Column) -> Column:
     c = _col(c)
     return F.when(~c.isin(float("inf"), float("-inf")) & ~F.isnan(c), c)

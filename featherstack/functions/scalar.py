@@ -66,22 +66,6 @@ def sig_round(c: str | Column, sig: int = 10) -> Column:
             .when(k >= 0, scaled_up).otherwise(scaled_dn))
 
 
-def sig_round_k(c: Column, k: Column) -> Column:
-    """``sig_round`` with the decimal exponent ``k`` already computed."""
-    y = c * F.lit(1.0 + TIE_BIAS)
-    up = F.round(y * F.pow(F.lit(10.0), k)) / F.pow(F.lit(10.0), k)
-    dn = F.round(y / F.pow(F.lit(10.0), -k)) * F.pow(F.lit(10.0), -k)
-    return F.when(c.isNull() | (c == 0) | F.isnan(c) | c.isin(float("inf"), float("-inf")), c) \
-        .when(k >= 0, up).otherwise(dn)
-
-
-def dec_round(c: str | Column, decimals: int) -> Column:
-    """Absolute rounding (for statistics that are float noise around 0)."""
-    c = _col(c)
-    p = float(10 ** decimals)
-    return F.when(c.isNull() | F.isnan(c), c).otherwise(F.round(c * F.lit(1.0 + TIE_BIAS) * p) / p)
-
-
 def relative_day(ts: str | Column, anchor: str) -> Column:
     """Days relative to an anchor date (negative in the past), like the
     reference's DAYS_* columns."""

@@ -6,7 +6,3 @@ from __future__ import annotations
 def feature_name(prefix: str | None, col: str, fn: str | None = None) -> str:
     parts = [p for p in (prefix, col, fn) if p]
     return "_".join(parts).lower()
-
-
-def ratio_name(prefix: str, num_prefix: str, den_prefix: str, base: str) -> str:
-    return f"{prefix}_{num_prefix}_over_{den_prefix}_{base}".lower()

@@ -133,25 +133,31 @@ def rank_expr(method: str) -> Column:
     raise ValueError(method)
 
 
+def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep…, __name, __x)``: one row for each of ``cols``, as doubles."""
+    each = F.array(*[F.struct(F.lit(c).alias("__name"), F.col(c).cast("double").alias("__x")) for c in cols])
+    return df.select(*keep, F.explode(each).alias("__kv")).select(*keep, "__kv.*")
+
+
+def ranks_of(melted: DataFrame, method: str, by: Sequence[str] = (), pct: bool = False, buckets: int | None = None) -> DataFrame:
+    """``(__of_<by>…, __of_name, __v, __r)``: the rank of every distinct value of each melted column."""
+    cc = cumulative_counts(melted, "__x", [*by, "__name"], buckets=buckets)
+    r = rank_expr(method) / F.col("__total") if pct else rank_expr(method)
+    return cc.select(*[F.col(c).alias(f"__of_{c}") for c in by], F.col("__name").alias("__of_name"), "__v", r.alias("__r"))
+
+
 def rank_columns(df: DataFrame, cols: Sequence[str], method: str = "average", by: Sequence[str] = (),
                  suffix: str = "_rank", pct: bool = False, buckets: int | None = None) -> DataFrame:
     """Ranks of several columns at once: the columns are melted to
-    ``(name, value)`` so one set of shuffles serves all of them; each rank is
-    joined back on ``(group, value)``."""
+    ``(name, value)`` so one set of shuffles ranks all of them; each rank is
+    joined back on ``(group, value)``.  NULL values get a NULL rank."""
     by = list(by)
-    melted = df.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("__name"), F.col(c).cast("double").alias("__x"))
-                                                for c in cols])).alias("__kv")).select(*by, "__kv.*")
-    cc = cumulative_counts(melted, "__x", by + ["__name"], buckets=buckets)
-    r = rank_expr(method)
-    if pct:
-        r = r / F.col("__total")
-    ranks = cc.select(*by, "__name", "__v", r.alias("__r"))
+    ranks = ranks_of(melt(df, cols, by), method, by, pct, buckets)
     out = df
     for c in cols:
-        rc = ranks.where(F.col("__name") == c).select(
-            *[F.col(b).alias(f"__by_{b}") for b in by], F.col("__v").alias("__vj"), F.col("__r").alias(c + suffix))
-        cond = [F.col(c).cast("double") == F.col("__vj")] + [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by]
-        out = out.join(rc, cond, "left").drop("__vj", *[f"__by_{b}" for b in by])
+        rc = ranks.where(F.col("__of_name") == c).drop("__of_name").withColumnRenamed("__r", c + suffix)
+        cond = [F.col(c).cast("double") == F.col("__v")] + [F.col(b).eqNullSafe(F.col(f"__of_{b}")) for b in by]
+        out = out.join(rc, cond, "left").drop("__v", *[f"__of_{b}" for b in by])
     return out
 
 
@@ -165,9 +171,7 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
     read-out costs one small aggregate whatever the number of probabilities.
     """
     by = list(by)
-    melted = df.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("__name"), F.col(c).cast("double").alias("__x"))
-                                                for c in cols])).alias("__kv")).select(*by, "__kv.*")
-    cc = cumulative_counts(melted, "__x", by + ["__name"], buckets=buckets)
+    cc = cumulative_counts(melt(df, cols, by), "__x", by + ["__name"], buckets=buckets)
     probs_arr = F.array(*[F.lit(float(q)) for q in probs])
     pos = F.transform(probs_arr, lambda q, i: F.struct(i.alias("i"), ((F.col("__total") - 1) * q).alias("p")))
     lo_end = F.col("__before") + F.col("__n")

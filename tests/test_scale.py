@@ -87,6 +87,9 @@ def test_rank_average_per_group_counts_all_rows(spark):
     df = spark.createDataFrame([(1, 5.0), (1, 7.0), (2, 1.0), (None, 2.0)], "g int, v double")
     got = {(r["g"], r["v"]): r["o"] for r in B.rank_average(df, ["v"], "o", "min", ["g"]).collect()}
     assert got == {(1, 5.0): 0.5, (1, 7.0): 1.0, (2, 1.0): 1.0, (None, 2.0): 1.0}
+    keyed = df.withColumn("k", F.col("v") * 10).withColumn("w", F.when(F.col("v") > 1, -F.col("v")))
+    got = {r["k"]: r["o"] for r in B.rank_average(keyed, ["v", "w"], "o", "min", ["g"], key="k").collect()}
+    assert got == {50.0: 0.75, 70.0: 0.75, 10.0: None, 20.0: 1.0}
 
 
 def test_codes_of_a_thousand_levels(spark):
