@@ -1,12 +1,14 @@
-"""Across-column (row-wise) statistics as generated column arithmetic.
+"""Across-column (row-wise) statistics as built-in expressions.
 
-pandas row statistics skip missing values; so do these.  Everything is plain
-expressions (no UDF), so a wide projection stays inside whole-stage codegen.
+pandas row statistics skip missing values; so do these, and NaN is missing as
+NULL is.  Each statistic is one expression over the array of a row's present
+values, so its size grows with the columns, not with their square, and no UDF
+runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,66 +20,40 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def _named(cols) -> bool:
-    return all(isinstance(c, str) for c in cols)
+def _present(cols: Sequence[str | Column]) -> Column:
+    """The row's values that are not missing, as an array of doubles."""
+    return F.filter(F.array(*[c.cast("double") for c in _cols(cols)]), lambda x: x.isNotNull() & ~F.isnan(x))
 
 
-# SQL-text forms for named columns: one driver call per statistic instead of
-# one per function node (same arithmetic, same evaluation order).
-def _sql_present(cols):
-    return "(0 + " + " + ".join(f"CAST(`{c}` IS NOT NULL AS INT)" for c in cols) + ")"
+def _total(values: Column, f: Callable[[Column], Column] = lambda x: x) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + f(x))
 
 
-def _sql_sum(cols):
-    return "(0.0 + " + " + ".join(f"coalesce(CAST(`{c}` AS DOUBLE), 0.0)" for c in cols) + ")"
+def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def _sql_mean(cols):
-    return f"try_divide({_sql_sum(cols)}, {_sql_present(cols)})"
-
-
-def _sql_central(cols, p):
-    m = _sql_mean(cols)
-    return "(0.0 + " + " + ".join(f"coalesce(pow(CAST(`{c}` AS DOUBLE) - {m}, {p}), 0.0)" for c in cols) + ")"
-
-
-def _sql_row(fn: str, cols) -> str | None:
-    n = f"CAST({_sql_present(cols)} AS DOUBLE)"
-    if fn == "present":
-        return _sql_present(cols)
-    if fn == "missing":
-        return "(0 + " + " + ".join(f"CAST(`{c}` IS NULL AS INT)" for c in cols) + ")"
-    if fn == "sum":
-        return _sql_sum(cols)
-    if fn == "mean":
-        return _sql_mean(cols)
-    if fn == "std":
-        return f"CASE WHEN {_sql_present(cols)} >= 2 THEN sqrt({_sql_central(cols, 2)} / ({_sql_present(cols)} - 1)) END"
-    if fn == "min":
-        return "least(" + ", ".join(f"`{c}`" for c in cols) + ")"
-    if fn == "max":
-        return "greatest(" + ", ".join(f"`{c}`" for c in cols) + ")"
-    m2, m3, m4 = (f"({_sql_central(cols, k)} / {n})" for k in (2, 3, 4))
-    if fn == "skew":
-        g1 = f"(CASE WHEN {m2} > 0 THEN {m3} / pow({m2}, 1.5) END)"
-        return f"CASE WHEN {n} >= 3 THEN {g1} * sqrt({n} * ({n} - 1)) / ({n} - 2) END"
-    if fn == "kurt":
-        g2 = f"(CASE WHEN {m2} > 0 THEN {m4} / pow({m2}, 2) - 3 END)"
-        return f"CASE WHEN {n} >= 4 THEN ({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * {g2} + 6) END"
-    return None
+def _moments(cols: Sequence[str | Column], f: Callable[[Column, Callable[[int], Column]], Column]) -> Column:
+    """``f(n, m)`` of the count of present values and their sums of powers about the mean."""
+    return _bind(_present(cols), lambda v: _bind(F.try_divide(_total(v), F.size(v)), lambda mean: f(
+        F.size(v).cast("double"), lambda power: _total(v, lambda x: F.pow(x - mean, power)))))
 
 
 def row_count_present(cols: Sequence[str | Column]) -> Column:
-    return sum((c.isNotNull().cast("int") for c in _cols(cols)), F.lit(0))
+    return F.size(_present(cols))
 
 
 def row_missing_count(cols: Sequence[str | Column]) -> Column:
-    return sum((c.isNull().cast("int") for c in _cols(cols)), F.lit(0))
+    """Columns of any type that are NULL (or a floating NaN) in the row."""
+    def missing(c: Column) -> Column:
+        return c.isNull() | (F.typeof(c).isin("double", "float") & (c.cast("string") == "NaN"))
+    return sum((F.coalesce(missing(c), F.lit(True)).cast("int") for c in _cols(cols)), F.lit(0))
 
 
 def row_sum(cols: Sequence[str | Column]) -> Column:
     """Sum of present values; all missing → 0 (pandas ``sum(axis=1)``)."""
-    return sum((F.coalesce(c.cast("double"), F.lit(0.0)) for c in _cols(cols)), F.lit(0.0))
+    return _total(_present(cols))
 
 
 def row_flag_sum(cols: Sequence[str | Column]) -> Column:
@@ -85,50 +61,37 @@ def row_flag_sum(cols: Sequence[str | Column]) -> Column:
 
 
 def row_mean(cols: Sequence[str | Column]) -> Column:
-    return F.try_divide(row_sum(cols), row_count_present(cols))
-
-
-def _central(cols: Sequence[str | Column], power: int) -> Column:
-    mean = row_mean(cols)
-    return sum((F.coalesce(F.pow(c.cast("double") - mean, power), F.lit(0.0)) for c in _cols(cols)),
-               F.lit(0.0))
+    return _bind(_present(cols), lambda v: F.try_divide(_total(v), F.size(v)))
 
 
 def row_std(cols: Sequence[str | Column]) -> Column:
-    n = row_count_present(cols)
-    return F.when(n >= 2, F.sqrt(_central(cols, 2) / (n - 1)))
+    return _moments(cols, lambda n, m: F.when(n >= 2, F.sqrt(m(2) / (n - 1))))
 
 
 def row_min(cols: Sequence[str | Column]) -> Column:
-    return F.least(*_cols(cols))
+    return F.array_min(_present(cols))
 
 
 def row_max(cols: Sequence[str | Column]) -> Column:
-    return F.greatest(*_cols(cols))
+    return F.array_max(_present(cols))
 
 
 def row_median(cols: Sequence[str | Column]) -> Column:
-    arr = F.array_sort(F.array_compact(F.array(*[c.cast("double") for c in _cols(cols)])))
-    n = F.size(arr)
-    lo = F.element_at(arr, F.floor((n + 1) / 2).cast("int"))
-    hi = F.element_at(arr, F.floor(n / 2).cast("int") + 1)
-    return F.when(n > 0, (lo + hi) / 2)
+    def middle(v: Column) -> Column:
+        n = F.size(v)
+        lo, hi = F.get(v, F.floor((n - 1) / 2).cast("int")), F.get(v, F.floor(n / 2).cast("int"))
+        return F.when(n > 0, (lo + hi) / 2)
+    return _bind(F.array_sort(_present(cols)), middle)
 
 
 def row_skew(cols: Sequence[str | Column], flavor: str = "pandas") -> Column:
-    n = row_count_present(cols).cast("double")
-    m2 = _central(cols, 2) / n
-    m3 = _central(cols, 3) / n
-    g1 = F.when(m2 > 0, m3 / F.pow(m2, 1.5))
-    return corrected_skew_from(g1, n, flavor)
+    return _moments(cols, lambda n, m: _bind(F.try_divide(m(2), n), lambda m2: corrected_skew_from(
+        F.when(m2 > 0, m(3) / n / F.pow(m2, 1.5)), n, flavor)))
 
 
 def row_kurt(cols: Sequence[str | Column], flavor: str = "pandas") -> Column:
-    n = row_count_present(cols).cast("double")
-    m2 = _central(cols, 2) / n
-    m4 = _central(cols, 4) / n
-    g2 = F.when(m2 > 0, m4 / F.pow(m2, 2) - 3)
-    return corrected_kurt_from(g2, n, flavor)
+    return _moments(cols, lambda n, m: _bind(F.try_divide(m(2), n), lambda m2: corrected_kurt_from(
+        F.when(m2 > 0, m(4) / n / F.pow(m2, 2) - 3), n, flavor)))
 
 
 ROW_FUNCS = {
@@ -139,11 +102,7 @@ ROW_FUNCS = {
 
 
 def row_stat(fn: str, cols: Sequence[str | Column], name: str) -> Column:
-    """One named row statistic; named columns go through one SQL expression."""
-    if _named(cols):
-        text = _sql_row(fn, cols)
-        if text is not None:
-            return F.expr(f"{text} AS `{name}`")
+    """One named row statistic."""
     return ROW_FUNCS[fn](cols).alias(name)
 
 

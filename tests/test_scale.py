@@ -162,3 +162,18 @@ def test_grouped_apply_never_sees_a_whole_group(spark):
         return pd.DataFrame({"k": [parts["k"].iloc[0]], "s": [parts["s"].sum()], "n": [parts["n"].sum()]})
     got = {r["k"]: (r["s"], r["n"]) for r in grouped_apply(df, "k", partial, merge, "k long, s long, n long", "k long, s long, n long", 250).collect()}
     assert got == {k: (sum(range(k, 5000, 2)), 2500) for k in (0, 1)}
+
+
+def test_row_statistics_skip_nan_and_null(spark):
+    from featherstack.functions import rowstats
+    rows = [(float("nan"), 1.0, None, 4.0, 9.0), (None, None, None, None, None), (2.0, 2.0, 2.0, 2.0, float("nan"))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    fns = list(rowstats.ROW_FUNCS)
+    got = df.select(*rowstats.row_stats(list("abcde"), fns, "r")).toPandas().astype(float)
+    p = pd.DataFrame(rows, columns=list("abcde")).astype(float)
+    for f in ("mean", "std", "sum", "median", "min", "max", "skew"):
+        want = getattr(p, f)(axis=1)
+        if f == "skew":
+            want[2] = np.nan  # a constant row has none
+        assert np.allclose(got[f"r_{f}"], want, equal_nan=True), f
+    assert got["r_missing"].tolist() == [2, 5, 1] and got["r_present"].tolist() == [3, 0, 4]
