@@ -149,6 +149,42 @@ def test_passages_planted(make_docs, rng):
         assert len(covered & set(kind)) >= len(set(kind) & set(w)) - 2
 
 
+def edited(rng, words, n):
+    """The words with ``n`` edits inside, of which two in three put another word in."""
+    out = list(words)
+    for j in sorted(rng.sample(range(1, len(words) - 1), n), reverse=True):
+        kind = rng.randrange(6)
+        out[j:j + 1] = [] if kind == 0 else [out[j], f"z{rng.randrange(10**6)}"] if kind == 1 else [f"z{rng.randrange(10**6)}"]
+    return out
+
+
+def planted_pairs(rng, n, length, identity, shadows=False):
+    """Texts of which the last 2 n hold n passages, each whole and then edited; with
+    ``shadows`` every six words of a passage occur in an unrelated smaller id too."""
+    whole = [sentence(rng, length, 10**6) for _ in range(n)]
+    texts = [" ".join(w for p in whole for w in p[i:i + 6] + sentence(rng, 10, 10**6)) for i in range(length - 5)] if shadows else []
+    other = [edited(rng, p, round((1 - identity) * length)) for p in whole]
+    return texts + [" ".join(sentence(rng, 60, 10**6) + p + sentence(rng, 60, 10**6)) for p in whole + other]
+
+
+def pair_recall(make_docs, texts, n):
+    first = len(texts) - 2 * n
+    part = {r["id"]: r["component_id"] for r in passages.repeated_passages(make_docs(texts)).collect()}
+    assert not [i for i in part if i < first]
+    return np.mean([part.get(first + i) == part.get(first + n + i) == first + i for i in range(n)])
+
+
+@pytest.mark.parametrize(("length", "identity", "least"), [(60, 1, 1), (60, 0.9, 0.95), (75, 0.85, 0.95)])
+def test_passages_whose_seeds_have_unrelated_smaller_holders(make_docs, rng, length, identity, least):
+    assert pair_recall(make_docs, planted_pairs(rng, 200, length, identity, shadows=True), 200) >= least
+
+
+def test_holders_of_a_long_run_meet_across_blocks(make_docs, rng, monkeypatch):
+    monkeypatch.setattr(passages, "RUN_ROWS", 16)
+    texts = planted_pairs(rng, 40, 60, 1, shadows=True)
+    assert pair_recall(make_docs, texts, 40) == 1
+
+
 def test_passages_of_one_repeated_word_and_empty(make_docs):
     texts = [" ".join(["of"] * 300), "start " + " ".join(["of"] * 200), "unique words only here"]
     got = {r["id"]: r["n_repeated"] for r in passages.repeated_passages(make_docs(texts)).collect()}
