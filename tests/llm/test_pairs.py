@@ -174,6 +174,11 @@ def pair_recall(make_docs, texts, n):
     return np.mean([part.get(first + i) == part.get(first + n + i) == first + i for i in range(n)])
 
 
+@pytest.mark.parametrize(("length", "identity", "least"), [(60, 0.9, 0.95), (75, 0.85, 0.95), (75, 0.8, 0.95), (100, 0.8, 0.98)])
+def test_edited_passages_down_to_the_identity(make_docs, rng, length, identity, least):
+    assert pair_recall(make_docs, planted_pairs(rng, 200, length, identity), 200) >= least
+
+
 @pytest.mark.parametrize(("length", "identity", "least"), [(60, 1, 1), (60, 0.9, 0.95), (75, 0.85, 0.95)])
 def test_passages_whose_seeds_have_unrelated_smaller_holders(make_docs, rng, length, identity, least):
     assert pair_recall(make_docs, planted_pairs(rng, 200, length, identity, shadows=True), 200) >= least
