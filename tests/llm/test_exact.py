@@ -96,6 +96,28 @@ def brute_hits(text, items, window):
     return len(w), len(hit), sorted(ids)
 
 
+def brute_cut(text, items, window):
+    """The text without the words of the items' windows and what stands between them."""
+    find = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    phrases = set()
+    for _, t in items:
+        v = find.findall((t or "").translate(ASCII_LOWER))
+        phrases |= {tuple(v[i:i + window]) for i in range(max(1, len(v) - window + 1))} if v else set()
+    at = [m.span() for m in find.finditer(text.translate(ASCII_LOWER))]
+    w = [text[a:b].translate(ASCII_LOWER) for a, b in at]
+    hit = set()
+    for size in {len(p) for p in phrases}:
+        for i in range(len(w) - size + 1):
+            if tuple(w[i:i + size]) in phrases:
+                hit.update(range(i, i + size))
+    out, last = [], 0
+    for i in sorted(hit):
+        begin = at[i - 1][1] if i - 1 in hit else at[i][0]
+        out.append(text[last:begin])
+        last = at[i][1]
+    return "".join([*out, text[last:]])
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 300])
 def test_decontamination_against_brute_force(spark, make_docs, rng, monkeypatch, block_bytes):
     monkeypatch.setattr(decontaminate, "SHARD_WORDS", 300)

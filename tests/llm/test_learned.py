@@ -114,7 +114,7 @@ def test_reputation_shrinks_towards_the_domain(spark):
 def test_pipeline_stages_take_effect(spark):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
     import corpus_pipeline as P
-    from test_exact import brute_hits, brute_lines
+    from test_exact import brute_cut, brute_hits, brute_lines
     from test_pairs import grams
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     table, seen = docs, []
@@ -141,6 +141,7 @@ def test_pipeline_stages_take_effect(spark):
     for i, t in before[3].items():
         n, hit, _ = brute_hits(t, items[:8], 10) if t != after[3][i] else (0, 0, [])
         assert (t == after[3][i]) or len(decontaminate.words((after[3][i] or "").encode())) <= len(decontaminate.words(t.encode())) - hit
+    assert after[3] == {i: t and brute_cut(t, items, 10) for i, t in before[3].items()} != before[3]
     ranks = dict(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
     encoder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     for r in seen[4][2].collect():
