@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from featherstack.operators import encode as En
 from featherstack.operators import knn as K
 from featherstack.operators import scale as Sc
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def test_svd_projection_matches_numpy(spark):

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from check_oracles import compare, connect
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 NAMES = sorted(E.oracle_sql())
 

@@ -4,7 +4,7 @@ core operators, no single-task window over data rows."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def plan(df) -> str:
