@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, language, lines, minhash, passages, quality, toxicity, urls
+from . import bpe, decontaminate, divergence, embeddings, language, lines, minhash, passages, quality, toxicity, urls
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,30 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of 50 words or more that repeat, exactly or with edits, in other documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return passages.repeated_passages(docs, min_words=50).withColumnRenamed("id", "doc_id")
+
+
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@register("op11_source_divergence", f"""
+WITH doc AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS w FROM documents),
+word AS (SELECT r, lang, source, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS n FROM word GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+used AS (SELECT lang, source, term, count(*) AS n FROM word JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM grp LEFT JOIN used USING (lang, source) GROUP BY ALL),
+p AS (SELECT t.lang, t.source, k.term, coalesce(u.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(u.n, 0) + 5)) // (t.total + 5 * l.v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (k.n + 5)) // (l.total + 5 * l.v) AS q
+  FROM totals t JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN used u ON u.lang = t.lang AND u.source = t.source AND u.term = k.term),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y USING (lang, term)
+    WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+  UNION ALL SELECT lang, source, 'term', term, p - q, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term)
+  FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the other sources of its language, and the terms that set it apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
