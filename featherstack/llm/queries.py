@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, embeddings, language, lines, minhash, passages, quality, toxicity, urls
+from . import bpe, decontaminate, divergence, embeddings, language, lines, minhash, negatives, passages, quality, toxicity, urls
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,24 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source against the other sources of its language, and the terms that set it apart."""
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
+
+
+@register("op12_hard_negatives", """
+WITH row_ AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM row_ a JOIN row_ r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v) WHERE a.vec_id % 100 = 0),
+positive AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negative AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positive JOIN scored USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 5""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector and its five best positives, five negatives from the window below."""
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    rows = negatives.quantised(table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding", scale=256.0)
+    return negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
