@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, embeddings, language, lines, minhash, negatives, passages, quality, toxicity, urls
+from . import bpe, decontaminate, divergence, embeddings, kneserney, language, lines, minhash, negatives, passages, quality, toxicity, urls
+from ..catalog.common import finalize, oracle_wrap
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +227,53 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
     rows = negatives.quantised(table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding", scale=256.0)
     return negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
+#: crc32 of a doc_id written as text, by table, as SQL has no such function
+_CRC = """list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda h, b: xor(h >> 8, crc_table.t[(xor(h, b) & 255) + 1]))"""
+
+
+def _discounts(name: str, counts: str, column: str) -> str:
+    """SQL for the discounts d1, d2, d3 of a table's counts."""
+    return f"""{name}_n AS (SELECT count(*) FILTER (WHERE {column} = 1)::DOUBLE AS n1, count(*) FILTER (WHERE {column} = 2)::DOUBLE AS n2,
+    count(*) FILTER (WHERE {column} = 3)::DOUBLE AS n3, count(*) FILTER (WHERE {column} = 4)::DOUBLE AS n4 FROM {counts}),
+{name}_y AS (SELECT 1 - 2 * y * n2 / n1 AS e1, 2 - 3 * y * n3 / n2 AS e2, 3 - 4 * y * n4 / n3 AS e3
+  FROM (SELECT *, n1 / (n1 + 2 * n2) AS y FROM {name}_n) WHERE n1 > 0 AND n2 > 0 AND n3 > 0),
+{name} AS (SELECT CASE WHEN ok THEN e1 ELSE 0.5::DOUBLE END AS d1, CASE WHEN ok THEN e2 ELSE 1.0::DOUBLE END AS d2, CASE WHEN ok THEN e3 ELSE 1.5::DOUBLE END AS d3
+  FROM (SELECT 1) LEFT JOIN (SELECT *, e1 BETWEEN 0 AND 1 AND e2 BETWEEN 0 AND 2 AND e3 BETWEEN 0 AND 3 AS ok FROM {name}_y) ON true)"""
+
+
+_D = "CASE least({c}, 3) WHEN 1 THEN {d}.d1 WHEN 2 THEN {d}.d2 ELSE {d}.d3 END"
+
+
+@register("op13_lm_score", oracle_wrap(f"""
+WITH crc_table AS (SELECT list(t ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i::BIGINT], range(8)),
+    lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS t FROM range(256) r(i))),
+doc AS (SELECT doc_id, xor({_CRC}, 4294967295) % 7 = 2 AS held_out,
+    list_concat(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+'), [chr(10)]) AS w FROM documents, crc_table),
+tok AS (SELECT doc_id, held_out, unnest(w) AS w, unnest(list_concat([chr(9)], w[:-2])) AS u FROM doc),
+uni AS (SELECT w, count(*) AS c FROM tok WHERE NOT held_out GROUP BY w),
+size AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM uni),
+bi AS (SELECT u, w, count(*) AS c FROM tok WHERE NOT held_out GROUP BY u, w),
+low AS (SELECT w, count(*) AS a FROM bi GROUP BY w),
+{_discounts('e', 'bi', 'c')},
+{_discounts('f', 'low', 'a')},
+ctx AS (SELECT u, sum(c) AS total, sum({_D.format(c='c', d='e')}) / sum(c) AS back FROM bi, e GROUP BY u),
+bottom AS (SELECT sum(a) AS total, sum({_D.format(c='a', d='f')}) / sum(a) AS back FROM low, f),
+p1 AS (SELECT w, (a - {_D.format(c='a', d='f')}) / bottom.total + bottom.back / (size.v + 1) AS p FROM low, f, bottom, size),
+p AS (SELECT t.doc_id, t.held_out, coalesce(uni.c, 0) AS c, coalesce(p1.p, bottom.back / (size.v + 1), 1.0 / (size.v + 1)) AS low,
+    ctx.back, CASE WHEN bi.c > 0 THEN (bi.c - {_D.format(c='bi.c', d='e')}) / ctx.total ELSE 0 END AS share
+  FROM tok t CROSS JOIN size CROSS JOIN bottom CROSS JOIN e LEFT JOIN uni ON uni.w = t.w LEFT JOIN p1 ON p1.w = t.w
+    LEFT JOIN ctx ON ctx.u = t.u LEFT JOIN bi ON bi.u = t.u AND bi.w = t.w)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (WHERE c > 0) AS n_known, CAST(any_value(size.n) AS BIGINT) AS train_tokens,
+  sum(log10((c + 1) / (size.n + size.v + 1))) AS base_score, sum(log10(share + coalesce(back, 1) * low)) AS score
+FROM p, size GROUP BY doc_id, held_out""", exact=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens"], sig=9))
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every whole text under a model of the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    model = kneserney.train(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    done = kneserney.score(rows, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return finalize(done, sig=9)
