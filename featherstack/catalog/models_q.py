@@ -181,11 +181,11 @@ def recursive_elimination_q(spark, d):
 
 
 # ---------------------------------------------------------------- kNN (exact, SQL-checked)
-KNN_SQL = """WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 10 = 0),
-  b AS (SELECT vec_id, embedding, label FROM embeddings WHERE vec_id % 10 <> 0),
+KNN_SQL = """WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 50 = 0),
+  b AS (SELECT vec_id, embedding, label FROM embeddings),
   d AS (SELECT q.vec_id AS qid, b.vec_id AS bid, b.label,
           sqrt(list_sum(list_transform(list_zip(q.embedding, b.embedding), lambda z: pow(z[1]::DOUBLE - z[2]::DOUBLE, 2)))) AS dist
-        FROM q, b),
+        FROM q JOIN b ON q.vec_id <> b.vec_id),
   n AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, bid) AS rn FROM d),
   k AS (SELECT *, max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY qid) AS hz FROM n WHERE rn <= 8),
   v AS (SELECT qid, label, sum(CASE WHEN hz = 1 THEN CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / dist END) AS vw FROM k GROUP BY ALL),
@@ -196,11 +196,9 @@ KNN_SQL = """WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id %
 
 @register("knn_score", KNN_SQL, exact=["vec_id", "knn_label"], sig=8)
 def knn_score_q(spark, d):
-    """8 nearest labelled vectors (Euclidean, 1/d weights) for every tenth vector."""
+    """8 nearest other vectors (Euclidean, 1/d weights) of every fiftieth vector, among all."""
     emb = table(spark, d, "embeddings")
-    query = emb.where(F.col("vec_id") % 10 == 0)
-    base = emb.where(F.col("vec_id") % 10 != 0)
-    return knn_score(base, query, "vec_id", "vec_id", "embedding", "label", 8, block_rows=20_000)
+    return knn_score(emb, emb.where(F.col("vec_id") % 50 == 0), "vec_id", "vec_id", "embedding", "label", 8, other=True)
 
 
 # ---------------------------------------------------------------- blends and metrics

@@ -4,8 +4,10 @@ A spec is ``{column: [statistic, ...]}`` (or a list of ``(column, statistic)``
 pairs).  Every statistic becomes one aliased aggregate expression, and all
 specs that share a grouping key go into ONE ``groupBy().agg()``: subsets
 (active/closed, approved/refused) are conditional aggregates in the same
-pass instead of separate scans.  All statistics are partial-aggregatable, so a
-hot key is combined map-side before the shuffle.
+pass instead of separate scans.  All statistics but quantiles are
+partial-aggregatable, so a hot key is combined map-side before the shuffle;
+exact quantiles (``median``, ``q25``, ``q75``, ``iqr``) are :class:`select.Pick`
+and come from ``select.aggregate``, which splits large groups.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.moments import kurt, skew
 from ..names import feature_name
+from .select import PROBS, Pick, aggregate
 
 Spec = Mapping[str, Sequence[str]] | Sequence[tuple[str, str]]
 
@@ -52,11 +55,7 @@ AGG_FUNCS: dict[str, Callable[[Column, Column | None], Column]] = {
     "nunique": lambda c, w: F.count_distinct(_mask(c, w)),
     # for known low-cardinality columns: avoids the Expand of several distincts
     "nunique_small": lambda c, w: F.size(F.collect_set(_mask(c, w))).cast("long"),
-    "median": lambda c, w: F.median(_mask(c, w)),
     "median_approx": lambda c, w: F.percentile_approx(_mask(c, w), 0.5, 10000),
-    "q25": lambda c, w: F.percentile(_mask(c, w), 0.25),
-    "q75": lambda c, w: F.percentile(_mask(c, w), 0.75),
-    "iqr": lambda c, w: F.percentile(_mask(c, w), 0.75) - F.percentile(_mask(c, w), 0.25),
     "skew": lambda c, w: skew(_mask(c, w)),
     "kurt": lambda c, w: kurt(_mask(c, w)),
     "skew_e1071": lambda c, w: skew(_mask(c, w), "e1071"),
@@ -96,9 +95,7 @@ def _sql_stat(x: str, fn: str, where: str | None, scale: int | None) -> str | No
         "sum_null": f"sum({m})", "var": f"var_samp({m})", "std": f"stddev_samp({m})", "var_pop": f"var_pop({m})",
         "count": f"count({m})", "size": f"count_if({where})" if where else "count(1)",
         "nunique": f"count(DISTINCT {m})", "nunique_small": f"CAST(size(collect_set({m})) AS BIGINT)",
-        "median": f"median({m})", "median_approx": f"percentile_approx({m}, 0.5, 10000)",
-        "q25": f"percentile({m}, 0.25)", "q75": f"percentile({m}, 0.75)",
-        "iqr": f"(percentile({m}, 0.75) - percentile({m}, 0.25))",
+        "median_approx": f"percentile_approx({m}, 0.5, 10000)",
         "skew": f"CASE WHEN {n} >= 3 THEN skewness({m}) * sqrt({n} * ({n} - 1)) / ({n} - 2) END",
         "kurt": f"CASE WHEN {n} >= 4 THEN ({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * kurtosis({m}) + 6) END",
         "skew_e1071": f"CASE WHEN {n} >= 1 THEN skewness({m}) * pow(({n} - 1) / {n}, 1.5) END",
@@ -144,10 +141,13 @@ def agg_exprs(spec: Spec, prefix: str | None = None, where: Column | str | None
     ``absent_null`` a group that has no row satisfying ``where`` gets NULL for
     every statistic, the same as computing the subset separately and
     left-joining it back.  ``scales`` marks currency columns (see ``agg_expr``).
+    Quantiles are left out: see ``picks``.
     """
     scales = scales or {}
     out = []
     for col, fn in _pairs(spec):
+        if fn in PROBS:
+            continue
         name = feature_name(prefix, col, fn)
         if absent_null and where is not None:
             w = F.expr(where) if isinstance(where, str) else where
@@ -157,11 +157,19 @@ def agg_exprs(spec: Spec, prefix: str | None = None, where: Column | str | None
     return out
 
 
+def picks(spec: Spec, prefix: str | None = None, where: Column | str | None = None) -> list[Pick]:
+    """The quantiles of a spec, for ``select.aggregate``."""
+    return [Pick(feature_name(prefix, col, fn), col, PROBS[fn], where) for col, fn in _pairs(spec) if fn in PROBS]
+
+
 def agg_multi_spec(df: DataFrame, key: str | Sequence[str], spec: Spec, prefix: str | None = None,
                    where: Column | None = None, extra: Iterable[Column] = (),
-                   scales: Mapping[str, int] | None = None) -> DataFrame:
+                   scales: Mapping[str, int] | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Every statistic of the spec, in its order, then ``extra``; ``rows`` as in ``select.aggregate``."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(*agg_exprs(spec, prefix, where, scales=scales), *extra)
+    out = aggregate(df, keys, [*agg_exprs(spec, prefix, where, scales=scales), *extra], picks(spec, prefix, where), rows=rows)
+    named = [feature_name(prefix, col, fn) for col, fn in _pairs(spec)]
+    return out.select(*keys, *named, *[c for c in out.columns if c not in keys and c not in named])
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -181,20 +189,21 @@ def agg_all_columns(df: DataFrame, key: str | Sequence[str], fns: Sequence[str],
 
 def subset_parts(spec: Spec, subsets: Mapping[str, Column | str], ratios: Sequence[tuple[str, str]] = (),
                  ratio_prefix: str = "ratio", scales: Mapping[str, int] | None = None
-                 ) -> tuple[list[Column], list[Column]]:
-    """Aggregate expressions and post-aggregate output columns for subset
-    statistics, so callers can fuse them into a larger aggregate.
+                 ) -> tuple[list[Column], list[Column], list[Pick]]:
+    """Aggregate expressions, post-aggregate output columns and quantiles for
+    subset statistics, so callers can fuse them into a larger aggregate.
 
     A group with no row in a subset gets NULL for every statistic of that
     subset (as a separately aggregated subset would after a left join): one
     row count per subset is aggregated and the mask is applied after the
     aggregate, which keeps the aggregate narrow enough for codegen.
     """
-    aggs, outs, masked = [], [], {}
+    aggs, outs, masked, quantiles = [], [], {}, []
     for prefix, pred in subsets.items():
         aggs.append(F.expr(f"count_if({pred}) AS `__rows_{prefix}`") if isinstance(pred, str)
                     else F.count_if(pred).alias(f"__rows_{prefix}"))
         aggs += agg_exprs(spec, prefix, pred, scales=scales)
+        quantiles += picks(spec, prefix, pred)
         for c, fn in _pairs(spec):
             n = feature_name(prefix, c, fn)
             masked[n] = F.when(F.col(f"__rows_{prefix}") > 0, F.col(n))
@@ -203,7 +212,7 @@ def subset_parts(spec: Spec, subsets: Mapping[str, Column | str], ratios: Sequen
         for c, fn in _pairs(spec):
             outs.append(F.try_divide(masked[feature_name(num, c, fn)], masked[feature_name(den, c, fn)])
                         .alias(feature_name(f"{ratio_prefix}_{num}_{den}", c, fn)))
-    return aggs, outs
+    return aggs, outs, quantiles
 
 
 def subset_agg(df: DataFrame, key: str | Sequence[str], spec: Spec, subsets: Mapping[str, Column | str],
@@ -212,8 +221,8 @@ def subset_agg(df: DataFrame, key: str | Sequence[str], spec: Spec, subsets: Map
     """The same spec over several row subsets in one pass, plus subset ratios
     (``{prefix: predicate}``; ``(num, den)`` prefixes, x/0 → NULL)."""
     keys = [key] if isinstance(key, str) else list(key)
-    aggs, outs = subset_parts(spec, subsets, ratios, ratio_prefix, scales)
-    return df.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    aggs, outs, quantiles = subset_parts(spec, subsets, ratios, ratio_prefix, scales)
+    return aggregate(df, keys, aggs, quantiles).select(*keys, *outs)
 
 
 def two_level_agg(child: DataFrame, parent: DataFrame, child_key: str, root_key: str,

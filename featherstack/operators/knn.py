@@ -1,89 +1,222 @@
-"""Exact k-nearest-neighbour scores as a distributed block nested loop.
-
-Both sides are cut into blocks by a hash of their key (at most about
-``block_rows`` rows per block).  Every (query block, base block) pair is one
-``cogroup`` group: each query row is copied once per base block and each base
-row once per query block, and inside the group numpy keeps, per query row,
-the k closest base rows of that block.  Per-block candidates (k per base block
-per query) are reduced to the final k by a window over at most
-``k × base blocks`` rows per query.  No pair rows are materialised, no side is
-broadcast and nothing passes through the driver; a task holds one query block
-and one base block.
+"""Exact k-nearest-neighbour join by pivots and the triangle inequality.
+
+1. A few base rows, chosen by a hash of their key, are pivots; every base row
+   belongs to the cell of its nearest pivot (a Voronoi cell) and keeps its
+   distance to it.
+2. Of every cell the driver learns how many rows it holds, its smallest and
+   largest distance and its first k distances: a few numbers a pivot.
+3. A query row's distance to a base row of cell j is at most ``d(q, p_j) +
+   d(o, p_j)``, so the k-th smallest of these sums bounds its k-th neighbour.
+   It must visit the cells that can hold a closer row: not those that the
+   bound rules out by ``|d(q, p_j) - d(o, p_j)|`` at the cell's smallest and
+   largest distance, or by the plane between its own pivot and p_j.
+4. A cell is cut into blocks of at most ``block_rows`` rows.  Base rows move
+   once; a query row goes to each block of the cells that it visits.  A task
+   holds one block, sorted by distance to the pivot, and streams the queries:
+   the inequality leaves a range of that order, whose distances are computed.
+5. A window over at most k candidates a visit takes the final k.
+
+Nothing is dropped: the bounds are widened by more than they can be rounded
+by.  No pair is written, and pivots (at most MAX_PIVOTS vectors) are all that
+is sent to the tasks.  Base rows without a vector or label, and query rows
+without a vector, have no neighbours.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CANDIDATE_SCHEMA = "__q long, __b long, __d double, __y long"
-
-
-TILE = 256  # query rows whose distances to a base block are in memory at once
-
-
-def _topk_fn(qkey: str, bkey: str, vec: str, label: str, k: int):
-    """The k nearest base rows of a block by (distance, key).
-
-    Distances by expansion only sort out what is far: every row that they put
-    within rounding of the k-th is measured exactly, so ties at the k-th
-    distance are all seen and go to the smaller keys.
-    """
-    def run(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(b) == 0:
-            return pd.DataFrame({"__q": [], "__b": [], "__d": [], "__y": []})
-        qm = np.stack(q[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
-        bm = np.stack(b[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
-        keys, labels, kk = b[bkey].to_numpy(), b[label].to_numpy(), min(k, len(b))
-        b2 = (bm * bm).sum(1)
-        rows, cols, dist = [], [], []
-        for first in range(0, len(q), TILE):
-            qt = qm[first:first + TILE]
-            q2 = (qt * qt).sum(1)
-            d2 = q2[:, None] + b2[None, :] - 2.0 * qt @ bm.T
-            slack = 1e-9 * (q2 + b2.max())
-            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
-            for i in range(len(qt)):
-                near = np.flatnonzero(d2[i] <= kth[i] + 2 * slack[i])
-                exact = np.sqrt(((qt[i] - bm[near]) ** 2).sum(1))
-                best = np.lexsort((keys[near], exact))[:kk]
-                rows.append(np.full(len(best), first + i))
-                cols.append(near[best])
-                dist.append(exact[best])
-        rows, cols = np.concatenate(rows), np.concatenate(cols)
-        return pd.DataFrame({"__q": q[qkey].to_numpy()[rows], "__b": keys[cols], "__d": np.concatenate(dist), "__y": labels[cols]})
-    return run
+from ..session import materialize
+
+MAX_PIVOTS = 1024
+CELL_ROWS = 2_000  # base rows to a pivot
+BLOCK_ROWS = 20_000
+TILE = 256  # query rows whose distances to a block are in memory at once
+SLACK = 1e-9
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances by expansion: good to about 1e-7 of the norms, for bounds only."""
+    d2 = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2.0 * x @ y.T
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
+@dataclass
+class Cells:
+    """What every task knows of the cells."""
+    pivots: np.ndarray
+    rows: np.ndarray
+    nearest: np.ndarray  # smallest and largest distance to the pivot
+    farthest: np.ndarray
+    first: np.ndarray  # the first k distances of each cell, then infinity
+    slack: float
+
+    def bound(self, d: np.ndarray) -> np.ndarray:
+        """An upper bound of each query's k-th neighbour distance from its distances to the pivots."""
+        k = self.first.shape[1]
+        out = np.full(len(d), np.inf)
+        for i, row in enumerate(d):
+            sums = (row[:, None] + self.first).ravel()
+            if len(sums) >= k:
+                out[i] = np.partition(sums, k - 1)[k - 1]
+        return out + self.slack
+
+    def visits(self, d: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """Which cells each query must visit."""
+        own = d.argmin(axis=1)
+        between = _distances(self.pivots[own], self.pivots)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = np.where(between > self.slack, (d * d - (d[np.arange(len(d)), own] ** 2)[:, None]) / (2 * between), 0.0)
+        low = np.maximum.reduce([d - self.farthest, self.nearest - d, plane])
+        return (self.rows > 0) & (low <= bound[:, None] + self.slack)
+
+
+def fit_cells(base: DataFrame, k: int, cell_rows: int = CELL_ROWS) -> tuple[DataFrame, Cells]:
+    """(key, label, vector, cell, distance) of the base rows ``(__bk, __lab, __vec)``, and the cells."""
+    rows = base.select("__bk", "__lab", "__vec").where("__vec IS NOT NULL AND __lab IS NOT NULL AND __bk IS NOT NULL")
+    n = rows.count()
+    wanted = min(MAX_PIVOTS, max(1, math.ceil(n / cell_rows)))
+    chosen = rows.orderBy(F.xxhash64("__bk"), "__bk").limit(wanted).select("__vec").collect()
+    pivots = np.array([r[0] for r in chosen], dtype=np.float64) if chosen else np.zeros((0, 0))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _vectors(batch.column("__vec"))
+                cell = _distances(x, pivots).argmin(axis=1)
+                d = np.sqrt(((x - pivots[cell]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d)],
+                                                 names=[*batch.schema.names, "__cell", "__dp"])
+    placed = materialize(rows.mapInArrow(place, "__bk long, __lab long, __vec array<double>, __cell int, __dp double"))
+    size, near, far = np.zeros(len(pivots)), np.full(len(pivots), np.inf), np.zeros(len(pivots))
+    first = np.full((len(pivots), k), np.inf)
+    for r in placed.groupBy("__cell").agg(F.count(F.lit(1)), F.min("__dp"), F.max("__dp")).collect():
+        size[r[0]], near[r[0]], far[r[0]] = r[1], r[2], r[3]
+    rank = F.row_number().over(Window.partitionBy("__cell").orderBy("__dp"))
+    for r in placed.select("__cell", "__dp", rank.alias("__rn")).where(F.col("__rn") <= k).collect():
+        first[r["__cell"], r["__rn"] - 1] = r["__dp"]
+    scale = float(np.sqrt((pivots * pivots).sum(1)).max(initial=0.0) + far.max(initial=0.0))
+    return placed, Cells(pivots, size, near, far, first, SLACK + 1e-6 * scale)
+
+
+def visits(query: DataFrame, cells: Cells, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(cell, block, key, vector, bound, distance to the pivot): a row for each block that a query ``(__qk, __vec)`` visits."""
+    blocks = np.maximum(1, np.ceil(cells.rows / block_rows)).astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows if len(cells.pivots) else 0, TILE):
+                part = batch.slice(begin, TILE)
+                d = _distances(_vectors(part.column("__vec")), cells.pivots)
+                bound = cells.bound(d)
+                q, cell = np.nonzero(cells.visits(d, bound))
+                q, cell, block = np.repeat(q, blocks[cell]), np.repeat(cell, blocks[cell]), np.concatenate([np.arange(blocks[c]) for c in cell] or [[]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell.astype(np.int32)), pa.array(block.astype(np.int32)), part.column("__qk").take(pa.array(q)),
+                     part.column("__vec").take(pa.array(q)), pa.array(bound[q]), pa.array(d[q, cell])],
+                    names=["__cell", "__block", "__qk", "__vec", "__bound", "__dq"])
+    rows = query.select("__qk", "__vec").where("__vec IS NOT NULL")
+    return rows.mapInArrow(run, "__cell int, __block int, __qk long, __vec array<double>, __bound double, __dq double")
+
+
+class Block:
+    """A block of base rows, in the order of their distance to the pivot."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        dp = t.column("__d").to_numpy()
+        order = np.argsort(dp, kind="stable")
+        self.dp, self.keys = dp[order], t.column("__k").to_numpy()[order]
+        self.labels, self.x = t.column("__lab").to_numpy()[order], _vectors(t.column("__vec"))[order]
+        self.x2 = (self.x * self.x).sum(1)
+
+    def nearest(self, key: int, q: np.ndarray, bound: float, dq: float, k: int, slack: float, other: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(places, distances) of the k nearest by (distance, key) among the rows that can be within ``bound``."""
+        lo = np.searchsorted(self.dp, dq - bound - slack)
+        hi = np.searchsorted(self.dp, dq + bound + slack, side="right")
+        at = np.arange(lo, hi)
+        if other:
+            at = at[self.keys[lo:hi] != key]
+        if not len(at):
+            return at, np.zeros(0)
+        q2 = float(q @ q)
+        d2 = q2 + self.x2[at] - 2.0 * (self.x[at] @ q)
+        most = min(k, len(at))
+        # rows that the expansion puts within rounding of the k-th are measured exactly, so all ties are seen
+        at = at[d2 <= np.partition(d2, most - 1)[most - 1] + 4e-9 * (q2 + self.x2[at].max())]
+        d = np.sqrt(((q - self.x[at]) ** 2).sum(1))
+        best = np.lexsort((self.keys[at], d))[:most]
+        return at[best], d[best]
 
 
 def knn_neighbours(base: DataFrame, query: DataFrame, bkey: str, qkey: str, vec: str, label: str, k: int,
-                   block_rows: int = 20_000) -> DataFrame:
+                   block_rows: int = BLOCK_ROWS, cell_rows: int = CELL_ROWS, other: bool = False) -> DataFrame:
     """The k nearest base rows of every query row: ``(__q, __b, __d, __y, rn)``;
-    ties on distance go to the smaller base key."""
-    nb = max(1, math.ceil(base.count() / block_rows))
-    nq = max(1, math.ceil(query.count() / block_rows))
-    q = query.select(F.col(qkey).alias("__qk"), F.col(vec).alias("__vec"),
-                     F.pmod(F.xxhash64(qkey), F.lit(nq)).alias("__qb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("__bb"))
-    b = base.select(F.col(bkey).alias("__bk"), F.col(vec).alias("__vec"), F.col(label).cast("long").alias("__lab"),
-                    F.pmod(F.xxhash64(bkey), F.lit(nb)).alias("__bb"),
-                    F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("__qb"))
-    cands = q.groupBy("__qb", "__bb").cogroup(b.groupBy("__qb", "__bb")).applyInPandas(
-        _topk_fn("__qk", "__bk", "__vec", "__lab", k), CANDIDATE_SCHEMA)
+    ties on distance go to the smaller base key.  With ``other``, a base row
+    with the query's own key is not its neighbour."""
+    rows = base.select(F.col(bkey).cast("long").alias("__bk"), F.col(label).cast("long").alias("__lab"), F.col(vec).cast("array<double>").alias("__vec"))
+    placed, cells = fit_cells(rows, k + 1 if other else k, cell_rows)
+    blocks = F.element_at(F.array(*[F.lit(int(max(1, math.ceil(n / block_rows)))) for n in cells.rows]), F.col("__cell") + 1) if len(cells.rows) else F.lit(1)
+    left = placed.select("__cell", F.pmod(F.xxhash64("__bk"), blocks).cast("int").alias("__block"), F.lit(0).alias("__kind"),
+                         F.col("__bk").alias("__k"), "__lab", "__vec", F.lit(0.0).alias("__bound"), F.col("__dp").alias("__d"))
+    asked = visits(query.select(F.col(qkey).cast("long").alias("__qk"), F.col(vec).cast("array<double>").alias("__vec")), cells, block_rows)
+    right = asked.select("__cell", "__block", F.lit(1).alias("__kind"), F.col("__qk").alias("__k"), F.lit(None).cast("long").alias("__lab"), "__vec",
+                         "__bound", F.col("__dq").alias("__d"))
+    groups = left.unionByName(right).repartition("__cell", "__block").sortWithinPartitions("__cell", "__block", "__kind", "__k")
+    slack = cells.slack
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, block = None, [], None
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in ("__cell", "__block", "__kind")]
+            cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1 if batch.num_rows else np.zeros(0, int)
+            for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                if begin == end:
+                    continue
+                part, now = batch.slice(begin, end - begin), (int(columns[0][begin]), int(columns[1][begin]))
+                if now != key:
+                    key, held, block = now, [], None
+                if columns[2][begin] == 0:
+                    held.append(part)
+                elif held or block is not None:
+                    if block is None:
+                        block, held = Block(held), []
+                    yield from answer(block, part)
+
+    def answer(block: Block, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, x = part.column("__k").to_numpy(zero_copy_only=False), _vectors(part.column("__vec"))
+        bound, dq = part.column("__bound").to_numpy(), part.column("__d").to_numpy()
+        q, b, d, y = [], [], [], []
+        for i in range(len(part)):
+            at, dist = block.nearest(ids[i], x[i], bound[i], dq[i], k, slack, other)
+            q.append(np.full(len(at), ids[i]))
+            b.append(block.keys[at])
+            d.append(dist)
+            y.append(block.labels[at])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (q, b, d, y)], names=["__q", "__b", "__d", "__y"])
+    found = groups.mapInArrow(run, "__q long, __b long, __d double, __y long")
     w = Window.partitionBy("__q").orderBy("__d", "__b")
-    return cands.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
+    return found.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
 
 def knn_score(base: DataFrame, query: DataFrame, bkey: str, qkey: str, vec: str, label: str, k: int,
-              block_rows: int = 20_000) -> DataFrame:
+              block_rows: int = BLOCK_ROWS, cell_rows: int = CELL_ROWS, other: bool = False) -> DataFrame:
     """Distance-weighted vote (weights 1/d; an exact match takes all the
-    weight): predicted label, its weight share and the mean neighbour label."""
-    nb = knn_neighbours(base, query, bkey, qkey, vec, label, k, block_rows)
+    weight): predicted label and its weight share."""
+    nb = knn_neighbours(base, query, bkey, qkey, vec, label, k, block_rows, cell_rows, other)
     has_zero = F.max((F.col("__d") == 0).cast("int")).over(Window.partitionBy("__q"))
-    weight = F.when(has_zero == 1, (F.col("__d") == 0).cast("double")).otherwise(1.0 / F.col("__d"))
+    weight = F.when(has_zero == 1, (F.col("__d") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("__d")))
     votes = nb.withColumn("__w", weight).groupBy("__q", "__y").agg(F.sum("__w").alias("__vw"))
     total = F.sum("__vw").over(Window.partitionBy("__q"))
     best = F.row_number().over(Window.partitionBy("__q").orderBy(F.col("__vw").desc(), F.col("__y")))

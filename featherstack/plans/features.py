@@ -18,6 +18,7 @@ from ..operators import bins as Bn
 from ..operators import groupstats as G
 from ..operators import ordered as O
 from ..operators.rank import global_quantiles
+from ..operators.select import aggregate
 from . import fixture as fx
 
 MONEY = {"o_totalprice": 2, "c_acctbal": 2}
@@ -119,18 +120,18 @@ def features_bureau_two_level(spark: SparkSession, d: str) -> DataFrame:
     """lines → order (bureau balance → bureau) → customer, with active
     (status O) and closed (status F) subsets and their ratios."""
     li = fx.lines(spark, d)
-    bb = li.groupBy("l_orderkey").agg(*A.agg_exprs(BB_SPEC, "bb"),
-                                     *A.share_of_levels(li, "l_orderkey", "l_returnflag", ["A", "N", "R"], "bb",
-                                                        null_level=False, fn="median"))
-    bureau = fx.previous(spark, d).join(bb.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
+    shares = A.share_of_levels(li, "l_orderkey", "l_returnflag", ["A", "N", "R"], "bb", null_level=False, fn="median")
+    bb = aggregate(li, "l_orderkey", [*A.agg_exprs(BB_SPEC, "bb"), *shares], A.picks(BB_SPEC, "bb"))
+    orders = fx.previous(spark, d)
+    bureau = orders.join(bb.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
     cat = {"bb_l_returnflag_a_median": ["median"], "bb_l_returnflag_r_median": ["median"]}
-    sub_aggs, sub_outs = A.subset_parts(BUREAU_NUM, {"active": "o_orderstatus = 'O'", "closed": "o_orderstatus = 'F'"},
+    sub_aggs, sub_outs, sub_picks = A.subset_parts(BUREAU_NUM, {"active": "o_orderstatus = 'O'", "closed": "o_orderstatus = 'F'"},
                                         ratios=[("active", "closed")], ratio_prefix="new_ratio", scales=MONEY)
     all_spec = {**BUREAU_NUM, **cat}
     all_names = [A.feature_name("buro", c, fn) for c, fn in A._pairs(all_spec)]
     # one aggregate pass: all rows, the active subset and the closed subset
-    return bureau.groupBy("o_custkey").agg(*A.agg_exprs(all_spec, "buro", scales=MONEY), *sub_aggs) \
-        .select("o_custkey", *all_names, *sub_outs)
+    return aggregate(bureau, "o_custkey", [*A.agg_exprs(all_spec, "buro", scales=MONEY), *sub_aggs],
+                     [*A.picks(all_spec, "buro"), *sub_picks], rows=orders).select("o_custkey", *all_names, *sub_outs)
 
 
 def features_bureau_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -174,7 +175,7 @@ PREV_SPEC = {"o_totalprice": ["min", "max", "mean", "sum"], "day": ["min", "max"
 def features_previous_apps(spark: SparkSession, d: str) -> DataFrame:
     p = fx.previous(spark, d)
     shares = A.share_of_levels(p, "o_custkey", "o_orderpriority", PRIORITIES, "prev", null_level=False)
-    sub_aggs, sub_outs = A.subset_parts(PREV_SPEC, {"approved": "o_orderstatus = 'F'", "refused": "o_orderstatus = 'P'"},
+    sub_aggs, sub_outs, _ = A.subset_parts(PREV_SPEC, {"approved": "o_orderstatus = 'F'", "refused": "o_orderstatus = 'P'"},
                                         ratios=[("approved", "refused")], scales=MONEY)
     names = [A.feature_name("prev", c, fn) for c, fn in A._pairs(PREV_SPEC)]
     names += [f"prev_o_orderpriority_{A.level_name(lv)}_mean" for lv in PRIORITIES]
@@ -250,12 +251,12 @@ def features_installments(spark: SparkSession, d: str) -> DataFrame:
                  (F.col("instalment") - F.col("payment")).alias("paid_diff"),
                  scalar.positive_part(delay - 60).alias("dpd"), scalar.positive_part(60 - delay).alias("dbd"))
     recent = F.col("due_day") > -366
-    by_customer = x.groupBy("o_custkey").agg(
+    by_customer = aggregate(x, "o_custkey", [
         *A.agg_exprs(INS_SPEC, "ins"), F.count(F.lit(1)).alias("ins_count"),
-        F.count_distinct("l_linenumber").alias("ins_version_nunique"),
+        A.agg_expr("l_linenumber", "nunique_small").alias("ins_version_nunique"),
         F.avg(F.when(recent, clean.compare_flag(F.col("dpd") > 0))).alias("ins_recent_late_share"),
         *O.trend_exprs("dpd", "due_day", "ins", fill_y=0.0),
-        *O.trend_exprs("delay", "due_day", "ins_recent", where=recent))
+        *O.trend_exprs("delay", "due_day", "ins_recent", where=recent)], A.picks(INS_SPEC, "ins"))
     # the last order of a customer, from one row per (customer, order)
     orders = x.groupBy("o_custkey", "l_orderkey").agg(F.max("due_day").alias("due"), F.avg("paid_share").alias("share"))
     last = orders.groupBy("o_custkey").agg(F.max_by("share", F.struct("due", "l_orderkey")).alias("ins_last_order_paid_share"))

@@ -1,6 +1,7 @@
 """Rows-only operators checked against numpy brute force on small data."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from featherstack.operators import encode as En
@@ -31,21 +32,33 @@ def test_polynomial_contrasts_orthonormal():
         assert np.allclose(m.sum(axis=0), 0.0, atol=1e-10)  # orthogonal to the constant
 
 
-def test_knn_matches_numpy(spark):
+@pytest.mark.parametrize(("rows", "cell", "other"), [(20_000, 2_000, False), (40, 30, False), (7, 10, True), (20_000, 1, True)])
+def test_knn_matches_numpy(spark, rows, cell, other):
     rng = np.random.default_rng(5)
-    base = [(i, rng.normal(size=6).tolist(), int(rng.integers(0, 3))) for i in range(120)]
-    query = [(1000 + i, rng.normal(size=6).tolist()) for i in range(15)]
+    centres = rng.normal(size=(5, 6)) * 8
+    base = [(i, (centres[i % 5] + rng.normal(size=6)).tolist(), int(rng.integers(0, 3))) for i in range(180)]
+    base += [(200 + i, [1.0] * 6, i % 2) for i in range(12)] + [(300, None, 1)]  # ties, no vector
+    query = [(i, v) for i, v, _ in base if i % 9 == 0] + [(1000, rng.normal(size=6).tolist()), (1001, [1.0] * 6), (1002, None)]
     b = spark.createDataFrame(base, "id long, v array<double>, y long")
     q = spark.createDataFrame(query, "id long, v array<double>")
-    nb = K.knn_neighbours(b, q, "id", "id", "v", "y", 5, block_rows=40)  # three blocks
     got = {}
-    for r in nb.collect():
+    for r in K.knn_neighbours(b, q, "id", "id", "v", "y", 5, block_rows=rows, cell_rows=cell, other=other).collect():
         got.setdefault(r["__q"], []).append((r["rn"], r["__b"]))
-    bx = np.array([r[1] for r in base])
     for qid, qv in query:
-        d = np.sqrt(((bx - np.array(qv)) ** 2).sum(1))
-        want = [base[i][0] for i in np.lexsort((np.array([r[0] for r in base]), d))[:5]]
-        assert [bid for _, bid in sorted(got[qid])] == want
+        near = sorted((float(np.sqrt(((np.array(v) - np.array(qv)) ** 2).sum())), i) for i, v, _ in base
+                      if v is not None and qv is not None and not (other and i == qid))
+        assert [bid for _, bid in sorted(got.get(qid, []))] == [i for _, i in near[:5]]
+    assert K.knn_neighbours(b.limit(0), q, "id", "id", "v", "y", 5).count() == 0
+
+
+def test_knn_visits_few_cells_of_clustered_rows(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(8, 16)) * 20
+    x = [(i, (centres[i % 8] + rng.normal(size=16)).tolist(), 0) for i in range(800)]
+    base = spark.createDataFrame(x, "__bk long, __vec array<double>, __lab long")
+    _, cells = K.fit_cells(base, 6, cell_rows=20)
+    query = base.where("__bk % 10 = 0").select(F.col("__bk").alias("__qk"), "__vec")
+    assert len(cells.pivots) == 40 and K.visits(query, cells).count() < 0.4 * 80 * 40
 
 
 def test_kmeans_1d_assigns_every_row(spark):
