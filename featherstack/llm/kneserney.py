@@ -55,7 +55,7 @@ from .common import extend, map_batches, mix64, stage_table, without
 from .tokens import slices
 
 ORDER = 2
-ENTRIES = 4_000_000  # tokens whose n-grams make a shard
+ENTRIES = 2_000_000  # tokens whose n-grams make a shard
 PARTS = 8  # a context of more than one PARTS-th of a shard's tokens is split
 BYTES_A_TOKEN = 6
 FALLBACK = (0.5, 1.0, 1.5)
@@ -285,20 +285,16 @@ def sequences(texts: list[bytes], model: Model) -> Iterator[Sequence]:
         yield Sequence(seq, cnt, doc, depth, new)
 
 
-def _count_grams(texts: DataFrame, model: Model) -> DataFrame:
-    """Blobs of the n-grams of the highest order, and of shorter ones that begin a text."""
+def _count_grams(texts: DataFrame, model: Model, n: int) -> DataFrame:
+    """Blobs of the n-grams of the highest order, or of those of a lower one that begin a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = {n: Entries(n, model.id_type, model.count_type, model.entries // 2) for n in range(1, model.order + 1)}
+        held = Entries(n, model.id_type, model.count_type, model.entries // 2)
         for batch in batches:
             for seq in sequences(_texts(batch), model):
-                for n in range(2 if model.order > 1 else 1, model.order + 1):
-                    # a shorter one must begin with the beginning itself
-                    at = np.flatnonzero(seq.new & (seq.depth >= n - 1)) if n == model.order else np.flatnonzero(seq.new & (seq.depth == n - 1))
-                    columns = seq.grams(n, at)
-                    last = seq.counts[at - 1] if n > 1 else None
-                    yield from entries[n].add(columns, model.shard_of(columns, len(at), last))
-        for e in entries.values():
-            yield from e.flush()
+                at = np.flatnonzero(seq.new & (seq.depth >= n - 1 if n == model.order else seq.depth == n - 1))
+                columns = seq.grams(n, at)
+                yield from held.add(columns, model.shard_of(columns, len(at), seq.counts[at - 1] if n > 1 else None))
+        yield from held.flush()
     return map_batches(texts, run, BLOBS)
 
 
@@ -322,7 +318,7 @@ def _merge(blobs: DataFrame, level: int, model: Model) -> DataFrame:
             batches = [*lower.add(columns[1:], model.shard_of(columns[1:], len(keys), last)), *lower.flush()]
             out += [_merged(pa.table(b)) for b in map(_as_dict, batches)]
         return pa.concat_tables(out)
-    return blobs.where(F.col("level") == level).groupBy("shard").applyInArrow(run, MERGED)
+    return blobs.groupBy("shard").applyInArrow(run, MERGED)
 
 
 def _as_dict(batch: pa.RecordBatch) -> dict:
@@ -375,11 +371,10 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, entries:
     tokens = sum(r["tokens"] for r in found.values())
     model = Model(folder, order, bits, offsets, tokens, n_texts, shards, entries, "<u4" if offsets[-1] + 2 < 2**32 else "<u8",
                   "<u4" if tokens < 2**32 else "<u8")
-    blobs = stage_table(_count_grams(texts, model))
     contexts, above = None, None
     for level in range(order, 0, -1):
-        rows = blobs.where(F.col("level") == level)
-        if above is not None:
+        rows = _count_grams(texts, model, level) if level > 1 or order == 1 else above
+        if 1 < level < order:
             rows = rows.unionByName(above)
         merged = stage_table(_merge(rows, level, model))
         stats = merged.where("ctx IS NOT NULL").select(F.lit(level).alias("level"), "ctx", "total", "n1", "n2", "n3", "n4", "more")
