@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .agg import discover_levels, level_name
+from .skew import split_join
 
 
 def _map_lit(pairs: Mapping) -> Column:
@@ -58,7 +59,7 @@ def level_codes(df: DataFrame, col: str, order: str | None = None) -> DataFrame:
 
 
 def _with_code(df: DataFrame, level: Column, codes: DataFrame) -> DataFrame:
-    return df.withColumn("__lv", level).join(codes, "__lv", "left")
+    return split_join(df.withColumn("__lv", level), codes, "__lv")
 
 
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -152,8 +153,9 @@ def target_encode(df: DataFrame, col: str, target: str, fold: str, out: str, min
     tot = per.groupBy("__lv").agg(F.sum("__lf_sum").alias("__lv_sum"), F.sum("__lf_cnt").alias("__lv_cnt"))
     by_fold = per.groupBy("__f").agg(F.sum("__lf_sum").alias("s"), F.sum("__lf_cnt").alias("n")).collect()  # one row a fold
     gs, gn = float(sum(r["s"] for r in by_fold)), int(sum(r["n"] for r in by_fold))
-    rows = df.withColumn("__lv", lv).join(tot, "__lv", "left")
-    rows = rows.join(per.withColumnRenamed("__f", fold), ["__lv", fold], "left")
+    levels = df.withColumn("__lv", lv)
+    rows = split_join(levels, tot, "__lv")
+    rows = split_join(rows, per.withColumnRenamed("__f", fold), ["__lv", fold], rows=levels)
     n = F.coalesce(F.col("__lv_cnt"), F.lit(0)) - F.coalesce(F.col("__lf_cnt"), F.lit(0))
     s = F.coalesce(F.col("__lv_sum"), F.lit(0.0)) - F.coalesce(F.col("__lf_sum"), F.lit(0.0))
     prior = F.lit(gs / gn if gn else None).cast("double")

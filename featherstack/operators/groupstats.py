@@ -2,10 +2,11 @@
 ``do_countuniq`` and per-group recipes).
 
 All statistics for one grouping key go into ONE aggregate; the per-group
-table is joined back by its keys (the planner broadcasts it if its bytes are
-few, else AQE splits a hot key).  An aggregate + join is used instead of
-``count() over (partition by g)`` because a window would put a hot group into
-one task; the aggregate combines it map-side.
+table is joined back by its keys with ``skew.split_join``, which spreads the
+rows of heavy keys (the planner broadcasts the table if its bytes are few).
+An aggregate + join is used instead of ``count() over (partition by g)``
+because a window would put a hot group into one task; the aggregate combines
+it map-side.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ..names import feature_name
 from .agg import agg_expr
 from .rank import quantiles_long
+from .skew import split_join
 
 
 def _keys(k) -> list[str]:
@@ -35,10 +37,10 @@ def group_recipes(df: DataFrame, recipes: Sequence[tuple[Sequence[str], Sequence
         plain = [(c, fn) for c, fn in stats if fn != "median"]
         if plain:
             g = df.groupBy(*keys).agg(*[agg_expr(c, fn).alias(feature_name(prefix, c, fn)) for c, fn in plain])
-            out = out.join(g, keys, "left")
+            out = split_join(out, g, keys, rows=df)
         middle = [c for c, fn in stats if fn == "median"]
         if middle:
-            out = out.join(group_medians(df, keys, {c: feature_name(prefix, c, "median") for c in middle}), keys, "left")
+            out = split_join(out, group_medians(df, keys, {c: feature_name(prefix, c, "median") for c in middle}), keys, rows=df)
     return out
 
 
@@ -54,13 +56,13 @@ def broadcast_count(df: DataFrame, keys: Sequence[str] | str, name: str | None =
     keys = _keys(keys)
     name = name or feature_name("cnt", "_".join(keys))
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return df.join(g, keys, "left")
+    return split_join(df, g, keys)
 
 
 def broadcast_mean(df: DataFrame, cat: str, cols: Sequence[str]) -> DataFrame:
     """Mean of each numeric column per level of ``cat``, as ``mean_<cat>_<col>``."""
     g = df.groupBy(cat).agg(*[F.avg(c).alias(f"mean_{cat}_{c}".lower()) for c in cols])
-    return df.join(g, cat, "left")
+    return split_join(df, g, cat)
 
 
 def broadcast_nunique(df: DataFrame, cats: Sequence[str]) -> DataFrame:
@@ -71,5 +73,5 @@ def broadcast_nunique(df: DataFrame, cats: Sequence[str]) -> DataFrame:
     for f0 in cats:
         others = [f1 for f1 in cats if f1 != f0]
         g = df.groupBy(f0).agg(*[agg_expr(f1, "nunique").alias(f"nuniq_{f0}_{f1}".lower()) for f1 in others])
-        out = out.join(g, f0, "left")
+        out = split_join(out, g, f0, rows=df)
     return out
