@@ -154,6 +154,36 @@ def kmeans_1d_q(spark, d):
     return Bn.kmeans_1d(i.select("l_orderkey", "l_linenumber", "ratio"), "ratio", 8, "ratio_cluster")
 
 
+def _clusters_sql(x: str, tbl: str, k: int) -> str:
+    """The best k runs of the distinct values of ``x`` by a recursive programme:
+    ``starts`` holds (cluster, its smallest value)."""
+    return f"""v AS (SELECT {x} AS x, count(*)::DOUBLE AS n FROM {tbl} GROUP BY 1),
+  p AS (SELECT row_number() OVER (ORDER BY x) AS i, x, sum(n) OVER (ORDER BY x) AS w, sum(n * x) OVER (ORDER BY x) AS s, sum(n * x * x) OVER (ORDER BY x) AS q FROM v),
+  z AS (SELECT i, x, w, s, q FROM p UNION ALL SELECT 0, NULL, 0, 0, 0),
+  c AS (SELECT a.i + 1 AS i, b.i AS j, b.q - a.q - pow(b.s - a.s, 2) / (b.w - a.w) AS cost FROM z a JOIN z b ON a.i < b.i),
+  d AS (SELECT 1 AS k, j, cost AS best, [1]::BIGINT[] AS path FROM c WHERE i = 1
+    UNION ALL SELECT k, j, best, path FROM (SELECT d.k + 1 AS k, c.j, d.best + c.cost AS best, list_append(d.path, c.i) AS path,
+        row_number() OVER (PARTITION BY c.j ORDER BY d.best + c.cost, c.i) AS rn
+      FROM d JOIN c ON c.i = d.j + 1 WHERE d.k < {k}) WHERE rn = 1),
+  last AS (SELECT path FROM d WHERE j = (SELECT max(i) FROM p) ORDER BY k DESC LIMIT 1),
+  begin_at AS (SELECT unnest(path) AS i, unnest(range(len(path))) AS cluster FROM last),
+  starts AS (SELECT cluster, x FROM begin_at JOIN p USING (i))"""
+
+
+def _register_clusters(k: int) -> None:
+    @register(f"kmeans_1d_{k}", f"""WITH RECURSIVE t AS (SELECT l_orderkey, l_linenumber, floor(l_extendedprice / 1000) AS x FROM lineitem),
+  {_clusters_sql('x', 't', k)}
+  SELECT l_orderkey, l_linenumber, (SELECT CAST(max(cluster) AS INTEGER) FROM starts WHERE starts.x <= t.x) AS price_cluster FROM t""", all_exact=True)
+    def kmeans_1d_k(spark, d):
+        """The best clusters of the price in thousands, by least squared error."""
+        li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.floor(F.col("l_extendedprice") / 1000).cast("double").alias("x"))
+        return Bn.kmeans_1d(li, "x", k, "price_cluster", log1p=False).drop("x")
+
+
+for _k in (8, 64):
+    _register_clusters(_k)
+
+
 @register("robust_scale", f"""WITH t AS (SELECT median(c_acctbal) AS m, quantile_cont(c_acctbal, 0.95) - quantile_cont(c_acctbal, 0.05) AS r
     FROM {APP} a WHERE is_train)
   SELECT c_custkey, (c_acctbal - m) / coalesce(nullif(r, 0), 1) AS c_acctbal FROM customer, t""", exact=["c_custkey"])

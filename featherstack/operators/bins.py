@@ -1,14 +1,13 @@
-"""Quantile bins (``qcut(x, n, duplicates='drop')``) and 1-d k-means clusters."""
+"""Quantile bins (``qcut(x, n, duplicates='drop')``) and optimal 1-d clusters."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .cluster import cluster_of, fit_clusters
 from .rank import global_quantiles
 
 
@@ -44,14 +43,17 @@ def quantile_bin(col: str | Column, edges: Sequence[float]) -> Column:
     return F.when(c.isNotNull(), F.size(F.filter(inner, lambda e: e < c.cast("double")))).cast("int")
 
 
-def kmeans_1d(df: DataFrame, col: str, k: int, out: str, seed: int = 1001, fill: float = 999.0,
-              log1p: bool = True, max_iter: int = 20) -> DataFrame:
-    """Cluster id of a single (log1p-transformed) column; missing → ``fill``
-    before clustering, as in the reference."""
+def clustered_value(col: str, fill: float = 999.0, log1p: bool = True) -> Column:
+    """What a column's clusters are made of: missing values as ``fill``, then log1p."""
     x = F.coalesce(F.col(col).cast("double"), F.lit(fill))
-    if log1p:
-        x = F.log1p(F.greatest(x, F.lit(0.0)))
-    prepared = df.withColumn("__x", x)
-    vec = VectorAssembler(inputCols=["__x"], outputCol="__vec").transform(prepared)
-    model = KMeans(k=k, seed=seed, featuresCol="__vec", predictionCol=out, maxIter=max_iter).fit(vec)
-    return model.transform(vec).drop("__x", "__vec")
+    return F.log1p(F.greatest(x, F.lit(0.0))) if log1p else x
+
+
+def kmeans_1d(df: DataFrame, col: str, k: int | Sequence[int], out: str, fill: float = 999.0, log1p: bool = True,
+              fit_on: DataFrame | None = None) -> DataFrame:
+    """Cluster ids, by ascending values, of one (log1p-transformed) column: the
+    clusters of least squared error (see ``cluster``).  Several ``k`` give
+    ``<out>_<k>`` each from one fit; ``fit_on`` is ``df`` unless given."""
+    x = clustered_value(col, fill, log1p)
+    begins = fit_clusters(df if fit_on is None else fit_on, x, k if isinstance(k, int) else list(k))
+    return df.withColumns({out if isinstance(k, int) else f"{out}_{c}": cluster_of(x, b) for c, b in begins.items()})

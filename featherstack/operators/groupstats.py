@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..names import feature_name
-from .agg import agg_expr
-from .rank import quantiles_long
+from .agg import agg_expr, picks
+from .select import PROBS, Pick, aggregate
 from .skew import split_join
 
 
@@ -34,22 +34,14 @@ def group_recipes(df: DataFrame, recipes: Sequence[tuple[Sequence[str], Sequence
     for keys, stats in recipes:
         keys = _keys(keys)
         prefix = "grp_" + "_".join(keys)
-        plain = [(c, fn) for c, fn in stats if fn != "median"]
-        if plain:
-            g = df.groupBy(*keys).agg(*[agg_expr(c, fn).alias(feature_name(prefix, c, fn)) for c, fn in plain])
-            out = split_join(out, g, keys, rows=df)
-        middle = [c for c, fn in stats if fn == "median"]
-        if middle:
-            out = split_join(out, group_medians(df, keys, {c: feature_name(prefix, c, "median") for c in middle}), keys, rows=df)
+        plain = [agg_expr(c, fn).alias(feature_name(prefix, c, fn)) for c, fn in stats if fn not in PROBS]
+        out = split_join(out, aggregate(df, keys, plain, picks(stats, prefix)), keys, rows=df)
     return out
 
 
 def group_medians(df: DataFrame, keys: Sequence[str] | str, names: Mapping[str, str]) -> DataFrame:
-    """Exact medians of few, large groups, read off distributed cumulative
-    counts: no task holds a group's values.  ``names``: column to output."""
-    keys = _keys(keys)
-    long = quantiles_long(df, list(names), [0.5], keys)
-    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == c, F.col("__q"))).alias(n) for c, n in names.items()])
+    """Exact medians per group, whatever its size.  ``names``: column to output."""
+    return aggregate(df, _keys(keys), [], [Pick(n, c, PROBS["median"]) for c, n in names.items()])
 
 
 def broadcast_count(df: DataFrame, keys: Sequence[str] | str, name: str | None = None) -> DataFrame:

@@ -63,22 +63,22 @@ def features_application_ratios(spark: SparkSession, d: str) -> DataFrame:
 
 def features_application_new(spark: SparkSession, d: str, clusters: bool = True) -> DataFrame:
     """Ratios, flag row statistics, centred income, group recipes, bins and
-    (optionally) a 1-d k-means cluster id."""
+    (optionally) the id of the best four clusters of a score."""
     a = clean.sentinel_to_null(application_base(spark, d), {"days_employed": 365243})
     flags = [clean.compare_flag(F.col(c).isNull()) for c in ("ext1", "ext3", "days_employed")]
-    mean_income = a.agg(F.avg("income")).first()[0]
-    med_income = global_quantiles(a, ["income"], [0.5])["income"][0]
+    mean_income = F.lit(a.agg(F.avg("income")).first()[0])
+    edges = Bn.fit_edges(a, ["income"], 16)["income"]  # its middle edge is the median, unless edges fall together
+    med_income = global_quantiles(a, ["income"], [0.5])["income"][0] if len(edges) < 17 else edges[8]
     base = a.select("c_custkey", "c_mktsegment", "n_regionkey", "income", "ext1", "ext2", "ext3",
                     scalar.safe_div(F.col("ext1") + F.col("ext2"), F.col("ext3") + 1).alias("new_ext_ratio"),
                     rowstats.row_flag_sum(flags).alias("new_flag_sum"),
                     rowstats.row_stat("kurt", ["ext1", "ext2", "ext3", "income"], "new_row_kurt"),
-                    (F.col("income") - F.lit(mean_income)).alias("new_income_centred_mean"),
+                    (F.col("income") - mean_income).alias("new_income_centred_mean"),
                     (F.col("income") - F.lit(med_income)).alias("new_income_centred_median"))
     out = G.group_recipes(base, [(["c_mktsegment", "n_regionkey"], [("income", "median"), ("ext2", "mean")])])
-    edges = Bn.fit_edges(out, ["income"], 16)["income"]
     out = out.withColumn("new_income_bin", Bn.quantile_bin("income", edges))
     if clusters:
-        out = Bn.kmeans_1d(out, "ext3", 4, "new_ext3_cluster", fill=0.5, log1p=False)
+        out = Bn.kmeans_1d(out, "ext3", 4, "new_ext3_cluster", fill=0.5, log1p=False, fit_on=a)
     return out.drop("c_mktsegment", "n_regionkey")
 
 

@@ -61,9 +61,40 @@ def test_knn_visits_few_cells_of_clustered_rows(spark):
     assert len(cells.pivots) == 40 and K.visits(query, cells).count() < 0.4 * 80 * 40
 
 
-def test_kmeans_1d_assigns_every_row(spark):
+def least_squares(values, weights, k):
+    """The least sum of squares of k runs, by trying every cut."""
+    n = len(values)
+
+    def cost(i, j):
+        v, w = values[i:j], weights[i:j]
+        return float((w * (v - np.average(v, weights=w)) ** 2).sum())
+    best = [cost(0, j) for j in range(1, n + 1)]
+    for c in range(1, min(k, n)):
+        best = [min((best[i - 1] + cost(i, j) for i in range(c, j)), default=np.inf) for j in range(1, n + 1)]
+    return best[-1]
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 8, 64])
+def test_optimal_clusters_against_every_cut(k):
+    from featherstack.operators.cluster import optimal_cuts
+    rng = np.random.default_rng(k)
+    values = np.sort(np.concatenate([rng.normal(size=20), rng.normal(size=15) * 0.1 + 5, rng.exponential(size=15) * 9]))
+    weights = rng.integers(1, 9, len(values)).astype(float)
+    cuts, total = optimal_cuts(values, weights, k)
+    assert len(cuts) == min(k, len(values)) - 1 and cuts == sorted(set(cuts))
+    assert total == pytest.approx(least_squares(values, weights, k), rel=1e-9, abs=1e-9)
+
+
+def test_kmeans_1d_of_rows(spark):
     from featherstack.operators.bins import kmeans_1d
-    df = spark.createDataFrame([(i, float(i % 10) if i % 7 else None) for i in range(200)], "id int, x double")
-    out = kmeans_1d(df, "x", 3, "c").collect()
-    assert len(out) == 200 and {r["c"] for r in out} <= {0, 1, 2}
-    assert all(r["c"] is not None for r in out)
+    from featherstack.operators.cluster import cluster_of, fit_clusters
+    df = spark.createDataFrame([(i, float(i % 10) if i % 7 else None) for i in range(200)], "i int, x double")
+    out = kmeans_1d(df, "x", [2, 3, 64], "c", fill=100.0, log1p=False).collect()
+    assert len(out) == 200 and {r["c_2"] for r in out} == {0, 1} and all((r["c_2"] == 1) == (r["x"] is None) for r in out)
+    assert {r["c_3"] for r in out} == {0, 1, 2} and {r["c_64"] for r in out} == set(range(11))  # no more clusters than values
+    many = spark.range(3000).select((F.col("id") * F.col("id")).cast("double").alias("x"))  # beyond the points: bins
+    begins = fit_clusters(many, F.col("x"), 8, most=256)[8]
+    exact = fit_clusters(many, F.col("x"), 8)[8]
+    sums = [many.groupBy(cluster_of(F.col("x"), b)).agg(F.var_pop("x") * F.count("x")).agg(F.sum("(var_pop(x) * count(x))")).first()[0] for b in (begins, exact)]
+    assert len(begins) == 7 and sums[1] <= sums[0] <= 1.01 * sums[1]
+    assert kmeans_1d(df.limit(0), "x", 4, "c").count() == 0
