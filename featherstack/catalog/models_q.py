@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
-from ..models import boosting, oof, selection
+from ..models import boosting, gram, oof, selection
 from ..operators import blend as B
 from ..operators import encode as En
 from ..operators import folds as fo
@@ -107,9 +107,52 @@ def fit_logistic_q(spark, d):
     return _oof(spark, d, lambda size: oof.fit_logistic(c=0.1, total_weight=size.weight, weight_col="w"), weight_col="w")
 
 
-@register("fit_ridge", OOF_SQL, all_exact=True)
+# The model table's features as one list, the sums of their outer products, and a
+# Gauss-Jordan elimination as a recursive query: SQL that fits the same ridge.
+DESIGN = """lv AS (SELECT list(DISTINCT lang ORDER BY lang) FILTER (WHERE lang IS NOT NULL) AS langs, list(DISTINCT source ORDER BY source) FILTER (WHERE source IS NOT NULL) AS sources FROM documents),
+  x AS MATERIALIZED (SELECT d.doc_id, l.quality::DOUBLE AS y, CASE WHEN l.quality IS NOT NULL THEN {fold} END AS fold,
+    list_concat([coalesce(ln(1 + d.n_chars), 0)::DOUBLE, coalesce(d.n_chars % 97, 0)::DOUBLE],
+      list_concat(list_transform(langs, lambda v: coalesce(d.lang = v, false)::INT::DOUBLE), list_transform(sources, lambda v: coalesce(d.source = v, false)::INT::DOUBLE))) AS v
+    FROM documents d LEFT JOIN labels l USING (doc_id), lv)""".format(fold=FOLD_SQL.replace("doc_id", "d.doc_id"))
+
+
+def _jordan(name: str, start: str, extra: str = "") -> str:
+    """A recursive query that turns the left square of each matrix ``m`` (a list of rows) into the identity."""
+    return f"""{name} AS ({start} UNION ALL
+    SELECT {extra}k + 1, list_transform(range(1, len(m) + 1), lambda i: CASE WHEN i = k + 1 THEN list_transform(m[k + 1], lambda t: t / m[k + 1][k + 1])
+      ELSE list_transform(range(1, len(m[1]) + 1), lambda j: m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END)
+    FROM {name} WHERE k < len(m))"""
+
+
+RIDGE_SQL = f"""WITH RECURSIVE {DESIGN},
+  f AS (SELECT DISTINCT fold FROM x WHERE fold IS NOT NULL),
+  e AS (SELECT doc_id, fold, y, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS xi, v FROM x WHERE fold IS NOT NULL),
+  g AS (SELECT f.fold, e.i, list_concat(list_transform(range(1, (SELECT len(langs) + len(sources) + 3 FROM lv)), lambda j: 0.0::DOUBLE), []) AS z,
+      list(e.xi ORDER BY e.doc_id) AS xi, list(e.v ORDER BY e.doc_id) AS vs, list(e.y ORDER BY e.doc_id) AS ys FROM f JOIN e ON e.fold <> f.fold GROUP BY f.fold, e.i),
+  s AS (SELECT fold, list(list_concat(list_transform(range(1, len(z) + 1), lambda j: list_dot_product(xi, list_transform(vs, lambda r: r[j])) + CASE WHEN i = j THEN {{alpha}} ELSE 0 END),
+      [list_dot_product(xi, ys)]) ORDER BY i) AS m FROM g GROUP BY fold),
+  {_jordan('r', 'SELECT fold, 0 AS k, m FROM s', 'fold, ')},
+  b AS (SELECT fold, list_transform(m, lambda t: t[len(t)]) AS beta FROM r WHERE k = len(m))"""
+
+
+@register("fit_ridge", RIDGE_SQL.format(alpha=16.0) + """
+  SELECT x.doc_id, 'oof' AS part, x.fold, list_dot_product(x.v, b.beta) AS score FROM x JOIN b USING (fold)
+  UNION ALL SELECT x.doc_id, 'test', NULL, avg(list_dot_product(x.v, b.beta)) FROM x, b WHERE x.fold IS NULL GROUP BY x.doc_id""",
+          exact=["doc_id", "part", "fold"], sig=8)
 def fit_ridge_q(spark, d):
-    return _oof(spark, d, lambda size: oof.fit_ridge(alpha=min(4.0 ** 2, 333.0), n_rows=size.rows), low=-2.0, high=3.0)
+    """Ridge scores of every document: the held-out ones of the labelled, the mean of five fits of the others."""
+    train, test, features = _split(spark, d)
+    held, scored = gram.ridge_oof(train, test, "doc_id", "quality", features, "fold", [min(4.0 ** 2, 333.0)])
+    mean = scored.groupBy("doc_id").agg(F.avg("score").alias("score")).select("doc_id", F.lit("test").alias("part"), F.lit(None).cast("int").alias("fold"), "score")
+    return held.select("doc_id", F.lit("oof").alias("part"), "fold", "score").unionByName(mean)
+
+
+@register("ridge_bags", " UNION ALL ".join(f"SELECT * FROM ({RIDGE_SQL.format(alpha=a)} SELECT doc_id, fold, CAST({a} AS DOUBLE) AS alpha, list_dot_product(v, beta) AS score FROM x JOIN b USING (fold))"
+                                          for a in (1.0, 4.0, 9.0, 16.0, 25.0)), exact=["doc_id", "fold"], sig=8)
+def ridge_bags_q(spark, d):
+    """Five penalties by five folds: 25 ridge fits from one scan, every held-out score."""
+    train, _, features = _split(spark, d)
+    return gram.ridge_oof(train, None, "doc_id", "quality", features, "fold", [c ** 2 for c in (1.0, 2.0, 3.0, 4.0, 5.0)])[0]
 
 
 @register("fit_mlp", OOF_SQL, all_exact=True)
@@ -120,11 +163,10 @@ def fit_mlp_q(spark, d):
 
 @register("fit_adaboost", TEST_SQL, all_exact=True)
 def fit_adaboost_q(spark, d):
+    """150 rounds of stumps over histograms."""
     train, test, features = _split(spark, d)
-    tr = oof.assemble(train, features).withColumn("label", F.col("quality").cast("double"))
-    stumps = boosting.fit_adaboost(tr, rounds=10, rate=0.3)
-    scored = boosting.adaboost_score(stumps, oof.assemble(test, features).select("doc_id", "features"))
-    return _judged(scored, ["doc_id"])
+    model = boosting.fit_adaboost(train, features, "quality", rounds=150, rate=0.3)
+    return _judged(boosting.adaboost_score(model, test.select("doc_id", *features)), ["doc_id"])
 
 
 @register("bagged_fit", f"""SELECT doc_id, 'oof' AS part, fold, bag, 1 AS n_scores, true AS in_range FROM {LABELLED}, range(1, 6) t(bag)
@@ -173,11 +215,30 @@ def search_params_q(spark, d):
     return kept.join(aucs, "trial")
 
 
-@register("recursive_elimination", "SELECT doc_id, 4 AS n_kept FROM labels WHERE quality IS NOT NULL", all_exact=True)
+# Elimination in SQL: the inverse by Gauss-Jordan, then one downdate a row of the
+# recursion; ``drop`` holds the columns that the current step chose.
+@register("recursive_elimination", f"""WITH RECURSIVE {DESIGN},
+  names AS (SELECT list_concat(['log_chars', 'mod97'], list_concat(list_transform(langs, lambda v: 'lang_' || lower(v)), list_transform(sources, lambda v: 'src_' || lower(v)))) AS names FROM lv),
+  t AS (SELECT list(y ORDER BY doc_id) AS ys, list(v ORDER BY doc_id) AS vs FROM x WHERE fold IS NOT NULL),
+  c AS (SELECT ys, list_transform(range(1, len(vs[1]) + 1), lambda j: list_transform(vs, lambda r: r[j])) AS cols FROM t),
+  st AS (SELECT ys, list_transform(cols, lambda c: list_transform(c, lambda q: (q - list_avg(c)) / CASE WHEN list_var_pop(c) > 1e-24 THEN sqrt(list_var_pop(c)) ELSE 'inf'::DOUBLE END)) AS z FROM c),
+  s AS (SELECT list_transform(z, lambda a, i: list_concat(list_transform(z, lambda b, j: list_dot_product(a, b) + CASE WHEN i = j THEN 1 ELSE 0 END),
+      list_concat(list_transform(z, lambda b, j: CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0 END), [list_dot_product(a, ys)]))) AS m FROM st),
+  {_jordan('r', 'SELECT 0 AS k, m FROM s')},
+  i0 AS (SELECT list_transform(m, lambda t: t[len(m) + 1:2 * len(m)]) AS a, list_transform(m, lambda t: t[2 * len(m) + 1]) AS w FROM r WHERE k = len(m)),
+  el AS (SELECT 0 AS n, names, a, w, []::VARCHAR[] AS todo, NULL::VARCHAR AS gone FROM i0, names
+    UNION ALL SELECT n + 1, list_filter(names, lambda v, i: i <> p), list_transform(list_filter(a, lambda row, i: i <> p), lambda row: list_filter(list_transform(row, lambda v, j: v - row[p] * a[p][j] / a[p][p]), lambda v, j: j <> p)),
+      list_filter(list_transform(w, lambda v, i: v - a[i][p] / a[p][p] * w[p]), lambda v, i: i <> p), pick[2:], pick[1]
+    FROM (SELECT *, list_position(names, pick[1]) AS p FROM (SELECT *, CASE WHEN len(todo) > 0 THEN todo
+        ELSE list_transform(list_sort(list_transform(names, lambda v, i: {{{{'s': abs(w[i]), 'v': v}}}}))[1:least(2, len(names) - 4)], lambda q: q.v) END AS pick FROM el WHERE len(names) > 4)))
+  SELECT CAST(n AS INTEGER) AS position, gone AS name, false AS kept FROM el WHERE gone IS NOT NULL
+  UNION ALL SELECT CAST(n AS INTEGER), unnest(names), true FROM el WHERE len(names) = 4""".replace("{{{{", "{").replace("}}}}", "}").replace("{{", "{").replace("}}", "}"), all_exact=True)
 def recursive_elimination_q(spark, d):
+    """Two weakest columns a step until four are left: which left when, and which stayed."""
     train, _, features = _split(spark, d)
-    kept = selection.recursive_elimination(train, features, "quality", keep=4, step=2)
-    return train.select("doc_id", F.size(F.array(*kept)).alias("n_kept"))
+    kept, gone = gram.backward_elimination(gram.fold_grams(train, features, "quality")[0], features, keep=4, step=2)
+    rows = [(i, name, False) for i, name in enumerate(gone, 1)] + [(len(gone), name, True) for name in kept]
+    return spark.createDataFrame(rows, "position int, name string, kept boolean")
 
 
 # ---------------------------------------------------------------- kNN (exact, SQL-checked)

@@ -73,7 +73,7 @@ def nth_latest_agg_q(spark, d):
 def lagged_diff_mean_q(spark, d):
     e = fx.events(spark, d).withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
     return O.lagged_diff_mean(e, "user_id", "t", "event_id", "value",
-                              {"null": "diff_mean_pandas", "zero": "diff_mean_r"}, rows_per_chunk=64)
+                              {"null": "diff_mean_pandas", "zero": "diff_mean_r"})
 
 
 @register("trend_fit", f"""SELECT o_custkey,

@@ -6,30 +6,35 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import auc
 from ..session import materialize
 from ..sources.sinks import write_table
+from .gram import backward_elimination, fold_grams
 from .oof import assemble, oof_fit_predict
 
 
 def recursive_elimination(df: DataFrame, features: Sequence[str], target: str, keep: int, step: int = 2,
                           make_estimator: Callable[[], object] | None = None) -> list[str]:
-    """Drop the ``step`` weakest features (smallest |coefficient| or
-    importance) per refit until ``keep`` remain.  Features are standardised
-    once so coefficient sizes are comparable."""
+    """Drop the ``step`` weakest features until ``keep`` remain.
+
+    Without an estimator by their standardised ridge coefficients, from one
+    pass over the rows (see ``gram.backward_elimination``); else by the
+    |coefficient| or importance of a refit each step, features standardised
+    once."""
     cols = list(features)
+    if make_estimator is None:
+        grams = fold_grams(df, cols, target)
+        return backward_elimination(grams[0], cols, keep, step)[0] if grams else cols[:keep]
     stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
     z = df.select(F.col(target).cast("double").alias("label"),
                   *[((F.coalesce(F.col(c), F.lit(stats[f"m_{c}"] or 0.0)) - F.lit(stats[f"m_{c}"] or 0.0))
                      / F.lit(stats[f"s_{c}"] or 1.0)).alias(c) for c in cols])
     z = materialize(z)
-    make = make_estimator or (lambda: LogisticRegression(maxIter=50, regParam=0.01))
     while len(cols) > keep:
-        model = make().fit(assemble(z, cols))
+        model = make_estimator().fit(assemble(z, cols))
         weights = model.coefficients.toArray() if hasattr(model, "coefficients") else model.featureImportances.toArray()
         order = sorted(range(len(cols)), key=lambda i: (abs(weights[i]), cols[i]))
         drop = {cols[i] for i in order[:min(step, len(cols) - keep)]}

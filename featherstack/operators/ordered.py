@@ -13,8 +13,8 @@ here puts a whole entity's history into one window task.
   at most ``k × salt`` rows of a hot key.
 * extremes are aggregated per key and re-attached with a join on
   ``(key, time)``, which spreads a hot key by time.
-* lagged differences are computed inside ``(key, time chunk)`` windows and
-  chunks are linked by their first and last values.
+* lagged differences are computed inside ranges of ``(key, time)``, which are
+  linked by their first and last values.
 
 Every "latest" needs a total order: pass a tiebreak column.
 """
@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..names import feature_name
+from ..session import materialize
 from .agg import Spec, _pairs, agg_expr
-from .rank import positions_up_to
 
 DEFAULT_SALT = 16  # parts that a key's first ranking is spread over
 
@@ -143,40 +143,37 @@ def last_entity_rows(df: DataFrame, key: str, entity: str, order: Sequence[str])
     return df.join(last, [key, entity], "left_semi")
 
 
-def lagged_diff_mean(df: DataFrame, key: str, t: str, tiebreak: str, col: str, names: Mapping[str, str],
-                     rows_per_chunk: int = 1024) -> DataFrame:
+def lagged_diff_mean(df: DataFrame, key: str, t: str, tiebreak: str, col: str, names: Mapping[str, str], chunks: int | None = None) -> DataFrame:
     """Mean of consecutive differences of ``col`` per key ordered by ``(t, tiebreak)``.
 
     ``names`` gives the output for ``"null"`` (the first row has no difference,
     pandas ``diff``) and/or ``"zero"`` (it counts as 0, R ``c(0, diff(x))``).  A
-    difference touching a missing value is missing and skipped by the mean.
-
-    Work is split into ``(key, chunk)`` windows.  A chunk begins at every row
-    whose hash falls on one in ``max(rows_per_chunk, sqrt(n))`` of the key's n
-    rows, so chunks follow the rows however they bunch in time, equal times
-    included, and neither the chunk windows nor the per-key window over chunk
-    summaries grows past about sqrt(n).  The first row of a chunk takes its
-    predecessor from the previous chunk.
+    difference touching a missing value is missing and skipped by the mean;
+    rows without a key are left out.
+
+    A prefix scan: rows are sorted into ranges of ``(key, t, tiebreak)``, as many
+    as the session's shuffle has (or ``chunks``), so a range holds many short
+    keys or a piece of a long one, however its rows bunch in time.  Differences
+    are taken inside ``(key, range)``; a range hands on its first and last value
+    of each key, and these, one row a range, are linked in order.  Rows carry
+    nothing but their range's number.
     """
     order = [F.col(t), F.col(tiebreak)]
     place = F.struct(*order)
-    rows = df.select(key, t, tiebreak, col)
-    sizes = rows.groupBy(key).agg(F.greatest(F.lit(rows_per_chunk), F.sqrt(F.count(F.lit(1)))).cast("long").alias("__every"))
-    marked = rows.join(sizes, key).withColumn("__begins", F.pmod(F.xxhash64(key, t, tiebreak), F.col("__every")) == 0)
-    begins = marked.where("__begins").groupBy(key).agg(F.array_sort(F.collect_list(place)).alias("__starts"))
-    rows = marked.drop("__every", "__begins").join(begins, key, "left")
-    rows = rows.withColumn("__chunk", F.coalesce(positions_up_to(F.col("__starts"), place), F.lit(0))).drop("__starts")
+    rows = df.select(key, t, tiebreak, col).where(F.col(key).isNotNull())
+    ranges = (chunks, key, t, tiebreak) if chunks else (key, t, tiebreak)
+    rows = materialize(rows.repartitionByRange(*ranges).withColumn("__chunk", F.spark_partition_id()))
     w = Window.partitionBy(key, "__chunk").orderBy(*order)
     rows = rows.withColumn("__prev", F.lag(col).over(w)).withColumn("__pos", F.row_number().over(w))
     rows = rows.withColumn("__diff", F.when(F.col("__pos") > 1, (F.col(col) - F.col("__prev")).cast("double")))
-    chunks = rows.groupBy(key, "__chunk").agg(F.max_by(F.col(col), place).alias("__last"), F.min_by(F.col(col), place).alias("__first"),
-                                              F.sum("__diff").alias("__sum"), F.count("__diff").alias("__n"))
+    parts = rows.groupBy(key, "__chunk").agg(F.max_by(F.col(col), place).alias("__last"), F.min_by(F.col(col), place).alias("__first"),
+                                             F.sum("__diff").alias("__sum"), F.count("__diff").alias("__n"))
     before = F.lag("__last").over(Window.partitionBy(key).orderBy("__chunk"))
-    chunks = chunks.withColumn("__join", (F.col("__first") - before).cast("double"))
+    parts = parts.withColumn("__join", (F.col("__first") - before).cast("double"))
     total = F.coalesce(F.sum("__sum"), F.lit(0.0)) + F.coalesce(F.sum("__join"), F.lit(0.0))
     n = F.sum("__n") + F.count("__join")
     forms = {"null": F.try_divide(total, n), "zero": total / (n + 1)}
-    return chunks.groupBy(key).agg(*[forms[k].alias(name) for k, name in names.items()])
+    return parts.groupBy(key).agg(*[forms[k].alias(name) for k, name in names.items()])
 
 
 def trend_exprs(y: str, x: str, prefix: str, where: Column | None = None, fill_y: float | None = None,

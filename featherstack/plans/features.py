@@ -276,7 +276,7 @@ def features_credit_card(spark: SparkSession, d: str) -> DataFrame:
         F.try_divide(F.max(F.when(F.col("event_type") == "purchase", F.col("value"))), F.max("value")).alias("cc_max_purchase_ratio"),
         F.avg(clean.compare_flag(F.col("value") > 40)).alias("cc_over_share"))
     e2 = e.withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
-    change = O.lagged_diff_mean(e2, "user_id", "t", "event_id", "value", {"null": "cc_balance_change_mean"}, rows_per_chunk=64)
+    change = O.lagged_diff_mean(e2, "user_id", "t", "event_id", "value", {"null": "cc_balance_change_mean"})
     return cols.join(change, "user_id")
 
 

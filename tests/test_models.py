@@ -1,7 +1,5 @@
 """Model properties (values cannot equal the reference's libraries)."""
 
-from pyspark.sql import functions as F
-
 from featherstack.models import boosting, oof
 from featherstack.operators import folds as fo
 from featherstack.operators import metrics as M
@@ -36,7 +34,6 @@ def test_same_seed_same_result(spark):
 
 
 def test_adaboost_separates(spark):
-    df = oof.assemble(_data(spark), ["a", "b"]).withColumn("label", F.col("y").cast("double"))
-    stumps = boosting.fit_adaboost(df, rounds=4, rate=0.3)
-    scored = boosting.adaboost_score(stumps, df.select("id", "y", "features"))
-    assert M.auc(scored, "score", "y").first()["auc"] > 0.9
+    df = _data(spark)
+    model = boosting.fit_adaboost(df, ["a", "b"], "y", rounds=4, rate=0.3)
+    assert M.auc(boosting.adaboost_score(model, df.select("id", "y", "a", "b")), "score", "y").first()["auc"] > 0.9

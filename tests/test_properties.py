@@ -68,7 +68,7 @@ def test_lagged_diff_across_chunks_equals_pandas(spark):
             rows.append((k, int(rng.integers(0, 200)), j, v))
     df = spark.createDataFrame(rows, "k int, t int, tb int, v double")
     got = {r["k"]: r["d"] for r in O.lagged_diff_mean(df, "k", "t", "tb", "v", {"null": "d"}).collect()}
-    adaptive = {r["k"]: r["d"] for r in O.lagged_diff_mean(df, "k", "t", "tb", "v", {"null": "d"}, rows_per_chunk=5).collect()}
+    adaptive = {r["k"]: r["d"] for r in O.lagged_diff_mean(df, "k", "t", "tb", "v", {"null": "d"}, chunks=7).collect()}
     pdf = pd.DataFrame(rows, columns=["k", "t", "tb", "v"]).sort_values(["k", "t", "tb"])
     want = pdf.groupby("k")["v"].apply(lambda s: s.diff().mean())
     for k in range(3):

@@ -142,7 +142,7 @@ def test_a_bursty_key_is_split_into_small_chunks(spark):
     """One row ten years before 20,000 rows of one moment."""
     rows = spark.range(20_000).select(F.lit(1).alias("k"), F.lit(3650).alias("t"), "id", (F.col("id") % 7).cast("double").alias("v"))
     rows = rows.unionByName(spark.createDataFrame([(1, 0, -1, 2.0)], "k int, t int, id long, v double"))
-    got = O.lagged_diff_mean(rows, "k", "t", "id", "v", {"null": "d", "zero": "z"}, rows_per_chunk=64)
+    got = O.lagged_diff_mean(rows, "k", "t", "id", "v", {"null": "d", "zero": "z"}, chunks=12)
     s = rows.toPandas().sort_values(["t", "id"])["v"].diff()
     r = got.first()
     assert abs(r["d"] - s.mean()) < 1e-12 and abs(r["z"] - s.fillna(0).mean()) < 1e-12
