@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extend, map_batches, mix64, without
+from .common import extend, map_batches, mix64, unused, without
 
 WIDTHS = (2, 4, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64, 128, 256)
 NONE = np.int32(2**31 - 1)
@@ -203,18 +203,19 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", dec
     added = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())]
     added += [T.StructField("decoded", T.BinaryType())] * decoded
     docs = without(docs, *(f.name for f in added))
+    helper = unused(docs, "__text")
     sent = docs.sparkSession.sparkContext.broadcast((read_ranks(path), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(*sent.value)
         for part in (p for b in batches for p in _slices(b)):
-            texts = [(t.as_py() or b"").decode("utf-8", "replace") for t in part.column("__text")]
+            texts = [(t.as_py() or b"").decode("utf-8", "replace") for t in part.column(helper)]
             ids = tokenizer.encode(texts)
             new = {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "token_ids": pa.array(ids, pa.binary())}
             if decoded:
                 new["decoded"] = pa.array(map(tokenizer.decode, ids), pa.binary())
-            yield extend(part, new, drop=["__text"])
-    return map_batches(docs.withColumn("__text", F.col(text_col).cast("binary")), run, T.StructType([*docs.schema, *added]))
+            yield extend(part, new, drop=[helper])
+    return map_batches(docs.withColumn(helper, F.col(text_col).cast("binary")), run, T.StructType([*docs.schema, *added]))
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "token_ids") -> DataFrame:

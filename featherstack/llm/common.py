@@ -37,8 +37,16 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def crc_mod(id_col: str, mod: int):
-    """``crc32`` of the id written as text, modulo ``mod`` (the held-out rule)."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(mod)
+    """``crc32`` of the id written as text ('' for a NULL id), modulo ``mod`` (the held-out rule)."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % F.lit(mod)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:

@@ -57,11 +57,11 @@ def _matrix(column: pa.Array, dtype: str) -> Iterator[tuple[np.ndarray, np.ndarr
     for n in np.unique(size[size > 0]).tolist():
         at = np.flatnonzero(size == n)
         x = values[begin[at][:, None] + np.arange(n)]
-        with np.errstate(over="ignore", invalid="ignore"):
-            norm = np.linalg.norm(x.astype(np.float64), axis=1)
-        ok = np.isfinite(norm) & (norm > 0)
+        largest = np.abs(x).max(axis=1)
+        ok = np.isfinite(largest) & (largest > 0)
         if ok.any():
-            yield at[ok], x[ok]
+            x = x[ok].astype(np.float64)  # scaled by a power of two, which changes no direction and no rounding
+            yield at[ok], np.ldexp(x, -np.frexp(largest[ok].astype(np.float64))[1][:, None]).astype(dtype)
 
 
 def _keys(x: np.ndarray, bits: int, tables: int) -> np.ndarray:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extend, map_batches, without
+from .common import extend, map_batches, unused, without
 
 SLICE_BYTES = 1 << 20  # text whose n-grams are in memory at once
 END = 0  # the byte between texts; NUL bytes inside a text are blanked
@@ -68,10 +68,12 @@ def histograms(texts: list[bytes], grams: Callable[[np.ndarray], Iterator[tuple[
 def labelled_sample(labelled: DataFrame, id_col: str, label_col: str, rows: int) -> DataFrame:
     """(id, label): about ``rows`` rows, as many of each label, chosen by a hash of the id.
 
+    An id that is labelled several times is one row, with its smallest label.
     A class of fewer rows is taken whole.  The choice needs counts only, so no
     task or driver ranks the rows.
     """
     known = labelled.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
+    known = known.groupBy("id").agg(F.min("label").alias("label"))
     counts = known.groupBy("label").agg(F.count("*").alias("n")).collect()
     unit = F.xxhash64("id", F.lit("labelled sample")) / F.lit(2.0**64) + 0.5
     keep = F.lit(False)
@@ -99,10 +101,11 @@ def sample_features(docs: DataFrame, sample: DataFrame, id_col: str, text_col: s
     """The labels and sparse features of the sampled documents, in order of their ids.
 
     Texts stay on the executors: what comes back is one sparse row of bounded
-    width for each row of the bounded sample.
+    width for each row of the bounded sample; an id that several documents
+    share has the smallest of their texts.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).where("text IS NOT NULL")
-    joined = rows.join(F.broadcast(sample), "id")  # a bounded sample
+    joined = rows.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text"))  # a bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,11 +128,12 @@ def score_column(docs: DataFrame, text_col: str, make: Callable[[], Callable[[li
     task calls ``make`` for a function of texts (as bytes, None for NULL)."""
     fields = T.StructType.fromDDL(schema)
     docs = without(docs, *fields.names)
+    helper = unused(docs, "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
         for batch in batches:
-            texts = [t.as_py() for t in batch.column("__text")]
+            texts = [t.as_py() for t in batch.column(helper)]
             for a, b in slices([t or b"" for t in texts]):
-                yield extend(batch.slice(a, b - a), score(texts[a:b]), drop=["__text"])
-    return map_batches(docs.withColumn("__text", F.col(text_col).cast("binary")), run, T.StructType([*docs.schema, *fields]))
+                yield extend(batch.slice(a, b - a), score(texts[a:b]), drop=[helper])
+    return map_batches(docs.withColumn(helper, F.col(text_col).cast("binary")), run, T.StructType([*docs.schema, *fields]))

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import sharedfiles
-from .common import extend, map_batches, mix64, stage_table, without
+from .common import extend, map_batches, mix64, stage_table, unused, without
 from .tokens import slices
 
 ORDER = 2
@@ -421,9 +421,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     (add-one unigrams) and ``score``, both log10 probabilities of the text."""
     fields = T.StructType.fromDDL("n_tokens long, n_known long, train_tokens long, base_score double, score double")
     docs = without(docs, *fields.names)
-    helper = "__text"
-    while helper in docs.columns:
-        helper += "_"
+    helper = unused(docs, "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

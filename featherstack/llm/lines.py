@@ -1,43 +1,42 @@
-"""Line dedup: a sharded minimal perfect hash of the common lines.
+"""Line dedup: a sharded minimal perfect hash over all distinct lines.
 
 Lines are hashed to 128 bits.  Per-document distinct hashes are counted with
-map-side combining, so the commonest line is one row per map task.  The hashes
-of lines in at least ``min_docs`` documents are cut into shards by hash; each
-shard task builds a minimal perfect hash that indexes two arrays, a 64-bit
-fingerprint and a document count.  Documents then probe the arrays in place:
-no line crosses a shuffle again and no document moves.
-
-The shards reach the tasks as a broadcast of at most ``probe_bytes`` at a
-time, measured before it is sent; a larger index is probed in several passes
-over the documents, each with its own part of the shards, and the flags are
-written to the shared folder between passes.
-
-Cases: NULL or empty text is one empty line; repeated rows are documents of
-their own; an empty table gives an empty result; columns of the input that
+map-side combining, so the commonest line is one row per map task, and dealt
+into shards by the leading bits of the hash.  Each shard's task builds a minimal
+perfect hash of its keys that indexes two arrays, a 32-bit fingerprint and the
+number of documents, which stops at ``min_docs`` and so takes one byte as a
+rule, and writes them into the shared folder: about 6 bytes a distinct line.
+
+Documents then probe the arrays in place, one probe a line, in the shard that
+its hash names; workers memory-map the shards and hold the pages they touch.
+The count that is found decides.  No line crosses a shuffle again, no document
+moves, nothing is sent to or through the driver, and one pass does it whatever
+the size of the index.
+
+Cases: NULL or empty text is one empty line; every row is a document, rows that
+share an id or a text included; an empty table gives an empty result; a NULL id
+is kept as it is; a very long text or line is whole; columns of the input that
 carry an output's name are replaced.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections import Counter
-from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extend, map_arrow, map_batches, stage_table, without
+from . import sharedfiles
+from .common import extend, map_arrow, without
 from .mphf import PerfectHash
 
 SPACE = b" \t\n\x0b\x0c\r"
-KEYS_PER_SHARD = 500_000
-PROBE_BYTES = 128 << 20  # shard bytes broadcast at once
-KEY_BYTES = 18  # fingerprint, count and the hash's own bits, rounded up
+SHARD_BYTES = 32 << 20  # text whose distinct lines are a shard, one in about 30 bytes at most as a rule
 
 
 def line_key(line: bytes) -> bytes:
@@ -76,88 +75,77 @@ def count_lines(docs: DataFrame, text_col: str = "text", min_chars: int = 1) ->
     return map_arrow(text, count, "lo long, hi long, n long").groupBy("lo", "hi").agg(F.sum("n").alias("n"))
 
 
-def build_shards(counts: DataFrame, n_shards: int) -> DataFrame:
-    """(shard, index): a pickled (perfect hash, fingerprints, counts) for each shard of the hashes."""
-    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = rows["lo"].to_numpy(np.int64).view(np.uint64), rows["hi"].to_numpy(np.int64).view(np.uint64)
-        table = PerfectHash.build(lo, hi)
-        at = table.index(lo, hi)
-        prints, n = np.empty(len(lo), np.uint64), np.empty(len(lo), np.uint64)
-        prints[at], n[at] = hi, rows["n"].to_numpy()
-        return pd.DataFrame({"shard": [key[0]], "index": [pickle.dumps((table, prints, n))]})
-    shard = F.pmod(F.xxhash64("lo"), F.lit(n_shards)).cast("int")
-    return counts.withColumn("shard", shard).groupBy("shard").applyInPandas(build, "shard int, index binary")
+def _shard(lo: np.ndarray, bits: int) -> np.ndarray:
+    return (lo >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(lo), np.int64)
 
 
-def _probe(shards: list[tuple], lo: np.ndarray, hi: np.ndarray, min_docs: int) -> np.ndarray:
-    """Whether each hash is one of a line in at least ``min_docs`` documents."""
-    hit = np.zeros(len(lo), dtype=bool)
-    for table, prints, n in shards:
+def build_index(counts: DataFrame, folder: str, bits: int, min_docs: int) -> DataFrame:
+    """Writes the index of every shard of (lo, hi, n); returns (shard, keys)."""
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        lo, hi = (rows.column(c).to_numpy().view(np.uint64) for c in ("lo", "hi"))
+        table = PerfectHash.build(lo, hi)
         at = table.index(lo, hi)
-        known = np.flatnonzero(at >= 0)
-        known = known[prints[at[known]] == hi[known]]
-        hit[known[n[at[known]] >= min_docs]] = True
-    return hit
-
-
-def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min_chars: int = 1,
-                      probe_bytes: int = PROBE_BYTES) -> DataFrame:
+        prints, n = np.empty(len(lo), "<u4"), np.empty(len(lo), _count_type(min_docs))
+        prints[at], n[at] = hi.astype("<u4"), np.minimum(rows.column("n").to_numpy(), min_docs)
+        for name, array in {**table.arrays(), "prints": prints, "n": n}.items():
+            sharedfiles.save(folder, f"{key[0].as_py()}.{name}", array)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([len(lo)])})
+    shard = F.shiftrightunsigned("lo", 64 - bits) if bits else F.lit(0).cast("long")
+    return counts.withColumn("shard", shard).groupBy("shard").applyInArrow(build, "shard long, keys long")
+
+
+def _count_type(min_docs: int) -> str:
+    return "<u1" if min_docs < 256 else "<u4" if min_docs < 2**32 else "<u8"
+
+
+@lru_cache(maxsize=1024)
+def _index(folder: str, shard: int, count_type: str) -> tuple[PerfectHash, np.ndarray, np.ndarray]:
+    """A shard's hash, fingerprints and counts, memory-mapped."""
+    bits, ranks, words, rest = (sharedfiles.load(folder, f"{shard}.{n}", t) for n, t in (("bits", "<u8"), ("ranks", "<i8"), ("words", "<i8"), ("rest", "<u8")))
+    prints = sharedfiles.load(folder, f"{shard}.prints", "<u4")
+    return PerfectHash.of(bits, ranks, words, rest, len(prints)), prints, sharedfiles.load(folder, f"{shard}.n", count_type)
+
+
+def document_counts(folder: str, bits: int, min_docs: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """How many documents hold each line, ``min_docs`` at most; 0 for a line that is not in the index."""
+    out = np.zeros(len(lo), np.int64)
+    shard = _shard(lo, bits)
+    order = np.argsort(shard, kind="stable")
+    cuts = np.flatnonzero(np.diff(shard[order])) + 1
+    for part in np.split(order, cuts) if len(order) else ():
+        table, prints, n = _index(folder, int(shard[part[0]]), _count_type(min_docs))
+        if len(prints):
+            at = table.index(lo[part], hi[part])
+            known = np.flatnonzero(at >= 0)
+            known = known[prints[at[known]] == hi[part[known]].astype("<u4")]
+            out[part[known]] = n[at[known]]
+    return out
+
+
+def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min_chars: int = 1, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``docs`` with ``text_col`` freed of every line whose key is in ``min_docs``
     documents or more, and the columns ``n_lines`` and ``n_dropped``."""
-    docs = without(docs, "n_lines", "n_dropped", "__dropped")
-    common = stage_table(count_lines(docs, text_col, min_chars).where(F.col("n") >= min_docs))
-    n_keys = common.count()
-    n_shards = max(1, -(-n_keys // KEYS_PER_SHARD))
-    index = stage_table(build_shards(common, n_shards))
-    per_pass = max(1, probe_bytes // (KEY_BYTES * KEYS_PER_SHARD))
+    docs = without(docs, "n_lines", "n_dropped")
     order = docs.columns
-    at = docs.withColumn(text_col, F.col(text_col).cast("binary")).withColumn("__dropped", F.lit(None).cast("array<int>"))
-    for first in range(0, n_shards, per_pass):
-        if first:
-            at = stage_table(at)
-        at = _pass(at, index.where(F.col("shard").between(first, first + per_pass - 1)), text_col, min_docs, min_chars)
-    done = _cut(at, text_col)
-    return done.withColumn(text_col, F.col(text_col).cast("string")).select(*order, "n_lines", "n_dropped")
+    raw = docs.withColumn(text_col, F.col(text_col).cast("binary"))
+    size = raw.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    bits = int(-(-size // shard_bytes)).bit_length() if size > shard_bytes else 0
+    folder = sharedfiles.new_folder(docs.sparkSession, "lines")
+    build_index(count_lines(docs, text_col, min_chars), folder, bits, min_docs).count()
 
-
-def _pass(docs: DataFrame, index: DataFrame, text_col: str, min_docs: int, min_chars: int) -> DataFrame:
-    """Adds to ``__dropped`` the line numbers that these shards tell to drop."""
-    shards = [r["index"] for r in index.select("index").collect()]  # at most probe_bytes
-    sent = docs.sparkSession.sparkContext.broadcast(shards)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [pickle.loads(x) for x in sent.value]
-        for batch in batches:
-            digests, ends = [], []
-            for text in batch.column(text_col):
-                digests += _digests(_lines((text.as_py() or b"").lower()), min_chars)
-                ends.append(len(digests))
-            counted = np.fromiter(map(bool, digests), bool, len(digests))
-            hit = np.zeros(len(digests), dtype=bool)
-            hit[counted] = _probe(tables, *_halves(digests), min_docs)
-            out, begin = [], 0
-            for end, before in zip(ends, batch.column("__dropped"), strict=True):
-                now = np.flatnonzero(hit[begin:end])
-                out.append(np.union1d(now, before.as_py()).astype(np.int32) if before.is_valid else now.astype(np.int32))
-                begin = end
-            yield extend(batch, {"__dropped": pa.array(out, pa.list_(pa.int32()))}, drop=["__dropped"])
-    return map_batches(docs, run, docs.schema)
-
-
-def _cut(docs: DataFrame, text_col: str) -> DataFrame:
-    """Takes the flagged lines out of the text."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, total, dropped = [], [], []
-        for text, drop in zip(batch.column(text_col), batch.column("__dropped"), strict=True):
-            text, gone = text.as_py(), {*(drop.as_py() or ())}
-            lines = _lines(text)
-            texts.append(b"\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)
-            total.append(len(lines))
-            dropped.append(len(gone))
-        done = extend(batch, {"__text": pa.array(texts, pa.binary()), "n_lines": pa.array(total, pa.int64()),
-                              "n_dropped": pa.array(dropped, pa.int64())}, drop=[text_col, "__dropped"])
-        return done.rename_columns([text_col if n == "__text" else n for n in done.schema.names])
-    fields = [f for f in docs.schema if f.name not in (text_col, "__dropped")]
-    schema = T.StructType([*fields, T.StructField(text_col, T.BinaryType()), T.StructField("n_lines", T.LongType()),
-                           T.StructField("n_dropped", T.LongType())])
-    return map_arrow(docs, run, schema)
+        texts = [t.as_py() for t in batch.column(text_col)]
+        parts = [_lines(t) for t in texts]
+        digests = [d for t in texts for d in _digests(_lines((t or b"").lower()), min_chars)]
+        counted = np.fromiter(map(bool, digests), bool, len(digests))
+        common = np.zeros(len(digests), dtype=bool)
+        common[counted] = document_counts(folder, bits, min_docs, *_halves([d for d in digests if d])) >= min_docs
+        total = np.array([len(p) for p in parts], np.int64)
+        ends = np.cumsum(total)
+        dropped = np.array([int(common[e - n:e].sum()) for e, n in zip(ends, total, strict=True)], np.int64)
+        kept = [b"\n".join(x for x, c in zip(p, common[e - n:e], strict=True) if not c) if d else t
+                for t, p, e, n, d in zip(texts, parts, ends, total, dropped, strict=True)]
+        done = batch.set_column(batch.schema.get_field_index(text_col), text_col, pa.array(kept, pa.binary()))
+        return extend(done, {"n_lines": pa.array(total), "n_dropped": pa.array(dropped)})
+    done = map_arrow(raw, run, T.StructType([*raw.schema, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]))
+    return done.withColumn(text_col, F.col(text_col).cast("string")).select(*order, "n_lines", "n_dropped")

@@ -50,6 +50,17 @@ class PerfectHash:
         order = np.lexsort((hi, lo))
         return cls(bits, ranks, np.stack([lo[order], hi[order]], axis=1), n)
 
+    def arrays(self) -> dict[str, np.ndarray]:
+        """The table as plain arrays, for :meth:`of`."""
+        whole = [np.concatenate(x) if x else np.zeros(0, t) for x, t in ((self.bits, np.uint64), (self.ranks, np.int64))]
+        return {"bits": whole[0], "ranks": whole[1], "words": np.array([len(b) for b in self.bits], np.int64), "rest": self.rest.ravel()}
+
+    @classmethod
+    def of(cls, bits: np.ndarray, ranks: np.ndarray, words: np.ndarray, rest: np.ndarray, size: int) -> PerfectHash:
+        """The table of :meth:`arrays`, which may be memory-mapped and are not copied."""
+        cuts = np.cumsum(words)[:-1]
+        return cls(np.split(bits, cuts) if len(words) else [], np.split(ranks, cuts) if len(words) else [], np.asarray(rest).reshape(-1, 2), size)
+
     def index(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """The index of each key, below ``size``; -1 where a key can't be in the set."""
         out = np.full(len(lo), -1, dtype=np.int64)

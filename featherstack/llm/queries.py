@@ -34,13 +34,13 @@ _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
 @register("op10_line_dedup", f"""
-WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
-line AS (SELECT doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS i FROM doc),
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+line AS (SELECT r, doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS i FROM doc),
 keyed AS (SELECT *, translate(trim(line, {_WHITE}), '{_UPPER}', '{_LOWER}') AS key FROM line),
-common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (SELECT key FROM common)) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE key NOT IN (SELECT key FROM common)), '')) AS kept_sha256
-FROM keyed GROUP BY doc_id""")
+FROM keyed GROUP BY r, doc_id""")
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose key is in 10 documents or more go from every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -272,7 +272,7 @@ FROM p, size GROUP BY doc_id, held_out""", exact=["doc_id", "held_out", "n_token
 def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every whole text under a model of the documents that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    held_out = crc_mod("doc_id", 7) == 2
     model = kneserney.train(docs.where(~held_out))
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     done = kneserney.score(rows, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -34,20 +34,27 @@ def brute_lines(texts, min_docs, min_chars=1):
     return out
 
 
-@pytest.mark.parametrize("probe_bytes", [1 << 20, 1])
-def test_lines_against_brute_force(make_docs, rng, monkeypatch, probe_bytes):
-    monkeypatch.setattr(lines, "KEYS_PER_SHARD", 4)  # several shards; with one byte, several passes
+@pytest.mark.parametrize("shard_bytes", [1 << 30, 1000])
+def test_lines_against_brute_force(make_docs, rng, shard_bytes):
     common = [" ".join(sentence(rng, 4)) for _ in range(20)]
     texts = ODD + ["\n".join(rng.choice([f"  {rng.choice(common).upper()}\r", rng.choice(common), " ".join(sentence(rng, 5)), ""])
                              for _ in range(rng.randrange(1, 9))) for _ in range(120)]
-    docs = make_docs(texts).withColumn("n_lines", F.lit("clash"))
-    got = lines.drop_common_lines(docs, min_docs=10, probe_bytes=probe_bytes).orderBy("doc_id").collect()
+    docs = make_docs(texts).withColumns({"n_lines": F.lit("clash"), "__text": F.lit("clash"), "__dropped": F.lit("clash"), "shard": F.lit(1)})
+    got = lines.drop_common_lines(docs, min_docs=10, shard_bytes=shard_bytes).orderBy("doc_id").collect()
     want = brute_lines(texts, 10)
     assert any(w[1] for w in want)
     assert [(r["n_lines"], r["n_dropped"], r["text"] or "") for r in got] == want
     assert lines.drop_common_lines(docs.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_documents(spark):
+    docs = spark.createDataFrame([(1, "same\nown")] * 10 + [(None, "same\nother"), (2, "Same \n")], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["text"], r["n_dropped"]) for r in lines.drop_common_lines(docs, min_docs=10).collect()), key=str)
+    assert got == sorted([(1, "", 2)] * 10 + [(None, "other", 1), (2, "", 1)], key=str)
+    got = lines.drop_common_lines(docs, min_docs=300).collect()  # counts of two bytes and more
+    assert all(r["n_dropped"] == 0 for r in got)
+
+
 def test_lines_min_chars_counts_code_points(make_docs):
     texts = ["éé\nlong enough"] * 12
     got = lines.drop_common_lines(make_docs(texts), min_docs=10, min_chars=3).first()
