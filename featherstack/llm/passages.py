@@ -17,7 +17,8 @@
    Chains are cut where a step leaps more than LEAP words.
 4. Chains are aligned: the words between matches by edit distance, the two ends
    outward with edits, at most SHIFT words off the diagonal, until the score falls
-   DROP below its best; wrong words at the very ends are not part of a passage.
+   DROP below its best; chains whose sides share too few pairs of neighbouring words
+   to become a passage are left out before; wrong words at the very ends are not part of a passage.
    Passages of ``min_words`` words and ``identity`` are kept.
 
 A document's row tells which word spans repeat elsewhere, and which of them a
@@ -38,6 +39,7 @@ empty tables give no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +49,8 @@ from pyspark.sql import functions as F
 
 from .common import groups, map_batches, mix64, stage_table
 from .components import connected_components
-from .decontaminate import words
-from .minhash import WordHashes
+from .decontaminate import WORD_BYTES
+from .tokens import text_hashes
 
 K = 4  # words in a seed
 WINDOW = 6  # shingles of which one is a seed
@@ -63,7 +65,9 @@ CLOSE = 6  # words next to the seed that agree without a gap
 FURTHER = 2  # words beyond which a candidate agrees further
 NEAR = 4  # holders before a row with which it is compared
 RUN_ROWS = 1 << 18  # rows that are compared at once
-SEED_WORDS = 1 << 17  # words whose seeds are found at once
+SEED_BYTES = 1 << 20  # text whose seeds are found at once
+TABLE_BITS = 24  # slots for the pairs of neighbouring words of a slice of chains
+SLICE_ROWS = 2048  # slices whose pairs are looked up at once
 EXTEND = 96  # words fetched around a chain
 DROP = 12  # score that an extension may lose
 MISS = 2  # what a wrong word costs an extension
@@ -73,11 +77,6 @@ IDENTITY = 0.8
 MERGE = 32  # starts of passages this near overlap: fewer words than a passage has
 
 
-def word_hashes(text: bytes | None, hashes: WordHashes) -> np.ndarray:
-    w = words(text)
-    return np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w))
-
-
 def _mask(begin: int, end: int) -> int:
     """The bits of a sketch's words: 0 to REACH - 1 leftwards from the seed, then rightwards."""
     return sum(3 << 2 * i for i in range(begin, end))
@@ -132,17 +131,17 @@ def _polynomial(w: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
 
 def _seed_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            w, first, size = [], 0, 0
+            texts, first, size = [], 0, 0
             for i, text in enumerate(batch.column("text")):
-                w.append(word_hashes(text.as_py(), hashes))
-                size += len(w[-1])
-                if size >= SEED_WORDS or i + 1 == batch.num_rows:
-                    h, at, sketch, row = seeds(np.concatenate(w), np.array([len(x) for x in w]))
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size >= SEED_BYTES or i + 1 == batch.num_rows:
+                    w, sizes = text_hashes(texts, WORD_BYTES)
+                    h, at, sketch, row = seeds(w, sizes)
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("id").take(pa.array(row + first)),
                                                       pa.array(at.astype(np.int32)), pa.array(sketch.view(np.int64))], names=["h", "id", "pos", "sketch"])
-                    w, first, size = [], i + 1, 0
+                    texts, first, size = [], i + 1, 0
     return map_batches(docs, run, f"h long, id {dict(docs.dtypes)['id']}, pos int, sketch long")
 
 
@@ -367,6 +366,8 @@ def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         asked.join(texts, "id"), _slices, f"doc {id_type}, ref {id_type}, c int, side int, begin int, x array<int>, y array<int>, words binary")
     slices = slices.repartition("doc", "ref", "c").sortWithinPartitions("doc", "ref", "c", "side")
 
+    least = shared_pairs(min_words, identity)
+
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "start", "end", "ref", "ref_start", "ref_end", "identity"]
         types = [None, pa.int32(), pa.int32(), None, pa.int32(), pa.int32(), pa.float64()]
@@ -377,7 +378,7 @@ def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             got.clear()
             return out
         kind = None
-        for group in groups(batches, ["doc", "ref", "c"]):
+        for group in groups(_hopeful(batches, least), ["doc", "ref", "c"]):
             kind = group.column("doc").type
             side, begin, data = (group.column(c).to_pylist() for c in ("side", "begin", "words"))
             sides = [[(b, np.frombuffer(d, "<u4")) for s, b, d in zip(side, begin, data, strict=True) if s == k] for k in (0, 1)]
@@ -399,6 +400,39 @@ def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return map_batches(slices, aligned, f"doc {id_type}, start int, end int, ref {id_type}, ref_start int, ref_end int, identity double")
 
 
+def shared_pairs(min_words: int, identity: float) -> int:
+    """How many of its pairs of neighbouring words a passage finds again on the other side, at least: a
+    wrong word spoils two, and at most ``1 - identity`` of the longer side's words are wrong."""
+    return math.ceil(min_words * (2 * identity - 1) - 1 - 1e-9)
+
+
+def _hopeful(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The slices without chains that can't become passages, as their two sides share too few pairs of
+    neighbouring words.  Pairs are looked up in a bit table for many chains at once; a false hit only
+    keeps a chain.  Chains at the ends of a batch, or with several slices on a side, are all kept."""
+    table = np.zeros(1 << TABLE_BITS, dtype=bool)
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE_ROWS):
+            batch = whole.slice(at, SLICE_ROWS)
+            doc, ref, c, side = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "ref", "c", "side"))
+            new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (ref[1:] != ref[:-1]) | (c[1:] != c[:-1])])
+            group = np.cumsum(new) - 1
+            data = batch.column("words").to_pylist()
+            size = np.array([len(w) // 4 for w in data], np.int64)
+            words = np.frombuffer(b"".join(data), "<u4").astype(np.uint64)
+            row = np.repeat(np.arange(len(size)), size)
+            inside = np.flatnonzero(row[1:] == row[:-1])
+            own = group[row[inside]]
+            slot = mix64((words[inside] << np.uint64(32) | words[inside + 1]) ^ mix64(own.astype(np.uint64) + np.uint64(1))) >> np.uint64(64 - TABLE_BITS)
+            right = side[row[inside]] == 1
+            table[slot[right]] = True
+            found = np.bincount(own[~right][table[slot[~right]]], minlength=group[-1] + 1)
+            table[slot[right]] = False
+            keep = (found >= least) | (np.bincount(group) != 2)
+            keep[[0, -1]] = True
+            yield batch.filter(pa.array(keep[group]))
+
+
 def _holds(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> bool:
     return x[-1] + K <= len(a) and y[-1] + K <= len(b) and bool((a[x[0]:x[0] + K] == b[y[0]:y[0] + K]).all())
 
@@ -435,13 +469,13 @@ def _chained(columns: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The asked words of each text as 32-bit hashes."""
-    hashes, last, w = WordHashes(), None, None
+    last, w = None, None
     for batch in batches:
         begin, end, out = batch.column("begin").to_pylist(), batch.column("end").to_pylist(), []
         for i, text in enumerate(batch.column("text")):
             raw = text.as_py()
             if raw != last:  # rows of a join come by id
-                last, w = raw, word_hashes(raw, hashes).astype("<u4")
+                last, w = raw, text_hashes([raw], WORD_BYTES)[0].astype("<u4")
             out.append(w[begin[i]:end[i]].tobytes())
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "ref", "c", "side", "begin", "x", "y")), pa.array(out, pa.binary())],
                                          names=["doc", "ref", "c", "side", "begin", "x", "y", "words"])

@@ -18,12 +18,11 @@ from .common import mix64
 
 SLICE = 1 << 20
 END = np.uint64(0x6A09E667F3BCC909)  # the token that ends a text
-WHITE = np.zeros(256, dtype=bool)
-WHITE[[9, 10, 11, 12, 13, 32]] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
+BLANK = 32
+#: ASCII white space is a blank, A-Z are lower-cased, other bytes are kept.
+SPACED = bytes(BLANK if b in b"\t\n\x0b\x0c\r " else b + 32 if 65 <= b < 91 else b for b in range(256))
 _TABLE = np.random.default_rng(13).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TABLE[WHITE] = 0
+_TABLE[BLANK] = 0
 _BASE = 0xD1342543DE82EF95  # 5 modulo 8, so its powers differ for 2**62 places
 
 
@@ -71,22 +70,34 @@ def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, bytes, bool]]]:
         yield held
 
 
-def slices(texts: list[bytes]) -> Iterator[Slice]:
-    """The tokens of all texts: words cut at ASCII white space, A-Z lower-cased, and END after each text."""
+def _words(joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each word begins, its hash) of bytes in which blanks part words."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], joined == BLANK, [True]]).astype(np.int8)))  # a word's begin, its end, ...
+    begin, end = edge[0::2], edge[1::2]
+    power, inverse = _powers(1 << max(20, int(max(len(joined) - 1, 1)).bit_length()))
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[joined] * power[:len(joined)], dtype=np.uint64)])
+    return begin, mix64((running[end] - running[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+
+
+def slices(texts: list[bytes], table: bytes = SPACED, ends: bool = True) -> Iterator[Slice]:
+    """The tokens of all texts: words, parted by what ``table`` makes a blank, and (with ``ends``) END after each text.
+
+    ASCII white space must be blank.
+    """
     for group in _pieces(texts):
-        joined = np.frombuffer(b" ".join(p[1] for p in group) + b" ", np.uint8)
-        size = np.array([len(p[1]) + 1 for p in group], np.int64)
-        white = WHITE[joined]
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], white]).astype(np.int8)))  # a word's begin, its end, ...
-        begin, end = edge[0::2], edge[1::2]
-        power, inverse = _powers(1 << max(20, int(len(joined) - 1).bit_length()))
-        running = np.cumsum(_TABLE[LOWER[joined]] * power[:len(joined)], dtype=np.uint64)
-        before = np.where(begin > 0, running[np.maximum(begin, 1) - 1], np.uint64(0))
-        words = mix64((running[end - 1] - before) * inverse[begin] + (end - begin).astype(np.uint64))
-        piece = np.searchsorted(np.cumsum(size), begin, side="right")
-        ends = np.flatnonzero([p[2] for p in group])
-        # an END after the last word of each piece that ends its text
-        at = np.searchsorted(piece, ends, side="right")
-        hashes, piece = np.insert(words, at, END), np.insert(piece, at, ends)
-        of = np.array([p[0] for p in group], np.int64)
-        yield Slice(hashes, of[piece])
+        joined = np.frombuffer(b" ".join(p[1] for p in group).translate(table), np.uint8)
+        begin, hashes = _words(joined)
+        piece = np.searchsorted(np.cumsum([len(p[1]) + 1 for p in group]), begin, side="right")
+        if ends:  # after the last word of each piece that ends its text
+            last = np.flatnonzero([p[2] for p in group])
+            at = np.searchsorted(piece, last, side="right")
+            hashes, piece = np.insert(hashes, at, END), np.insert(piece, at, last)
+        yield Slice(hashes, np.array([p[0] for p in group], np.int64)[piece])
+
+
+def text_hashes(texts: list[bytes], table: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(the word hashes of all texts, the number of words of each)."""
+    parts = list(slices(texts, table, ends=False))
+    hashes = np.concatenate([p.hashes for p in parts]) if parts else np.zeros(0, np.uint64)
+    docs = np.concatenate([p.doc for p in parts]) if parts else np.zeros(0, np.int64)
+    return hashes, np.bincount(docs, minlength=len(texts))

@@ -218,3 +218,20 @@ def test_edits_against_full_table(rng):
         for i, j in itertools.product(range(len(a)), range(len(b))):
             d[i + 1, j + 1] = min(d[i, j + 1] + 1, d[i + 1, j] + 1, d[i, j] + (a[i] != b[j]))
         assert passages.edits(a, b) == d[-1, -1]
+
+
+def test_chains_left_out_have_no_passage(rng):
+    """The shared pairs of neighbouring words of an edited passage are never fewer than asked for."""
+    for _ in range(2000):
+        a = [rng.randrange(10**6) for _ in range(rng.randrange(50, 90))]
+        b, errors = list(a), 0
+        while True:
+            kind, at = rng.randrange(3), rng.randrange(len(b))
+            longest = max(len(a), len(b) + (kind == 1))
+            if errors + 1 > 0.2 * longest or len(b) - (kind == 2) < 50:
+                break
+            b[at:at + (kind != 1)] = [rng.randrange(10**6)] * (kind != 2)
+            errors += 1
+        pairs = set(zip(b, b[1:], strict=False))
+        assert sum(p in pairs for p in zip(a, a[1:], strict=False)) >= passages.shared_pairs(50, 0.8)
+    assert passages.shared_pairs(50, 0.8) == 29
