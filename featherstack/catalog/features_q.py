@@ -48,10 +48,22 @@ RATIOS_SQL = f"""SELECT c_custkey, income / nullif(children + 1, 0) AS income_pe
   list_median(list_filter([ext1, ext2, ext3], lambda x: x IS NOT NULL)) AS ext_median,
   CASE WHEN {_present(EXT)} >= 2 THEN sqrt({_central(EXT, f'({_rsum(EXT)} / nullif({_present(EXT)}, 0))', 2)} / ({_present(EXT)} - 1)) END AS ext_std,
   CAST(coalesce(days_birth / -365.25 < 30, false) AS INTEGER) AS young_flag,
-  CAST(days_employed IS NULL AS INTEGER) AS employed_missing FROM {APP_CLEAN_SQL} a"""
-
-
-@register("features_application_ratios", RATIOS_SQL, exact=["c_custkey", "young_flag", "employed_missing"])
+  CAST(days_employed IS NULL AS INTEGER) AS employed_missing,
+  income / (children + 2) AS income_per_person, children / (children + 2) AS child_share, children + 2 AS family_size,
+  income / nullif(days_employed, 0) AS income_per_day_employed, days_employed - days_birth AS days_before_work,
+  (days_employed - days_birth) / nullif(days_birth, 0) AS before_work_to_birth,
+  days_birth / -365.25::DOUBLE AS age_years, days_employed / -365.25::DOUBLE AS work_years,
+  ext1 * 2 + ext2 * 3 + ext3 * 4 AS ext_weighted, ext1 * ext2 * ext3 AS ext_prod, ext1 / nullif(ext2 + ext3, 0) AS ext1_to_rest,
+  CAST(3 - ({_present(EXT)}) AS INTEGER) AS ext_missing,
+  CAST(days_birth < -14000 AS INTEGER) AS retirement_age_flag, CAST(coalesce(days_employed < -2000, false) AS INTEGER) AS long_employment_flag,
+  CAST(coalesce(children > 2 AND income < 1000, false) AS INTEGER) AS large_poor_family_flag,
+  CAST(coalesce(income < 0, false) AS INTEGER) AS negative_income_flag, CASE WHEN income > 0 THEN ln(1 + income) END AS log_income
+  FROM {APP_CLEAN_SQL} a"""
+RATIOS_EXACT = ["c_custkey", "young_flag", "employed_missing", "family_size", "days_before_work", "ext_missing", "retirement_age_flag",
+                "long_employment_flag", "large_poor_family_flag", "negative_income_flag"]
+
+
+@register("features_application_ratios", RATIOS_SQL, exact=RATIOS_EXACT)
 def features_application_ratios_q(spark, d):
     return FT.features_application_ratios(spark, d)
 
@@ -95,9 +107,10 @@ def features_application_new_q(spark, d):
     return _clustered(FT.features_application_new(spark, d))
 
 
-PRODUCTS_SQL = f"""SELECT c_custkey, ext1 * ext2 AS ext1_x_ext2, ext1 * ext3 AS ext1_x_ext3,
-  ext2 * ext3 AS ext2_x_ext3, ext1 * ext2 * ext3 AS ext_product, ext2 / nullif(ext3, 0) AS ext2_over_ext3,
-  income / nullif(ext2, 0) AS income_over_ext2 FROM {APP_BASE_SQL} a"""
+PRODUCTS_SQL = f"""SELECT c_custkey, {_sel([f"{x} * {y} AS {x}_x_{y}" for x, y in FT.PAIRS])}, ext1 * ext2 * ext3 AS ext_product,
+  {_sel([f"{x} / nullif({y}, 0) AS {x}_over_{y}" for x, y in FT.PAIRS])}, {_sel([f"income / nullif({x}, 0) AS income_over_{x}" for x in FT.SCORES])},
+  {_sel([f"income * {x} AS income_x_{x}" for x in FT.SCORES])}, {_sel([f"{x} / nullif(days_birth, 0) AS {x}_over_age" for x in FT.SCORES])},
+  days_employed / nullif(ext2, 0) AS employed_over_ext2 FROM {APP_CLEAN_SQL} a"""
 
 
 @register("features_application_products", PRODUCTS_SQL, exact=["c_custkey"])
@@ -213,12 +226,13 @@ def features_previous_apps_q(spark, d):
 
 
 def _history_sql() -> str:
-    ks = [1, 2, 3, 8]
+    ks = FT.HISTORY_KS
     lastk = _sel([f"{S.agg('o_totalprice', 'mean', f'rn <= {k}', 2)} AS hist_last{k}_o_totalprice_mean, "
                   f"avg(day) FILTER (WHERE rn <= {k}) AS hist_last{k}_day_mean" for k in ks])
     return f"""WITH p AS {P},
   last AS (SELECT o_custkey, arg_max(o_totalprice, (day, o_orderkey)) FILTER (WHERE o_orderstatus = 'F') AS last_approved_amount,
     arg_max(o_totalprice, (day, o_orderkey)) FILTER (WHERE o_orderstatus = 'P') AS last_refused_amount,
+    arg_max(o_totalprice, (day, o_orderkey)) FILTER (WHERE o_orderstatus = 'O') AS last_revolving_amount,
     max(day) AS last_day FROM p GROUP BY o_custkey),
   r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY day DESC, o_orderkey DESC) AS rn FROM p),
   lk AS (SELECT o_custkey, {lastk} FROM r GROUP BY o_custkey),
@@ -233,9 +247,9 @@ def features_previous_history_q(spark, d):
     return FT.features_previous_history(spark, d)
 
 
-DOWN_SQL = f"""SELECT o_custkey, avg(payment / nullif(instalment, 0)) AS dp_ratio_mean,
-  min(payment / nullif(instalment, 0)) AS dp_ratio_min, max(payment / nullif(instalment, 0)) AS dp_ratio_max,
-  avg(instalment / nullif(paid_day - due_day + 1, 0)) AS dp_per_day_mean FROM {I} i WHERE due_day > -830 GROUP BY o_custkey"""
+DOWN_SQL = f"""SELECT o_custkey, {_sel([f"{f}({x} / nullif({y}, 0)) AS {n}_{m}" for n, (x, y) in FT.DOWN_RATIOS.items() for m, f in (("mean", "avg"), ("min", "min"), ("max", "max"))])},
+  avg(instalment / nullif(paid_day - due_day + 1, 0)) AS dp_per_day_mean
+  FROM (SELECT i.*, p.o_totalprice AS credit FROM {I} i JOIN {P} p ON p.o_orderkey = i.l_orderkey) WHERE due_day > -830 GROUP BY o_custkey"""
 
 
 @register("features_previous_down_payment", DOWN_SQL, exact=["o_custkey"])
@@ -269,11 +283,15 @@ POS_SQL = f"""WITH e AS {E},
     FROM e WHERE day = (SELECT max(day) FROM e e2 WHERE e2.user_id = e.user_id) GROUP BY user_id),
   dl AS (SELECT user_id, day, count(*) FILTER (WHERE value > 40) AS late FROM e GROUP BY user_id, day),
   t AS (SELECT user_id, CASE WHEN var_pop(day) FILTER (WHERE day > -60) > 0 THEN regr_slope(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -60) END AS pos60_late_slope, CASE WHEN var_pop(day) FILTER (WHERE day > -60) > 0 THEN regr_intercept(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -60) ELSE avg(late) FILTER (WHERE day > -60) END AS pos60_late_intercept, CASE WHEN var_pop(day) FILTER (WHERE day > -18) > 0 THEN regr_slope(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -18) END AS pos18_late_slope, CASE WHEN var_pop(day) FILTER (WHERE day > -18) > 0 THEN regr_intercept(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -18) ELSE avg(late) FILTER (WHERE day > -18) END AS pos18_late_intercept FROM dl GROUP BY user_id)
-  SELECT b.*, l.* EXCLUDE (user_id), t.* EXCLUDE (user_id) FROM b LEFT JOIN l USING (user_id) LEFT JOIN t USING (user_id)"""
+  , rk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM e),
+  lk AS (SELECT user_id, {_sel([f"count(*) FILTER (WHERE rn <= {k} AND value > 40) AS pos_last{k}_late_sum, {S.agg('value', 'mean', f'rn <= {k}', 2)} AS pos_last{k}_value_mean, max(value) FILTER (WHERE rn <= {k}) AS pos_last{k}_value_max, CASE WHEN count(value) FILTER (WHERE rn <= {k}) > 1 THEN regr_slope(value, {k} + 1 - rn) FILTER (WHERE rn <= {k}) END AS pos_last{k}_value_slope" for k in FT.POS_KS])} FROM rk GROUP BY user_id)
+  SELECT b.*, l.* EXCLUDE (user_id), t.* EXCLUDE (user_id), lk.* EXCLUDE (user_id) FROM b LEFT JOIN l USING (user_id) LEFT JOIN t USING (user_id) LEFT JOIN lk USING (user_id)"""
+POS_EXACT = ["user_id", "pos_day_min", "pos_day_max", "pos_size", "pos_late_total", "pos_late_recent", "pos_last_day_events",
+             *[f"pos_last{k}_late_sum" for k in FT.POS_KS]]
+POS_TRENDS |= {f"pos_last{k}_value_slope": 6 for k in FT.POS_KS}
 
 
-@register("features_pos_cash", POS_SQL, exact=["user_id", "pos_day_min", "pos_day_max", "pos_size", "pos_late_total",
-                                               "pos_late_recent", "pos_last_day_events"], sig=8, dec_cols=POS_TRENDS)
+@register("features_pos_cash", POS_SQL, exact=POS_EXACT, sig=8, dec_cols=POS_TRENDS)
 def features_pos_cash_q(spark, d):
     return FT.features_pos_cash(spark, d)
 
@@ -306,11 +324,15 @@ CC_SQL = f"""WITH e AS {E},
     avg(CASE WHEN value > 40 THEN 1 ELSE 0 END) AS cc_over_share
     FROM e GROUP BY user_id),
   x AS (SELECT user_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dv FROM e),
-  ch AS (SELECT user_id, avg(dv) AS cc_balance_change_mean FROM x GROUP BY user_id)
-  SELECT c.*, ch.cc_balance_change_mean FROM c JOIN ch USING (user_id)"""
+  ch AS (SELECT user_id, avg(dv) AS cc_balance_change_mean FROM x GROUP BY user_id),
+  ln AS (SELECT user_id, event_type, {S.agg('value', 'sum', None, 2)} AS v, max(value) AS top, count(*) AS n FROM e GROUP BY ALL),
+  bl AS (SELECT user_id, count(*) AS cc_loans, max(v) AS cc_loan_sum_max, min(v) AS cc_loan_sum_min, avg(top) AS cc_loan_max_mean, max(n) AS cc_loan_n_max,
+    max(CASE WHEN event_type = 'purchase' THEN v END) - sum(v) AS cc_receivable_diff FROM ln GROUP BY user_id)
+  SELECT c.*, ch.cc_balance_change_mean, bl.* EXCLUDE (user_id) FROM c JOIN ch USING (user_id) JOIN bl USING (user_id)"""
+CC_EXACT = ["user_id", "cc_day_min", "cc_day_max", "cc_day_sum", "cc_loans", "cc_loan_n_max"]
 
 
-@register("features_credit_card", CC_SQL, exact=["user_id", "cc_day_min", "cc_day_max", "cc_day_sum"],
+@register("features_credit_card", CC_SQL, exact=CC_EXACT,
           dec_cols={"cc_balance_change_mean": 8})
 def features_credit_card_q(spark, d):
     return FT.features_credit_card(spark, d)
@@ -339,12 +361,12 @@ def _assemble_sql() -> str:
 
 
 ASSEMBLE_EXACT = [
-    "c_custkey", "is_train", "n_regionkey", "days_birth", "days_employed", "children", "young_flag", "employed_missing",
+    "c_custkey", "is_train", "n_regionkey", "days_birth", "days_employed", "children", *RATIOS_EXACT[1:],
     "new_flag_sum", "new_income_bin", "new_ext3_cluster", "capped_children3", "flag_sum", "n_missing", "recent_job_days",
     *_bureau_exact()[1:], *SUMMARY_EXACT[1:], "span_days_max", "closing_day_min", *PREV_EXACT[1:],
     *[f"{p}_{level_name(lv)}" for p in ("reject", "last_reject") for lv in FT.PRIORITIES],
-    "pos_day_min", "pos_day_max", "pos_size", "pos_late_total", "pos_late_recent", "pos_last_day_events", *INS_EXACT[1:],
-    "cc_day_min", "cc_day_max", "cc_day_sum", "nuniq_event_type", "nuniq_day"]
+    *POS_EXACT[1:], *INS_EXACT[1:],
+    *CC_EXACT[1:], "nuniq_event_type", "nuniq_day"]
 
 
 @register("assemble_training_table", _assemble_sql(), exact=ASSEMBLE_EXACT, sig=8,

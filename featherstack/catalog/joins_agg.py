@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, rowstats
 from ..operators import agg as A
+from ..operators import sketch as Sk
 from ..operators import groupstats as G
 from ..operators import ordered as O
 from ..operators.joins import left_join_features, map_lookup, membership_isin
@@ -227,6 +228,19 @@ def group_nunique_q(spark, d):
                                       A.agg_expr("o_orderstatus", "nunique").alias("n_statuses"))
 
 
+@register("group_nunique_approx", """SELECT o_custkey, true AS parts_near, true AS suppliers_near
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY o_custkey""", all_exact=True)
+def group_nunique_approx_q(spark, d):
+    """Distinct parts and suppliers of a customer from sketches kept by order, within five standard errors of the exact counts."""
+    cols = ["l_partkey", "l_suppkey"]
+    li, orders = table(spark, d, "lineitem"), table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    by_order = Sk.distinct_sketches(li, "l_orderkey", cols).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    near = Sk.distinct_estimates(Sk.merge_sketches(by_order, "o_custkey", cols), cols)
+    exact = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey").agg(*[F.count_distinct(c).alias(c) for c in cols])
+    ok = {n: F.abs(F.col(f"nunique_{c}") - F.col(c)) <= 0.08 * F.col(c) for n, c in (("parts_near", cols[0]), ("suppliers_near", cols[1]))}
+    return near.join(exact, "o_custkey").select("o_custkey", *[v.alias(n) for n, v in ok.items()])
+
+
 @register("group_ratio_of_counts", """SELECT o_custkey, count(*) / count(DISTINCT o_orderpriority) AS orders_per_priority
   FROM orders GROUP BY o_custkey""", exact=["o_custkey"])
 def group_ratio_of_counts_q(spark, d):

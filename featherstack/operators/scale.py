@@ -6,8 +6,10 @@ bounded dict per column; applying them is a single projection.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,24 +55,73 @@ def variance_threshold(train: DataFrame, cols: Sequence[str], threshold: float =
     return [c for c in cols if row[c] is not None and row[c] > threshold]
 
 
+GRAM_DIM = 1024  # columns whose matrix of inner products is summed whole
+OVERSAMPLE = 10
+POWERS = 2
+SPREAD = 64  # tasks that share the first sum of the matrices' rows
+
+
+def _summed(x: DataFrame, dim: int, product: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all rows ``x`` (array<double>) of ``product`` of blocks of
+    them; a task adds up its rows, and the rows of the matrices are summed by key."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                part = product(batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array([r.tobytes() for r in total], pa.binary())], names=["i", "row"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        row = np.sum([np.frombuffer(r.as_buffer()) for r in table.column("row")], axis=0)
+        return pa.table({"i": table.column("i").slice(0, 1), "row": pa.array([row.tobytes()], pa.binary())})
+    parts = x.mapInArrow(add, "i int, row binary").groupBy("i", F.pmod(F.spark_partition_id(), F.lit(SPREAD))).applyInArrow(merge, "i int, row binary")
+    found = sorted((r["i"], r["row"]) for r in parts.groupBy("i").applyInArrow(merge, "i int, row binary").collect())
+    return np.array([np.frombuffer(r) for _, r in found])
+
+
+def right_singular(x: DataFrame, dim: int, k: int, gram_dim: int = GRAM_DIM, oversample: int = OVERSAMPLE, powers: int = POWERS,
+                   seed: int = 7) -> np.ndarray:
+    """The first ``k`` right singular vectors (dim x k) of rows ``x`` of ``dim`` doubles.
+
+    Up to ``gram_dim`` columns from the sum of X'X, exactly.  Beyond, by a
+    randomised range finder: a sketch X'(X S) of a random S with a few more
+    columns than ``k``, made orthonormal and multiplied ``powers`` times more,
+    and the singular vectors inside that range; each is one sum over the rows,
+    of dim x (k + oversample) numbers.
+    """
+    if dim <= gram_dim:
+        total = _summed(x, dim, lambda b: b.T @ b)
+        if not len(total):
+            return np.zeros((dim, min(k, dim)))
+        values, vectors = np.linalg.eigh(total)
+        return vectors[:, np.argsort(-values)[:k]]
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(dim, min(dim, k + oversample))))[0]
+    for _ in range(powers + 1):
+        sketch = _summed(x, dim, lambda b, q=basis: b.T @ (b @ q))
+        if not len(sketch):
+            return np.zeros((dim, k))
+        basis = np.linalg.qr(sketch)[0]
+    inner = _summed(x, dim, lambda b: (b @ basis).T @ (b @ basis))
+    values, vectors = np.linalg.eigh(inner)
+    return basis @ vectors[:, np.argsort(-values)[:k]]
+
+
 def svd_reduce(df: DataFrame, vec_col: str, k: int, prefix: str = "svd") -> DataFrame:
     """Truncated SVD without centring: project rows on the top-k right singular
-    vectors (X·V).
-
-    V is what a PCA finds on the rows together with their negatives: their mean
-    is zero, so nothing is centred.  It runs in the JVM; V (dim × k) is the only
-    thing that reaches the driver.  NULL vectors get NULL components.
+    vectors (X·V).  V (dim × k) is all that the plan carries.  The dimension is
+    the most frequent length; NULL vectors, and those of another length, get
+    NULL components and take no part in the fit.
     """
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
-
-    x = df.select(F.col(vec_col).cast("array<double>").alias("x")).where("x IS NOT NULL")
-    both = x.select(F.explode(F.array("x", F.transform("x", lambda v: -v))).alias("x")).select(array_to_vector("x").alias("v"))
-    v = PCA(k=k, inputCol="v", outputCol="p").fit(both).pc.toArray()
+    x = df.select(F.col(vec_col).cast("array<double>").alias("x")).where("x IS NOT NULL AND NOT exists(x, e -> e IS NULL)")
+    size = x.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    dim = size["d"] if size else 0
+    v = right_singular(x.where(F.size("x") == dim), dim, k) if dim else np.zeros((0, k))
     emb = F.col(vec_col)
     comps = []
     for j in range(v.shape[1]):
-        w = F.array(*[F.lit(float(x)) for x in v[:, j]])
-        dot = F.aggregate(F.zip_with(emb, w, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda acc, x: acc + x)
-        comps.append(dot.alias(f"{prefix}{j}"))
+        w = F.array(*[F.lit(float(c)) for c in v[:, j]]).cast("array<double>")
+        dot = F.aggregate(F.zip_with(emb, w, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda acc, c: acc + c)
+        comps.append(F.when(F.size(emb) == dim, dot).alias(f"{prefix}{j}"))
     return df.select("*", *comps)

@@ -9,6 +9,8 @@ is the place to cut lineage (``materialize``) before model fitting.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from ..operators import groupstats as G
 from ..operators import ordered as O
 from ..operators.rank import global_quantiles
 from ..operators.select import aggregate
+from ..sources.store import FeatureStore
 from . import fixture as fx
 
 MONEY = {"o_totalprice": 2, "c_acctbal": 2}
@@ -58,6 +61,22 @@ def features_application_ratios(spark: SparkSession, d: str) -> DataFrame:
         *rowstats.row_stats(ext, ["min", "max", "sum", "mean", "median", "std"], "ext"),
         clean.compare_flag(F.col("days_birth") / -365.25 < 30).alias("young_flag"),
         clean.missing_flag("days_employed").alias("employed_missing"),
+        scalar.safe_div("income", F.col("children") + 2).alias("income_per_person"),
+        scalar.safe_div("children", F.col("children") + 2).alias("child_share"),
+        (F.col("children") + 2).alias("family_size"),
+        scalar.safe_div("income", "days_employed").alias("income_per_day_employed"),
+        (F.col("days_employed") - F.col("days_birth")).alias("days_before_work"),
+        scalar.safe_div(F.col("days_employed") - F.col("days_birth"), "days_birth").alias("before_work_to_birth"),
+        (F.col("days_birth") / -365.25).alias("age_years"), (F.col("days_employed") / -365.25).alias("work_years"),
+        (F.col("ext1") * 2 + F.col("ext2") * 3 + F.col("ext3") * 4).alias("ext_weighted"),
+        (F.col("ext1") * F.col("ext2") * F.col("ext3")).alias("ext_prod"),
+        scalar.safe_div("ext1", F.col("ext2") + F.col("ext3")).alias("ext1_to_rest"),
+        rowstats.row_stat("missing", ext, "ext_missing"),
+        clean.compare_flag(F.col("days_birth") < -14000).alias("retirement_age_flag"),
+        clean.compare_flag(F.col("days_employed") < -2000).alias("long_employment_flag"),
+        clean.compare_flag((F.col("children") > 2) & (F.col("income") < 1000)).alias("large_poor_family_flag"),
+        clean.compare_flag(F.col("income") < 0).alias("negative_income_flag"),
+        F.when(F.col("income") > 0, F.log1p("income")).alias("log_income"),
     )
 
 
@@ -82,14 +101,21 @@ def features_application_new(spark: SparkSession, d: str, clusters: bool = True)
     return out.drop("c_mktsegment", "n_regionkey")
 
 
+SCORES = ["ext1", "ext2", "ext3"]
+PAIRS = [("ext1", "ext2"), ("ext1", "ext3"), ("ext2", "ext3")]
+
+
 def features_application_products(spark: SparkSession, d: str) -> DataFrame:
-    a = application_base(spark, d)
+    """Products and quotients of the three scores, and of each with income and age."""
+    a = clean.sentinel_to_null(application_base(spark, d), {"days_employed": 365243})
     return a.select("c_custkey",
-                    (F.col("ext1") * F.col("ext2")).alias("ext1_x_ext2"), (F.col("ext1") * F.col("ext3")).alias("ext1_x_ext3"),
-                    (F.col("ext2") * F.col("ext3")).alias("ext2_x_ext3"),
+                    *[(F.col(x) * F.col(y)).alias(f"{x}_x_{y}") for x, y in PAIRS],
                     (F.col("ext1") * F.col("ext2") * F.col("ext3")).alias("ext_product"),
-                    scalar.safe_div("ext2", "ext3").alias("ext2_over_ext3"),
-                    scalar.safe_div("income", "ext2").alias("income_over_ext2"))
+                    *[scalar.safe_div(x, y).alias(f"{x}_over_{y}") for x, y in PAIRS],
+                    *[scalar.safe_div("income", x).alias(f"income_over_{x}") for x in SCORES],
+                    *[(F.col("income") * F.col(x)).alias(f"income_x_{x}") for x in SCORES],
+                    *[scalar.safe_div(x, "days_birth").alias(f"{x}_over_age") for x in SCORES],
+                    scalar.safe_div("days_employed", "ext2").alias("employed_over_ext2"))
 
 
 def features_application_contest_r(spark: SparkSession, d: str) -> DataFrame:
@@ -183,30 +209,37 @@ def features_previous_apps(spark: SparkSession, d: str) -> DataFrame:
         .select("o_custkey", *names, *sub_outs)
 
 
+HISTORY_KS = [1, 2, 3, 8, 16, 32]
+
+
 def features_previous_history(spark: SparkSession, d: str) -> DataFrame:
-    """Last approved / last refused amount, last-k means, second-latest day aggregate."""
+    """Last approved, refused and revolving (open) amount, last-k means, second-latest day aggregate."""
     p = fx.previous(spark, d)
     last = p.groupBy("o_custkey").agg(
         F.max_by(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")),
                  F.when(F.col("o_orderstatus") == "F", F.struct("day", "o_orderkey"))).alias("last_approved_amount"),
         F.max_by(F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice")),
                  F.when(F.col("o_orderstatus") == "P", F.struct("day", "o_orderkey"))).alias("last_refused_amount"),
+        F.max_by(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice")),
+                 F.when(F.col("o_orderstatus") == "O", F.struct("day", "o_orderkey"))).alias("last_revolving_amount"),
         F.max_by(F.col("day"), F.struct("day", "o_orderkey")).alias("last_day"))
     lastk = O.last_k_agg(p, "o_custkey", [F.col("day").desc(), F.col("o_orderkey").desc()],
-                         {"o_totalprice": ["mean"], "day": ["mean"]}, [1, 2, 3, 8], "hist", salt_cols=["o_orderkey"],
+                         {"o_totalprice": ["mean"], "day": ["mean"]}, HISTORY_KS, "hist", salt_cols=["o_orderkey"],
                          scales=MONEY)
     second = O.nth_latest_rows(p, "o_custkey", "day", 2).groupBy("o_custkey").agg(
         A.agg_expr("o_totalprice", "mean", None, 2).alias("second_latest_amount_mean"))
     return last.join(lastk, "o_custkey", "left").join(second, "o_custkey", "left")
 
 
+DOWN_RATIOS = {"dp_ratio": ("payment", "instalment"), "dp_credit": ("payment", "credit"), "dp_annuity": ("instalment", "credit")}
+
+
 def features_previous_down_payment(spark: SparkSession, d: str) -> DataFrame:
-    i = fx.installments(spark, d).where(F.col("due_day") > -830)
-    ratio = scalar.safe_div("payment", "instalment")
-    return i.groupBy("o_custkey").agg(F.avg(ratio).alias("dp_ratio_mean"), F.min(ratio).alias("dp_ratio_min"),
-                                      F.max(ratio).alias("dp_ratio_max"),
-                                      F.avg(scalar.safe_div("instalment", F.col("paid_day") - F.col("due_day") + 1))
-                                      .alias("dp_per_day_mean"))
+    """Payment to instalment, payment to credit and instalment to credit of the last 830 days."""
+    credit = fx.previous(spark, d).select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").alias("credit"))
+    i = fx.installments(spark, d).where(F.col("due_day") > -830).join(credit, "l_orderkey")
+    stats = [fn(scalar.safe_div(x, y)).alias(f"{n}_{f}") for n, (x, y) in DOWN_RATIOS.items() for f, fn in (("mean", F.avg), ("min", F.min), ("max", F.max))]
+    return i.groupBy("o_custkey").agg(*stats, F.avg(scalar.safe_div("instalment", F.col("paid_day") - F.col("due_day") + 1)).alias("dp_per_day_mean"))
 
 
 def features_previous_rejects(spark: SparkSession, d: str) -> DataFrame:
@@ -218,9 +251,13 @@ def features_previous_rejects(spark: SparkSession, d: str) -> DataFrame:
         *[clean.compare_flag(F.max_by(n, "day") > 0).alias(f"last_reject_{n}") for n in names])
 
 
+POS_KS = [6, 12, 30]
+
+
 def features_pos_cash(spark: SparkSession, d: str) -> DataFrame:
     """Monthly-balance family on events: day aggregates, late (value > 40)
-    totals in the last 18 days and overall, status shares, last-entity rows."""
+    totals in the last 18 days and overall, status shares, last-entity rows, aggregates
+    and trends of the last k events."""
     e = fx.events(spark, d)
     late = F.col("value") > 40
     types = [f"n_{t}" for t in EVENT_TYPES]
@@ -229,7 +266,16 @@ def features_pos_cash(spark: SparkSession, d: str) -> DataFrame:
         F.max("value").alias("top"), F.count_if(late).alias("late"),
         *[F.count_if(F.col("event_type") == t).alias(n) for t, n in zip(EVENT_TYPES, types)])
     shares = [(F.sum(n) / F.sum("n")).alias(f"pos_event_type_{t}_mean") for t, n in zip(EVENT_TYPES, types)]
-    return days.groupBy("user_id").agg(
+    newest = [F.col("ts").desc(), F.col("event_id").desc()]
+    lates = e.withColumn("late", clean.compare_flag(late))
+    ranked = O.top_k_per_group(lates, "user_id", newest, max(POS_KS), ["event_id"])
+    last = []
+    for k in POS_KS:
+        within = f"rn <= {k}"
+        last += [A.agg_expr("late", "sum", within).alias(f"pos_last{k}_late_sum"), A.agg_expr("value", "mean", within, 2).alias(f"pos_last{k}_value_mean"),
+                 A.agg_expr("value", "max", within).alias(f"pos_last{k}_value_max"),
+                 F.regr_slope(F.when(F.expr(within), F.col("value")), F.when(F.expr(within), k + 1.0 - F.col("rn"))).alias(f"pos_last{k}_value_slope")]
+    by_user = days.groupBy("user_id").agg(
         F.min("day").alias("pos_day_min"), F.max("day").alias("pos_day_max"), F.sum("n").alias("pos_size"),
         F.try_divide(F.sum("total"), F.sum("nv")).alias("pos_value_mean"), F.max("top").alias("pos_value_max"),
         F.sum("late").alias("pos_late_total"),
@@ -237,6 +283,7 @@ def features_pos_cash(spark: SparkSession, d: str) -> DataFrame:
         F.max_by("n", "day").alias("pos_last_day_events"), F.max_by("total", "day").alias("pos_last_day_value"),
         *O.trend_exprs("late", "day", "pos60", where=F.col("day") > -60),
         *O.trend_exprs("late", "day", "pos18", where=F.col("day") > -18))
+    return by_user.join(ranked.groupBy("user_id").agg(*last), "user_id", "left")
 
 
 INS_SPEC = {"paid_share": ["mean", "min", "max", "median", "var"], "paid_diff": ["mean", "sum", "max", "median", "var"],
@@ -277,7 +324,13 @@ def features_credit_card(spark: SparkSession, d: str) -> DataFrame:
         F.avg(clean.compare_flag(F.col("value") > 40)).alias("cc_over_share"))
     e2 = e.withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
     change = O.lagged_diff_mean(e2, "user_id", "t", "event_id", "value", {"null": "cc_balance_change_mean"})
-    return cols.join(change, "user_id")
+    # per loan (here the event type), then per user; what a purchase differs from the user's mean
+    loans = e.groupBy("user_id", "event_type").agg(A.agg_expr("value", "sum", None, 2).alias("v"), F.max("value").alias("top"), F.count(F.lit(1)).alias("n"))
+    by_loan = loans.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("cc_loans"), F.max("v").alias("cc_loan_sum_max"), F.min("v").alias("cc_loan_sum_min"), F.avg("top").alias("cc_loan_max_mean"),
+        F.max("n").alias("cc_loan_n_max"),
+        (F.max(F.when(F.col("event_type") == "purchase", F.col("v"))) - F.sum("v")).alias("cc_receivable_diff"))
+    return cols.join(change, "user_id").join(by_loan, "user_id")
 
 
 def features_label_nunique_mean(spark: SparkSession, d: str) -> DataFrame:
@@ -296,14 +349,20 @@ CHILD_FAMILIES = {"bureau": features_bureau_two_level, "summary": features_burea
                   "cc": features_credit_card, "label": features_label_nunique_mean}
 
 
-def assemble_training_table(spark: SparkSession, d: str) -> DataFrame:
+def _family(fn: Callable[[SparkSession, str], DataFrame], spark: SparkSession, d: str) -> DataFrame:
+    """A family keyed by ``c_custkey``."""
+    f = fn(spark, d)
+    key = next(c for c in ("c_custkey", "o_custkey", "user_id") if c in f.columns)
+    return f.where(F.col(key).isNotNull()).withColumnRenamed(key, "c_custkey")
+
+
+def assemble_training_table(spark: SparkSession, d: str, store: FeatureStore | None = None) -> DataFrame:
     """Train and test entities with every entity-keyed family joined on, ids
     of child tables dropped; a column that an earlier part has already is left
-    out.  The families are pre-aggregated, so every join is 1:1 on the entity key."""
-    out = application_base(spark, d)
-    for fn in (*APPLICATION_FAMILIES.values(), *CHILD_FAMILIES.values()):
-        f = fn(spark, d)
-        key = next(c for c in ("c_custkey", "o_custkey", "user_id") if c in f.columns)
-        new = [c for c in f.columns if c != key and c not in out.columns]
-        out = out.join(f.select(F.col(key).alias("c_custkey"), *new), "c_custkey", "left")
-    return out.drop("c_mktsegment")
+    out.  The families are written to a store bucketed by the entity, several at
+    a time, and so joined 1:1 without a shuffle; a store that is given keeps them
+    under its own name."""
+    store = store or FeatureStore(spark, "c_custkey")
+    families = {**APPLICATION_FAMILIES, **CHILD_FAMILIES}
+    store.write_all({"base": lambda: application_base(spark, d)} | {n: (lambda fn=fn: _family(fn, spark, d)) for n, fn in families.items()})
+    return store.join("base", list(families)).drop("c_mktsegment")

@@ -24,6 +24,24 @@ def test_svd_projection_matches_numpy(spark):
         assert min(np.abs(a - b).max(), np.abs(a + b).max()) < 1e-6 * max(1.0, np.abs(b).max())
 
 
+def test_range_finder_matches_numpy(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 12)) * 2.0 ** -np.arange(12) @ rng.normal(size=(12, 40))
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(5)
+    v = Sc.right_singular(df, 40, 4, gram_dim=16)  # a wide table: sketched
+    exact = Sc.right_singular(df, 40, 4)
+    want = np.linalg.svd(x, full_matrices=False)[2][:4].T
+    for got in (v, exact):
+        assert np.allclose(np.abs((got * want).sum(axis=0)), 1, atol=1e-6)
+
+
+def test_svd_of_odd_rows(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [2.0, 0.0]), (5, [None, 1.0])], "i int, v array<double>")
+    got = {r["i"]: r["svd0"] for r in Sc.svd_reduce(df, "v", 1).collect()}
+    assert abs(got[1]) == 1 and abs(got[4]) == 2 and got[2] is None and got[3] is None and got[5] is None
+    assert Sc.svd_reduce(df.limit(0), "v", 2).count() == 0
+
+
 def test_polynomial_contrasts_orthonormal():
     for k in (2, 3, 5, 8):
         m = En.polynomial_matrix(k)
