@@ -29,13 +29,14 @@ BUCKETS = 4096
 CUTS = 64
 
 
-def _bucket(keys: Sequence[str]) -> Column:
+def bucket_of(keys: Sequence[str]) -> Column:
+    """The counter that a row's keys fall into."""
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(BUCKETS)).cast("int")
 
 
 def heavy_buckets(rows: DataFrame, keys: Sequence[str], cuts: int = CUTS) -> DataFrame:
     """One row: a map of each heavy bucket to its number of parts."""
-    counts = rows.groupBy(_bucket(keys).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    counts = rows.groupBy(bucket_of(keys).alias("b")).agg(F.count(F.lit(1)).alias("c"))
     one = counts.agg(F.collect_list(F.struct("b", "c")).alias("l"), F.sum("c").alias("n"))  # at most BUCKETS entries
     return one.select(F.expr(f"""map_from_entries(transform(filter(l, x -> x.c * {cuts} > n),
         x -> named_struct('b', x.b, 'parts', CAST(ceil(x.c * {cuts} / n) AS INT)))) AS parts"""))
@@ -53,7 +54,7 @@ def split_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how
         raise ValueError(f"rows of the right side are repeated: no {how} join")
     source = left if rows is None else rows
     sketch = heavy_buckets(source, keys, cuts)
-    parts = F.coalesce(F.element_at(sketch.scalar(), _bucket(keys)), F.lit(1))
+    parts = F.coalesce(F.element_at(sketch.scalar(), bucket_of(keys)), F.lit(1))
     whole = F.xxhash64(*[F.col(f"`{c}`") for c, t in source.dtypes if "map<" not in t])
     dealt = left.withColumn("__part", F.pmod(whole, parts).cast("int"))
     copies = right.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
