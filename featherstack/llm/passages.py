@@ -47,6 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import bucket_of, heavy_buckets
 from .common import groups, map_batches, mix64, stage_table
 from .components import connected_components
 from .decontaminate import WORD_BYTES
@@ -362,8 +363,13 @@ def find_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                              F.greatest(F.element_at(at, 1) - EXTEND, F.lit(0)).alias("begin"), (F.element_at(at, -1) + K + EXTEND).alias("end"), *own)
     none = F.lit(None).cast("array<int>")
     asked = ask(0, "doc", "x", ["x", "y"]).unionByName(ask(1, "ref", "y", [none.alias("x"), none.alias("y")]))
-    slices = map_batches(
-        asked.join(texts, "id"), _slices, f"doc {id_type}, ref {id_type}, c int, side int, begin int, x array<int>, y array<int>, words binary")
+    # a text meets what is asked of it in one task, or in several if a sketch tells that much is asked
+    heavy = heavy_buckets(asked, ["id"]).scalar()
+    parts = F.coalesce(F.element_at(heavy, bucket_of(["id"])), F.lit(1))
+    asked = asked.withColumns({"part": F.pmod(F.xxhash64("doc", "ref", "c"), parts).cast("int"), "kind": F.lit(1), "text": F.lit(None).cast("binary")})
+    copies = texts.withColumns({"part": F.explode(F.sequence(F.lit(0), parts - 1)), "kind": F.lit(0)})
+    rows = copies.unionByName(asked, allowMissingColumns=True).repartition("id", "part").sortWithinPartitions("id", "part", "kind")
+    slices = map_batches(rows, _slices, f"doc {id_type}, ref {id_type}, c int, side int, begin int, x array<int>, y array<int>, words binary")
     slices = slices.repartition("doc", "ref", "c").sortWithinPartitions("doc", "ref", "c", "side")
 
     least = shared_pairs(min_words, identity)
@@ -468,17 +474,25 @@ def _chained(columns: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The asked words of each text as 32-bit hashes."""
-    last, w = None, None
+    """The asked words of each text as 32-bit hashes; rows come by (id, part), a text before what is asked of it."""
+    names, held, last = ["doc", "ref", "c", "side", "begin", "x", "y"], [], None
     for batch in batches:
-        begin, end, out = batch.column("begin").to_pylist(), batch.column("end").to_pylist(), []
-        for i, text in enumerate(batch.column("text")):
-            raw = text.as_py()
-            if raw != last:  # rows of a join come by id
-                last, w = raw, text_hashes([raw], WORD_BYTES)[0].astype("<u4")
-            out.append(w[begin[i]:end[i]].tobytes())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "ref", "c", "side", "begin", "x", "y")), pa.array(out, pa.binary())],
-                                         names=["doc", "ref", "c", "side", "begin", "x", "y", "words"])
+        kind, key = batch.column("kind").to_pylist(), list(zip(batch.column("id").to_pylist(), batch.column("part").to_pylist(), strict=True))
+        begin, end = batch.column("begin").to_pylist(), batch.column("end").to_pylist()
+        rows, out = [], []
+        for i, k in enumerate(kind):
+            if key[i] != last:
+                last, held = key[i], []
+            if k == 0:  # hashed when something is asked
+                held.append(batch.column("text")[i].as_py())
+                continue
+            for j, text in enumerate(held):  # one, unless rows share an id
+                if isinstance(text, bytes):
+                    text = held[j] = text_hashes([text], WORD_BYTES)[0].astype("<u4")
+                rows.append(i)
+                out.append(text[begin[i]:end[i]].tobytes())
+        at = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in names), pa.array(out, pa.binary())], names=[*names, "words"])
 
 
 def _merged(rows: DataFrame, name: str) -> DataFrame:
