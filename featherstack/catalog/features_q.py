@@ -283,12 +283,12 @@ POS_SQL = f"""WITH e AS {E},
     FROM e WHERE day = (SELECT max(day) FROM e e2 WHERE e2.user_id = e.user_id) GROUP BY user_id),
   dl AS (SELECT user_id, day, count(*) FILTER (WHERE value > 40) AS late FROM e GROUP BY user_id, day),
   t AS (SELECT user_id, CASE WHEN var_pop(day) FILTER (WHERE day > -60) > 0 THEN regr_slope(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -60) END AS pos60_late_slope, CASE WHEN var_pop(day) FILTER (WHERE day > -60) > 0 THEN regr_intercept(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -60) ELSE avg(late) FILTER (WHERE day > -60) END AS pos60_late_intercept, CASE WHEN var_pop(day) FILTER (WHERE day > -18) > 0 THEN regr_slope(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -18) END AS pos18_late_slope, CASE WHEN var_pop(day) FILTER (WHERE day > -18) > 0 THEN regr_intercept(late::DOUBLE, day::DOUBLE) FILTER (WHERE day > -18) ELSE avg(late) FILTER (WHERE day > -18) END AS pos18_late_intercept FROM dl GROUP BY user_id)
-  , rk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM e),
-  lk AS (SELECT user_id, {_sel([f"count(*) FILTER (WHERE rn <= {k} AND value > 40) AS pos_last{k}_late_sum, {S.agg('value', 'mean', f'rn <= {k}', 2)} AS pos_last{k}_value_mean, max(value) FILTER (WHERE rn <= {k}) AS pos_last{k}_value_max, CASE WHEN count(value) FILTER (WHERE rn <= {k}) > 1 THEN regr_slope(value, {k} + 1 - rn) FILTER (WHERE rn <= {k}) END AS pos_last{k}_value_slope" for k in FT.POS_KS])} FROM rk GROUP BY user_id)
-  SELECT b.*, l.* EXCLUDE (user_id), t.* EXCLUDE (user_id), lk.* EXCLUDE (user_id) FROM b LEFT JOIN l USING (user_id) LEFT JOIN t USING (user_id) LEFT JOIN lk USING (user_id)"""
-POS_EXACT = ["user_id", "pos_day_min", "pos_day_max", "pos_size", "pos_late_total", "pos_late_recent", "pos_last_day_events",
-             *[f"pos_last{k}_late_sum" for k in FT.POS_KS]]
-POS_TRENDS |= {f"pos_last{k}_value_slope": 6 for k in FT.POS_KS}
+  SELECT b.*, l.* EXCLUDE (user_id), t.* EXCLUDE (user_id) FROM b LEFT JOIN l USING (user_id) LEFT JOIN t USING (user_id)"""
+POS_LAST_SQL = f"""WITH rk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM {E} e)
+  SELECT user_id, {_sel([f"count(*) FILTER (WHERE rn <= {k} AND value > 40) AS pos_last{k}_late_sum, {S.agg('value', 'mean', f'rn <= {k}', 2)} AS pos_last{k}_value_mean, max(value) FILTER (WHERE rn <= {k}) AS pos_last{k}_value_max, CASE WHEN count(value) FILTER (WHERE rn <= {k}) > 1 THEN regr_slope(value, {k} + 1 - rn) FILTER (WHERE rn <= {k}) END AS pos_last{k}_value_slope" for k in FT.POS_KS])} FROM rk GROUP BY user_id"""
+POS_EXACT = ["user_id", "pos_day_min", "pos_day_max", "pos_size", "pos_late_total", "pos_late_recent", "pos_last_day_events"]
+POS_LAST_EXACT = ["user_id", *[f"pos_last{k}_late_sum" for k in FT.POS_KS]]
+POS_LAST_TRENDS = {f"pos_last{k}_value_slope": 6 for k in FT.POS_KS}
 
 
 @register("features_pos_cash", POS_SQL, exact=POS_EXACT, sig=8, dec_cols=POS_TRENDS)
@@ -296,6 +296,11 @@ def features_pos_cash_q(spark, d):
     return FT.features_pos_cash(spark, d)
 
 
+@register("features_pos_cash_last_k", POS_LAST_SQL, exact=POS_LAST_EXACT, sig=8, dec_cols=POS_LAST_TRENDS)
+def features_pos_cash_last_k_q(spark, d):
+    return FT.features_pos_cash_last_k(spark, d)
+
+
 INS_SQL = f"""WITH x AS (SELECT o_custkey, l_orderkey, l_linenumber, due_day, paid_day - due_day AS delay, payment / nullif(instalment, 0) AS paid_share,
     instalment - payment AS paid_diff, greatest(paid_day - due_day - 60, 0) AS dpd, greatest(60 - (paid_day - due_day), 0) AS dbd
     FROM {I} i),
@@ -353,7 +358,7 @@ def _assemble_sql() -> str:
              ("pr", "c_custkey", PRODUCTS_SQL, ()), ("ct", "c_custkey", CONTEST_SQL, ()), ("bu", "o_custkey", _bureau_sql(), ()),
              ("su", "o_custkey", SUMMARY_SQL, ()), ("st", "o_custkey", STATUS_SQL, ()), ("pa", "o_custkey", _prev_sql(), ()),
              ("hi", "o_custkey", _history_sql(), ("last_day",)), ("dp", "o_custkey", DOWN_SQL, ()), ("rj", "o_custkey", REJECTS_SQL, ()),
-             ("ps", "user_id", POS_SQL, ()), ("ins", "o_custkey", INS_SQL, ()), ("cc", "user_id", CC_SQL, ()), ("lb", "user_id", LABEL_SQL, ())]
+             ("ps", "user_id", POS_SQL, ()), ("pl", "user_id", POS_LAST_SQL, ()), ("ins", "o_custkey", INS_SQL, ()), ("cc", "user_id", CC_SQL, ()), ("lb", "user_id", LABEL_SQL, ())]
     tables = ", ".join(f"{n} AS ({sql})" for n, _, sql, _ in parts)
     columns = ", ".join(f"{n}.* EXCLUDE ({', '.join((key, *known))})" for n, key, _, known in parts)
     joins = " ".join(f"LEFT JOIN {n} ON b.c_custkey = {n}.{key}" for n, key, _, _ in parts)
@@ -365,12 +370,12 @@ ASSEMBLE_EXACT = [
     "new_flag_sum", "new_income_bin", "new_ext3_cluster", "capped_children3", "flag_sum", "n_missing", "recent_job_days",
     *_bureau_exact()[1:], *SUMMARY_EXACT[1:], "span_days_max", "closing_day_min", *PREV_EXACT[1:],
     *[f"{p}_{level_name(lv)}" for p in ("reject", "last_reject") for lv in FT.PRIORITIES],
-    *POS_EXACT[1:], *INS_EXACT[1:],
+    *POS_EXACT[1:], *POS_LAST_EXACT[1:], *INS_EXACT[1:],
     *CC_EXACT[1:], "nuniq_event_type", "nuniq_day"]
 
 
 @register("assemble_training_table", _assemble_sql(), exact=ASSEMBLE_EXACT, sig=8,
-          dec_cols={"new_row_kurt": 6, "cc_balance_change_mean": 8, **POS_TRENDS})
+          dec_cols={"new_row_kurt": 6, "cc_balance_change_mean": 8, **POS_TRENDS, **POS_LAST_TRENDS})
 def assemble_training_table_q(spark, d):
     return _clustered(FT.assemble_training_table(spark, d))
 

@@ -256,8 +256,7 @@ POS_KS = [6, 12, 30]
 
 def features_pos_cash(spark: SparkSession, d: str) -> DataFrame:
     """Monthly-balance family on events: day aggregates, late (value > 40)
-    totals in the last 18 days and overall, status shares, last-entity rows, aggregates
-    and trends of the last k events."""
+    totals in the last 18 days and overall, status shares, last-entity rows."""
     e = fx.events(spark, d)
     late = F.col("value") > 40
     types = [f"n_{t}" for t in EVENT_TYPES]
@@ -266,16 +265,7 @@ def features_pos_cash(spark: SparkSession, d: str) -> DataFrame:
         F.max("value").alias("top"), F.count_if(late).alias("late"),
         *[F.count_if(F.col("event_type") == t).alias(n) for t, n in zip(EVENT_TYPES, types)])
     shares = [(F.sum(n) / F.sum("n")).alias(f"pos_event_type_{t}_mean") for t, n in zip(EVENT_TYPES, types)]
-    newest = [F.col("ts").desc(), F.col("event_id").desc()]
-    lates = e.withColumn("late", clean.compare_flag(late))
-    ranked = O.top_k_per_group(lates, "user_id", newest, max(POS_KS), ["event_id"])
-    last = []
-    for k in POS_KS:
-        within = f"rn <= {k}"
-        last += [A.agg_expr("late", "sum", within).alias(f"pos_last{k}_late_sum"), A.agg_expr("value", "mean", within, 2).alias(f"pos_last{k}_value_mean"),
-                 A.agg_expr("value", "max", within).alias(f"pos_last{k}_value_max"),
-                 F.regr_slope(F.when(F.expr(within), F.col("value")), F.when(F.expr(within), k + 1.0 - F.col("rn"))).alias(f"pos_last{k}_value_slope")]
-    by_user = days.groupBy("user_id").agg(
+    return days.groupBy("user_id").agg(
         F.min("day").alias("pos_day_min"), F.max("day").alias("pos_day_max"), F.sum("n").alias("pos_size"),
         F.try_divide(F.sum("total"), F.sum("nv")).alias("pos_value_mean"), F.max("top").alias("pos_value_max"),
         F.sum("late").alias("pos_late_total"),
@@ -283,7 +273,20 @@ def features_pos_cash(spark: SparkSession, d: str) -> DataFrame:
         F.max_by("n", "day").alias("pos_last_day_events"), F.max_by("total", "day").alias("pos_last_day_value"),
         *O.trend_exprs("late", "day", "pos60", where=F.col("day") > -60),
         *O.trend_exprs("late", "day", "pos18", where=F.col("day") > -18))
-    return by_user.join(ranked.groupBy("user_id").agg(*last), "user_id", "left")
+
+
+def features_pos_cash_last_k(spark: SparkSession, d: str) -> DataFrame:
+    """The balance family's second part: aggregates and trends of the last k
+    events, from one ranking for all k."""
+    e = fx.events(spark, d).withColumn("late", clean.compare_flag(F.col("value") > 40))
+    ranked = O.top_k_per_group(e, "user_id", [F.col("ts").desc(), F.col("event_id").desc()], max(POS_KS), ["event_id"])
+    last = []
+    for k in POS_KS:
+        within = f"rn <= {k}"
+        last += [A.agg_expr("late", "sum", within).alias(f"pos_last{k}_late_sum"), A.agg_expr("value", "mean", within, 2).alias(f"pos_last{k}_value_mean"),
+                 A.agg_expr("value", "max", within).alias(f"pos_last{k}_value_max"),
+                 F.regr_slope(F.when(F.expr(within), F.col("value")), F.when(F.expr(within), k + 1.0 - F.col("rn"))).alias(f"pos_last{k}_value_slope")]
+    return ranked.groupBy("user_id").agg(*last)
 
 
 INS_SPEC = {"paid_share": ["mean", "min", "max", "median", "var"], "paid_diff": ["mean", "sum", "max", "median", "var"],
@@ -345,7 +348,7 @@ APPLICATION_FAMILIES = {"ratios": features_application_ratios, "new": features_a
                         "products": features_application_products, "contest": features_application_contest_r}
 CHILD_FAMILIES = {"bureau": features_bureau_two_level, "summary": features_bureau_summary, "status": features_bureau_status,
                   "apps": features_previous_apps, "history": features_previous_history, "down": features_previous_down_payment,
-                  "rejects": features_previous_rejects, "pos": features_pos_cash, "ins": features_installments,
+                  "rejects": features_previous_rejects, "pos": features_pos_cash, "pos_last": features_pos_cash_last_k, "ins": features_installments,
                   "cc": features_credit_card, "label": features_label_nunique_mean}
 
 
