@@ -67,6 +67,13 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return map_batches(df, run, schema)
 
 
+def row_slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes, so that what a worker makes of them stays small."""
+    rows = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
+    for i in range(0, batch.num_rows, rows):
+        yield batch.slice(i, rows)
+
+
 def extend(batch: pa.RecordBatch, columns: dict[str, pa.Array], drop: Sequence[str] = ()) -> pa.RecordBatch:
     """The batch with columns added (and some dropped)."""
     names = [n for n in batch.schema.names if n not in drop]

@@ -22,6 +22,7 @@ carry an output's name are replaced.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,10 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import sharedfiles
-from .common import extend, map_arrow, without
+from .common import extend, map_arrow, map_batches, row_slices, without
 from .mphf import PerfectHash
 
 SPACE = b" \t\n\x0b\x0c\r"
+SLICE_BYTES = 2 << 20  # text whose lines are objects at once
 SHARD_BYTES = 32 << 20  # text whose distinct lines are a shard, one in about 30 bytes at most as a rule
 
 
@@ -133,7 +135,7 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 1
     folder = sharedfiles.new_folder(docs.sparkSession, "lines")
     build_index(count_lines(docs, text_col, min_chars), folder, bits, min_docs).count()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t.as_py() for t in batch.column(text_col)]
         parts = [_lines(t) for t in texts]
         digests = [d for t in texts for d in _digests(_lines((t or b"").lower()), min_chars)]
@@ -147,5 +149,8 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 1
                 for t, p, e, n, d in zip(texts, parts, ends, total, dropped, strict=True)]
         done = batch.set_column(batch.schema.get_field_index(text_col), text_col, pa.array(kept, pa.binary()))
         return extend(done, {"n_lines": pa.array(total), "n_dropped": pa.array(dropped)})
-    done = map_arrow(raw, run, T.StructType([*raw.schema, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from map(cut, row_slices(batch, SLICE_BYTES))
+    done = map_batches(raw, run, T.StructType([*raw.schema, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]))
     return done.withColumn(text_col, F.col(text_col).cast("string")).select(*order, "n_lines", "n_dropped")

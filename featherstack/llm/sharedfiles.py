@@ -13,7 +13,6 @@ import re
 import uuid
 
 import numpy as np
-from pyarrow import fs
 from pyspark.sql import SparkSession
 
 from ..session import ensure_checkpoint_dir
@@ -24,30 +23,40 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _place(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a URI; ``file:/x`` and plain paths are local."""
-    local = re.sub(r"^file:/*(?=/)", "", uri)
-    return fs.FileSystem.from_uri(local if local.startswith("/") else uri)
+def _local(folder: str) -> str | None:
+    """The path of a folder on a mounted file system (``file:/x`` or a plain path)."""
+    path = re.sub(r"^file:/*(?=/)", "", folder)
+    return path if path.startswith("/") else None
 
 
 def save(folder: str, name: str, array: np.ndarray) -> None:
-    store, root = _place(folder)
+    data, own = memoryview(np.ascontiguousarray(array)).cast("B") if array.size else b"", f"{name}.{uuid.uuid4().hex}"
+    root = _local(folder)
+    if root is not None:
+        os.makedirs(root, exist_ok=True)
+        with open(f"{root}/{own}", "wb") as out:
+            out.write(data)
+        os.replace(f"{root}/{own}", f"{root}/{name}")
+        return
+    from pyarrow import fs  # for other stores only: it takes memory
+    store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
-    own = f"{root}/{name}.{uuid.uuid4().hex}"
-    with store.open_output_stream(own) as out:
-        out.write(memoryview(np.ascontiguousarray(array)).cast("B") if array.size else b"")
-    store.move(own, f"{root}/{name}")
+    with store.open_output_stream(f"{root}/{own}") as out:
+        out.write(data)
+    store.move(f"{root}/{own}", f"{root}/{name}")
 
 
 def load(folder: str, name: str, dtype: str) -> np.ndarray:
     """The array of a file; empty if there is no such file."""
-    store, root = _place(folder)
-    path = f"{root}/{name}"
-    if isinstance(store, fs.LocalFileSystem):
+    root = _local(folder)
+    if root is not None:
+        path = f"{root}/{name}"
         if not os.path.exists(path) or not os.path.getsize(path):
             return np.zeros(0, dtype)
         return np.memmap(path, dtype=dtype, mode="r")
-    if store.get_file_info(path).type == fs.FileType.NotFound:
+    from pyarrow import fs
+    store, root = fs.FileSystem.from_uri(folder)
+    if store.get_file_info(f"{root}/{name}").type == fs.FileType.NotFound:
         return np.zeros(0, dtype)
-    with store.open_input_file(path) as f:
+    with store.open_input_file(f"{root}/{name}") as f:
         return np.frombuffer(f.read(), dtype)
