@@ -230,7 +230,7 @@ def search_params_q(spark, d):
     UNION ALL SELECT n + 1, list_filter(names, lambda v, i: i <> p), list_transform(list_filter(a, lambda row, i: i <> p), lambda row: list_filter(list_transform(row, lambda v, j: v - row[p] * a[p][j] / a[p][p]), lambda v, j: j <> p)),
       list_filter(list_transform(w, lambda v, i: v - a[i][p] / a[p][p] * w[p]), lambda v, i: i <> p), pick[2:], pick[1]
     FROM (SELECT *, list_position(names, pick[1]) AS p FROM (SELECT *, CASE WHEN len(todo) > 0 THEN todo
-        ELSE list_transform(list_sort(list_transform(names, lambda v, i: {{{{'s': abs(w[i]), 'v': v}}}}))[1:least(2, len(names) - 4)], lambda q: q.v) END AS pick FROM el WHERE len(names) > 4)))
+        ELSE list_transform(list_sort(list_transform(names, lambda v, i: {{{{'s': round(abs(w[i]), 9), 'v': v}}}}))[1:least(2, len(names) - 4)], lambda q: q.v) END AS pick FROM el WHERE len(names) > 4)))
   SELECT CAST(n AS INTEGER) AS position, gone AS name, false AS kept FROM el WHERE gone IS NOT NULL
   UNION ALL SELECT CAST(n AS INTEGER), unnest(names), true FROM el WHERE len(names) = 4""".replace("{{{{", "{").replace("}}}}", "}").replace("{{", "{").replace("}}", "}"), all_exact=True)
 def recursive_elimination_q(spark, d):

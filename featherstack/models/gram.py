@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS = 4096  # rows whose outer products are added at once
+TIE_DECIMALS = 9
 SPREAD = 64  # tasks that share the first sum of the matrices' rows
 
 
@@ -109,7 +110,8 @@ def backward_elimination(gram: np.ndarray, features: Sequence[str], keep: int, s
     """(names kept, names in the order in which they left).
 
     Features are standardised, so the sizes of their ridge coefficients compare
-    (a constant one is 0); each step drops the ``step`` weakest, ties by name.
+    (a constant one is 0); each step drops the ``step`` weakest, those equal to
+    TIE_DECIMALS decimals by name.
     A column leaves by a downdate of the inverse: no rows, and no new solve.
     """
     n, names = gram[0, 0], list(features)
@@ -121,7 +123,7 @@ def backward_elimination(gram: np.ndarray, features: Sequence[str], keep: int, s
     inverse = np.linalg.inv(a + alpha * np.eye(len(names)))
     weight, gone = inverse @ b, []
     while len(names) > keep:
-        order = sorted(range(len(names)), key=lambda i: (abs(weight[i]), names[i]))[:min(step, len(names) - keep)]
+        order = sorted(range(len(names)), key=lambda i: (round(abs(weight[i]), TIE_DECIMALS), names[i]))[:min(step, len(names) - keep)]
         for name in [names[i] for i in order]:
             j = names.index(name)
             column = inverse[:, j] / inverse[j, j]

@@ -59,6 +59,16 @@ def test_elimination_equals_refits(rows, data):
     assert recursive_elimination(rows, NAMES, "y", keep=1) == kept
 
 
+def test_equal_weights_leave_by_name():
+    """Three columns that only a rounding tells apart, in any order of theirs."""
+    x = np.kron(np.eye(3), np.ones((4, 1)))
+    a = np.concatenate([np.ones((12, 1)), x, np.ones((12, 1)) * np.arange(12)[:, None] % 2], axis=1)
+    for order in ([0, 1, 2], [2, 0, 1]):
+        g = a[:, [0, *[1 + j for j in order], 4]]
+        kept, gone = gram.backward_elimination(g.T @ g * (1 + 1e-15), [f"x{j}" for j in order], keep=1, step=1)
+        assert (kept, gone) == (["x2"], ["x0", "x1"])
+
+
 def samme_r(bins, y, rounds, rate):
     """Plain real AdaBoost over the same bins, every split of every feature tried."""
     w, out = np.ones(len(y)), []
