@@ -3,10 +3,9 @@
 Each round links every vertex's larger neighbours (large star) and then its
 smaller ones (small star) to the smallest vertex it knows, until nothing
 changes; rounds grow with the logarithm of the longest path.  Minima are
-combined map-side and written before they are joined back: AQE splits the rows
-of a hub only where both sides of the join end in a shuffle of their own, which
-a side that was just aggregated by the hub does not.  Each round's edges are
-written to the shared folder too.
+combined map-side and joined back with ``skew.split_join``, which deals the rows
+of a hub to several tasks (AQE can't split a join side that was just aggregated
+by the hub).  Each round's edges are written to the shared folder.
 
 Cases: edges with a NULL end, loops and repeated edges add nothing; an empty
 table gives no rows.
@@ -17,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import split_join
 from .common import stage_table
 
 
@@ -32,10 +32,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = _sum(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = stage_table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = stage_table(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = stage_table(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = split_join(both.where("v > u"), low, "u", "inner").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = split_join(large, low, "u", "inner").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         now = stage_table(small.select("e.*").where("u <> v").distinct())
         after = _sum(now)
         if after == before:
