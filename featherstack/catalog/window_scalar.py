@@ -4,6 +4,7 @@ functions and §2.10 the UDF surface."""
 from __future__ import annotations
 
 import pandas as pd
+from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import functions as F
 
 from ..functions import clean, scalar
@@ -271,16 +272,23 @@ def date_q(spark, d):
 
 
 # ---------------------------------------------------------------- 2.10 UDF surface
+def _history_last(rows: pd.DataFrame) -> tuple[pd.DataFrame, DataFrameGroupBy]:
+    """Each customer's last row, by customer, and the customers' groups in the same order."""
+    rows = rows.sort_values(["o_custkey", "day", "o_orderkey"], kind="stable")
+    return rows.drop_duplicates("o_custkey", keep="last"), rows.groupby("o_custkey", dropna=False, sort=False)
+
+
 def _history_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    last = pdf.sort_values(["day", "o_orderkey"]).iloc[-1]
-    return pd.DataFrame({"o_custkey": [last["o_custkey"]], "n": [len(pdf)], "first_day": [pdf["day"].min()], "day": [last["day"]],
-                         "o_orderkey": [last["o_orderkey"]], "price": [last["o_totalprice"]]})
+    last, group = _history_last(pdf)
+    return pd.DataFrame({"o_custkey": last["o_custkey"].array, "n": group.size().array, "first_day": group["day"].min().array,
+                         "last_day": group["day"].max().array, "day": last["day"].array, "o_orderkey": last["o_orderkey"].array,
+                         "price": last["o_totalprice"].array})
 
 
 def _history_merge(parts: pd.DataFrame) -> pd.DataFrame:
-    last = parts.sort_values(["day", "o_orderkey"]).iloc[-1]
-    return pd.DataFrame({"o_custkey": [last["o_custkey"]], "ga_size": [parts["n"].sum()], "ga_last_price": [last["price"]],
-                         "ga_span_days": [int(parts["day"].max() - parts["first_day"].min())]})
+    last, group = _history_last(parts)
+    return pd.DataFrame({"o_custkey": last["o_custkey"].array, "ga_size": group["n"].sum().array, "ga_last_price": last["price"].array,
+                         "ga_span_days": group["last_day"].max().array - group["first_day"].min().array})
 
 
 @register("grouped_apply", f"""SELECT o_custkey, count(*) AS ga_size, arg_max(o_totalprice, (day, o_orderkey)) AS ga_last_price,
@@ -288,8 +296,8 @@ def _history_merge(parts: pd.DataFrame) -> pd.DataFrame:
 def grouped_apply_q(spark, d):
     p = fx.previous(spark, d).select("o_custkey", "o_orderkey", "day", "o_totalprice")
     return grouped_apply(p, "o_custkey", _history_part, _history_merge,
-                         "o_custkey long, n long, first_day int, day int, o_orderkey long, price double",
-                         "o_custkey long, ga_size long, ga_last_price double, ga_span_days int")
+                         "o_custkey long, n long, first_day int, last_day int, day int, o_orderkey long, price double",
+                         "o_custkey long, ga_size long, ga_last_price double, ga_span_days int", many=True)
 
 
 @register("grouped_lambda_ratio", f"""SELECT o_custkey, max(payment) / nullif(max(instalment), 0) AS max_ratio FROM {I} i GROUP BY o_custkey""",
