@@ -8,6 +8,12 @@ pass instead of separate scans.  All statistics but quantiles are
 partial-aggregatable, so a hot key is combined map-side before the shuffle;
 exact quantiles (``median``, ``q25``, ``q75``, ``iqr``) are :class:`select.Pick`
 and come from ``select.aggregate``, which splits large groups.
+
+A wide spec over many small groups is the exception: map-side combining hardly
+shortens the input there, and a group's buffers (and for several distinct counts
+the expanded rows) are many times as wide as its rows.  ``agg_multi_spec`` then
+deals the rows themselves by key and computes all statistics where they land;
+rows of heavy keys still go the other way.
 """
 
 from __future__ import annotations
@@ -21,9 +27,15 @@ from pyspark.sql import functions as F
 from ..functions.moments import kurt, skew
 from ..names import feature_name
 from .select import PROBS, Pick, aggregate
+from .skew import bucket_of, heavy_buckets
 
 Spec = Mapping[str, Sequence[str]] | Sequence[tuple[str, str]]
 
+WIDE = 16  # statistics from which a spec is wide
+GROUP_SHARE = 16  # rows a group, on average, from which partial aggregates are expected to be fewer than rows
+DEALT_ROWS = 1_000_000  # rows to a task where rows are dealt by key
+HEAVY_CUTS = 1024  # a bucket of keys with more than this part of all rows is heavy
+
 
 def _pairs(spec: Spec) -> list[tuple[str, str]]:
     if isinstance(spec, Mapping):
@@ -55,6 +67,9 @@ AGG_FUNCS: dict[str, Callable[[Column, Column | None], Column]] = {
     "nunique": lambda c, w: F.count_distinct(_mask(c, w)),
     # for known low-cardinality columns: avoids the Expand of several distincts
     "nunique_small": lambda c, w: F.size(F.collect_set(_mask(c, w))).cast("long"),
+    # of floating point values, among which NaN is one and both zeros are one
+    "nunique_small_float": lambda c, w: (F.size(F.collect_set(F.when(~F.isnan(_mask(c, w)), _mask(c, w) + F.lit(0.0))))
+                                         + F.coalesce(F.bool_or(F.isnan(_mask(c, w))), F.lit(False)).cast("int")).cast("long"),
     "median_approx": lambda c, w: F.percentile_approx(_mask(c, w), 0.5, 10000),
     "skew": lambda c, w: skew(_mask(c, w)),
     "kurt": lambda c, w: kurt(_mask(c, w)),
@@ -167,11 +182,42 @@ def agg_multi_spec(df: DataFrame, key: str | Sequence[str], spec: Spec, prefix:
                    scales: Mapping[str, int] | None = None, rows: DataFrame | None = None) -> DataFrame:
     """Every statistic of the spec, in its order, then ``extra``; ``rows`` as in ``select.aggregate``."""
     keys = [key] if isinstance(key, str) else list(key)
-    out = aggregate(df, keys, [*agg_exprs(spec, prefix, where, scales=scales), *extra], picks(spec, prefix, where), rows=rows)
+    quantiles, aggs = picks(spec, prefix, where), [*agg_exprs(spec, prefix, where, scales=scales), *extra]
     named = [feature_name(prefix, col, fn) for col, fn in _pairs(spec)]
+    tasks = None if quantiles or len(aggs) < WIDE else dealt_tasks(df, keys)
+    if tasks is not None:
+        floats = {c for c, t in df.dtypes if t in ("double", "float")}
+        lists = [agg_expr(col, ("nunique_small_float" if col in floats else "nunique_small") if fn == "nunique" else fn, where,
+                          (scales or {}).get(col), name=n) for (col, fn), n in zip(_pairs(spec), named, strict=True)]
+        out = aggregate_dealt(df, keys, aggs, [*lists, *extra], tasks)
+    else:
+        out = aggregate(df, keys, aggs, quantiles, rows=rows)
     return out.select(*keys, *named, *[c for c in out.columns if c not in keys and c not in named])
 
 
+def dealt_tasks(df: DataFrame, keys: Sequence[str]) -> int | None:
+    """To how many tasks the rows should be dealt by key (0: the session's number); None if there are few groups for so many rows."""
+    n, groups = df.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*[F.col(_q(k)) for k in keys]))).first()
+    if n > groups * GROUP_SHARE:
+        return None
+    tasks = -(-n // DEALT_ROWS)
+    return tasks if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
+
+
+def aggregate_dealt(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], light: Sequence[Column], tasks: int) -> DataFrame:
+    """``df.groupBy(keys).agg(aggs)`` by one shuffle of the rows of light keys.
+
+    ``light`` gives the same columns as ``aggs`` and may gather a light group's
+    values: at most a HEAVY_CUTS-th of all rows.  Rows of heavier buckets of
+    keys are combined before they are moved.
+    """
+    heavy = F.element_at(heavy_buckets(df, keys, HEAVY_CUTS).scalar(), bucket_of(keys)).isNotNull()
+    by = [F.col(_q(k)) for k in keys]
+    rows = df.where(~heavy)
+    dealt = (rows.repartition(tasks, *by) if tasks else rows.repartition(*by)).groupBy(*keys).agg(*light)
+    return dealt.unionByName(df.where(heavy).groupBy(*keys).agg(*aggs))
+
+
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     ex = set(exclude)
     return [f.name for f in df.schema.fields
