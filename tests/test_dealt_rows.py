@@ -28,3 +28,17 @@ def test_few_groups_are_combined_before_they_move(spark):
     df = spark.range(20_000).select((F.col("id") % 5).alias("k"), *[(F.col("id") % n).alias(f"c{n}") for n in (3, 7, 11, 13)])
     got = A.agg_multi_spec(df, "k", {c: ["min", "max", "mean", "sum", "var"] for c in df.columns[1:]}, "t")
     assert "REPARTITION" not in got._jdf.queryExecution().executedPlan().toString() and got.count() == 5
+
+
+def test_agg_all_columns_moves_rows_not_buffers(spark, tmp_path):
+    from featherstack.catalog.joins_agg import agg_all_columns_q
+    nums = [(F.col("id") * k % 997).cast(t).alias(c) for k, (c, t) in enumerate(
+        {"l_partkey": "long", "l_suppkey": "long", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double",
+         "l_tax": "double"}.items(), 2)]
+    li = spark.range(12_000).select((F.col("id") * 7919 % 3000).alias("l_orderkey"), *nums, F.lit("A").alias("l_returnflag"), F.lit("F").alias("l_linestatus"),
+                                    F.timestamp_seconds("id").alias("l_shipdate"))
+    li.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = agg_all_columns_q(spark, str(tmp_path))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION" in text and got.count() == 3000
+    assert got.agg(F.sum("li_l_partkey_sum")).first()[0] == li.agg(F.sum("l_partkey")).first()[0]
