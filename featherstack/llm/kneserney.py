@@ -51,13 +51,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import sharedfiles
-from .common import extend, map_batches, mix64, stage_table, unused, without
+from .common import extend, map_batches, mix64, row_slices, stage_table, unused, without
 from .tokens import slices
 
 ORDER = 2
 ENTRIES = 2_000_000  # tokens whose n-grams make a shard
 PARTS = 8  # a context of more than one PARTS-th of a shard's tokens is split
 BYTES_A_TOKEN = 6
+BATCH_BYTES = 4 << 20
 FALLBACK = (0.5, 1.0, 1.5)
 BLOBS = "level int, shard int, ids binary, counts binary"
 MERGED = f"{BLOBS}, ctx long, total long, n1 long, n2 long, n3 long, n4 long, more long"
@@ -225,6 +226,12 @@ def _unpack(table: pa.Table, width: int, dtype: str, count_type: str) -> tuple[l
     return list(np.concatenate(blobs, axis=1)), counts.astype(np.int64)
 
 
+def _some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some megabytes of rows at a time, as their texts are copied."""
+    for batch in batches:
+        yield from row_slices(batch, BATCH_BYTES)
+
+
 def _texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [t.as_py() or b"" for t in batch.column(column)]
 
@@ -233,7 +240,7 @@ def _vocabulary(texts: DataFrame, folder: str, bits: int, entries: int) -> DataF
     """(shard, words, tokens) of the vocabulary's shards, whose arrays are written."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Entries(0, "<u8", "<u8", entries // 2)
-        for batch in batches:
+        for batch in _some(batches):
             for part in slices(_texts(batch)):
                 yield from held.add([part.hashes], (part.hashes >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(part.hashes), np.int32))
         yield from held.flush()
@@ -289,7 +296,7 @@ def _count_grams(texts: DataFrame, model: Model, n: int) -> DataFrame:
     """Blobs of the n-grams of the highest order, or of those of a lower one that begin a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Entries(n, model.id_type, model.count_type, model.entries // 2)
-        for batch in batches:
+        for batch in _some(batches):
             for seq in sequences(_texts(batch), model):
                 at = np.flatnonzero(seq.new & (seq.depth >= n - 1 if n == model.order else seq.depth == n - 1))
                 columns = seq.grams(n, at)
@@ -416,15 +423,22 @@ def probabilities(seq: Sequence, model: Model) -> np.ndarray:
     return p
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``
-    (add-one unigrams) and ``score``, both log10 probabilities of the text."""
+    (add-one unigrams) and ``score``, both log10 probabilities of the text.
+
+    Without ``keep_text`` the text isn't among the columns, and so goes to the
+    workers once and not back.
+    """
     fields = T.StructType.fromDDL("n_tokens long, n_known long, train_tokens long, base_score double, score double")
     docs = without(docs, *fields.names)
     helper = unused(docs, "__text")
+    rows = docs.withColumn(helper, F.col(text_col).cast("binary"))
+    if not keep_text:
+        docs, rows = docs.drop(text_col), rows.drop(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _some(batches):
             size = batch.num_rows
             n, known, base, total = np.zeros(size), np.zeros(size), np.zeros(size), np.zeros(size)
             for seq in sequences(_texts(batch, helper), model):
@@ -436,4 +450,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield extend(batch, {"n_tokens": pa.array(n.astype(np.int64)), "n_known": pa.array(known.astype(np.int64)),
                                  "train_tokens": pa.array(np.full(size, model.tokens)), "base_score": pa.array(base), "score": pa.array(total)},
                          drop=[helper])
-    return map_batches(docs.withColumn(helper, F.col(text_col).cast("binary")), run, T.StructType([*docs.schema, *fields]))
+    return map_batches(rows, run, T.StructType([*docs.schema, *fields]))

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import ODD, sentence
 from pyspark.sql import functions as F
@@ -106,3 +107,15 @@ def test_hashes_of_many_words_differ():
     text = b" ".join({bytes(r.integers(97, 123, int(r.integers(1, 9)), dtype=np.uint8)) for _ in range(200_000)})
     found = np.concatenate([p.hashes for p in tokens.slices([text])])
     assert len(np.unique(found)) == len(text.split()) + 1
+
+
+def test_texts_go_to_workers_once_and_some_megabytes_at_a_time(spark, make_docs, monkeypatch):
+    texts = [f"w{i % 7} w{i % 5} common" for i in range(300)]
+    model = kneserney.train(make_docs(texts))
+    whole = kneserney.score(make_docs(texts), model)
+    alone = kneserney.score(make_docs(texts), model, keep_text=False)
+    assert "text" in whole.columns and "text" not in alone.columns
+    assert whole.drop("text").orderBy("doc_id").collect() == alone.orderBy("doc_id").collect()
+    monkeypatch.setattr(kneserney, "BATCH_BYTES", 1000)
+    batch = pa.RecordBatch.from_pydict({"text": [b"x" * 300] * 20})
+    assert max(b.num_rows for b in kneserney._some(iter([batch]))) <= 3 and sum(b.num_rows for b in kneserney._some(iter([batch]))) == 20
