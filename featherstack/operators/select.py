@@ -103,7 +103,8 @@ def _listed(df: DataFrame, keys: list[str], aggs: Sequence[Column], picks: Seque
         m = next((f"m{i}" for i, x in enumerate(masks) if _is(x, p.where)), None) if p.where is not None else None
         name = lists.setdefault((v, m), f"__list{len(lists)}")
         exprs.append(F.expr(f"{' - '.join(_read(name, q) for q in reversed(p.probs))} AS `{p.name}`"))
-    sorted_lists = [f"array_sort(transform(filter(__rows, r -> r.{v} IS NOT NULL{f' AND r.{m}' if m else ''}), r -> r.{v})) AS {name}"
+    # no element is NULL, and the type says so: an array of primitives is sorted, without a comparator that is called for each pair
+    sorted_lists = [f"sort_array(transform(filter(__rows, r -> r.{v} IS NOT NULL{f' AND r.{m}' if m else ''}), r -> coalesce(r.{v}, 0.0D))) AS {name}"
                     for (v, m), name in lists.items()]
     named = [c for c in out.columns if c != "__rows"]
     return out.selectExpr(*[f"`{c}`" for c in named], *sorted_lists).select(*[f"`{c}`" for c in named], *exprs)
