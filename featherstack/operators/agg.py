@@ -34,6 +34,7 @@ Spec = Mapping[str, Sequence[str]] | Sequence[tuple[str, str]]
 WIDE = 16  # statistics from which a spec is wide
 GROUP_SHARE = 16  # rows a group, on average, from which partial aggregates are expected to be fewer than rows
 DEALT_ROWS = 1_000_000  # rows to a task where rows are dealt by key
+DEALT_VALUES = 8_000_000  # and statistics of all its groups, whose buffers stay in memory
 HEAVY_CUTS = 1024  # a bucket of keys with more than this part of all rows is heavy
 
 
@@ -184,7 +185,7 @@ def agg_multi_spec(df: DataFrame, key: str | Sequence[str], spec: Spec, prefix:
     keys = [key] if isinstance(key, str) else list(key)
     quantiles, aggs = picks(spec, prefix, where), [*agg_exprs(spec, prefix, where, scales=scales), *extra]
     named = [feature_name(prefix, col, fn) for col, fn in _pairs(spec)]
-    tasks = None if quantiles or len(aggs) < WIDE else dealt_tasks(df, keys)
+    tasks = None if quantiles or len(aggs) < WIDE else dealt_tasks(df, keys, len(aggs))
     if tasks is not None:
         floats = {c for c, t in df.dtypes if t in ("double", "float")}
         lists = [agg_expr(col, ("nunique_small_float" if col in floats else "nunique_small") if fn == "nunique" else fn, where,
@@ -195,13 +196,19 @@ def agg_multi_spec(df: DataFrame, key: str | Sequence[str], spec: Spec, prefix:
     return out.select(*keys, *named, *[c for c in out.columns if c not in keys and c not in named])
 
 
-def dealt_tasks(df: DataFrame, keys: Sequence[str]) -> int | None:
-    """To how many tasks the rows should be dealt by key (0: the session's number); None if there are few groups for so many rows."""
+def dealt_tasks(df: DataFrame, keys: Sequence[str], width: int) -> int | None:
+    """To how many tasks the rows should be dealt by key for ``width`` statistics a group
+    (0: few enough for one task, the session decides); None if there are few groups for so many rows.
+
+    A number of its own keeps AQE from joining tasks by their shuffled bytes, which
+    tell little of the buffers: rows that compress well would be joined until they spill.
+    """
     n, groups = df.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*[F.col(_q(k)) for k in keys]))).first()
     if n > groups * GROUP_SHARE:
         return None
-    tasks = -(-n // DEALT_ROWS)
-    return tasks if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
+    tasks = max(-(-n // DEALT_ROWS), -(-groups * width // DEALT_VALUES))
+    session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(tasks, min(session, 4 * tasks)) if tasks > 1 else 0
 
 
 def aggregate_dealt(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], light: Sequence[Column], tasks: int) -> DataFrame:

@@ -42,3 +42,21 @@ def test_agg_all_columns_moves_rows_not_buffers(spark, tmp_path):
     text = got._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION" in text and got.count() == 3000
     assert got.agg(F.sum("li_l_partkey_sum")).first()[0] == li.agg(F.sum("l_partkey")).first()[0]
+
+
+def test_dealt_rows_that_compress_well_are_not_joined_into_one_task(spark, monkeypatch):
+    monkeypatch.setattr(A, "DEALT_ROWS", 4000)
+    df = spark.range(24_000).select((F.col("id") % 6000).alias("k"), *[F.lit(1.0).alias(f"c{i}") for i in range(4)])  # few bytes, many groups
+    got = A.agg_multi_spec(df, "k", {c: ["min", "max", "mean", "sum", "var"] for c in df.columns[1:]}, "t")
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 2000
+    assert got.agg(F.sum("t_c0_sum")).first()[0] == 24_000.0
+
+
+def test_wide_buffers_get_more_tasks(spark, monkeypatch):
+    df = spark.range(24_000).select((F.col("id") % 6000).alias("k"), *[F.lit(1.0).alias(f"c{i}") for i in range(4)])
+    monkeypatch.setattr(A, "DEALT_ROWS", 10**9)
+    monkeypatch.setattr(A, "DEALT_VALUES", 6000)
+    got = A.agg_multi_spec(df, "k", {c: ["min", "max", "mean", "sum", "var"] for c in df.columns[1:]}, "t")
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and len(sizes) > 8 and max(sizes) < 1000
