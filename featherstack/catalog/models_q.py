@@ -242,7 +242,7 @@ def recursive_elimination_q(spark, d):
 
 
 # ---------------------------------------------------------------- kNN (exact, SQL-checked)
-KNN_SQL = """WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 50 = 0),
+KNN_SQL = """WITH q AS (SELECT vec_id, embedding FROM embeddings),
   b AS (SELECT vec_id, embedding, label FROM embeddings),
   d AS (SELECT q.vec_id AS qid, b.vec_id AS bid, b.label,
           sqrt(list_sum(list_transform(list_zip(q.embedding, b.embedding), lambda z: pow(z[1]::DOUBLE - z[2]::DOUBLE, 2)))) AS dist
@@ -257,9 +257,9 @@ KNN_SQL = """WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id %
 
 @register("knn_score", KNN_SQL, exact=["vec_id", "knn_label"], sig=8)
 def knn_score_q(spark, d):
-    """8 nearest other vectors (Euclidean, 1/d weights) of every fiftieth vector, among all."""
+    """8 nearest other vectors (Euclidean, 1/d weights) of every vector, among all."""
     emb = table(spark, d, "embeddings")
-    return knn_score(emb, emb.where(F.col("vec_id") % 50 == 0), "vec_id", "vec_id", "embedding", "label", 8, other=True)
+    return knn_score(emb, emb, "vec_id", "vec_id", "embedding", "label", 8, other=True)
 
 
 # ---------------------------------------------------------------- blends and metrics
